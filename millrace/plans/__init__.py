@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ["scalars"]
+FAMILIES = ["scalars", "flow", "joins", "shape", "series"]
 
 
 def load_all() -> None:
