@@ -1,15 +1,15 @@
-"""Request-event logs: fixed fields as text, request headers, parameters and rest attributes.
-
-A request text is cut into tokens once and folded left to right with higher-order
-functions, so the whole parse runs inside the JVM with a state of a few fields.
-"""
+"""Request-event logs: fixed fields as text, request headers, parameters and rest attributes."""
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.requests import read_request
 from millrace.functions.strings import is_blank
 
 # --- Fixed values
@@ -17,102 +17,26 @@ COPIED_FIELDS = ["@timestamp", "pid", "source", "offset", "category", "name", "i
                  "uid", "hostname", "use", "tags", "atTime", "date"]
 RESPONSE_FIELDS = ["respType", "respLength", "respStatus"]
 PROFILE = "PROFILE"
-# escapes of a request text, longest first
-ESCAPE = r"(?:\\u+[0-9a-fA-F]{4})+|\\[0-3]?[0-7]?[0-7]|\\(?s:.)|[^\\]+|\\"
-# tokens: text, spread, name, number, variable, mark
-TOKEN = r'"(?:[^"\\\n\r]|\\.)*"|\.\.\.|[_A-Za-z][_0-9A-Za-z]*|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|\$[_A-Za-z][_0-9A-Za-z]*|[!:=@|&(){}\[\]]'
-IGNORED = r"#[^\n\r]*|[\s,﻿]+"
-NAME = r"^[_A-Za-z]"
-OPERATIONS = ["query", "mutation", "subscription"]
+UNSUPPORTED, BAD_VARIABLES = "unsupported request", "bad variables"
 # --- end of fixed values
 
 
-def unescape(text: Column) -> Column:
-    """Undo backslash escapes: control letters, quotes, octal and unicode codes."""
-    pieces = F.regexp_extract_all(text, F.lit(f"({ESCAPE})"), F.lit(1))
-
-    def plain(p: Column) -> Column:
-        return F.when(~F.startswith(p, F.lit("\\")), p) \
-            .when(p.rlike(r"^\\u"), F.decode(F.unhex(F.regexp_replace(p, r"\\u+", "")), "UTF-16BE")) \
-            .when(p.rlike(r"^\\[0-7]"), F.chr(F.conv(F.substring(p, 2, 3), 8, 10).cast("bigint"))) \
-            .when(p == "\\n", "\n").when(p == "\\r", "\r").when(p == "\\t", "\t") \
-            .when(p == "\\b", "\b").when(p == "\\f", "\f").otherwise(F.substring(p, 2, 1 << 30))
-
-    return F.when(F.instr(text, "\\") == 0, text).otherwise(F.array_join(F.transform(pieces, plain), ""))
-
-
-def tokens_of(text: Column) -> Column:
-    """Tokens without comments and separators."""
-    found = F.regexp_extract_all(text, F.lit(f"(#[^\\n\\r]*|{TOKEN})"), F.lit(1))
-    return F.filter(found, lambda t: ~F.startswith(t, F.lit("#")))
-
-
-def lexical(text: Column) -> Column:
-    """True when the text consists of tokens and separators only."""
-    return F.regexp_replace(text, f"{TOKEN}|{IGNORED}", "") == ""
-
-
-def _fold(tokens: Column) -> Column:
-    """One pass over the tokens. Keeps the open brackets, and for the selection set
-    of the first definition: how many selections it has, the first field's name
-    and where that field's arguments start and end."""
-    def struct(**fields: Column) -> Column:
-        return F.struct(*[value.alias(name) for name, value in fields.items()])
-
-    start = struct(open=F.lit(""), before=F.lit(""), at=F.lit(0), done=F.lit(False), picks=F.lit(0), fields=F.lit(0),
-                   name=F.lit(None).cast("string"), first=F.lit(0), last=F.lit(0))
-
-    def step(s: Column, t: Column) -> Column:
-        opening, closing = t.isin("{", "(", "["), t.isin("}", ")", "]")
-        partner = F.when(t == "}", "{").when(t == ")", "(").when(t == "]", "[")
-        top = F.right(s["open"], F.lit(1))
-        brackets = F.when(opening, F.concat(s["open"], t)) \
-            .when(closing & (top == partner), F.left(s["open"], F.length(s["open"]) - 1)) \
-            .when(closing, F.lit("X")).otherwise(s["open"])
-        here = (s["open"] == "{") & ~s["done"]
-        is_name = t.rlike(NAME)
-        spread = here & (t == "...")
-        aliased = here & is_name & (s["before"] == ":")
-        starts = here & is_name & ~s["before"].isin(":", "@", "...", "... on")
-        directive_name = here & is_name & (s["before"] == "@")
-        only_field = (s["picks"] == 1) & (s["fields"] == 1)
-        args_open = here & (t == "(") & only_field & (s["before"] != "@name") & (s["first"] == 0)
-        args_close = (s["open"] == "{(") & ~s["done"] & (t == ")") & (s["first"] > 0) & (s["last"] == 0)
-        before = F.when(here & (t == "on") & (s["before"] == "..."), "... on").when(directive_name, "@name").otherwise(t)
-        return struct(
-            open=brackets, before=before, at=s["at"] + 1,
-            done=s["done"] | (brackets == "") & (t == "}"),
-            picks=s["picks"] + (starts | spread).cast("int"),
-            fields=s["fields"] + starts.cast("int"),
-            name=F.when(starts & (s["picks"] == 0) | aliased & only_field, t).otherwise(s["name"]),
-            first=F.when(args_open, s["at"] + 1).otherwise(s["first"]),
-            last=F.when(args_close, s["at"] + 1).otherwise(s["last"]))
-
-    return F.aggregate(tokens, start, step)
-
-
-def _quoted(text: Column) -> Column:
-    """The JSON text literal of a value."""
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
-
-
-def arguments_json(tokens: Column, variables: Column) -> Column:
-    """Argument tokens as a JSON object. Scalars become text, null and unknown
-    variables empty text; lists and objects keep their nesting."""
-    size = F.size(tokens)
-
-    def piece(t: Column, i: Column) -> Column:
-        following = F.get(tokens, i + 1)
-        ends = following.isNull() | following.isin("}", "]")
-        comma = F.when(ends, "").otherwise(",")
-        value = F.when(t.rlike('^"'), t) \
-            .when(F.startswith(t, F.lit("$")), _quoted(F.coalesce(F.try_element_at(variables, F.substring(t, 2, 1 << 30)), F.lit("")))) \
-            .when(t == "null", '""').otherwise(F.concat(F.lit('"'), t, F.lit('"')))
-        return F.when(t.isin("{", "[", ":"), t).when(t.isin("}", "]"), F.concat(t, comma)) \
-            .when(following == ":", F.concat(F.lit('"'), t, F.lit('"'))).otherwise(F.concat(value, comma))
-
-    return F.when(size > 0, F.concat(F.lit("{"), F.array_join(F.transform(tokens, piece), ""), F.lit("}")))
+REQUEST = T.StructType([T.StructField(n, T.StringType()) for n in ("type", "name", "params", "errorMessage")])
+
+
+@F.pandas_udf(REQUEST)
+def _requests(payload: pd.Series, variables: pd.Series) -> pd.DataFrame:
+    """Header and parameters per request; null payloads are profile events."""
+    def one(text: str | None, given: str | None) -> tuple:
+        if text is None:
+            return PROFILE, None, None, None
+        try:
+            kind, name, params = read_request(text, json.loads(given) if given else {})
+        except (ValueError, IndexError, KeyError):
+            return None, None, None, UNSUPPORTED
+        return kind, name, None if params is None else json.dumps(params, ensure_ascii=False, separators=(",", ":")), None
+
+    return pd.DataFrame([one(p, v) for p, v in zip(payload, variables)], columns=REQUEST.names, dtype=object)
 
 
 def read_variables(text: Column) -> Column:
@@ -127,31 +51,17 @@ def with_request(df: DataFrame, payload: Column, variables: Column, prefix: str
     operation, its name (or the only field of an unnamed one) and its parameters,
     the variables of a named operation or the field's arguments of an unnamed one.
     """
-    out = {part: f"{prefix}{part}" for part in ("type", "name", "params", "errorMessage")}
-    helpers = ["__text", "__vars_text", "__vars", "__tokens", "__fold"]
-    cut = df.withColumns({"__text": unescape(payload), "__vars_text": variables})
-    cut = cut.withColumn("__vars", F.when(~is_blank(F.col("__vars_text")), read_variables(F.col("__vars_text"))))
-    cut = cut.withColumn("__tokens", F.when(~is_blank(F.col("__text")), tokens_of(F.col("__text"))))
-    cut = cut.withColumn("__fold", _fold(F.col("__tokens")))
-    tokens, fold = F.col("__tokens"), F.col("__fold")
-    head, second = F.get(tokens, F.lit(0)), F.get(tokens, F.lit(1))
-    profile = is_blank(F.col("__text"))
-    readable = lexical(F.col("__text")) & (F.size(tokens) > 0) & (fold["open"] == "") & fold["done"] \
-        & ((head == "{") | head.isin(OPERATIONS)) & (fold["picks"] > 0)
-    bad_variables = ~is_blank(F.col("__vars_text")) & (F.col("__vars").isNull() | ~F.col("__vars_text").rlike(r"^\s*\{(?s:.*)\}\s*$"))
-    error = F.when(profile, F.lit(None)).when(~readable, "unsupported request").when(bad_variables, "bad variables")
-    named = head.isin(OPERATIONS) & second.rlike(NAME)
-    arguments = F.slice(tokens, fold["first"] + 1, F.greatest(fold["last"] - fold["first"] - 1, F.lit(0)))
-    single = (fold["picks"] == 1) & (fold["fields"] == 1)
-    sound = ~profile & error.isNull()
-    variables_json = F.coalesce(F.to_json("__vars"), F.lit("{}"))
-    result = {
-        out["type"]: F.when(profile, PROFILE).when(sound, F.when(head == "{", "QUERY").otherwise(F.upper(head))),
-        out["name"]: F.when(sound & named, second).when(sound & single, fold["name"]),
-        out["params"]: F.when(sound & named, variables_json).when(
-            sound & single & (fold["first"] > 0), arguments_json(arguments, F.col("__vars"))),
-        out["errorMessage"]: error}
-    return cut.withColumns(result).drop(*helpers)
+    cut = df.withColumns({"__payload": F.when(~is_blank(payload), payload), "__text": F.when(~is_blank(variables), variables)})
+    cut = cut.withColumn("__vars", read_variables(F.col("__text")))
+    cut = cut.withColumn("__request", _requests("__payload", F.to_json("__vars")))
+    bad = F.col("__payload").isNotNull() & F.col("__text").isNotNull() \
+        & (F.col("__vars").isNull() | ~F.col("__text").rlike(r"^\s*\{(?s:.*)\}\s*$"))
+    request = F.col("__request")
+    error = F.coalesce(request["errorMessage"], F.when(bad, BAD_VARIABLES))
+    parts = {n: F.when(error.isNull(), request[n]) for n in ("type", "name", "params")} | {"errorMessage": error}
+    # one-element inline: a filter on the result stays above it and does not repeat the parse
+    answer = F.inline(F.array(F.struct(*[value.alias(f"{prefix}{part}") for part, value in parts.items()])))
+    return cut.select(*[F.col(f"`{c}`") for c in df.columns], answer)
 
 
 def attributes_of(df: DataFrame, column: str = "attrs") -> Column:

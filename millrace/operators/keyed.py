@@ -100,16 +100,21 @@ def change_results(state: DataFrame, changes: DataFrame, key: str, op: str, orde
 
 
 def apply_changes(state: DataFrame, changes: DataFrame, key: str, op: str, order_by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Apply mixed changes in order. Returns (new state, every change with its status).
+    """Apply mixed changes in order. Returns (new state, every change with its status)."""
+    results = change_results(state, changes, key, op, order_by)
+    return apply_results(state, results, key, op, order_by), results
+
+
+def apply_results(state: DataFrame, results: DataFrame, key: str, op: str, order_by: Sequence[str]) -> DataFrame:
+    """The new state, from changes whose status is known (see ``change_results``).
 
     A document's column ends with the last change that touches it: index and
     delete touch every column, update and upsert only the ones they give. Failed
     changes touch nothing. All of it is one partially aggregated group-by.
     """
-    results = change_results(state, changes, key, op, order_by)
     valid = results.filter(F.col("status") < 300)
     kind = F.lower(F.col(op))
-    columns = [c for c in _value_columns(state, key) if c in changes.columns]
+    columns = [c for c in _value_columns(state, key) if c in results.columns]
     moment = _order(order_by)
     whole = kind.isin(INDEX, DELETE)
     touched = valid.groupBy(key).agg(
@@ -124,7 +129,7 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str, op: str, order
             return F.when(F.col(f"__{column}").isNotNull(), F.col(f"__{column}.v")).otherwise(F.col(f"s.{column}")).alias(column)
         return F.when(F.col("__reset").isNull(), F.col(f"s.{column}")).alias(column)
 
-    return kept.select(*[F.col(key) if c == key else final(c) for c in state.columns]), results
+    return kept.select(*[F.col(key) if c == key else final(c) for c in state.columns])
 
 
 def validate_changes(df: DataFrame, op: str, key: str, index: str) -> DataFrame:

@@ -117,26 +117,56 @@ def bind_parameters(sql: str, columns: Sequence[str], context: RunContext = RunC
     return PARAMETER.sub(bound, sql)
 
 
-def lookup_sql(df: DataFrame, sql: str, mode: str = MANY, views: dict[str, DataFrame] | None = None,
+def lookup_sql(df: DataFrame, sql: str, mode: str = MANY, order_by: Sequence[str] = (), views: dict[str, DataFrame] | None = None,
                context: RunContext = RunContext()) -> DataFrame:
     """Run a parameterised SELECT for all rows at once. The statement becomes a
     lateral subquery, which Catalyst turns into an ordinary join on the parameters.
-    ``many`` gives one row per match, ``one`` the first match by the statement's
-    own ORDER BY; rows without a match stay, with nulls."""
-    bound = bind_parameters(sql.strip().rstrip(";"), df.columns, context)
-    if mode == ONE:
-        if not re.search(r"\border\s+by\b", sql, re.IGNORECASE):
-            raise ValueError("mode 'one' needs an ORDER BY in the statement")
-        if not re.search(r"\blimit\s+\d+\s*$", bound, re.IGNORECASE):
-            bound += " LIMIT 1"
-    elif mode != MANY:
+
+    ``many`` gives one row per match. ``one`` gives the first match by ``order_by``
+    (expressions over the statement's columns); it runs the statement once per
+    distinct set of parameters. Rows without a match stay, with nulls.
+    """
+    statement = sql.strip().rstrip(";")
+    if mode not in (MANY, ONE):
         raise ValueError(f"mode is {MANY!r} or {ONE!r}, not {mode!r}")
-    frames = {"__rows": df, **(views or {})}
-    names = {name: "{" + name + "}" for name in frames}
-    for name in views or {}:
-        bound = re.sub(rf"\b{re.escape(name)}\b(?!\s*\.)", names[name], bound)
+    if re.search(r"\b(order\s+by|limit)\b", PARENTHESISED.sub("", statement), re.IGNORECASE):
+        raise ValueError("a row order inside the statement has no effect here: pass order_by")
+    if mode == MANY:
+        return _lateral(df, statement, views or {}, context)
+    if not order_by:
+        raise ValueError("mode 'one' needs order_by")
+    keys = [n for n in dict.fromkeys(parameter_names(statement)) if n in df.columns]
+    if not keys:
+        raise ValueError("the statement reads no column of the rows: use lookup_const")
+    asked = df.select(*keys).distinct().toDF(*[f"__p{i}" for i in range(len(keys))])
+    renamed = PARAMETER.sub(lambda m: f":__p{keys.index(m.group(1))}" if m.group(1) in keys else m.group(0), statement)
+    fallback = RunContext(attributes={**context.attributes, **{f"__p{i}": context.attributes[k] for i, k in enumerate(keys) if k in context.attributes}})
+    found = first_per_key(_lateral(asked, renamed, views or {}, fallback), asked.columns, _orders(order_by))
+    match = reduce(lambda a, b: a & b, [F.col(f"i.`{k}`").eqNullSafe(F.col(f"l.`{p}`")) for k, p in zip(keys, asked.columns)])
+    added = [c for c in found.columns if c not in asked.columns]
+    kept = [F.col(f"i.`{c}`") for c in df.columns if c not in added]
+    return df.alias("i").join(found.alias("l"), match, "left").select(*kept, *[F.col(f"l.`{c}`") for c in added])
+
+
+PARENTHESISED = re.compile(r"\([^()]*\)")
+
+
+def _orders(order_by: Sequence[str]) -> list[Column]:
+    """'price desc' and the like as sort columns."""
+    out = []
+    for text in order_by:
+        found = re.fullmatch(r"(.+?)(?:\s+(asc|desc))?", text.strip(), re.IGNORECASE)
+        column = F.expr(found.group(1))
+        out.append(column.desc() if (found.group(2) or "").lower() == "desc" else column.asc())
+    return out
+
+
+def _lateral(df: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext) -> DataFrame:
+    bound = bind_parameters(statement, df.columns, context)
+    for name in views:
+        bound = re.sub(rf"\b{re.escape(name)}\b(?!\s*\.)", "{" + name + "}", bound)
     return df.sparkSession.sql(
-        f"SELECT input.*, found.* FROM {names['__rows']} AS input LEFT JOIN LATERAL ({bound}) AS found ON TRUE", **frames)
+        f"SELECT input.*, found.* FROM {{rows_in}} AS input LEFT JOIN LATERAL ({bound}) AS found ON TRUE", rows_in=df, **views)
 
 
 def dict_lookup(df: DataFrame, dimension: DataFrame, on: On, columns: Sequence[str]) -> DataFrame:

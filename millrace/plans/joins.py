@@ -70,11 +70,11 @@ def lookup_param_fallback(t):
 
 
 @plan("lookup_sql_one", f"""{LATEST_SQL}
-  SELECT c_custkey, o_orderkey, o_totalprice FROM c LEFT JOIN o ON ref = o_custkey AND rn = 1""")
+  SELECT c_custkey, o_orderdate, o_orderkey, o_totalprice FROM c LEFT JOIN o ON ref = o_custkey AND rn = 1""")
 def lookup_sql_one(t):
     return lookup.lookup_sql(shifted(t).select("c_custkey", "ref"),
-                             "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = :ref ORDER BY o_orderdate DESC, o_orderkey DESC",
-                             mode=lookup.ONE, views={"orders": t.orders}).drop("ref")
+                             "SELECT o_orderdate, o_orderkey, o_totalprice FROM orders WHERE o_custkey = :ref", mode=lookup.ONE,
+                             order_by=["o_orderdate desc", "o_orderkey desc"], views={"orders": t.orders}).drop("ref")
 
 
 @plan("dict_lookup", """
@@ -106,22 +106,22 @@ def first_row(t):
     return lookup.first_row(t.nation, [F.desc("n_nationkey")])
 
 
-# Keyed documents: customers as state, events as changes of the customer with that user id
+# Keyed documents: customers as state, events as changes; ids are spread so that some changes meet no customer
 
-STATE = "SELECT c_custkey AS id, c_mktsegment AS kind, c_acctbal AS score FROM customer WHERE c_custkey % 3 > 0"
+STATE = "SELECT c_custkey AS id, c_mktsegment AS kind, c_acctbal AS score FROM customer"
 
 
 def documents(t):
-    return t.customer.filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("kind"), F.col("c_acctbal").alias("score"))
+    return t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("kind"), F.col("c_acctbal").alias("score"))
 
 
-CHANGES = """SELECT user_id AS id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END AS kind, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS score,
+CHANGES = """SELECT user_id * 13 AS id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END AS kind, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS score,
     CASE event_id % 11 WHEN 0 THEN 'delete' WHEN 1 THEN 'index' WHEN 2 THEN 'upsert' WHEN 3 THEN 'delete' ELSE 'update' END AS op, ts, event_id FROM events"""
 
 
 def changes(t):
     return t.events.select(
-        F.col("user_id").alias("id"), F.when(F.col("event_id") % 5 != 0, F.col("event_type")).alias("kind"),
+        (F.col("user_id") * 13).alias("id"), F.when(F.col("event_id") % 5 != 0, F.col("event_type")).alias("kind"),
         F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("score"),
         F.expr("case event_id % 11 when 0 then 'delete' when 1 then 'index' when 2 then 'upsert' when 3 then 'delete' else 'update' end").alias("op"),
         "ts", "event_id")

@@ -143,16 +143,17 @@ def gql_header(t):
     return parsed(t).select("event_id", "type", "name")
 
 
-@plan("gql_variables", f"""{PAYLOADS_SQL} SELECT event_id, vars AS params FROM q WHERE event_id % 9 = 0""")
+@plan("gql_variables", f"""{PAYLOADS_SQL} SELECT event_id, CASE WHEN starts_with(payload, 'query detail') THEN vars END AS params FROM q""")
 def gql_variables(t):
-    return parsed(t).filter("event_id % 9 = 0").select("event_id", "params")
+    named = F.startswith("payload", F.lit("query detail"))
+    return parsed(t).select("event_id", F.when(named, F.col("params")).alias("params"))
 
 
 @plan("gql_flat_args", f"""{PAYLOADS_SQL}
   SELECT event_id, CASE event_id % 9 WHEN 1 THEN '{{"limit":"' || user_id || '","where":{{"and":[{{"uid":"' || event_id || '"}}]}},"order":["uid","reverse:job"]}}'
-    WHEN 2 THEN '{{"id":"v' || user_id || '","title":"t, ' || user_id || '","on":"true","gap":"","kind":"HOME","price":"-1.5"}}' END AS params FROM q WHERE event_id % 9 IN (1, 2, 3, 7)""")
+    WHEN 2 THEN '{{"id":"v' || user_id || '","title":"t, ' || user_id || '","on":"true","gap":"","kind":"HOME","price":"-1.5"}}' WHEN 0 THEN vars END AS params FROM q""")
 def gql_flat_args(t):
-    return parsed(t).filter("event_id % 9 in (1, 2, 3, 7)").select("event_id", "params")
+    return parsed(t).select("event_id", "params")
 
 
 @plan("gql_failure", f"""{PAYLOADS_SQL} SELECT event_id, payload, 'unsupported request' AS "errorMessage" FROM q WHERE event_id % 9 IN (5, 6, 8)""")

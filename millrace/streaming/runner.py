@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.keyed import apply_changes
+from millrace.operators.keyed import apply_results, change_results
 from millrace.session import shared_folder
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -32,16 +32,17 @@ def folder_sink(path: str, split_by: str | None = "route", format: str = "parque
     return write
 
 
-def keyed_sink(path: str, schema: str, key: str, op: str, order_by: Sequence[str], slices: int = 1) -> Sink:
+def keyed_sink(path: str, schema: str, key: str, op: str, order_by: Sequence[str]) -> Sink:
     """Documents kept as one table version per batch: version n is version n-1 with
     the batch's changes applied. Replaying batch n rewrites version n from the same
-    version n-1. Items that failed are written next to it."""
+    version n-1. The items of a batch and their status are written next to it
+    first, and the new version is computed from that table."""
     def write(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
         state = spark.read.parquet(f"{path}/version={batch - 1}") if batch > 0 else spark.createDataFrame([], schema)
-        new_state, results = apply_changes(state, df, key, op, order_by)
-        new_state.write.mode("overwrite").parquet(f"{path}/version={batch}")
-        results.filter("status >= 300").write.mode("overwrite").parquet(f"{path}_failed/batch={batch}")
+        change_results(state, df, key, op, order_by).write.mode("overwrite").parquet(f"{path}_items/batch={batch}")
+        results = spark.read.parquet(f"{path}_items/batch={batch}")
+        apply_results(state, results, key, op, order_by).write.mode("overwrite").parquet(f"{path}/version={batch}")
 
     return write
 

@@ -41,7 +41,7 @@ def counted(columns: list[str], rows) -> Counter:
 
 
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
-         "date": "DATE", "timestamp": "TIMESTAMP", "float": "FLOAT"}
+         "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
 
 
 def compare(spark, con, name: str, query, sql: str | None, folder: str) -> str | None:
