@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ["scalars", "flow", "joins", "shape", "series"]
+FAMILIES = ["scalars", "flow", "joins", "shape", "series", "streams"]
 
 
 def load_all() -> None:

@@ -7,6 +7,7 @@ a replayed batch harmless.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,8 +48,12 @@ def keyed_sink(path: str, schema: str, key: str, op: str, order_by: Sequence[str
     return write
 
 
-def latest_version(spark: SparkSession, path: str, batches: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/version={batches - 1}")
+def latest_version(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a keyed sink, told by the file names alone (also a
+    version that lost its last document has a file)."""
+    names = spark.read.parquet(path).inputFiles()
+    newest = max(int(found.group(1)) for found in (re.search(r"/version=(\d+)/", name) for name in names) if found)
+    return spark.read.parquet(f"{path}/version={newest}")
 
 
 def run_stream(source: DataFrame, transform: Transform, sinks: Sequence[Sink], checkpoint: str | None = None,
