@@ -41,13 +41,10 @@ def carry_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], valu
     local = cut.withColumn("__local", F.last("__value", ignorenulls=True).over(inside))
     if not bounds:
         return local.withColumn(name, F.col("__local")).drop("__slice", "__value", "__local")
-    sums = cut.filter("__value IS NOT NULL").groupBy(*keys, "__slice").agg(
-        F.max_by("__value", F.struct(*order_by)).alias("__last"))
-    # every (key, slice) that has rows needs an inherited value, at most one row per slice
-    slots = cut.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n")).drop("__n")
+    moment = F.when(F.col("__value").isNotNull(), F.struct(*order_by))
+    ends = cut.groupBy(*keys, "__slice").agg(F.max_by("__value", moment).alias("__last"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = slots.join(sums, [*keys, "__slice"], "left").withColumn(
-        "__carry", F.last("__last", ignorenulls=True).over(before)).filter("__carry IS NOT NULL") \
-        .select(*keys, "__slice", "__carry")
+    inherited = ends.withColumn("__carry", F.last("__last", ignorenulls=True).over(before)) \
+        .filter("__carry IS NOT NULL").select(*keys, "__slice", "__carry")
     return local.join(inherited, [*keys, "__slice"], "left") \
         .withColumn(name, F.coalesce("__local", "__carry")).drop("__slice", "__value", "__local", "__carry")

@@ -36,14 +36,18 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}  # application id -> folder, local sessions only
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in
     ``spark.checkpoint.dir``. Only a local master may fall back to /tmp."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_FOLDERS[context.applicationId]

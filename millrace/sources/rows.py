@@ -71,7 +71,7 @@ def read_multi_root(spark: SparkSession, path: str | Sequence[str], schema: T.St
     """JSON documents back to back in one file. A file is read by one task, which
     holds its text, so files of this kind must fit a task's memory; any number of
     files is read in parallel. Big data belongs in JSON lines."""
-    files = spark.read.option("wholetext", True).text(path if isinstance(path, str) else list(path))
+    files = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
