@@ -16,11 +16,20 @@ def _integers(texts: Column) -> Column:
 def max_without_noise(texts: Column, limit: int) -> Column:
     """List form. Non-integers are ignored, values whose squared distance from the
     (truncated) mean exceeds ``limit`` are noise; 0 when nothing is left."""
-    values = _integers(texts)
-    total = F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, v: acc + v)
-    mean = F.call_function("div", total, F.nullif(F.size(values), F.lit(0)))
-    near = F.filter(values, lambda v: (v - mean) * (v - mean) <= limit)
-    return F.greatest(F.coalesce(F.array_max(near), F.lit(0)), F.lit(0)).cast("int")
+    def with_value(value: Column, use) -> Column:
+        """Evaluate ``value`` once and hand it on (inner lambdas would repeat it per item)."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def largest_near(values: Column, mean: Column) -> Column:
+        near = F.filter(values, lambda v: (v - mean) * (v - mean) <= limit)
+        return F.greatest(F.coalesce(F.array_max(near), F.lit(0)), F.lit(0)).cast("int")
+
+    def answer(values: Column) -> Column:
+        total = F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+        mean = F.call_function("div", total, F.nullif(F.size(values), F.lit(0)))
+        return with_value(mean, lambda m: largest_near(values, m))
+
+    return F.when(texts.isNotNull(), F.coalesce(with_value(_integers(texts), answer), F.lit(0)))
 
 
 def max_without_noise_by(df: DataFrame, keys: list[str], value: str, limit: int, name: str = "noise_max") -> DataFrame:

@@ -21,7 +21,7 @@ from millrace.operators.ordered import carry_last
 INDEX, UPDATE, UPSERT, DELETE = "index", "update", "upsert", "delete"
 KINDS = [INDEX, UPDATE, UPSERT, DELETE]
 INSERT = "insert"
-CREATED, OK, NOT_FOUND = 201, 200, 404
+CREATED, OK, NOT_FOUND, BAD = 201, 200, 404, 400
 
 
 # How a document without an id gets one, by the type of the id column
@@ -87,14 +87,17 @@ def change_results(state: DataFrame, changes: DataFrame, key: str, op: str, orde
     gives. Whether a document exists at that moment depends on the last earlier
     index, upsert or delete of its id, or on the state when there is none."""
     kind = F.lower(F.col(op))
-    presence = F.when(kind.isin(INDEX, UPSERT, DELETE), kind)
+    presence = F.when(F.col(key).isNotNull() & kind.isin(INDEX, UPSERT, DELETE), kind)
     carried = carry_last(changes, [key], order_by, presence, "__before")
     known = state.select(key).withColumn("__stored", F.lit(True))
     marked = carried.join(known, key, "left")
     exists = F.when(F.col("__before").isNull(), F.coalesce("__stored", F.lit(False))).otherwise(F.col("__before") != DELETE)
+    unknown = kind.isNull() | ~kind.isin(KINDS)
+    no_id = F.col(key).isNull() & (kind != INDEX)
     missing = kind.isin(UPDATE, DELETE) & ~exists
-    status = F.when(missing, NOT_FOUND).when(kind.isin(INDEX, UPSERT) & ~exists, CREATED).otherwise(OK)
-    result = F.when(missing & (kind == UPDATE), "document_missing").when(missing, "not_found") \
+    status = F.when(unknown | no_id, BAD).when(missing, NOT_FOUND).when(kind.isin(INDEX, UPSERT) & ~exists, CREATED).otherwise(OK)
+    result = F.when(unknown, "unknown operation").when(no_id, "missing id") \
+        .when(missing & (kind == UPDATE), "document_missing").when(missing, "not_found") \
         .when(status == CREATED, "created").when(kind == DELETE, "deleted").otherwise("updated")
     return marked.select(*changes.columns, status.alias("status"), result.alias("result"))
 
@@ -112,7 +115,8 @@ def apply_results(state: DataFrame, results: DataFrame, key: str, op: str, order
     delete touch every column, update and upsert only the ones they give. Failed
     changes touch nothing. All of it is one partially aggregated group-by.
     """
-    valid = results.filter(F.col("status") < 300)
+    done = results.filter(F.col("status") < 300)
+    valid = done.filter(F.col(key).isNotNull())
     kind = F.lower(F.col(op))
     columns = [c for c in _value_columns(state, key) if c in results.columns]
     moment = _order(order_by)
@@ -129,7 +133,14 @@ def apply_results(state: DataFrame, results: DataFrame, key: str, op: str, order
             return F.when(F.col(f"__{column}").isNotNull(), F.col(f"__{column}.v")).otherwise(F.col(f"s.{column}")).alias(column)
         return F.when(F.col("__reset").isNull(), F.col(f"s.{column}")).alias(column)
 
-    return kept.select(*[F.col(key) if c == key else final(c) for c in state.columns])
+    documents = kept.select(*[F.col(key) if c == key else final(c) for c in state.columns])
+    id_type = dict(state.dtypes)[key]
+    if id_type not in NEW_IDS:
+        return documents
+    unnamed = done.filter(F.col(key).isNull())
+    fresh = [NEW_IDS[id_type]().alias(c) if c == key else F.col(c) if c in columns else F.lit(None).cast(dict(state.dtypes)[c]).alias(c)
+             for c in state.columns]
+    return documents.unionByName(unnamed.select(*fresh))
 
 
 def validate_changes(df: DataFrame, op: str, key: str, index: str) -> DataFrame:

@@ -88,6 +88,16 @@ def lookup_const(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select(*kept, value.alias("__c")).select(*kept, *[F.col(f"__c.`{c}`").alias(c) for c in one_row.columns])
 
 
+def lookup_const_list(df: DataFrame, statement: DataFrame, max_rows: int = 10_000, name: str = "result") -> DataFrame:
+    """Add all rows of a statement without parameters, as the same list for every
+    row. The list is one scalar subquery; a statement with more than ``max_rows``
+    rows is refused, because then the answer belongs in a table of its own."""
+    listed = statement.limit(max_rows + 1).agg(F.collect_list(F.struct(*statement.columns)).alias("rows"))
+    checked = listed.select(F.when(F.size("rows") <= max_rows, F.col("rows")).otherwise(
+        F.raise_error(F.lit(f"the statement has more than {max_rows} rows"))).alias("rows"))
+    return df.withColumn(name, checked.scalar())
+
+
 def lookup_groups(df: DataFrame, lists: Sequence[str], name: str = "result") -> DataFrame:
     """Several list columns as one list of lists, for statements with more than one result set."""
     as_text = [F.transform(F.col(c), lambda row: F.to_json(row)) for c in lists]

@@ -9,38 +9,57 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def slice_bounds(df: DataFrame, order: str, slices: int) -> list:
-    """At most ``slices - 1`` values that cut ``order`` into even slices. One pass
-    over one column; the answer is a short list whatever the table's size."""
-    shares = ", ".join(f"{i / slices:.6f}" for i in range(1, slices))
-    numeric = isinstance(df.schema[order].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-    if slices < 2 or not numeric:
-        return []
-    bounds = df.select(F.expr(f"approx_percentile(`{order}`, array({shares}), 10000)")).first()[0]
-    return sorted(set(bounds or []))
-
-
-def slice_of(column: Column, bounds: list) -> Column:
-    """Number of the slice a value falls in; equal values share a slice."""
-    chain = None
-    for number, bound in enumerate(bounds):
-        chain = F.when(column < F.lit(bound), number) if chain is None else chain.when(column < F.lit(bound), number)
-    return F.lit(0) if chain is None else F.when(column.isNull(), 0).otherwise(chain.otherwise(len(bounds)))
-
-
-def carry_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, slices: int = 32) -> DataFrame:
+COARSE = 64  # percentile cuts; each is divided further into even widths
+
+
+def position(df: DataFrame, column: str) -> Column | None:
+    """The order column as a number, None when it is not a number or a time."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.col(column).cast("double") if isinstance(kind, T.NumericType) else None
+
+
+def slice_number(df: DataFrame, order: str, slices: int | None = None) -> Column:
+    """Cut the order into about ``slices`` ranges with similar row counts and give
+    the number of the range a row falls in; equal values share a range.
+
+    One pass over one column finds the percentile cuts, a short list whatever the
+    table's size. The default follows ``spark.sql.shuffle.partitions``, which the
+    cluster sizes to its data."""
+    at = position(df, order)
+    slices = slices or max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    coarse = min(COARSE, slices)
+    shares = ", ".join(f"{i / coarse:.6f}" for i in range(coarse + 1))
+    cuts = None
+    if at is not None and slices > 1:
+        cuts = df.select(at.alias("at")).select(F.expr(f"approx_percentile(at, array({shares}), 10000)")).first()[0]
+    bounds = sorted(set(cuts or []))
+    if len(bounds) < 2:
+        return F.lit(0)
+    fine = -(-slices // (len(bounds) - 1))
+    widths = list(zip(bounds, bounds[1:]))
+    chain = F.when(at.isNull(), F.lit(0).cast("bigint"))
+    for number, (low, high) in enumerate(widths):
+        share = F.least(F.greatest((at - low) / (high - low), F.lit(0.0)), F.lit(1.0 - 1e-9))
+        inside = F.floor(share * fine) + number * fine
+        chain = chain.when(at < high, inside) if number < len(widths) - 1 else chain.otherwise(inside)
+    return chain
+
+
+def carry_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str,
+               slices: int | None = None) -> DataFrame:
     """Add the last non-null ``value`` among the earlier rows of the same key.
 
     The order is cut into slices. Inside a slice a window gives the answer; what
     a slice inherits is computed from one summary row per (key, slice). A hot key
     is therefore spread over all slices instead of landing in one task.
     """
-    bounds = slice_bounds(df, order_by[0], slices)
-    cut = df.withColumns({"__slice": slice_of(F.col(order_by[0]), bounds), "__value": value})
+    cut = df.withColumns({"__slice": slice_number(df, order_by[0], slices), "__value": value})
     inside = Window.partitionBy(*keys, "__slice").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     local = cut.withColumn("__local", F.last("__value", ignorenulls=True).over(inside))
-    if not bounds:
-        return local.withColumn(name, F.col("__local")).drop("__slice", "__value", "__local")
     moment = F.when(F.col("__value").isNotNull(), F.struct(*order_by))
     ends = cut.groupBy(*keys, "__slice").agg(F.max_by("__value", moment).alias("__last"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -32,7 +32,7 @@ TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 def field(name: str, data_type: T.DataType | str, kind: str | None = None, fmt: str | None = None) -> T.StructField:
     """A target field; ``kind`` marks char and time texts, ``fmt`` is a date pattern."""
-    parsed = T._parse_datatype_string(data_type) if isinstance(data_type, str) else data_type
+    parsed = T.DataType.fromDDL(data_type) if isinstance(data_type, str) else data_type
     return T.StructField(name, parsed, True, {k: v for k, v in (("kind", kind), ("format", fmt)) if v})
 
 

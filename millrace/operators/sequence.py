@@ -11,7 +11,7 @@ import re
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.context import RunContext
@@ -80,21 +80,23 @@ def _dates(spark: SparkSession, config: SequenceConfig, stored: str | None, cont
         span = (last.year - first.year) * 12 + last.month - first.month
         room = config.batch if months == 0 else max(span // months, 0) if span >= 0 else 0
     count = min(room, config.batch if stored else config.batch - 1)
-    n = spark.range(0, count + 1).withColumn("n", F.col("id").cast("int"))
     start = F.lit(first)
-    if unit == "D":
-        values = n.withColumn("v", F.date_add(start, F.col("n") * amount))
-    else:
+    month = F.trunc(start, "month")
+
+    def date_at(n: Column) -> Column:
+        if unit == "D":
+            return F.date_add(start, n * amount)
         # each step starts from the value before it, so a day lost to a short month
         # stays lost: the day is the shortest month visited so far
-        month = F.trunc(start, "month")
-        lengths = F.transform(F.sequence(F.lit(0), F.col("n")),
-                              lambda i: F.dayofmonth(F.last_day(F.add_months(month, i * months))))
-        day = F.least(F.lit(first.day), F.array_min(lengths))
-        values = n.withColumn("v", F.date_add(F.add_months(month, F.col("n") * months), day - 1))
-    kept = values.filter((F.col("v") <= F.lit(last)) | (F.col("n") == 0))
-    shown = F.date_format("v", pattern or STD_PATTERN)
-    return kept.select("n", shown.alias("value"))
+        lengths = F.transform(F.sequence(F.lit(0), n), lambda i: F.dayofmonth(F.last_day(F.add_months(month, i * months))))
+        return F.date_add(F.add_months(month, n * months), F.least(F.lit(first.day), F.array_min(lengths)) - 1)
+
+    def shown(n: Column) -> Column:
+        return F.date_format(date_at(n), pattern or STD_PATTERN)
+
+    rows = spark.range(0, count + 1).select(F.col("id").cast("int").alias("n"))
+    return rows.filter((date_at(F.col("n")) <= F.lit(last)) | (F.col("n") == 0)).select(
+        "n", shown(F.col("n")).alias("value"), F.when(F.col("n") > 0, shown(F.greatest(F.col("n") - 1, F.lit(0)))).alias("prevValue"))
 
 
 def _numbers(spark: SparkSession, config: SequenceConfig, stored: str | None) -> DataFrame:
@@ -103,8 +105,9 @@ def _numbers(spark: SparkSession, config: SequenceConfig, stored: str | None) ->
     end = _read_number(config.max)
     room = -(-(end - first) // step) - 1 if step > 0 else (config.batch if first + step < end else 0)
     count = min(max(room, 0), config.batch if stored else config.batch - 1)
-    return spark.range(0, count + 1).select(F.col("id").cast("int").alias("n"), (F.lit(first).cast("bigint") + F.col("id") * step)
-                                            .cast("string").alias("value"))
+    value = F.lit(first).cast("bigint") + F.col("id") * step
+    return spark.range(0, count + 1).select(F.col("id").cast("int").alias("n"), value.cast("string").alias("value"),
+                                            F.when(F.col("id") > 0, (value - step).cast("string")).alias("prevValue"))
 
 
 def generate_sequence(spark: SparkSession, config: SequenceConfig, state: DataFrame | None = None,
@@ -121,13 +124,11 @@ def generate_sequence(spark: SparkSession, config: SequenceConfig, state: DataFr
     stored = stored_value(state, config.code)
     kind = STRATEGIES[config.strategy]
     values = _dates(spark, config, stored, context) if kind == DATE else _numbers(spark, config, stored)
-    previous = values.select((F.col("n") + 1).alias("n"), F.col("value").alias("prevValue"))
-    paired = values.join(previous, "n", "left")
     if stored:
-        paired = paired.filter("n > 0")
+        values = values.filter("n > 0")
     texts = {"code": config.code, "strategy": config.strategy, "step": config.step, "format": config.format,
              "initValue": config.init, "maxValue": config.max}
-    return paired.select(
+    return values.select(
         *[F.lit(v).cast("string").alias(k) for k, v in texts.items()], "value", "prevValue",
         context.now_column().alias("lastUpdateTime"), "n").select(*COLUMNS, "n")
 

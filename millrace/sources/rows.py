@@ -46,8 +46,9 @@ def read_rows(spark: SparkSession, path: str | Sequence[str], format: str = "jso
     if format == "json":
         reader = reader.option("multiLine", whole_file).options(allowUnquotedFieldNames="true")
         if schema is None and first_row_schema:
-            first = spark.read.text(path).filter(F.trim("value") != "").limit(1)
-            schema = spark.read.json(first.select("value").rdd.map(lambda r: r[0])).schema
+            first = spark.read.text(path).filter(F.trim("value") != "").first()
+            shape = spark.range(1).select(F.schema_of_json(F.lit(first["value"] if first else "{}"))).first()[0]
+            schema = T.DataType.fromDDL(shape)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path if isinstance(path, str) else list(path))

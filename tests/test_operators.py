@@ -380,7 +380,7 @@ def test_conform_is_idempotent_and_checked(spark):
 
 def test_narrowing(spark):
     def cast(value, source, target):
-        return spark.range(1).select(schema.convert(F.lit(value).cast(source), T._parse_datatype_string(source), T._parse_datatype_string(target))).first()[0]
+        return spark.range(1).select(schema.convert(F.lit(value).cast(source), T.DataType.fromDDL(source), T._parse_datatype_string(target))).first()[0]
 
     assert cast(300, "int", "tinyint") == 44 and cast(2 ** 31, "bigint", "int") == -(2 ** 31) and cast(-1, "bigint", "smallint") == -1
     assert cast(1e20, "double", "int") == 2 ** 31 - 1 and cast(-1.9, "double", "int") == -1 and cast("1e2", "string", "int") is None
@@ -410,3 +410,35 @@ def test_rename(spark):
     assert schema.rename_columns(df, "underscore").columns == ["order_key", "ship_date"]
     with pytest.raises(ValueError):
         schema.rename_columns(spark.createDataFrame([(1, 2)], "a_b int, aB int"), "camel")
+
+
+# Cases around ids, kinds and constants
+
+def test_changes_without_id_or_kind(spark):
+    state = spark.createDataFrame([("a", 1)], "id string, v int")
+    changes = spark.createDataFrame([(None, "index", 5, 1), (None, "update", 6, 2), ("a", "merge", 7, 3), ("a", None, 8, 4), ("a", "UPDATE", 9, 5)],
+                                    "id string, op string, v int, seq int")
+    new_state, results = keyed.apply_changes(state, changes, "id", "op", ["seq"])
+    assert [(r.status, r.result) for r in results.orderBy("seq").collect()] == [
+        (201, "created"), (400, "missing id"), (400, "unknown operation"), (400, "unknown operation"), (200, "updated")]
+    docs = new_state.collect()
+    assert sorted(r.v for r in docs) == [5, 9] and all(r.id for r in docs)
+
+
+def test_constant_lists_are_checked(tracks, edits):
+    done = lookup.lookup_const_list(tracks, edits.select("id", "edits"))
+    assert {len(r.result) for r in done.collect()} == {3}
+    with pytest.raises(Exception, match="more than 2 rows"):
+        lookup.lookup_const_list(tracks, edits, max_rows=2).collect()
+
+
+@pytest.mark.parametrize("kind", ["int", "date", "timestamp", "string"])
+def test_slices_keep_the_order(spark, kind):
+    value = {"int": F.col("id").cast("int"), "date": F.date_add(F.lit("2018-01-01").cast("date"), F.col("id").cast("int")),
+             "timestamp": F.timestamp_seconds(F.col("id") * 977), "string": F.lpad(F.col("id").cast("string"), 5, "0")}[kind]
+    df = spark.range(5000).select(value.alias("o"), F.when(F.col("id") % 10 == 0, F.col("id")).alias("v"), F.lit(1).alias("k"), "id")
+    numbered = df.withColumn("s", ordered.slice_number(df, "o", 300))
+    parts = [r.s for r in numbered.orderBy("id").select("s").collect()]
+    assert parts == sorted(parts) and (len(set(parts)) > 200 or kind == "string")
+    got = {r.id: r.b for r in ordered.carry_last(df, ["k"], ["o"], F.col("v"), "b").collect()}
+    assert got == {i: None if i == 0 else (i - 1) // 10 * 10 for i in range(5000)}
