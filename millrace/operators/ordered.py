@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-COARSE = 64  # percentile cuts; each is divided further into even widths
+COARSE = 32  # percentile cuts; each is divided further into even widths
 
 
 def position(df: DataFrame, column: str) -> Column | None:
@@ -22,8 +22,8 @@ def position(df: DataFrame, column: str) -> Column | None:
     return F.col(column).cast("double") if isinstance(kind, T.NumericType) else None
 
 
-def slice_number(df: DataFrame, order: str, slices: int | None = None) -> Column:
-    """Cut the order into about ``slices`` ranges with similar row counts and give
+def with_slice(df: DataFrame, order: str, name: str, slices: int | None = None) -> DataFrame:
+    """Cut the order into about ``slices`` ranges with similar row counts and add
     the number of the range a row falls in; equal values share a range.
 
     One pass over one column finds the percentile cuts, a short list whatever the
@@ -38,15 +38,17 @@ def slice_number(df: DataFrame, order: str, slices: int | None = None) -> Column
         cuts = df.select(at.alias("at")).select(F.expr(f"approx_percentile(at, array({shares}), 10000)")).first()[0]
     bounds = sorted(set(cuts or []))
     if len(bounds) < 2:
-        return F.lit(0)
+        return df.withColumn(name, F.lit(0).cast("bigint"))
     fine = -(-slices // (len(bounds) - 1))
-    widths = list(zip(bounds, bounds[1:]))
-    chain = F.when(at.isNull(), F.lit(0).cast("bigint"))
-    for number, (low, high) in enumerate(widths):
-        share = F.least(F.greatest((at - low) / (high - low), F.lit(0.0)), F.lit(1.0 - 1e-9))
-        inside = F.floor(share * fine) + number * fine
-        chain = chain.when(at < high, inside) if number < len(widths) - 1 else chain.otherwise(inside)
-    return chain
+    chain = F.when(F.col("__at").isNull(), 0)
+    for i, high in enumerate(bounds[1:-1]):
+        chain = chain.when(F.col("__at") < high, i)
+    cut = df.withColumn("__at", at).withColumn("__cut", chain.otherwise(len(bounds) - 2))
+    low = F.get(F.array(*[F.lit(b) for b in bounds[:-1]]), F.col("__cut"))
+    high = F.get(F.array(*[F.lit(b) for b in bounds[1:]]), F.col("__cut"))
+    share = F.least(F.greatest((F.col("__at") - low) / (high - low), F.lit(0.0)), F.lit(1.0 - 1e-9))
+    inside = F.coalesce(F.floor(share * fine), F.lit(0))
+    return cut.withColumn(name, F.col("__cut") * fine + inside).drop("__at", "__cut")
 
 
 def carry_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str,
@@ -57,7 +59,7 @@ def carry_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], valu
     a slice inherits is computed from one summary row per (key, slice). A hot key
     is therefore spread over all slices instead of landing in one task.
     """
-    cut = df.withColumns({"__slice": slice_number(df, order_by[0], slices), "__value": value})
+    cut = with_slice(df, order_by[0], "__slice", slices).withColumn("__value", value)
     inside = Window.partitionBy(*keys, "__slice").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     local = cut.withColumn("__local", F.last("__value", ignorenulls=True).over(inside))
     moment = F.when(F.col("__value").isNotNull(), F.struct(*order_by))

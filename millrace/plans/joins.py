@@ -70,11 +70,12 @@ def lookup_param_fallback(t):
 
 
 @plan("lookup_sql_one", f"""{LATEST_SQL}
-  SELECT c_custkey, o_orderdate, o_orderkey, o_totalprice FROM c LEFT JOIN o ON ref = o_custkey AND rn = 1""")
+  SELECT c_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey, o_totalprice FROM c LEFT JOIN o ON ref = o_custkey AND rn = 1""")
 def lookup_sql_one(t):
-    return lookup.lookup_sql(shifted(t).select("c_custkey", "ref"),
+    found = lookup.lookup_sql(shifted(t).select("c_custkey", "ref"),
                              "SELECT o_orderdate, o_orderkey, o_totalprice FROM orders WHERE o_custkey = :ref", mode=lookup.ONE,
-                             order_by=["o_orderdate desc", "o_orderkey desc"], views={"orders": t.orders}).drop("ref")
+                             order_by=["o_orderdate desc", "o_orderkey desc"], views={"orders": t.orders})
+    return found.select("c_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderkey", "o_totalprice")
 
 
 @plan("dict_lookup", """

@@ -29,7 +29,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(round(value, 6))
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, bool) or value is None or isinstance(value, (int, str)):
         return value
     return str(value)

@@ -437,7 +437,7 @@ def test_slices_keep_the_order(spark, kind):
     value = {"int": F.col("id").cast("int"), "date": F.date_add(F.lit("2018-01-01").cast("date"), F.col("id").cast("int")),
              "timestamp": F.timestamp_seconds(F.col("id") * 977), "string": F.lpad(F.col("id").cast("string"), 5, "0")}[kind]
     df = spark.range(5000).select(value.alias("o"), F.when(F.col("id") % 10 == 0, F.col("id")).alias("v"), F.lit(1).alias("k"), "id")
-    numbered = df.withColumn("s", ordered.slice_number(df, "o", 300))
+    numbered = ordered.with_slice(df, "o", "s", 300)
     parts = [r.s for r in numbered.orderBy("id").select("s").collect()]
     assert parts == sorted(parts) and (len(set(parts)) > 200 or kind == "string")
     got = {r.id: r.b for r in ordered.carry_last(df, ["k"], ["o"], F.col("v"), "b").collect()}
