@@ -28,8 +28,25 @@ def edges_from(df: DataFrame, src: str | Column, dst: str | Column, kind: str, p
                      F.lit(kind).alias("type"), mapped.alias("props")).filter("src IS NOT NULL AND dst IS NOT NULL")
 
 
-def merge_nodes(nodes: DataFrame, new: DataFrame) -> DataFrame:
-    """Create nodes that do not exist, merge properties and labels into those that do."""
+def _one_per_id(new: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Repeated nodes folded into one: all their labels, and for each property its
+    last value (by ``order_by``, else the largest). Reduced per (id, property) first,
+    so a node that is named a million times never gathers."""
+    labels = new.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("labels"))).alias("labels"))
+    values = new.select("id", *order_by, F.explode("props").alias("name", "value"))
+    last = F.max_by("value", F.struct(*order_by)) if order_by else F.max("value")
+    props = values.groupBy("id", "name").agg(last.alias("value")).groupBy("id").agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("props"))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    return labels.join(props, "id", "left").select("id", "labels", F.coalesce("props", empty).alias("props"))
+
+
+def merge_nodes(nodes: DataFrame, new: DataFrame, unique: bool = False, order_by: Sequence[str] = ()) -> DataFrame:
+    """Create nodes that do not exist, merge properties and labels into those that do.
+    ``unique`` says that ``new`` names each node once; otherwise repeats are folded
+    first, the last value by ``order_by`` winning."""
+    if not unique:
+        new = _one_per_id(new, order_by)
     joined = nodes.alias("o").join(new.alias("n"), "id", "full")
     labels = F.array_union(F.coalesce("o.labels", F.array().cast("array<string>")), F.coalesce("n.labels", F.array().cast("array<string>")))
     old = F.map_filter("o.props", lambda k, _: ~F.coalesce(F.map_contains_key("n.props", k), F.lit(False)))

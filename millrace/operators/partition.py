@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.project import as_column
+from millrace.operators.project import as_column, safe_fields
 
 DEFAULT = "default"
 
 
 def partition_rows(df: DataFrame, expr: str | Column, name: str = "partition") -> DataFrame:
-    """Add the group of each row; a missing value belongs to ``default``."""
-    return df.withColumn(name, F.coalesce(as_column(expr).cast("string"), F.lit(DEFAULT)))
+    """Add the group of each row; a missing value (or, written ``?field``, a missing
+    field) belongs to ``default``."""
+    group = as_column(safe_fields(expr, df.columns, scoped=False))
+    return df.withColumn(name, F.coalesce(group.cast("string"), F.lit(DEFAULT)))
 
 
 def partition_counts(df: DataFrame, expr: str | Column, name: str = "partition") -> DataFrame:

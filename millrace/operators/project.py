@@ -26,6 +26,24 @@ def as_column(expr: str | Column) -> Column:
     return F.expr(expr) if isinstance(expr, str) else expr
 
 
+SAFE_FIELD = re.compile(r"\b(?:(input|output)\.)?\?(\w+)")
+
+
+def safe_fields(expr: str | Column, columns: Sequence[str], outputs: Sequence[str] = (), scoped: bool = True) -> str | Column:
+    """Null-safe access: ``input.?x`` (or plain ``?x``) reads a field that may not exist
+    and then gives null."""
+    if not isinstance(expr, str):
+        return expr
+
+    def known(found: re.Match) -> str:
+        scope, name = found.groups()
+        if name not in (outputs if scope == "output" else [*columns, *([] if scope else outputs)]):
+            return "NULL"
+        return f"{scope}.`{name}`" if scope and scoped else f"`{name}`"
+
+    return SAFE_FIELD.sub(known, expr)
+
+
 def attribute_map(context: RunContext, names: Sequence[str] = ()) -> Column:
     """Attributes of the run as one map column; ``names`` are file attributes
     (see ``with_attributes``) that the run's own values override."""
@@ -82,7 +100,7 @@ def script(
         work = work.withColumn("attributes", attribute_map(context))
     produced: list[str] = []
     for name, expr in [*outputs, *output_builder]:
-        work = work.withColumn(name, as_column(expr))
+        work = work.withColumn(name, as_column(safe_fields(expr, input_columns, produced)))
         if name not in produced:
             produced.append(name)
         work = work.withColumn("output", F.struct(*[F.col(f"`{c}`") for c in produced]))

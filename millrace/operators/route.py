@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from millrace.operators.project import as_column
+from millrace.operators.project import as_column, safe_fields
 
 UNMATCHED, FAILURE, ORIGINAL = "unmatched", "failure", "original"
 Routes = dict[str, "str | Column | None"]
@@ -17,6 +17,10 @@ def _predicates(routes: Routes) -> dict[str, Column]:
             if p is not None and not (isinstance(p, str) and not p.strip())}
 
 
+def _resolved(routes: Routes, df: DataFrame) -> Routes:
+    return {name: safe_fields(p, df.columns, scoped=False) for name, p in routes.items()}
+
+
 def matches(routes: Routes) -> Column:
     """Names of all matching routes; null counts as no match."""
     named = [F.when(p, F.lit(name)) for name, p in _predicates(routes).items()]
@@ -34,11 +38,12 @@ def error_reason(checks: Routes) -> Column:
 
 def route(df: DataFrame, routes: Routes, checks: Routes | None = None) -> DataFrame:
     """One row per (input row, matching route), in the column ``route``. One scan
-    serves all routes. With ``checks`` (``{reason: predicate}``) a row that breaks
+    serves all routes; a predicate may read fields that may not exist as ``?field``. With ``checks`` (``{reason: predicate}``) a row that breaks
     one goes to ``failure`` only, with the reason in ``errorMessage``."""
+    routes = _resolved(routes, df)
     if checks is None:
         return df.select(F.explode(matches(routes)).alias("route"), *df.columns)
-    marked = df.withColumn("errorMessage", error_reason(checks))
+    marked = df.withColumn("errorMessage", error_reason(_resolved(checks, df)))
     targets = F.when(F.col("errorMessage").isNotNull(), F.array(F.lit(FAILURE))).otherwise(matches(routes))
     return marked.select(F.explode(targets).alias("route"), *df.columns, "errorMessage")
 
@@ -46,7 +51,7 @@ def route(df: DataFrame, routes: Routes, checks: Routes | None = None) -> DataFr
 def route_counts(df: DataFrame, routes: Routes) -> DataFrame:
     """Rows per route. Counted in one pass without expanding the rows: each task
     sends a single row of partial counts."""
-    predicates = _predicates(routes)
+    predicates = _predicates(_resolved(routes, df))
     hits = {name: F.coalesce(p, F.lit(False)) for name, p in predicates.items()}
     none = F.lit(True)
     for hit in hits.values():

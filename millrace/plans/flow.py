@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators import errors, partition, project, route
 from millrace.plans.registry import CONTEXT, plan
+from millrace.session import shared_folder
 from millrace.sources import rows as row_io
 
 ROUTES = {"big": "value > 10", "errors": "event_type = 'error'", "even_k": "k % 2 = 0", "never": "  "}
@@ -160,7 +163,7 @@ def error_classify(t):
 
 
 @plan("failure_envelope", f"""{AMOUNTS}
-  SELECT 'op-1' AS "processorId", 'check' AS "processorName", '{{"event_id":' || event_id || ',"amount":"abc","busy":' || busy || '}}' AS input,
+  SELECT 'flow-1' AS "processorId", 'check' AS "processorName", '{{"event_id":' || event_id || ',"amount":"abc","busy":' || busy || '}}' AS input,
     'amount is not a number' AS "errorMessage", '2024-02-01T12:00:00' AS "atTime" FROM a WHERE amount = 'abc'""")
 def failure_envelope(t):
     _, failed, _ = errors.split_errors(errors.classify(amounts(t), AMOUNT_CHECKS))
@@ -224,3 +227,12 @@ def io_json_rows(t):
     documents = row_io.json_arrays(t.events.select("event_type", "event_id", "user_id"), "event_type", rows_per_document=500)
     items = row_io.parse_rows(F.col("document"), "array<struct<event_id:bigint,user_id:bigint>>")
     return documents.select("event_type", F.inline(items))
+
+
+@plan("io_json_multiroot", "SELECT event_type, event_id, user_id FROM events")
+def io_json_multiroot(t):
+    """Array documents written back to back into files, then read as files of several roots."""
+    path = f"{shared_folder(t.spark)}/roots-{uuid4().hex}"
+    documents = row_io.json_arrays(t.events.select("event_type", "event_id", "user_id"), rows_per_document=1000)
+    documents.select("document").write.option("maxRecordsPerFile", 4).text(path)
+    return row_io.read_rows(t.spark, path, schema="event_type string, event_id bigint, user_id bigint", multi_root=True)

@@ -14,7 +14,7 @@ Plan = Callable[["Tables"], DataFrame]
 
 # Fixed processing time, so that both engines stamp the same value
 NOW = datetime(2024, 2, 1, 12, 0, 0)
-CONTEXT = RunContext(now=NOW, op_id="op-1", op_name="check", attributes={"tenant": "acme", "min_total": "1000"})
+CONTEXT = RunContext(now=NOW, op_id="flow-1", op_name="check", attributes={"tenant": "acme", "min_total": "1000"})
 
 PLANS: dict[str, Plan] = {}
 ORACLES: dict[str, str] = {}

@@ -99,12 +99,12 @@ def seq_slices(t):
 # Request events: the payload is built from the event row, one of nine forms by event id
 
 PAYLOADS_SQL = r"""WITH q AS (SELECT event_id, user_id, event_type, value, ts, CASE event_id % 9
-      WHEN 0 THEN 'query detail' || event_type || ' ($id: Long) {\n  article(id: $id) {\n    id\n  }\n  comments(limit: 5) { count }\n}'
-      WHEN 1 THEN '{\n  ' || event_type || 'Page(limit: ' || user_id || ', where: {and: [{uid: ' || event_id || '}]}, order: [\"uid\", \"reverse:job\"]) { rows { id } } # done\n}'
+      WHEN 0 THEN 'query detail' || event_type || ' ($id: Long) {\n  shop(id: $id) {\n    id\n  }\n  visits(first: 5) { total }\n}'
+      WHEN 1 THEN '{\n  ' || event_type || 'List(first: ' || user_id || ', filter: {any: [{badge: ' || event_id || '}]}, sort: [\"badge\", \"down:age\"]) { items { id } } # done\n}'
       WHEN 2 THEN 'mutation { add' || event_type || '(id: $id, title: \"t, ' || user_id || '\", on: true, gap: null, kind: HOME, price: -1.5) { id } }'
-      WHEN 3 THEN '{ one { id } two(limit: 1) { id } }'
+      WHEN 3 THEN '{ one { id } two(first: 1) { id } }'
       WHEN 4 THEN '   '
-      WHEN 5 THEN '{ page(where: {mobile: 的}) { id } }'
+      WHEN 5 THEN '{ shops(filter: {phone: 话}) { id } }'
       WHEN 6 THEN 'fragment F on T { id }'
       WHEN 7 THEN 'subscription { alias: ' || event_type || ' @include(if: $on) { id ...F } } fragment F on T { name }'
       ELSE '{ broken { id }' END AS payload,
@@ -118,10 +118,10 @@ def requests(t):
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
     forms = [
-        text("query detail", kind, r" ($id: Long) {\n  article(id: $id) {\n    id\n  }\n  comments(limit: 5) { count }\n}"),
-        text(r"{\n  ", kind, "Page(limit: ", user, ", where: {and: [{uid: ", event, r'}]}, order: [\"uid\", \"reverse:job\"]) { rows { id } } # done\n}'),
+        text("query detail", kind, r" ($id: Long) {\n  shop(id: $id) {\n    id\n  }\n  visits(first: 5) { total }\n}"),
+        text(r"{\n  ", kind, "List(first: ", user, ", filter: {any: [{badge: ", event, r'}]}, sort: [\"badge\", \"down:age\"]) { items { id } } # done\n}'),
         text("mutation { add", kind, r'(id: $id, title: \"t, ', user, r'\", on: true, gap: null, kind: HOME, price: -1.5) { id } }'),
-        text("{ one { id } two(limit: 1) { id } }"), text("   "), text("{ page(where: {mobile: 的}) { id } }"), text("fragment F on T { id }"),
+        text("{ one { id } two(first: 1) { id } }"), text("   "), text("{ shops(filter: {phone: 话}) { id } }"), text("fragment F on T { id }"),
         text("subscription { alias: ", kind, " @include(if: $on) { id ...F } } fragment F on T { name }"), text("{ broken { id }")]
     payload = forms[-1]
     for i, form in enumerate(forms[:-1]):
@@ -150,7 +150,7 @@ def gql_variables(t):
 
 
 @plan("gql_flat_args", f"""{PAYLOADS_SQL}
-  SELECT event_id, CASE event_id % 9 WHEN 1 THEN '{{"limit":"' || user_id || '","where":{{"and":[{{"uid":"' || event_id || '"}}]}},"order":["uid","reverse:job"]}}'
+  SELECT event_id, CASE event_id % 9 WHEN 1 THEN '{{"first":"' || user_id || '","filter":{{"any":[{{"badge":"' || event_id || '"}}]}},"sort":["badge","down:age"]}}'
     WHEN 2 THEN '{{"id":"v' || user_id || '","title":"t, ' || user_id || '","on":"true","gap":"","kind":"HOME","price":"-1.5"}}' WHEN 0 THEN vars END AS params FROM q""")
 def gql_flat_args(t):
     return parsed(t).select("event_id", "params")
