@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.strings import create_uuid
 from millrace.operators.lookup import first_per_key
@@ -85,12 +86,13 @@ def apply_delete(state: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 def change_results(state: DataFrame, changes: DataFrame, key: str, op: str, order_by: Sequence[str]) -> DataFrame:
     """Each change with the item ``status`` and ``result`` an ordered application
     gives. Whether a document exists at that moment depends on the last earlier
-    index, upsert or delete of its id, or on the state when there is none."""
+    index, upsert or delete of its id, or on the state when there is none (its rows,
+    or a flag ``__stored`` on them)."""
     kind = F.lower(F.col(op))
     presence = F.when(F.col(key).isNotNull() & kind.isin(INDEX, UPSERT, DELETE), kind)
     carried = carry_last(changes, [key], order_by, presence, "__before")
-    known = state.select(key).withColumn("__stored", F.lit(True))
-    marked = carried.join(known, key, "left")
+    stored = F.lit(True) if "__stored" not in state.columns else F.col("__stored")
+    marked = carried.join(state.select(key, stored.alias("__stored")), key, "left")
     exists = F.when(F.col("__before").isNull(), F.coalesce("__stored", F.lit(False))).otherwise(F.col("__before") != DELETE)
     unknown = kind.isNull() | ~kind.isin(KINDS)
     no_id = F.col(key).isNull() & (kind != INDEX)
@@ -109,38 +111,53 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str, op: str, order
 
 
 def apply_results(state: DataFrame, results: DataFrame, key: str, op: str, order_by: Sequence[str]) -> DataFrame:
-    """The new state, from changes whose status is known (see ``change_results``).
+    """The new state, from changes whose status is known (see ``change_results``)."""
+    return merge_folded(state, fold_changes(results, state.schema, key, op, order_by), key)
 
-    A document's column ends with the last change that touches it: index and
-    delete touch every column, update and upsert only the ones they give. Failed
-    changes touch nothing. All of it is one partially aggregated group-by.
-    """
+
+def fold_changes(results: DataFrame, schema: T.StructType, key: str, op: str, order_by: Sequence[str]) -> DataFrame:
+    """What the changes of each id amount to, one row per id: the last change that
+    decides whether the document exists, and for every column the value it ends
+    with, when it was touched. Index and delete touch every column, update and
+    upsert only the ones they give; failed changes touch nothing. One partially
+    aggregated group-by, whatever the number of changes of an id."""
     done = results.filter(F.col("status") < 300)
-    valid = done.filter(F.col(key).isNotNull())
-    kind = F.lower(F.col(op))
-    columns = [c for c in _value_columns(state, key) if c in results.columns]
-    moment = _order(order_by)
+    if schema[key].dataType.simpleString() in NEW_IDS:
+        done = done.withColumn(key, F.coalesce(F.col(key), NEW_IDS[schema[key].dataType.simpleString()]()))
+    kind, moment = F.lower(F.col(op)), _order(order_by)
     whole = kind.isin(INDEX, DELETE)
-    touched = valid.groupBy(key).agg(
-        F.max_by(kind, F.when(kind != UPDATE, moment)).alias("__last"),
-        *[F.max_by(F.struct(F.when(kind != DELETE, F.col(c)).alias("v")), F.when(whole | F.col(c).isNotNull(), moment)).alias(f"__{c}") for c in columns],
-        F.max(F.when(whole, F.lit(True))).alias("__reset"))
-    joined = state.alias("s").join(touched.alias("t"), key, "full")
-    kept = joined.filter(F.col("__last").isNull() | (F.col("__last") != DELETE))
+    ends = []
+    for field in schema.fields:
+        if field.name != key:
+            given = F.col(field.name) if field.name in results.columns else F.lit(None).cast(field.dataType)
+            value = F.struct(F.when(kind != DELETE, given).cast(field.dataType).alias("v"))
+            ends.append(F.max_by(value, F.when(whole | given.isNotNull(), moment)).alias(f"__{field.name}"))
+    return done.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(kind, F.when(kind != UPDATE, moment)).alias("__last"), *ends)
+
 
-    def final(column: str) -> Column:
-        if column in columns:
-            return F.when(F.col(f"__{column}").isNotNull(), F.col(f"__{column}.v")).otherwise(F.col(f"s.{column}")).alias(column)
-        return F.when(F.col("__reset").isNull(), F.col(f"s.{column}")).alias(column)
-
-    documents = kept.select(*[F.col(key) if c == key else final(c) for c in state.columns])
-    id_type = dict(state.dtypes)[key]
-    if id_type not in NEW_IDS:
-        return documents
-    unnamed = done.filter(F.col(key).isNull())
-    fresh = [NEW_IDS[id_type]().alias(c) if c == key else F.col(c) if c in columns else F.lit(None).cast(dict(state.dtypes)[c]).alias(c)
-             for c in state.columns]
-    return documents.unionByName(unnamed.select(*fresh))
+def fold_again(folded: DataFrame, key: str, order: str) -> DataFrame:
+    """Several folded batches as one; a later batch's touch wins."""
+    parts = [c for c in folded.columns if c not in (key, order)]
+    return folded.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in parts])
+
+
+def merge_folded(state: DataFrame, folded: DataFrame, key: str) -> DataFrame:
+    """The state with folded changes applied: one full join on the id."""
+    joined = state.alias("s").join(folded.alias("f"), key, "full")
+    kept = joined.filter(F.col("__last").isNull() | (F.col("__last") != DELETE))
+    return kept.select(*[F.col(key) if c == key else F.when(F.col(f"__{c}").isNotNull(), F.col(f"__{c}.v")).otherwise(F.col(f"s.{c}")).alias(c)
+                         for c in state.columns])
+
+
+def known_ids(state: DataFrame, folded: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Which of ``ids`` exist, in ``__stored``. The state and the folded changes are
+    reduced to these ids first; while the ids are few Spark broadcasts them and the
+    state is only scanned, one column wide."""
+    asked = ids.select(key).filter(F.col(key).isNotNull()).distinct()
+    old = state.select(key).join(asked, key, "left_semi").withColumn("__old", F.lit(True))
+    new = folded.select(key, "__last").join(asked, key, "left_semi")
+    stored = F.when(F.col("__last").isNull(), F.coalesce("__old", F.lit(False))).otherwise(F.col("__last") != DELETE)
+    return asked.join(old, key, "left").join(new, key, "left").select(key, stored.alias("__stored"))
 
 
 def validate_changes(df: DataFrame, op: str, key: str, index: str) -> DataFrame:

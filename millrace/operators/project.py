@@ -147,27 +147,28 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
                         T.StructField("failedInput", T.StringType()), T.StructField("errorMessage", T.StringType())])
     names = [f.name for f in target.fields]
 
-    def attempt(rows: pd.DataFrame, source: pd.Series, done: list[pd.DataFrame], failed: list[tuple[str, str]]) -> None:
+    def attempt(rows: pd.DataFrame, done: list[pd.DataFrame], failed: list[tuple[str, str]]) -> None:
         try:
             done.append(fn(rows)[names])
         except Exception as error:
             if len(rows) == 1:
-                failed.append((source.iloc[0], str(error) or type(error).__name__))
+                source = rows.to_json(orient="records", date_format="iso", force_ascii=False, default_handler=str)[1:-1]
+                failed.append((source, str(error) or type(error).__name__))
                 return
             half = len(rows) // 2
-            attempt(rows.iloc[:half], source.iloc[:half], done, failed)
-            attempt(rows.iloc[half:], source.iloc[half:], done, failed)
+            attempt(rows.iloc[:half], done, failed)
+            attempt(rows.iloc[half:], done, failed)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             done: list[pd.DataFrame] = []
             failed: list[tuple[str, str]] = []
             if len(batch):
-                attempt(batch.drop(columns="__row"), batch["__row"], done, failed)
+                attempt(batch, done, failed)
             if done:
                 yield pd.concat(done, ignore_index=True).assign(failedInput=None, errorMessage=None)
             if failed:
                 rest = pd.DataFrame(failed, columns=["failedInput", "errorMessage"])
                 yield rest.reindex(columns=[*names, "failedInput", "errorMessage"]).astype(object).where(lambda x: x.notna(), None)
 
-    return df.withColumn("__row", F.to_json(F.struct("*"))).mapInPandas(run, out)
+    return df.mapInPandas(run, out)

@@ -22,8 +22,10 @@ def raw(t):
         F.date_format("ts", " yyyy-MM-dd HH:mm:ss ").alias("ts_text"), "event_type")
 
 
-TARGET = T.StructType([schema.field("user_text", "int"), schema.field("value_text", "double"), schema.field("flag_text", "boolean"),
-                       schema.field("ts_text", "timestamp"), schema.field("event_type", "string", schema.CHAR), schema.field("absent", "bigint")])
+TARGET = T.StructType([
+    schema.field("event_id", T.LongType()), schema.field("user_text", T.IntegerType()), schema.field("value_text", T.DoubleType()),
+    schema.field("flag_text", T.BooleanType()), schema.field("ts_text", T.TimestampType()),
+    schema.field("event_type", T.StringType(), schema.CHAR), schema.field("absent", T.LongType())])
 
 
 @plan("conform", f"""{RAW}
@@ -31,8 +33,7 @@ TARGET = T.StructType([schema.field("user_text", "int"), schema.field("value_tex
     trim(ts_text) AS ts_text, left(event_type, 1) AS event_type, CAST(NULL AS BIGINT) AS absent,
     CASE WHEN event_id % 5 = 0 THEN 'cannot convert field user_text' WHEN flag_text = 'yes' THEN 'cannot convert field flag_text' END AS "errorMessage" FROM raw""")
 def conform(t):
-    target = T.StructType([schema.field("event_id", "bigint"), *TARGET.fields])
-    return schema.conform(raw(t), target, checked=True).withColumn("ts_text", F.date_format("ts_text", "yyyy-MM-dd HH:mm:ss"))
+    return schema.conform(raw(t), TARGET, checked=True).withColumn("ts_text", F.date_format("ts_text", "yyyy-MM-dd HH:mm:ss"))
 
 
 @plan("conform_nested", """

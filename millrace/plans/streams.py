@@ -72,4 +72,4 @@ def stream_keyed(t):
 
     spark, out = streamed(t, lambda df: changes(Batch(df)),
                           lambda path: runner.keyed_sink(path, "id bigint, kind string, score double", "id", "op", ["event_id"]))
-    return runner.latest_version(spark, out)
+    return runner.documents(spark, out, "id")

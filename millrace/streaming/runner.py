@@ -12,9 +12,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.keyed import apply_results, change_results
+from millrace.operators import keyed
 from millrace.session import shared_folder
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -34,26 +35,56 @@ def folder_sink(path: str, split_by: str | None = "route", format: str = "parque
 
 
 def keyed_sink(path: str, schema: str, key: str, op: str, order_by: Sequence[str]) -> Sink:
-    """Documents kept as one table version per batch: version n is version n-1 with
-    the batch's changes applied. Replaying batch n rewrites version n from the same
-    version n-1. The items of a batch and their status are written next to it
-    first, and the new version is computed from that table."""
+    """Documents as a base table and one small table of folded changes per batch.
+
+    A batch costs what its own changes cost: the status of each change is looked up
+    and written under ``items``, then one row per changed id goes to ``deltas``.
+    The base is rewritten by ``compact`` only. Both tables of a batch are written
+    whole, from earlier batches alone, so a replay gives the same files."""
+    target = T.StructType.fromDDL(schema)
+
     def write(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
-        state = spark.read.parquet(f"{path}/version={batch - 1}") if batch > 0 else spark.createDataFrame([], schema)
-        change_results(state, df, key, op, order_by).write.mode("overwrite").parquet(f"{path}_items/batch={batch}")
-        results = spark.read.parquet(f"{path}_items/batch={batch}")
-        apply_results(state, results, key, op, order_by).write.mode("overwrite").parquet(f"{path}/version={batch}")
+        if batch == 0:
+            spark.createDataFrame([], target).write.mode("overwrite").parquet(f"{path}/base/upto=-1")
+        base, deltas = _stored(spark, path, before=batch)
+        folded = keyed.fold_again(deltas, key, "batch") if deltas is not None else base.select(key, F.lit(None).cast("string").alias("__last")).limit(0)
+        known = keyed.known_ids(base, folded, df, key)
+        keyed.change_results(known, df, key, op, order_by).write.mode("overwrite").parquet(f"{path}/items/batch={batch}")
+        items = spark.read.parquet(f"{path}/items/batch={batch}")
+        keyed.fold_changes(items, target, key, op, order_by).write.mode("overwrite").parquet(f"{path}/deltas/batch={batch}")
 
     return write
 
 
-def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a keyed sink, told by the file names alone (also a
-    version that lost its last document has a file)."""
-    names = spark.read.parquet(path).inputFiles()
-    newest = max(int(found.group(1)) for found in (re.search(r"/version=(\d+)/", name) for name in names) if found)
-    return spark.read.parquet(f"{path}/version={newest}")
+def _numbers(df: DataFrame, name: str) -> list[int]:
+    """Values of a folder column, told by the file names alone (also empty tables have a file)."""
+    found = (re.search(rf"/{name}=(-?\d+)/", file) for file in df.inputFiles())
+    return sorted({int(match.group(1)) for match in found if match})
+
+
+def _stored(spark: SparkSession, path: str, before: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The newest base older than batch ``before`` and the deltas between the two."""
+    versions = [n for n in _numbers(spark.read.parquet(f"{path}/base"), "upto") if before is None or n < before]
+    base = spark.read.parquet(f"{path}/base/upto={versions[-1]}")
+    if before == 0:
+        return base, None
+    deltas = spark.read.parquet(f"{path}/deltas").filter(F.col("batch") > versions[-1])
+    return base, deltas if before is None else deltas.filter(F.col("batch") < before)
+
+
+def documents(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The current documents of a keyed sink."""
+    base, deltas = _stored(spark, path)
+    return keyed.merge_folded(base, keyed.fold_again(deltas, key, "batch"), key)
+
+
+def compact(spark: SparkSession, path: str, key: str) -> int:
+    """Write the current documents as the new base; later reads start from there.
+    Run it between batches. Gives the number of the last batch in the base."""
+    last = _numbers(spark.read.parquet(f"{path}/deltas"), "batch")[-1]
+    documents(spark, path, key).write.mode("overwrite").parquet(f"{path}/base/upto={last}")
+    return last
 
 
 def run_stream(source: DataFrame, transform: Transform, sinks: Sequence[Sink], checkpoint: str | None = None,

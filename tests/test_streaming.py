@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,26 +74,37 @@ def test_failed_batch_is_delivered_again(spark, files):
 
 def test_keyed_sink_equals_one_application(spark, files):
     path, home = files
-    schema = "id bigint, kind string"
+    schema, docs = "id bigint, kind string, extra int", str(home / "docs")
     source = stream_rows(spark, path, SCHEMA, "parquet")
-    sink = runner.keyed_sink(str(home / "docs"), schema, "id", "op", ["seq"])
+    sink = runner.keyed_sink(docs, schema, "id", "op", ["seq"])
     runner.run_stream(source, lambda df: df, [sink], checkpoint=str(home / "cp"))
     want, _ = keyed.apply_changes(spark.createDataFrame([], schema), spark.read.parquet(path), "id", "op", ["seq"])
-    assert sorted(runner.latest_version(spark, str(home / "docs")).collect()) == sorted(want.collect())
+    want = sorted((r.id, r.kind) for r in want.collect())
+    assert sorted((r.id, r.kind) for r in runner.documents(spark, docs, "id").collect()) == want
     sink(spark.read.parquet(path), 0)  # a replay of the batch
-    assert sorted(runner.latest_version(spark, str(home / "docs")).collect()) == sorted(want.collect())
-    assert spark.read.parquet(str(home / "docs_items")).count() == 40
+    assert sorted((r.id, r.kind) for r in runner.documents(spark, docs, "id").collect()) == want
+    assert spark.read.parquet(f"{docs}/items").count() == 40
 
 
 def test_keyed_sink_in_steps(spark, files):
     path, home = files
-    schema = "id bigint, kind string"
-    sink = runner.keyed_sink(str(home / "docs"), schema, "id", "op", ["seq"])
+    schema, docs = "id bigint, kind string", str(home / "docs")
+    sink = runner.keyed_sink(docs, schema, "id", "op", ["seq"])
     everything = spark.read.parquet(path)
+    want_docs, want_items = keyed.apply_changes(spark.createDataFrame([], schema), everything, "id", "op", ["seq"])
     for batch in range(4):
         sink(everything.filter(F.col("seq").between(batch * 10, batch * 10 + 9)), batch)
-    want, _ = keyed.apply_changes(spark.createDataFrame([], schema), everything, "id", "op", ["seq"])
-    assert sorted(runner.latest_version(spark, str(home / "docs")).collect()) == sorted(want.collect())
+        if batch == 1:
+            assert runner.compact(spark, docs, "id") == 1
+    sink(everything.filter(F.col("seq").between(30, 39)), 3)
+    assert sorted(runner.documents(spark, docs, "id").collect()) == sorted(want_docs.collect())
+    items = spark.read.parquet(f"{docs}/items").select("seq", "status").collect()
+    assert sorted(items) == sorted(want_items.select("seq", "status").collect())
+
+
+def test_queries_load_without_a_session():
+    code = "import __spark_entry__ as e; assert set(e.queries()) >= set(e.oracle_sql())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
 
 
 def test_sequence_as_a_scheduled_source(spark, tmp_path):
