@@ -26,7 +26,8 @@ def as_column(expr: str | Column) -> Column:
     return F.expr(expr) if isinstance(expr, str) else expr
 
 
-SAFE_FIELD = re.compile(r"\b(?:(input|output)\.)?\?(\w+)")
+# quoted text is passed over
+SAFE_FIELD = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|(?:\b(input|output)\.)?\?(\w+)""")
 
 
 def safe_fields(expr: str | Column, columns: Sequence[str], outputs: Sequence[str] = (), scoped: bool = True) -> str | Column:
@@ -37,6 +38,8 @@ def safe_fields(expr: str | Column, columns: Sequence[str], outputs: Sequence[st
 
     def known(found: re.Match) -> str:
         scope, name = found.groups()
+        if name is None:
+            return found.group(0)
         if name not in (outputs if scope == "output" else [*columns, *([] if scope else outputs)]):
             return "NULL"
         return f"{scope}.`{name}`" if scope and scoped else f"`{name}`"

@@ -448,6 +448,7 @@ def test_null_safe_fields(tracks):
     done = project.script(tracks, [("a", "input.?ip"), ("b", "coalesce(input.?none, 'no')"), ("c", "output.?later"), ("d", "output.?b")], stamp=False)
     assert ("10.0.0.1", "no", None, "no") in [tuple(r) for r in done.select("a", "b", "c", "d").collect()]
     assert {r.partition for r in partition.partition_rows(tracks, "?none").collect()} == {"default"}
+    assert project.safe_fields("a rlike 'b?c' and input.?a = ?z", ["a"]) == "a rlike 'b?c' and input.`a` = NULL"
     assert rows(route.route(tracks, {"x": "?none = 1", "y": "?use = '3'"}), "route") == [("unmatched",), ("unmatched",), ("y",)]
 
 
