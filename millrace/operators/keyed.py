@@ -30,7 +30,7 @@ NEW_IDS = {"string": create_uuid, "bigint": lambda: F.xxhash64(F.uuid())}
 
 
 def _order(order_by: Sequence[str]) -> Column:
-    return F.struct(*order_by)
+    return F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
 
 
 def _merged(changes: DataFrame, key: str, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
