@@ -102,6 +102,16 @@ def test_keyed_sink_in_steps(spark, files):
     assert sorted(items) == sorted(want_items.select("seq", "status").collect())
 
 
+def test_worker_functions_travel_with_the_job():
+    """A worker that cannot import the package can still load what it is sent."""
+    from pyspark import cloudpickle
+
+    from millrace.functions.requests import read_request
+
+    code = "import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); assert f('{ a }', {})[1] == 'a'"
+    subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(read_request), check=True, cwd="/tmp")
+
+
 def test_queries_load_without_a_session():
     code = "import __spark_entry__ as e; assert set(e.queries()) >= set(e.oracle_sql())"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
