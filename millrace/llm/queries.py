@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, mix, quality_nbsvm, shard
+from millrace.llm import decontaminate, langid, mix, ngram_join, quality_nbsvm, rules, shard
 from millrace.llm.common import held_out
-from millrace.llm.sql import DECONTAMINATE, MIX, SHARD
+from millrace.llm.sql import DECONTAMINATE, MIX, NGRAM_JOIN, SHARD
 from millrace.plans.registry import Tables, plan
 
 
+@plan("op2_ngram_join", NGRAM_JOIN)
+def op2_ngram_join(t: Tables):
+    return ngram_join.similar(t.documents)
+
+
 @plan("op3_decontaminate", DECONTAMINATE)
 def op3_decontaminate(t: Tables):
     return decontaminate.contamination(t.documents, t.benchmark)
@@ -28,6 +33,19 @@ def op5_mix_schedule(t: Tables):
     return mix.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@plan("op7_langid_kernel")
+def op7_langid_kernel(t: Tables):
+    out = held_out(5, 0)
+    model = langid.train(t.documents, ~out)
+    return langid.identify(t.documents.select("doc_id", "text"), model).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@plan("op8_quality_rules")
+def op8_quality_rules(t: Tables):
+    return rules.verdicts(t.documents)
+
+
 @plan("op10_shard_tree", SHARD)
 def op10_shard_tree(t: Tables):
     return shard.shard(t.documents)

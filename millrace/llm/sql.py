@@ -29,6 +29,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+NGRAM_JOIN = rf"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({FOLDED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM shingle x JOIN shingle y USING (s)
+                    WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE 100 * o >= 75 * (na.n + nb.n - o)),
+reach AS (SELECT a AS doc_id, a AS other FROM link UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other)
+SELECT doc.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.least, doc.doc_id) AS component_id
+FROM doc LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
 MIX = r"""
 WITH row AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
