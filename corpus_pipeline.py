@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, mix, quality_nbsvm, shard
+from millrace.llm import decontaminate, mix, ngram_join, quality_nbsvm, shard
 from millrace.llm.common import held_out, stored
 from millrace.plans.registry import Tables, plan
 
@@ -17,6 +17,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_nbsvm.score(docs, model, to="_quality").where("_quality >= 0.3").select(*docs.columns)
 
 
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return ngram_join.one_of_each(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     return decontaminate.clean(docs, Tables(spark, sf_dir).benchmark)
@@ -31,7 +36,7 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard.shard(docs)
 
 
-STAGES = [("quality", quality), ("decontaminate", decontaminated), ("mix", mixture), ("shard", sharded)]
+STAGES = [("quality", quality), ("near duplicates", deduplicated), ("decontaminate", decontaminated), ("mix", mixture), ("shard", sharded)]
 
 # the first stages learn from data and compare sets in ways that SQL can't follow
 ORACLE_SQL = None
