@@ -80,3 +80,17 @@ def _nbytes(batch: pa.RecordBatch) -> int:
 def bounded(df: DataFrame, rows: int) -> bool:
     """True when a stored table holds at most ``rows`` rows; parquet footers answer it."""
     return df.count() <= rows
+
+
+def chosen_ids(rows: DataFrame, most: int) -> DataFrame:
+    """Up to ``most`` ids of these rows as ``_id``, the same ones each time, spread over the ids by their hash."""
+    return rows.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct().orderBy(
+        F.xxhash64("_id"), "_id").limit(most)
+
+
+def chosen_texts(docs: DataFrame, ids: DataFrame, most: int) -> list:
+    """Texts of at most ``most`` chosen rows; ``ids`` (_id and what goes with it) holds no more than that, so only ids
+    and chosen texts travel. Null texts are left out."""
+    others = [c for c in ids.columns if c != "_id"]
+    return docs.select("doc_id", "text").where("text is not null").join(
+        F.broadcast(ids), F.col("doc_id") == F.col("_id")).orderBy("doc_id", "text").limit(most).select("text", *others).collect()

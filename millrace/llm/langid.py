@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from millrace.llm.common import FOLD, raw_texts, small_batches
+from millrace.llm.common import FOLD, chosen_ids, chosen_texts, raw_texts, small_batches
 
 BITS = 13
 LETTER = regex.compile(r"\p{L}")
 NONE = "und"
+LANGS = 200  # languages at most; the most frequent ones
 
 
 @dataclass(frozen=True)
@@ -91,12 +92,13 @@ def predict(model: Model, texts: list[bytes | None]) -> tuple[list[str], np.ndar
 def train(docs: DataFrame, allowed, rows: int = 2000) -> Model:
     """Fit on a bounded sample: at most ``rows`` texts, and as many of each language as of any other. ``allowed`` is the
     condition for texts that may be learnt from. Null texts and langs are not used."""
-    known = docs.where(allowed & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "text", "lang")
-    names = [r.lang for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()]
+    known = docs.where(allowed & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang")
+    names = [r.lang for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS).collect()]
+    each = max(1, rows // max(len(names), 1))
     picked = []
     for name in names:
-        picked += known.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(
-            max(1, rows // len(names))).select("text", "lang").collect()
+        ids = chosen_ids(known.where(F.col("lang") == name), each)
+        picked += chosen_texts(docs, ids.withColumn("lang", F.lit(name)), each)
     return fit([r.text.encode() for r in picked], [r.lang for r in picked])
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from millrace.llm.common import raw_texts, small_batches
+from millrace.llm.common import chosen_ids, chosen_texts, raw_texts, small_batches
 
 BITS = 18
 PARTS = (0.05, 0.2, 0.4)  # shares of word pairs that repeat one word; the numbers of these marks are their places
@@ -132,23 +132,21 @@ def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score")
     return docs.mapInArrow(run, schema)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, rows: int) -> list:
-    """Up to ``rows`` labelled texts that may be learnt from, the same ones each time; a rare class gets up to half.
+def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, most: tuple[int, int]) -> list:
+    """Up to so many labelled texts of class 0 and 1 that may be learnt from, the same ones each time.
 
-    ``allowed`` is a condition on docs. Rows without an id, label or text are not used; rows that share an id count
-    each."""
-    marks = labels.where(F.col(label).isin(0, 1)).select(
-        F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).dropna().distinct()
-    known = docs.where(allowed & F.col("text").isNotNull()).select("doc_id", "text").join(
-        marks, F.col("doc_id") == F.col("_id"))
+    ``allowed`` is a condition on doc_id. Rows without an id, label or text are not used; an id that is labelled as both
+    may be used as both."""
+    marks = labels.where(allowed & F.col(label).isin(0, 1))
     picked = []
-    for y, most in ((0, rows // 2), (1, rows // 2)):
-        picked += known.where(F.col("_y") == y).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most).select(
-            "text", "_y").collect()
+    for y, n in enumerate(most):
+        ids = chosen_ids(marks.where(F.col(label) == y), n)
+        picked += chosen_texts(docs, ids.withColumn("_y", F.lit(y)), n)
     return picked
 
 
-def train(docs: DataFrame, labels: DataFrame, allowed, label: str = "quality", rows: int = 3000) -> Model:
-    """Fit on a bounded sample: at most ``rows`` labelled rows, half of each class at most."""
-    picked = sample(docs, labels, label, allowed, rows)
-    return fit([r.text.encode() for r in picked], [r._y for r in picked])
+def train(docs: DataFrame, labels: DataFrame, allowed, label: str = "quality", most: tuple[int, int] = (1500, 1500)) -> Model:
+    """Fit on a bounded sample: at most ``most`` labelled rows of class 0 and 1."""
+    picked = sample(docs, labels, label, allowed, most)
+    rate = labels.where(F.col(label).isin(0, 1)).agg(F.avg(label).alias("r")).first()["r"]
+    return fit([r.text.encode() for r in picked], [r._y for r in picked], rate=rate)

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, langid, mix, ngram_join, quality_nbsvm, rules, shard
+from millrace.llm import decontaminate, langid, lm_score, mix, ngram_join, quality_nbsvm, rules, shard, suffix_dedup, toxicity
 from millrace.llm.common import held_out
 from millrace.llm.sql import DECONTAMINATE, MIX, NGRAM_JOIN, SHARD
 from millrace.plans.registry import Tables, plan
 
 
+@plan("op1_lm_score")
+def op1_lm_score(t: Tables):
+    out = held_out(7, 2)
+    return lm_score.scores(t.documents, ~out).withColumn("held_out", ~F.col("learnt")).drop("learnt")
+
+
 @plan("op2_ngram_join", NGRAM_JOIN)
 def op2_ngram_join(t: Tables):
     return ngram_join.similar(t.documents)
@@ -33,6 +39,14 @@ def op5_mix_schedule(t: Tables):
     return mix.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@plan("op6_toxicity_gru")
+def op6_toxicity_gru(t: Tables):
+    out = held_out(4, 2)
+    model = toxicity.train(t.documents, t.labels, ~out)
+    return toxicity.score(t.documents.select("doc_id", "text"), model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @plan("op7_langid_kernel")
 def op7_langid_kernel(t: Tables):
     out = held_out(5, 0)
@@ -46,6 +60,11 @@ def op8_quality_rules(t: Tables):
     return rules.verdicts(t.documents)
 
 
+@plan("op9_suffix_dedup")
+def op9_suffix_dedup(t: Tables):
+    return suffix_dedup.deduplicated(t.documents)
+
+
 @plan("op10_shard_tree", SHARD)
 def op10_shard_tree(t: Tables):
     return shard.shard(t.documents)
