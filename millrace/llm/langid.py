@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from millrace.llm.common import FOLD, chosen_ids, chosen_texts, raw_texts, small_batches
+from millrace.llm.common import FOLD, chosen_ids, chosen_texts, fitted, raw_texts, small_batches
 
 BITS = 13
 LETTER = regex.compile(r"\p{L}")
@@ -99,7 +99,7 @@ def train(docs: DataFrame, allowed, rows: int = 2000) -> Model:
     for name in names:
         ids = chosen_ids(known.where(F.col("lang") == name), each)
         picked += chosen_texts(docs, ids.withColumn("lang", F.lit(name)), each)
-    return fit([r.text.encode() for r in picked], [r.lang for r in picked])
+    return fitted(docs.sparkSession, fit, [r.text.encode() for r in picked], [r.lang for r in picked])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

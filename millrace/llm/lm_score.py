@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import FOLD, chosen_ids, chosen_texts, raw_texts, small_batches, stored
+from millrace.llm.common import FOLD, chosen_ids, chosen_texts, fitted, raw_texts, small_batches, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how the vocabulary's words are split
@@ -197,7 +197,7 @@ def classes(counts: np.ndarray, topics: np.ndarray) -> tuple[np.ndarray, np.ndar
     return of, share.astype(np.float32)
 
 
-def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int = 250, batch: int = 192, seed: int = 3) -> Model:
+def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int = 600, batch: int = 192, seed: int = 3) -> Model:
     """Train on a sample's sequences; ``counts`` are those of the whole corpus. Without texts the model stays at its
     start: every class as likely as any other."""
     rng = np.random.default_rng(seed)
@@ -309,7 +309,7 @@ def scores(docs: DataFrame, learn: Column, rows: int = 1500, vocabulary: str = V
     picked = chosen_texts(train, chosen_ids(train.where(F.length("text") > 0), rows), rows)
     encoder = Encoder(ranks.value)
     numbers = [encoder.numbers(words_of(r.text.encode())) for r in picked]
-    shared = spark.sparkContext.broadcast(fit(*sequences(numbers, *encoder.tables()), id_counts))
+    shared = spark.sparkContext.broadcast(fitted(spark, fit, *sequences(numbers, *encoder.tables()), id_counts))
 
     top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
     bound = (int(top["n"].iloc[-1]), bytes(top["word"].iloc[-1])) if len(top) == HEAD else None

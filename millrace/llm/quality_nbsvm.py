@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from millrace.llm.common import chosen_ids, chosen_texts, raw_texts, small_batches
+from millrace.llm.common import chosen_ids, chosen_texts, fitted, raw_texts, small_batches
 
 BITS = 18
 PARTS = (0.05, 0.2, 0.4)  # shares of word pairs that repeat one word; the numbers of these marks are their places
@@ -149,4 +149,4 @@ def train(docs: DataFrame, labels: DataFrame, allowed, label: str = "quality", m
     """Fit on a bounded sample: at most ``most`` labelled rows of class 0 and 1."""
     picked = sample(docs, labels, label, allowed, most)
     rate = labels.where(F.col(label).isin(0, 1)).agg(F.avg(label).alias("r")).first()["r"]
-    return fit([r.text.encode() for r in picked], [r._y for r in picked], rate=rate)
+    return fitted(docs.sparkSession, fit, [r.text.encode() for r in picked], [r._y for r in picked], rate=rate)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from millrace.llm.common import FOLD, raw_texts, small_batches
+from millrace.llm.common import FOLD, fitted, raw_texts, small_batches
 from millrace.llm.quality_nbsvm import _logistic, sample
 
 CHAR_BITS, WORD_BITS = 16, 15
@@ -267,7 +267,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed, most: tuple[int, int] = (
     """Fit on a bounded sample: at most ``most`` labelled rows of class 0 and 1."""
     picked = sample(docs, labels, "toxic", allowed, most)
     rate = labels.where(F.col("toxic").isin(0, 1)).agg(F.avg("toxic").alias("r")).first()["r"]
-    return fit([r.text.encode() for r in picked], [r._y for r in picked], rate)
+    return fitted(docs.sparkSession, fit, [r.text.encode() for r in picked], [r._y for r in picked], rate)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:
