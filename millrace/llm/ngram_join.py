@@ -5,9 +5,10 @@ bitmaps and the range of their sizes; two trees (or a tree and itself) are walke
 as soon as the largest overlap its documents could have is too small for the similarity asked.
 
 No tree holds the corpus. Sets are put in one global order, shingles found often last, so two similar documents share a
-shingle among the first quarter of theirs. Round one builds trees over the documents that share their first shingle and
-compares sets; round two builds them over what shares any shingle of that quarter and is not yet linked, and has the
-surviving pairs compared. Equal sets count as one document throughout.
+shingle among the first quarter of theirs. The first rounds build trees over the documents that share their first shingle
+of that quarter, in three orders, and compare sets; the last builds them over what shares any shingle of it and is not
+yet linked, and has the surviving pairs compared. Equal sets count as one document throughout, and so do linked ones from
+one round to the next.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ OFTEN = 32  # documents from which on a shingle counts as frequent; this orders
 FREQUENT = 200_000  # frequent shingles told to all tasks
 IDS = 2_000_000  # ids each executor may hold; beyond it both sides are shuffled
 LEAF, FAN = 16, 8
+ROUNDS = 3  # orders in which the first rounds look for a shared first shingle
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
                  np.uint64)
 TOP = np.uint64(63)
@@ -216,7 +218,7 @@ def frequent_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def sketches(docs: DataFrame, frequent, percent: int) -> DataFrame:
-    """(doc_id, n, set_a, set_b, first, prefix, bits): what stands for a set in the shuffles."""
+    """(doc_id, n, set_a, set_b, firsts, prefix, bits): what stands for a set in the shuffles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, often = Hashes(), frequent.value
         for batch in small_batches(batches):
@@ -229,16 +231,16 @@ def sketches(docs: DataFrame, frequent, percent: int) -> DataFrame:
                 b.append(int((mix64(mixed) ^ mixed).sum(dtype=np.uint64).astype(np.int64)))
                 keys = ordered(keys, often)
                 part = keys[: len(keys) - -(-percent * len(keys) // 100) + 1].astype(np.int64) if len(keys) else keys.astype(np.int64)
-                first.append(int(part[0]) if len(part) else None)
+                first.append([int(mix64(part.view(np.uint64) + np.uint64(r)).min().astype(np.int64)) for r in range(ROUNDS)] if len(part) else None)
                 prefix.append(part)
                 bits.append(bitmap(keys).tobytes() if len(keys) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
-                 pa.array(b, pa.int64()), pa.array(first, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
-                 pa.array(bits, pa.binary())], ["doc_id", "n", "set_a", "set_b", "first", "prefix", "bits"])
+                 pa.array(b, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64())),
+                 pa.array(bits, pa.binary())], ["doc_id", "n", "set_a", "set_b", "firsts", "prefix", "bits"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, set_a long, set_b long, first long, prefix array<long>, bits binary")
+        run, "doc_id long, n long, set_a long, set_b long, firsts array<long>, prefix array<long>, bits binary")
 
 
 def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -287,44 +289,47 @@ def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.append(np.flatnonzero(change), len(order))
 
 
-def first_round(docs: DataFrame, reps: DataFrame, frequent, percent: int, buckets: int) -> DataFrame:
-    """(rep, root): documents that share their first shingle, linked by trees over whole sets. A group too large for one
-    tree is dealt to several; then the roots of all are taken through another round, until no tree would be too large."""
-    spark = docs.sparkSession
-    links, groups = None, reps
-    while True:
-        sizes = groups.groupBy("first").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        parts = F.ceil(F.col("m") / BLOCK)
-        members = stored(groups.join(sizes, "first").select(
-            "doc_id", "first", parts.alias("parts"), F.pmod(F.xxhash64("doc_id"), parts).alias("part")), "first-groups")
-        if members.isEmpty():
-            break
-        split = members.where("parts > 1").limit(1).count() > 0
-
-        def run(table: pa.Table) -> pa.Table:
-            ids, first, part = (_numbers(table, c) for c in ("doc_id", "first", "part"))
-            sets = _arrays(table.column("keys"))
-            out, roots = [], []
-            order, bounds = _runs(first, part)
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                rows = order[a:b]
-                out.append(ids[rows])
-                roots.append(linked_groups(ids[rows], [sets[r].view(np.uint64) for r in rows], percent))
-            return pa.table({"rep": np.concatenate(out), "root": np.concatenate(roots)})
-
-        rows = _with_sets(_picked(docs, members), frequent)
-        found = stored(rows.withColumn("bucket", F.pmod(F.xxhash64("first", "part"), F.lit(buckets))).groupBy("bucket")
-                       .applyInArrow(run, "rep long, root long"), "first-links")
-        links = found if links is None else links.alias("l").join(
-            found.alias("f"), F.col("l.root") == F.col("f.rep"), "left").select(
-            "l.rep", F.coalesce("f.root", "l.root").alias("root"))
-        if not split:
-            break
-        before = groups.count()
-        groups = stored(groups.join(found.where("rep <> root").select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "roots")
-        if groups.count() == before:
-            break  # nothing joins any more; round two compares block by block
-    return links if links is not None else spark.createDataFrame([], "rep long, root long")
+def first_rounds(docs: DataFrame, reps: DataFrame, frequent, percent: int, buckets: int) -> DataFrame:
+    """(rep, root) for every document of reps (doc_id, firsts): documents that share a first shingle in one of the
+    orders, linked by trees over whole sets. Each round takes the roots of those before. A group too large for one tree
+    is dealt to several, and their roots go through the round again."""
+    links = reps.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("root"))
+    groups = reps
+    for r in range(ROUNDS):
+        while True:
+            keyed = groups.select("doc_id", F.col("firsts")[r].alias("first"))
+            sizes = keyed.groupBy("first").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+            parts = F.ceil(F.col("m") / BLOCK)
+            members = stored(keyed.join(sizes, "first").select(
+                "doc_id", "first", parts.alias("parts"), F.pmod(F.xxhash64("doc_id"), parts).alias("part")), "first-groups")
+            if members.isEmpty():
+                break
+            rows = _with_sets(_picked(docs, members), frequent)
+            found = stored(rows.withColumn("bucket", F.pmod(F.xxhash64("first", "part"), F.lit(buckets))).groupBy("bucket")
+                           .applyInArrow(_linker(percent), "rep long, root long").where("rep <> root").distinct(), "first-links")
+            links = stored(links.alias("l").join(found.alias("f"), F.col("l.root") == F.col("f.rep"), "left").select(
+                "l.rep", F.coalesce("f.root", "l.root").alias("root")), "roots")
+            split = members.where("parts > 1").limit(1).count() > 0
+            moved = found.limit(1).count() > 0
+            groups = stored(groups.join(found.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "groups")
+            if not (split and moved):
+                break
+    return links
+
+
+def _linker(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        ids, first, part = (_numbers(table, c) for c in ("doc_id", "first", "part"))
+        sets = _arrays(table.column("keys"))
+        out, roots = [], []
+        order, bounds = _runs(first, part)
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            rows = order[a:b]
+            out.append(ids[rows])
+            roots.append(linked_groups(ids[rows], [sets[r].view(np.uint64) for r in rows], percent))
+        return pa.table({"rep": np.concatenate(out), "root": np.concatenate(roots)})
+
+    return run
 
 
 def second_round(docs: DataFrame, reps: DataFrame, frequent, percent: int, buckets: int) -> DataFrame:
@@ -407,18 +412,21 @@ def similar(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = filled.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"))
     members = stored(filled.select("doc_id", "set_a", "set_b", "n").join(classes, ["set_a", "set_b", "n"]).select(
         "doc_id", "n", "rep").distinct(), "members")
-    own = members.where("doc_id = rep").select("doc_id", "n").distinct()
-    reps = filled.join(own, ["doc_id", "n"], "left_semi")
-    linked = stored(first_round(docs, reps.select("doc_id", "first"), frequent, percent, buckets), "linked")
-    known = reps.join(linked, reps["doc_id"] == linked["rep"], "left").select(
-        "doc_id", "n", F.coalesce("root", "doc_id").alias("comp"), "prefix", "bits")
+    # of equal sets, one carries the shingles on; ids and roots travel to the sketches while they are few
+    own = filled.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_a", "set_b", "n"], "left_semi").select(
+        "doc_id", "set_a", "firsts").dropDuplicates(["doc_id", "set_a"])
+    linked = first_rounds(docs, stored(own.select("doc_id", "firsts"), "own"), frequent, percent, buckets)
+    roots = stored(linked.distinct(), "linked")
+    small = bounded(roots, IDS)
+    known = filled.join(F.broadcast(roots) if small else roots, filled["doc_id"] == roots["rep"]).select(
+        "doc_id", "n", F.col("root").alias("comp"), "prefix", "bits")
     pairs = second_round(docs, known, frequent, percent, buckets)
 
-    roots = linked.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    joined = roots.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     several = members.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("k"))
     twice = members.join(several.where("k > 1").select("doc_id"), "doc_id", "left_semi").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    edges = stored(pairs.union(roots).union(twice), "links")
+    edges = stored(pairs.union(joined).union(twice), "links")
     labels = components(edges)
     placed = members.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(
         labels, F.col("rep") == F.col("node"), "left").select(
