@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Shapes of numbers in text
 INTEGRAL = r"^[+-]?\d+$"
 DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# blanks and control characters around it, a type letter, hexadecimal with a binary exponent, the two words
+READABLE = r"^[\x00-\x20]*[+-]?(NaN|Infinity|((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|0[xX]([0-9a-fA-F]+\.?|[0-9a-fA-F]*\.[0-9a-fA-F]+)[pP][+-]?\d+)[fFdD]?)[\x00-\x20]*$"
+HEXADECIMAL = r"^([+-]?)0[xX]([0-9a-fA-F]*)\.?([0-9a-fA-F]*)[pP]([+-]?\d+)$"
 FLOATING = r"^[+-]?(Infinity|NaN|\d+\.\d+|\d+(\.\d+)?[eE][+-]?\d+|\.\d+([eE][+-]?\d+)?)$"
 CREATABLE = r"^[+-]?(0[xX][0-9a-fA-F]+|(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[fFdD]?|\d+[lL])$"
 
@@ -38,12 +41,24 @@ def to_byte(text: Column, default: int = 0) -> Column:
     return _parse(text, INTEGRAL, "tinyint", default)
 
 
+def read_floating(text: Column, data_type: str) -> Column:
+    """A floating number in text, blanks around it allowed; null for any other text."""
+    bare = F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    bare = F.when(bare.rlike("[pPxX]"), F.regexp_replace(bare, "[fFdD]$", "")).otherwise(F.regexp_replace(bare, "(?<=[0-9.])[fFdD]$", ""))
+    whole, part = F.regexp_extract(bare, HEXADECIMAL, 2), F.regexp_extract(bare, HEXADECIMAL, 3)
+    digits = F.conv(F.concat(whole, part), 16, 10).try_cast("decimal(20,0)").cast("double")
+    power = F.regexp_extract(bare, HEXADECIMAL, 4).try_cast("int") - 4 * F.length(part)
+    sign = F.when(F.regexp_extract(bare, HEXADECIMAL, 1) == "-", -1.0).otherwise(1.0)
+    value = F.when(bare.rlike(HEXADECIMAL), sign * digits * F.pow(F.lit(2.0), power)).otherwise(bare.try_cast("double"))
+    return F.when(text.rlike(READABLE), value.cast(data_type) if data_type != "double" else value)
+
+
 def to_double(text: Column, default: float = 0.0) -> Column:
-    return _parse(text, DECIMAL, "double", default)
+    return F.coalesce(read_floating(text, "double"), F.lit(default).cast("double"))
 
 
 def to_float(text: Column, default: float = 0.0) -> Column:
-    return _parse(text, DECIMAL, "float", default)
+    return F.coalesce(read_floating(text, "float"), F.lit(default).cast("float"))
 
 
 def is_number(text: Column) -> Column:

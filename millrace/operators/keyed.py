@@ -225,8 +225,10 @@ def dml_counts(rows: DataFrame, target: DataFrame, on: On, kind: str, name: str
 
 
 def dml_insert(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """The target after one INSERT per input row."""
-    return target.unionByName(rows.select(*target.columns))
+    """The target after one INSERT per input row. Where the rows carry the count of their
+    statement (see ``dml_counts``) it stays, null for rows that were there before."""
+    kept = [*target.columns, *[c for c in ("result",) if c in rows.columns and c not in target.columns]]
+    return target.unionByName(rows.select(*kept), allowMissingColumns=True)
 
 
 def dml_update(rows: DataFrame, target: DataFrame, on: On, assign: dict[str, str], order_by: Sequence[str]) -> DataFrame:

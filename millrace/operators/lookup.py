@@ -8,8 +8,11 @@ uses a sort-merge join whose skewed keys adaptive execution splits.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,27 +107,49 @@ def lookup_groups(df: DataFrame, lists: Sequence[str], name: str = "result") ->
     return df.withColumn(name, F.array(*as_text)).drop(*lists)
 
 
-# A parameter starts after '(', ',', a blank or '=', and so never inside quotes or after a word
-PARAMETER = re.compile(r"(?<=[(,\s=]):(\w+)")
+# Quoted text and quoted names are passed over. A parameter starts after '(', ',', a blank or '='
+QUOTED = r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
+PARAMETER = re.compile(QUOTED + r"|(?<=[(,\s=]):(\w+)", re.DOTALL)
+
+
+def _outside_quotes(pattern: re.Pattern, change, sql: str) -> str:
+    """Replace what group 1 of the pattern finds; matches without it are quoted text."""
+    return pattern.sub(lambda m: m.group(0) if m.group(1) is None else change(m), sql)
 
 
 def parameter_names(sql: str) -> list[str]:
-    return PARAMETER.findall(sql)
+    return [n for n in PARAMETER.findall(sql) if n]
+
+
+def _bare_statement(sql: str) -> str:
+    """The statement without quoted text and without anything in brackets."""
+    text = re.sub(QUOTED, "''", sql, flags=re.DOTALL)
+    while (shorter := PARENTHESISED.sub("", text)) != text:
+        text = shorter
+    return text
 
 
 def bind_parameters(sql: str, columns: Sequence[str], context: RunContext = RunContext(), alias: str = "input") -> str:
     """Replace ``:name`` by the row's column, else by the run's attribute, else by null.
-    A row value that is null falls back to the attribute as well."""
+    A row value that is null falls back to the attribute as well. Attributes stay
+    parameters (``:attribute_name``), see ``attribute_arguments``."""
     def bound(match: re.Match) -> str:
         name = match.group(1)
         options = [f"{alias}.`{name}`"] if name in columns else []
         if name in context.attributes:
-            options.append("'" + context.attributes[name].replace("\\", "\\\\").replace("'", "\\'") + "'")
+            options.append(f":{ATTRIBUTE}{name}")
         if not options:
             return "NULL"
         return options[0] if len(options) == 1 else f"coalesce({', '.join(options)})"
 
-    return PARAMETER.sub(bound, sql)
+    return _outside_quotes(PARAMETER, bound, sql)
+
+
+ATTRIBUTE = "attribute_"
+
+
+def attribute_arguments(context: RunContext) -> dict[str, str]:
+    return {f"{ATTRIBUTE}{name}": value for name, value in context.attributes.items()}
 
 
 def lookup_sql(df: DataFrame, sql: str, mode: str = MANY, order_by: Sequence[str] = (), views: dict[str, DataFrame] | None = None,
@@ -139,7 +164,7 @@ def lookup_sql(df: DataFrame, sql: str, mode: str = MANY, order_by: Sequence[str
     statement = sql.strip().rstrip(";")
     if mode not in (MANY, ONE):
         raise ValueError(f"mode is {MANY!r} or {ONE!r}, not {mode!r}")
-    if re.search(r"\b(order\s+by|limit)\b", PARENTHESISED.sub("", statement), re.IGNORECASE):
+    if re.search(r"\b(order\s+by|limit)\b", _bare_statement(statement), re.IGNORECASE):
         raise ValueError("a row order inside the statement has no effect here: pass order_by")
     if mode == MANY:
         return _lateral(df, statement, views or {}, context)
@@ -149,7 +174,7 @@ def lookup_sql(df: DataFrame, sql: str, mode: str = MANY, order_by: Sequence[str
     if not keys:
         raise ValueError("the statement reads no column of the rows: use lookup_const")
     asked = df.select(*keys).distinct().toDF(*[f"__p{i}" for i in range(len(keys))])
-    renamed = PARAMETER.sub(lambda m: f":__p{keys.index(m.group(1))}" if m.group(1) in keys else m.group(0), statement)
+    renamed = _outside_quotes(PARAMETER, lambda m: f":__p{keys.index(m.group(1))}" if m.group(1) in keys else m.group(0), statement)
     fallback = RunContext(attributes={**context.attributes, **{f"__p{i}": context.attributes[k] for i, k in enumerate(keys) if k in context.attributes}})
     found = first_per_key(_lateral(asked, renamed, views or {}, fallback), asked.columns, _orders(order_by))
     match = reduce(lambda a, b: a & b, [F.col(f"i.`{k}`").eqNullSafe(F.col(f"l.`{p}`")) for k, p in zip(keys, asked.columns)])
@@ -173,10 +198,31 @@ def _orders(order_by: Sequence[str]) -> list[Column]:
 
 def _lateral(df: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext) -> DataFrame:
     bound = bind_parameters(statement, df.columns, context)
-    for name in views:
-        bound = re.sub(rf"\b{re.escape(name)}\b(?!\s*\.)", "{" + name + "}", bound)
-    return df.sparkSession.sql(
-        f"SELECT input.*, found.* FROM {{rows_in}} AS input LEFT JOIN LATERAL ({bound}) AS found ON TRUE", rows_in=df, **views)
+    given = {k: v for k, v in attribute_arguments(context).items() if f":{k}" in bound}
+    rows = f"rows_{uuid.uuid4().hex}"
+    with _named_views(df.sparkSession, {**views, rows: df}):  # the plan is resolved when sql() returns
+        return df.sparkSession.sql(f"SELECT input.*, found.* FROM {rows} AS input LEFT JOIN LATERAL ({bound}) AS found ON TRUE", args=given)
+
+
+NAMES = Lock()  # view names belong to the whole session
+
+
+@contextmanager
+def _named_views(spark, views: dict[str, DataFrame]):
+    """Give tables a name for the moment; a view that had the name has it again afterwards."""
+    with NAMES:
+        there = {v.name for v in spark.catalog.listTables() if v.isTemporary} & set(views)
+        before = {name: spark.table(name) for name in there}
+        for name, table in views.items():
+            table.createOrReplaceTempView(name)
+        try:
+            yield
+        finally:
+            for name in views:
+                if name in before:
+                    before[name].createOrReplaceTempView(name)
+                else:
+                    spark.catalog.dropTempView(name)
 
 
 def dict_lookup(df: DataFrame, dimension: DataFrame, on: On, columns: Sequence[str]) -> DataFrame:

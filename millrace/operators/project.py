@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
-from datetime import date, datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -128,50 +127,64 @@ def expression_text(expr: str | Column) -> Column:
 TEMPLATE = re.compile(r"[@$]\{(.+)\}", re.DOTALL)
 
 
-def template_value(spark: SparkSession, text: str, date_format: str = "%Y-%m-%d") -> str:
+def template_value(spark: SparkSession, text: str, pattern: str = "yyyy-MM-dd") -> str:
     """A run parameter: ``@{expression}`` is evaluated once per run, dates are
-    formatted, anything else is taken as it stands."""
+    written in the pattern, anything else is taken as it stands."""
     found = TEMPLATE.fullmatch(text.strip())
     if not found:
         return text
-    value = spark.range(1).select(F.expr(found.group(1))).first()[0]
-    if isinstance(value, (date, datetime)):
-        return value.strftime(date_format)
-    return "" if value is None else str(value)
+    row = spark.range(1).select(F.expr(found.group(1)).alias("v"))
+    shown = F.date_format("v", pattern) if isinstance(row.schema["v"].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) else F.col("v").cast("string")
+    return row.select(F.coalesce(shown, F.lit(""))).first()[0]
 
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
     """Hook for user code that no built-in function expresses. ``fn`` turns a batch
-    of rows into as many result rows. A batch that fails is halved until the bad rows
-    stand alone; such a row keeps its input as JSON in ``failedInput`` and the reason
-    in ``errorMessage`` (both null otherwise)."""
+    of rows into as many result rows. It may answer with a column ``errorMessage``,
+    where a text marks a row that failed. A batch that raises, or that comes back with
+    another number of rows, is run once more row by row, so no row is run more than
+    twice and none is lost. A failed row keeps its input as JSON in ``failedInput`` and
+    the reason in ``errorMessage`` (both null otherwise)."""
     target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     out = T.StructType([*[T.StructField(f.name, f.dataType) for f in target.fields],
                         T.StructField("failedInput", T.StringType()), T.StructField("errorMessage", T.StringType())])
     names = [f.name for f in target.fields]
 
-    def attempt(rows: pd.DataFrame, done: list[pd.DataFrame], failed: list[tuple[str, str]]) -> None:
+    def as_json(rows: pd.DataFrame) -> list[str]:
+        return [rows.iloc[[i]].to_json(orient="records", date_format="iso", force_ascii=False, default_handler=str)[1:-1]
+                for i in range(len(rows))]
+
+    def attempt(rows: pd.DataFrame) -> pd.DataFrame:
+        result = fn(rows)
+        if len(result) != len(rows):
+            raise ValueError(f"{len(result)} results for {len(rows)} rows")
+        result = result.reset_index(drop=True)
+        reason = result["errorMessage"] if "errorMessage" in result.columns else pd.Series([None] * len(result), dtype=object)
+        bad = reason.notna().to_numpy()
+        answer = result.reindex(columns=names)
+        if bad.any():
+            answer = answer.astype(object)
+            answer.loc[bad, :] = None
+        source: list[str | None] = [None] * len(rows)
+        for i, text in zip(bad.nonzero()[0], as_json(rows[bad])):
+            source[i] = text
+        texts = [str(x) if b else None for x, b in zip(reason, bad)]
+        return answer.assign(failedInput=pd.Series(source, dtype=object), errorMessage=pd.Series(texts, dtype=object))
+
+    def single(row: pd.DataFrame) -> pd.DataFrame:
         try:
-            done.append(fn(rows)[names])
+            return attempt(row)
         except Exception as error:
-            if len(rows) == 1:
-                source = rows.to_json(orient="records", date_format="iso", force_ascii=False, default_handler=str)[1:-1]
-                failed.append((source, str(error) or type(error).__name__))
-                return
-            half = len(rows) // 2
-            attempt(rows.iloc[:half], done, failed)
-            attempt(rows.iloc[half:], done, failed)
+            values = {**dict.fromkeys(names), "failedInput": as_json(row)[0], "errorMessage": str(error) or type(error).__name__}
+            return pd.DataFrame([values], dtype=object)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            done: list[pd.DataFrame] = []
-            failed: list[tuple[str, str]] = []
-            if len(batch):
-                attempt(batch, done, failed)
-            if done:
-                yield pd.concat(done, ignore_index=True).assign(failedInput=None, errorMessage=None)
-            if failed:
-                rest = pd.DataFrame(failed, columns=["failedInput", "errorMessage"])
-                yield rest.reindex(columns=[*names, "failedInput", "errorMessage"]).astype(object).where(lambda x: x.notna(), None)
+            if not len(batch):
+                continue
+            try:
+                yield attempt(batch)
+            except Exception:
+                yield from (single(batch.iloc[[i]]) for i in range(len(batch)))
 
     return df.mapInPandas(run, out)

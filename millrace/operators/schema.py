@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.numbers import DECIMAL, FLOATING, INTEGRAL
+from millrace.functions.numbers import FLOATING, INTEGRAL, read_floating
 
 # Fixed values
 CHAR, TIME = "char", "time"  # metadata "kind" of text fields
@@ -104,7 +104,7 @@ def convert(value: Column, source: T.DataType, target: T.DataType, meta: dict |
     if isinstance(target, (T.FloatType, T.DoubleType)):
         if isinstance(source, NUMBERS):
             return value.cast(target)
-        return F.when(value.rlike(DECIMAL), value.try_cast(target)) if isinstance(source, T.StringType) else F.lit(None).cast(target)
+        return read_floating(value, target.simpleString()) if isinstance(source, T.StringType) else F.lit(None).cast(target)
     if isinstance(target, TIMES):
         fmt = meta.get("format") or DEFAULT_FORMATS["date" if isinstance(target, T.DateType) else "timestamp"]
         return _moment(value, source, target, fmt)

@@ -8,14 +8,14 @@ single row) is read on the driver.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.context import RunContext
-from millrace.functions.dates import parse_period
+from millrace.functions.dates import after, parse_period
 from millrace.functions.numbers import INTEGRAL
 from millrace.operators.keyed import apply_index
 from millrace.operators.project import template_value
@@ -38,7 +38,7 @@ class SequenceConfig:
     max: str | None = None
     step: str = "1D"
     format: str | None = None
-    batch: int = 1
+    batch: int | None = 1  # None: as many as there are
 
 
 def _read_date(spark: SparkSession, text: str, pattern: str | None) -> date:
@@ -51,7 +51,14 @@ def _read_date(spark: SparkSession, text: str, pattern: str | None) -> date:
 
 
 def _read_number(text: str | None) -> int:
-    return int(text) if text is not None and re.match(INTEGRAL, text) else 1
+    """A 64-bit integer; any other text counts as 1."""
+    value = int(text) if text is not None and re.match(INTEGRAL, text) else 1
+    return value if -(1 << 63) <= value < 1 << 63 else 1
+
+
+def _limited(room: int, batch: int | None, stored: str | None) -> int:
+    """Steps to take: as many as there is room for, within the batch."""
+    return room if batch is None else min(room, batch if stored else batch - 1)
 
 
 def _yesterday(context: RunContext) -> date:
@@ -68,18 +75,17 @@ def stored_value(state: DataFrame | None, code: str) -> str | None:
 
 def _dates(spark: SparkSession, config: SequenceConfig, stored: str | None, context: RunContext) -> DataFrame:
     pattern = (config.format or "").strip() or None
-    max_text = template_value(spark, config.max) if config.max and config.max.strip() else None
-    last = _read_date(spark, max_text, pattern) if max_text else _yesterday(context)
+    last = _read_date(spark, config.max, pattern) if config.max and config.max.strip() else _yesterday(context)
     init = stored or config.init
     first = _read_date(spark, init, pattern) if init and init.strip() else FIRST_DATE
     amount, unit = parse_period(config.step)
     if unit == "D":
-        room = config.batch if amount == 0 else max((last - first).days // amount, 0)
+        room = (config.batch or 0) if amount == 0 else max((last - first).days // amount, 0)
     else:
         months = amount * (12 if unit == "Y" else 1)
         span = (last.year - first.year) * 12 + last.month - first.month
-        room = config.batch if months == 0 else max(span // months, 0) if span >= 0 else 0
-    count = min(room, config.batch if stored else config.batch - 1)
+        room = (config.batch or 0) if months == 0 else max(span // months, 0) if span >= 0 else 0
+    count = _limited(room, config.batch, stored)
     start = F.lit(first)
     month = F.trunc(start, "month")
 
@@ -87,14 +93,14 @@ def _dates(spark: SparkSession, config: SequenceConfig, stored: str | None, cont
         if unit == "D":
             return F.date_add(start, n * amount)
         # each step starts from the value before it, so a day lost to a short month
-        # stays lost: the day is the shortest month visited so far
-        lengths = F.transform(F.sequence(F.lit(0), n), lambda i: F.dayofmonth(F.last_day(F.add_months(month, i * months))))
+        # stays lost: the day is the shortest month visited so far; months come round within 48 steps
+        lengths = F.transform(F.sequence(F.lit(0), F.least(n, F.lit(48))), lambda i: F.dayofmonth(F.last_day(F.add_months(month, i * months))))
         return F.date_add(F.add_months(month, n * months), F.least(F.lit(first.day), F.array_min(lengths)) - 1)
 
     def shown(n: Column) -> Column:
         return F.date_format(date_at(n), pattern or STD_PATTERN)
 
-    rows = spark.range(0, count + 1).select(F.col("id").cast("int").alias("n"))
+    rows = spark.range(0, count + 1).select(F.col("id").cast("int").alias("n"))  # days and months are ints
     return rows.filter((date_at(F.col("n")) <= F.lit(last)) | (F.col("n") == 0)).select(
         "n", shown(F.col("n")).alias("value"), F.when(F.col("n") > 0, shown(F.greatest(F.col("n") - 1, F.lit(0)))).alias("prevValue"))
 
@@ -103,10 +109,10 @@ def _numbers(spark: SparkSession, config: SequenceConfig, stored: str | None) ->
     step = _read_number(config.step)
     first = _read_number(stored or config.init) if (stored or config.init) else FIRST_NUMBER
     end = _read_number(config.max)
-    room = -(-(end - first) // step) - 1 if step > 0 else (config.batch if first + step < end else 0)
-    count = min(max(room, 0), config.batch if stored else config.batch - 1)
+    room = -(-(end - first) // step) - 1 if step > 0 else ((config.batch or 0) if first + step < end else 0)
+    count = _limited(max(room, 0), config.batch, stored)
     value = F.lit(first).cast("bigint") + F.col("id") * step
-    return spark.range(0, count + 1).select(F.col("id").cast("int").alias("n"), value.cast("string").alias("value"),
+    return spark.range(0, count + 1).select(F.col("id").alias("n"), value.cast("string").alias("value"),
                                             F.when(F.col("id") > 0, (value - step).cast("string")).alias("prevValue"))
 
 
@@ -114,15 +120,17 @@ def generate_sequence(spark: SparkSession, config: SequenceConfig, state: DataFr
                       context: RunContext = RunContext()) -> DataFrame:
     """The next values, at most ``batch`` of them, each with all sequence settings.
 
-    A new sequence starts with ``init`` itself, even beyond the maximum; a stored
+    A maximum may be a template (``@{expression}``); a date it gives is written in the sequence's own format. A new sequence starts with ``init`` itself, even beyond the maximum; a stored
     one goes on after its value. Dates stop at the maximum, numbers before it.
     """
     if config.strategy not in STRATEGIES:
         raise ValueError(f"strategy is one of {sorted(STRATEGIES)}, not {config.strategy!r}")
-    if config.batch < 1:
+    if config.batch is not None and config.batch < 1:
         raise ValueError("the batch holds at least one value")
     stored = stored_value(state, config.code)
     kind = STRATEGIES[config.strategy]
+    if config.max and config.max.strip():
+        config = replace(config, max=template_value(spark, config.max, (config.format or "").strip() or STD_PATTERN))
     values = _dates(spark, config, stored, context) if kind == DATE else _numbers(spark, config, stored)
     if stored:
         values = values.filter("n > 0")
@@ -147,11 +155,14 @@ def save_state(state: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def slice_days(values: DataFrame, pattern: str = STD_PATTERN) -> DataFrame:
-    """Every calendar day of each date slice (from its value up to the next one),
-    for an equi-join with facts by day. The last slice is one step of one day
-    unless a following value exists."""
+    """Every calendar day of each date slice, from its value up to the next one, for an
+    equi-join with facts by day. The last slice is a whole step too."""
     start = F.to_date("value", pattern)
     following = values.select((F.col("n") - 1).alias("n"), start.alias("until"))
+    steps = [r.step for r in values.select("step").distinct().limit(2).collect()]
+    if len(steps) > 1:
+        raise ValueError("slices of one sequence at a time")
     spans = values.select("n", "value", start.alias("day")).join(following, "n", "left")
-    end = F.coalesce(F.date_sub("until", 1), F.col("day"))
+    whole = after(F.col("day"), steps[0]).cast("date") if steps else F.col("day")
+    end = F.greatest(F.date_sub(F.coalesce("until", whole), 1), F.col("day"))
     return spans.select("value", F.explode(F.sequence("day", end)).alias("day"))

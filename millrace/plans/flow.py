@@ -88,9 +88,8 @@ def attrs_overlay(t):
 
 
 def _score(batch: pd.DataFrame) -> pd.DataFrame:
-    if (batch["value"] > 300).any():
-        raise ValueError("value out of range")
-    return pd.DataFrame({"event_id": batch["event_id"], "score": (batch["value"] * 100).round().astype("int64")})
+    return pd.DataFrame({"event_id": batch["event_id"], "score": (batch["value"] * 100).round().astype("int64"),
+                         "errorMessage": batch["value"].map(lambda v: "value out of range" if v > 300 else None)})
 
 
 @plan("udf_rows", """
@@ -101,6 +100,19 @@ def udf_rows(t):
     return done.select("event_id", "score", F.get_json_object("failedInput", "$.event_id").cast("bigint").alias("failed_event"), "errorMessage")
 
 
+def _score_some(batch: pd.DataFrame) -> pd.DataFrame:
+    kept = batch[batch["value"] <= 300]  # code that forgets to answer for the others
+    return pd.DataFrame({"event_id": kept["event_id"], "score": (kept["value"] * 100).round().astype("int64")})
+
+
+@plan("udf_short", """
+  SELECT CASE WHEN value <= 300 THEN event_id END AS event_id, CASE WHEN value <= 300 THEN CAST(round(value * 100) AS BIGINT) END AS score,
+    CASE WHEN value > 300 THEN event_id END AS failed_event, CASE WHEN value > 300 THEN '0 results for 1 rows' END AS "errorMessage" FROM events""")
+def udf_short(t):
+    done = project.map_rows(t.events.select("event_id", "value"), _score_some, "event_id bigint, score bigint")
+    return done.select("event_id", "score", F.get_json_object("failedInput", "$.event_id").cast("bigint").alias("failed_event"), "errorMessage")
+
+
 ROUTED = f"""{WITH_K}, r AS (SELECT unnest(CASE WHEN len(hit) > 0 THEN hit ELSE ['unmatched'] END) AS route, event_id, k FROM (
     SELECT event_id, k, list_filter([CASE WHEN value > 10 THEN 'big' END, CASE WHEN event_type = 'error' THEN 'errors' END,
       CASE WHEN k % 2 = 0 THEN 'even_k' END], lambda x: x IS NOT NULL) AS hit FROM e))"""

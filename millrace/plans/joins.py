@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.context import RunContext
 from millrace.operators import keyed, lookup
 from millrace.plans.registry import CONTEXT, plan
 
@@ -69,6 +70,16 @@ def lookup_param_fallback(t):
     return found.drop("min_total")
 
 
+@plan("lookup_sql_quoted", """
+  SELECT c_custkey, o_orderkey, 'orders :c_custkey' AS note, 'a{b}' AS mark FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus <> 'orders'""")
+def lookup_sql_quoted(t):
+    """Texts that look like a view, a parameter, a limit or a format stay what they are."""
+    context = RunContext(attributes={"mark": "a{b}"})
+    return lookup.lookup_sql(t.customer.select("c_custkey"), "SELECT o_orderkey, 'orders :c_custkey' AS note, :mark AS mark FROM orders "
+                             "WHERE o_custkey = :c_custkey AND o_orderstatus <> 'orders' AND 'limit' <> 'order by'", views={"orders": t.orders}, context=context).withColumns(
+        {"note": F.coalesce("note", F.lit("orders :c_custkey")), "mark": F.coalesce("mark", F.lit("a{b}"))})
+
+
 @plan("lookup_sql_one", f"""{LATEST_SQL}
   SELECT c_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey, o_totalprice FROM c LEFT JOIN o ON ref = o_custkey AND rn = 1""")
 def lookup_sql_one(t):
@@ -227,13 +238,12 @@ def status_split(t):
 
 
 @plan("dml_insert", """
-  SELECT count(*) AS rows, CAST(sum(result) AS BIGINT) AS inserted FROM (SELECT 1 AS result FROM orders UNION ALL SELECT 1 FROM events)
-  WHERE TRUE""")
+  SELECT o_orderkey AS id, o_totalprice AS amount, CAST(NULL AS BIGINT) AS result FROM orders
+  UNION ALL SELECT event_id, value, 1 FROM events""")
 def dml_insert(t):
     target = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"))
     rows = t.events.select(F.col("event_id").alias("id"), F.col("value").alias("amount"))
-    done = keyed.dml_insert(keyed.dml_counts(rows, target, {"id": "id"}, keyed.INSERT), target)
-    return done.agg(F.count(F.lit(1)).alias("rows"), F.count("id").alias("inserted"))
+    return keyed.dml_insert(keyed.dml_counts(rows, target, {"id": "id"}, keyed.INSERT), target)
 
 
 @plan("dml_update_counts", "SELECT event_id, user_id, count(o_orderkey) AS result FROM events LEFT JOIN orders ON o_custkey = user_id GROUP BY 1, 2")

@@ -349,7 +349,7 @@ def number_texts(t):
 @plan("num_parse", f"""{NUMBER_TEXT}
   SELECT l_orderkey, l_linenumber, coalesce(CASE WHEN regexp_full_match(s, '[+-]?\\d+') THEN TRY_CAST(s AS INTEGER) END, 0) AS i,
     coalesce(CASE WHEN regexp_full_match(s, '[+-]?\\d+') THEN TRY_CAST(s AS BIGINT) END, CAST(-1 AS BIGINT)) AS l,
-    coalesce(CASE WHEN regexp_full_match(s, '[+-]?\\d+(\\.\\d+)?') THEN TRY_CAST(s AS DOUBLE) END, CAST(0.5 AS DOUBLE)) AS d FROM n""")
+    coalesce(CASE WHEN regexp_full_match(trim(s), '[+-]?\\d+(\\.\\d+)?') THEN TRY_CAST(trim(s) AS DOUBLE) END, CAST(0.5 AS DOUBLE)) AS d FROM n""")
 def num_parse(t):
     s = F.col("s")
     return number_texts(t).select("l_orderkey", "l_linenumber", numbers.to_int(s).alias("i"), numbers.to_long(s, -1).alias("l"),

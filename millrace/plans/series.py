@@ -17,16 +17,13 @@ def span(df, column, pattern="yyyy-MM-dd"):
     return (low.strftime("%Y-%m-%d"), high.strftime("%Y-%m-%d")) if hasattr(low, "strftime") else (str(low), str(high))
 
 
-BATCH = 1_000_000  # larger than any span of days
-
-
 @plan("seq_dates", """
   WITH d AS (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 7 DAY)) AS v FROM orders),
   s AS (SELECT strftime(v, '%Y%m%d') AS value, lag(strftime(v, '%Y%m%d')) OVER (ORDER BY v) AS "prevValue", v FROM d)
   SELECT value, "prevValue", (SELECT count(*) FROM orders WHERE o_orderdate >= v AND o_orderdate < v + INTERVAL 7 DAY) AS orders FROM s""")
 def seq_dates(t):
     first, last = (x.replace("-", "") for x in span(t.orders, "o_orderdate"))
-    slices = sequence.generate_sequence(t.spark, SequenceConfig("orders", init=first, max=last, step="7D", format="yyyyMMdd", batch=BATCH), context=CONTEXT)
+    slices = sequence.generate_sequence(t.spark, SequenceConfig("orders", init=first, max=last, step="7D", format="yyyyMMdd", batch=None), context=CONTEXT)
     start = F.lit(f"{first[:4]}-{first[4:6]}-{first[6:]}").cast("date")
     per_slice = t.orders.groupBy((F.floor(F.datediff("o_orderdate", start) / 7)).cast("int").alias("n")).agg(F.count(F.lit(1)).alias("orders"))
     return slices.join(per_slice, "n", "left").select("value", "prevValue", F.coalesce("orders", F.lit(0)).alias("orders"))
@@ -38,24 +35,45 @@ def seq_dates(t):
     (SELECT count(*) FROM lineitem WHERE l_orderkey >= v AND l_orderkey < v + 1000) AS lines FROM s""")
 def seq_numbers(t):
     _, high = span(t.lineitem, "l_orderkey")
-    slices = sequence.generate_sequence(t.spark, SequenceConfig("lines", sequence.NUMBER, init="0", max=high, step="1000", batch=BATCH), context=CONTEXT)
-    per_slice = t.lineitem.groupBy((F.floor(F.col("l_orderkey") / 1000)).cast("int").alias("n")).agg(F.count(F.lit(1)).alias("lines"))
+    slices = sequence.generate_sequence(t.spark, SequenceConfig("lines", sequence.NUMBER, init="0", max=high, step="1000", batch=None), context=CONTEXT)
+    per_slice = t.lineitem.groupBy((F.floor(F.col("l_orderkey") / 1000)).alias("n")).agg(F.count(F.lit(1)).alias("lines"))
     return slices.join(per_slice, "n", "left").select("value", "prevValue", F.coalesce("lines", F.lit(0)).alias("lines"))
 
 
 @plan("seq_month_end", """
-  WITH RECURSIVE b AS (SELECT last_day(min(o_orderdate)) AS lo, max(o_orderdate) AS hi FROM orders),
+  WITH RECURSIVE b AS (SELECT last_day(min(o_orderdate) - INTERVAL 1 MONTH) AS lo, max(o_orderdate) AS hi FROM orders),
   s AS (SELECT 0 AS n, CAST(lo AS TIMESTAMP) AS v, hi FROM b UNION ALL SELECT n + 1, v + INTERVAL 1 MONTH, hi FROM s WHERE v + INTERVAL 1 MONTH <= hi),
   w AS (SELECT v, lead(v) OVER (ORDER BY v) AS until FROM s)
-  SELECT strftime(v, '%Y-%m-%d') AS value, (SELECT count(*) FROM orders WHERE o_orderdate >= v AND o_orderdate < coalesce(until, v + INTERVAL 1 DAY)) AS orders FROM w""")
+  SELECT strftime(v, '%Y-%m-%d') AS value, (SELECT count(*) FROM orders WHERE o_orderdate >= v AND (until IS NULL OR o_orderdate < until)) AS orders FROM w""")
 def seq_month_end(t):
-    row = t.orders.agg(F.last_day(F.min("o_orderdate")).alias("lo"), F.max("o_orderdate").alias("hi")).first()
-    config = SequenceConfig("months", init=f"{row.lo:%Y-%m-%d}", max=f"{row.hi:%Y-%m-%d}", step="1M", batch=BATCH)
+    row = t.orders.agg(F.last_day(F.add_months(F.min("o_orderdate"), -1)).alias("lo"), F.max("o_orderdate").alias("hi")).first()
+    config = SequenceConfig("months", init=f"{row.lo:%Y-%m-%d}", max=f"{row.hi:%Y-%m-%d}", step="1M", batch=None)
     days = sequence.slice_days(sequence.generate_sequence(t.spark, config, context=CONTEXT))
     per_day = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return days.join(per_day, "day", "left").groupBy("value").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orders"))
 
 
+@plan("seq_template", """
+  WITH d AS (SELECT unnest(generate_series(min(ts)::DATE, min(ts)::DATE + 9, INTERVAL 3 DAY)) AS v FROM events)
+  SELECT strftime(v, '%Y%m%d') AS value, (SELECT count(*) FROM events WHERE ts::DATE >= v AND ts::DATE < v + INTERVAL 3 DAY) AS events FROM d""")
+def seq_template(t):
+    first = t.events.agg(F.min("ts").alias("lo")).first().lo
+    config = SequenceConfig("s", init=f"{first:%Y%m%d}", max=f"@{{date'{first:%Y-%m-%d}' + interval 9 day}}", step="3D", format="yyyyMMdd", batch=None)
+    days = sequence.slice_days(sequence.generate_sequence(t.spark, config, context=CONTEXT), "yyyyMMdd")
+    per_day = t.events.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return days.join(per_day, "day", "left").groupBy("value").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("events"))
+
+
+@plan("seq_number_template", """
+  WITH s AS (SELECT unnest(generate_series(CAST(0 AS BIGINT), (SELECT 2 * count(*) FROM nation) - 1, 10)) AS v)
+  SELECT CAST(v AS VARCHAR) AS value, (SELECT count(*) FROM nation WHERE n_nationkey >= v AND n_nationkey < v + 10) AS nations FROM s""")
+def seq_number_template(t):
+    config = SequenceConfig("s", sequence.NUMBER, init="0", max=f"@{{2 * {t.nation.count()}}}", step="10", batch=None)
+    slices = sequence.generate_sequence(t.spark, config, context=CONTEXT)
+    per_slice = t.nation.groupBy((F.floor(F.col("n_nationkey") / 10)).alias("n")).agg(F.count(F.lit(1)).alias("nations"))
+    return slices.join(per_slice, "n", "left").select("value", F.coalesce("nations", F.lit(0)).alias("nations"))
+
+
 def stored_state(t):
     """Counters left by an earlier run: the first order day of each status as last value."""
     return t.orders.groupBy(F.col("o_orderstatus").alias("code")).agg(F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("value")).select(
@@ -90,25 +108,26 @@ def seq_state(t):
     (SELECT count(*) FROM events WHERE event_type = 'error' AND ts >= v AND ts < v + INTERVAL 1 DAY) AS errors FROM d""")
 def seq_slices(t):
     row = t.events.agg(F.min("ts").alias("lo"), F.date_add(F.to_date(F.max("ts")), 5).alias("hi")).first()
-    days = sequence.generate_sequence(t.spark, SequenceConfig("days", init=f"{row.lo:%Y-%m-%d}", max=f"{row.hi:%Y-%m-%d}", batch=BATCH), context=CONTEXT)
+    days = sequence.generate_sequence(t.spark, SequenceConfig("days", init=f"{row.lo:%Y-%m-%d}", max=f"{row.hi:%Y-%m-%d}", batch=None), context=CONTEXT)
     per_day = t.events.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("value")).agg(
         F.count(F.lit(1)).alias("events"), F.count_if(F.col("event_type") == "error").alias("errors"))
     return days.join(per_day, "value", "left").select("value", F.coalesce("events", F.lit(0)).alias("events"), F.coalesce("errors", F.lit(0)).alias("errors"))
 
 
-# Request events: the payload is built from the event row, one of nine forms by event id
+# Request events: the payload is built from the event row, one of nine forms by event id; each form shows one rule
 
 PAYLOADS_SQL = r"""WITH q AS (SELECT event_id, user_id, event_type, value, ts, CASE event_id % 9
-      WHEN 0 THEN 'query detail' || event_type || ' ($id: Long) {\n  shop(id: $id) {\n    id\n  }\n  visits(first: 5) { total }\n}'
-      WHEN 1 THEN '{\n  ' || event_type || 'List(first: ' || user_id || ', filter: {any: [{badge: ' || event_id || '}]}, sort: [\"badge\", \"down:age\"]) { items { id } } # done\n}'
-      WHEN 2 THEN 'mutation { add' || event_type || '(id: $id, title: \"t, ' || user_id || '\", on: true, gap: null, kind: HOME, price: -1.5) { id } }'
-      WHEN 3 THEN '{ one { id } two(first: 1) { id } }'
+      WHEN 0 THEN 'query Feed_' || event_type || '($u: Int!, $lim: [Float!] = [1.0]) @cached(ttl: 9) { timeline(of: $u) { at } }'
+      WHEN 1 THEN '{ clicks(window: [[1, 2], [' || event_id || ']], at: {lat: -0.5, tags: []}, mode: FAST) }'
+      WHEN 2 THEN 'subscription { live: stream_' || event_type || '(key: $k, none: $zz, size: $n) @defer(label: \"x\") { ... on Row @keep { v } } }'
+      WHEN 3 THEN '{ left { a } right }'
       WHEN 4 THEN '   '
-      WHEN 5 THEN '{ shops(filter: {phone: 话}) { id } }'
-      WHEN 6 THEN 'fragment F on T { id }'
-      WHEN 7 THEN 'subscription { alias: ' || event_type || ' @include(if: $on) { id ...F } } fragment F on T { name }'
-      ELSE '{ broken { id }' END AS payload,
-    CASE event_id % 9 WHEN 0 THEN '{"id":"' || user_id || '"}' WHEN 2 THEN '{id: ''v' || user_id || '''}' ELSE '' END AS vars FROM events)"""
+      WHEN 5 THEN '{ clicks(user: %) }'
+      WHEN 6 THEN 'type Row { v: Int }'
+      WHEN 7 THEN 'mutation Put_' || event_type || ' {\n  # kept as it is }\n  put { id }\n}'
+      ELSE '{ clicks [ }' END AS payload,
+    CASE event_id % 9 WHEN 0 THEN '{"u": ' || user_id || ', "deep": {"k": [' || event_id || ', true, null, 1.50]}}'
+      WHEN 2 THEN '{k: ''v' || user_id || ''', n: ' || event_id || '}' ELSE '' END AS vars FROM events)"""
 
 
 def requests(t):
@@ -118,15 +137,16 @@ def requests(t):
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
     forms = [
-        text("query detail", kind, r" ($id: Long) {\n  shop(id: $id) {\n    id\n  }\n  visits(first: 5) { total }\n}"),
-        text(r"{\n  ", kind, "List(first: ", user, ", filter: {any: [{badge: ", event, r'}]}, sort: [\"badge\", \"down:age\"]) { items { id } } # done\n}'),
-        text("mutation { add", kind, r'(id: $id, title: \"t, ', user, r'\", on: true, gap: null, kind: HOME, price: -1.5) { id } }'),
-        text("{ one { id } two(first: 1) { id } }"), text("   "), text("{ shops(filter: {phone: 话}) { id } }"), text("fragment F on T { id }"),
-        text("subscription { alias: ", kind, " @include(if: $on) { id ...F } } fragment F on T { name }"), text("{ broken { id }")]
+        text("query Feed_", kind, "($u: Int!, $lim: [Float!] = [1.0]) @cached(ttl: 9) { timeline(of: $u) { at } }"),
+        text("{ clicks(window: [[1, 2], [", event, "]], at: {lat: -0.5, tags: []}, mode: FAST) }"),
+        text("subscription { live: stream_", kind, r'(key: $k, none: $zz, size: $n) @defer(label: \"x\") { ... on Row @keep { v } } }'),
+        text("{ left { a } right }"), text("   "), text("{ clicks(user: %) }"), text("type Row { v: Int }"),
+        text("mutation Put_", kind, r" {\n  # kept as it is }\n  put { id }\n}"), text("{ clicks [ }")]
     payload = forms[-1]
     for i, form in enumerate(forms[:-1]):
         payload = F.when(F.col("event_id") % 9 == i, form).otherwise(payload)
-    variables = F.when(F.col("event_id") % 9 == 0, text('{"id":"', user, '"}')).when(F.col("event_id") % 9 == 2, text("{id: 'v", user, "'}")).otherwise("")
+    typed = text('{"u": ', user, ', "deep": {"k": [', event, ", true, null, 1.50]}}")
+    variables = F.when(F.col("event_id") % 9 == 0, typed).when(F.col("event_id") % 9 == 2, text("{k: 'v", user, "', n: ", event, "}")).otherwise("")
     return t.events.select("event_id", "user_id", "event_type", "value", "ts", payload.alias("payload"), variables.alias("vars"))
 
 
@@ -134,24 +154,30 @@ def parsed(t):
     return events.with_request(requests(t), F.col("payload"), F.col("vars"))
 
 
-@plan("gql_header", rf"""{PAYLOADS_SQL}, u AS (SELECT *, replace(replace(payload, '\n', chr(10)), '\"', '"') AS p FROM q)
-  SELECT event_id, CASE WHEN trim(p) = '' THEN 'PROFILE' WHEN event_id % 9 IN (5, 8) OR regexp_matches(p, '^\s*fragment') THEN NULL
-      WHEN regexp_matches(p, '^\s*\{{') THEN 'QUERY' ELSE upper(regexp_extract(p, '^\s*(query|mutation|subscription)', 1)) END AS type,
-    CASE WHEN event_id % 9 IN (3, 4, 5, 6, 8) THEN NULL WHEN regexp_matches(p, '^\s*\w+\s+\w') THEN regexp_extract(p, '^\s*\w+\s+(\w+)', 1)
-      ELSE regexp_extract(p, '^[^{{]*\{{\s*(?:\w+\s*:\s*)?(\w+)', 1) END AS name FROM u""")
+@plan("gql_header", f"""{PAYLOADS_SQL} SELECT event_id,
+    CASE event_id % 9 WHEN 4 THEN 'PROFILE' WHEN 2 THEN 'SUBSCRIPTION' WHEN 7 THEN 'MUTATION' WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 8 THEN NULL ELSE 'QUERY' END AS type,
+    CASE event_id % 9 WHEN 0 THEN 'Feed_' || event_type WHEN 1 THEN 'clicks' WHEN 2 THEN 'stream_' || event_type WHEN 7 THEN 'Put_' || event_type END AS name FROM q""")
 def gql_header(t):
     return parsed(t).select("event_id", "type", "name")
 
 
-@plan("gql_variables", f"""{PAYLOADS_SQL} SELECT event_id, CASE WHEN starts_with(payload, 'query detail') THEN vars END AS params FROM q""")
+@plan("gql_variables", f"""{PAYLOADS_SQL} SELECT event_id, CASE WHEN starts_with(payload, 'query Feed') THEN vars END AS params FROM q""")
 def gql_variables(t):
-    named = F.startswith("payload", F.lit("query detail"))
+    named = F.startswith("payload", F.lit("query Feed"))
     return parsed(t).select("event_id", F.when(named, F.col("params")).alias("params"))
 
 
+@plan("gql_variables_typed", f"""{PAYLOADS_SQL} SELECT event_id, user_id AS u, event_id AS first, TRUE AS second FROM q WHERE event_id % 9 = 0""")
+def gql_variables_typed(t):
+    kinds = "struct<u: int, deep: struct<k: array<variant>>>"
+    rows = parsed(t).filter("event_id % 9 = 0").select("event_id", F.from_json("params", kinds).alias("p"))
+    return rows.select("event_id", F.col("p.u").cast("bigint").alias("u"), F.expr("cast(p.deep.k[0] as bigint)").alias("first"),
+                       F.expr("cast(p.deep.k[1] as boolean)").alias("second"))
+
+
 @plan("gql_flat_args", f"""{PAYLOADS_SQL}
-  SELECT event_id, CASE event_id % 9 WHEN 1 THEN '{{"first":"' || user_id || '","filter":{{"any":[{{"badge":"' || event_id || '"}}]}},"sort":["badge","down:age"]}}'
-    WHEN 2 THEN '{{"id":"v' || user_id || '","title":"t, ' || user_id || '","on":"true","gap":"","kind":"HOME","price":"-1.5"}}' WHEN 0 THEN vars END AS params FROM q""")
+  SELECT event_id, CASE event_id % 9 WHEN 1 THEN '{{"window":[["1","2"],["' || event_id || '"]],"at":{{"lat":"-0.5","tags":[]}},"mode":"FAST"}}'
+    WHEN 2 THEN '{{"key":"v' || user_id || '","none":"","size":"' || event_id || '"}}' WHEN 0 THEN vars WHEN 7 THEN '{{}}' END AS params FROM q""")
 def gql_flat_args(t):
     return parsed(t).select("event_id", "params")
 
@@ -184,7 +210,7 @@ def event_attrs_rest(t):
 
 
 @plan("event_type", f"""{PAYLOADS_SQL}
-  SELECT CASE event_id % 9 WHEN 4 THEN 'PROFILE' WHEN 2 THEN 'MUTATION' WHEN 7 THEN 'SUBSCRIPTION' WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 8 THEN NULL ELSE 'QUERY' END AS type, count(*) AS rows FROM q GROUP BY 1""")
+  SELECT CASE event_id % 9 WHEN 4 THEN 'PROFILE' WHEN 7 THEN 'MUTATION' WHEN 2 THEN 'SUBSCRIPTION' WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 8 THEN NULL ELSE 'QUERY' END AS type, count(*) AS rows FROM q GROUP BY 1""")
 def event_type(t):
     return events.normalise_events(event_rows(t)).groupBy("type").agg(F.count(F.lit(1)).alias("rows"))
 

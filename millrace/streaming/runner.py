@@ -26,6 +26,8 @@ def folder_sink(path: str, split_by: str | None = "route", format: str = "parque
     """One folder per batch and, inside it, one per value of ``split_by``. One write
     serves all outputs, so the batch is computed once."""
     def write(df: DataFrame, batch: int) -> None:
+        if split_by and split_by in df.columns:
+            df = df.hint("rebalance", split_by)  # splits hot outputs, merges tiny ones
         writer = df.write.mode("overwrite").format(format)
         if split_by and split_by in df.columns:
             writer = writer.partitionBy(split_by)

@@ -51,7 +51,7 @@ def test_script_refuses_bad_settings(tracks):
 def test_template(spark):
     assert project.template_value(spark, "2017-06-10") == "2017-06-10"
     assert project.template_value(spark, "@{date'2017-06-11' - interval 1 day}") == "2017-06-10"
-    assert project.template_value(spark, "${date'2017-06-11'}", "%Y%m%d") == "20170611"
+    assert project.template_value(spark, "${date'2017-06-11'}", "yyyyMMdd") == "20170611"
     assert project.template_value(spark, "@{null}") == ""
 
 
@@ -133,7 +133,7 @@ def test_parameters():
     sql = "select ':p4', x:p5 from t where a in (:p1,:p2) and b = :p3 and c=:p6"
     assert lookup.parameter_names(sql) == ["p1", "p2", "p3", "p6"]
     bound = lookup.bind_parameters(sql, ["p1"], RunContext(attributes={"p1": "d", "p2": "it's"}))
-    assert "coalesce(input.`p1`, 'd')" in bound and "'it\\'s'" in bound and "b = NULL" in bound and "':p4', x:p5" in bound
+    assert "coalesce(input.`p1`, :attribute_p1),:attribute_p2" in bound and "b = NULL" in bound and "':p4', x:p5" in bound
 
 
 def test_constants_and_names(tracks, edits):
@@ -274,21 +274,28 @@ def test_sequence_settings(spark):
 # Requests and events
 
 @pytest.mark.parametrize("text, expected", [
-    ("{\n  shops(first: 12) {\n    items { label }\n  }\n}\n", ("QUERY", "shops", {"first": "12"})),
-    ('query { staff(filter: {any: [{badge: 77}, {badge: 78}]}, sort: ["badge","down:age"]) { items { age } } }',
-     ("QUERY", "staff", {"filter": {"any": [{"badge": "77"}, {"badge": "78"}]}, "sort": ["badge", "down:age"]})),
-    ('mutation { addShop(data: {kind: MAIN, label: "no. 5", logo: "", rank: 1, open: false, gap: null}) { label } }',
-     ("MUTATION", "addShop", {"data": {"kind": "MAIN", "label": "no. 5", "logo": "", "rank": "1", "open": "false", "gap": ""}})),
-    ("mutation openShop($label: String!) {\\n  addShop(data: {label: $label}) { id }\\n}\\n", ("MUTATION", "openShop", {"v": "x"})),
-    ("{ a(x: $v, y: $w) }", ("QUERY", "a", {"x": "x", "y": ""})), ("{ a b }", ("QUERY", None, None)), ("{ ...F } fragment F on T { a }", ("QUERY", None, None)),
-    ("{ alias: real @skip(if: true) { x } }", ("QUERY", "real", None)), ("query ($a: In = {k: 1}) @d(x: {y: 1}) { a(i: $a) }", ("QUERY", "a", {"i": ""})),
-    ("subscription { ... on T @x { a } }", ("SUBSCRIPTION", None, None)), ("# note\n{ a # b }\n}", ("QUERY", "a", None)),
-    ('{ a(t: "q\\\\\\"uote {(") }', ("QUERY", "a", {"t": 'q"uote {('}))])
+    # kinds of values
+    ("{ f(i: 3, d: 1.5e3, n: -2) }", ("QUERY", "f", {"i": "3", "d": "1.5e3", "n": "-2"})),
+    ("{ f(yes: true, no: false, none: null, word: ANY) }", ("QUERY", "f", {"yes": "true", "no": "false", "none": "", "word": "ANY"})),
+    ('{ f(s: "", t: "a, b") }', ("QUERY", "f", {"s": "", "t": "a, b"})),
+    ('{ f(t: "q\\\\\\"uote {(") }', ("QUERY", "f", {"t": 'q"uote {('})),
+    # depth of nesting
+    ("{ f(l: [[], [1, [2]]]) }", ("QUERY", "f", {"l": [[], ["1", ["2"]]]})),
+    ("{ f(o: {p: {q: [{r: 0}]}}) }", ("QUERY", "f", {"o": {"p": {"q": [{"r": "0"}]}}})),
+    # variables
+    ("{ f(x: $v, y: $w, z: [$v]) }", ("QUERY", "f", {"x": "x", "y": "", "z": ["x"]})),
+    ("query ($c: In = {k: 1}) @d(x: {y: 1}) { f(i: $c) }", ("QUERY", "f", {"i": ""})),
+    ("mutation Named($s: [T!]!) { f(x: 1) g }", ("MUTATION", "Named", {"v": "x"})),
+    # selections, aliases, directives, spreads
+    ("{ f g }", ("QUERY", None, None)), ("{ ...F } fragment F on T { f }", ("QUERY", None, None)),
+    ("{ alias: real @skip(if: true) { x } }", ("QUERY", "real", None)), ("subscription { ... on T @x { f } }", ("SUBSCRIPTION", None, None)),
+    # comments and escaped line ends
+    ("# note\n{ f # g }\n}", ("QUERY", "f", None)), ("{\\n  f(x: 1)\\n}\\n", ("QUERY", "f", {"x": "1"}))])
 def test_requests(text, expected):
     assert read_request(text, {"v": "x"}) == expected
 
 
-@pytest.mark.parametrize("text", ["{shops(filter:{phone:电话}) {total}}", "fragment F on T { a }", "{ a", "{ a } }", "{ a(b: [1}) }", "{ }", "type T { a: Int }",
+@pytest.mark.parametrize("text", ["{ f(x: %) }", "{ f(x: 名) }", "fragment F on T { a }", "{ a", "{ a } }", "{ a(b: [1}) }", "{ }", "type T { a: Int }",
                                   "{ a(b) }", "{ a(b:) }", "hello", '{ a(t: "open) }', "{ a: }", "query", "{ a @ }", "{ a(b: !) }", "{ (x: 1) }"])
 def test_bad_requests(text):
     with pytest.raises((ValueError, IndexError, KeyError)):
@@ -301,14 +308,17 @@ def test_unescape():
 
 
 def test_event_row(spark):
-    df = spark.createDataFrame([{
-        "@timestamp": "2020-05-06T07:08:09.100Z", "use": 23, "pid": 41, "category": "speed", "name": "slow", "tags": [],
-        "attrs": {"respType": "application/json", "requestPayload": "query shopCard ($shop: Long) { shop(id: $shop) { id } }",
-                  "requestVariables": '{"shop":"19"}', "respLength": "512", "respStatus": "200", "browser": "x"}}],
-        "`@timestamp` string, use int, pid int, category string, name string, tags array<string>, attrs map<string,string>")
+    payload, given = "query byDay($d: Date) { days(on: $d) { n } }", '{"d": [2024, true]}'
+    df = spark.sql(f"select 'k7' as id, 5 as offset, map('requestPayload', '{payload}', 'requestVariables', '{given}', 'respLength', '0', 'lang', 'de') as attrs")
     done = events.normalise_events(df).first()
-    assert (done["type"], done["name"], done["category"], done["respStatus"], done["route"]) == ("QUERY", "shopCard", "speed", "200", "success")
-    assert done["params"] == '{"shop":"19"}' and done["attrs"] == {"browser": "x"} and done["use"] == "23" and done["uuid"] == ""
+    assert (done["id"], done["offset"], done["pid"], done["type"], done["name"]) == ("k7", "5", "", "QUERY", "byDay")
+    assert (done["respLength"], done["respType"], done["route"]) == ("0", "", "success")
+    assert done["params"] == given and done["attrs"] == {"lang": "de"}
+
+
+def test_event_without_attributes(spark):
+    done = events.normalise_events(spark.sql("select 'k' as id, cast(null as map<string, string>) as attrs")).first()
+    assert (done["type"], done["respType"], done["route"]) == (None, None, "success")
 
 
 def test_event_from_struct_and_failure(spark):
@@ -366,6 +376,20 @@ def test_map_rows_keeps_bad_rows(spark):
     assert len(bad) == 10 and {r.errorMessage for r in bad} == {"seven"} and '{"id":7}' in {r.failedInput for r in bad}
 
 
+def test_map_rows_loses_no_row(spark):
+    short = project.map_rows(spark.range(10, numPartitions=1), lambda b: b[b["id"] % 5 != 3] if len(b) > 1 else b[b["id"] % 5 != 3], "id bigint").collect()
+    assert len(short) == 10 and sum(r.errorMessage == "0 results for 1 rows" for r in short) == 2
+    runs = spark.sparkContext.accumulator(0)
+
+    def told(batch):
+        runs.add(len(batch))
+        return batch.assign(errorMessage=[f"bad {i}" if i % 4 == 0 else None for i in batch["id"]])
+
+    marked = project.map_rows(spark.range(100), told, "id bigint").collect()
+    assert sum(r.errorMessage is not None for r in marked) == 25 and runs.value == 100
+    assert all((r.id is None) == (r.errorMessage is not None) for r in marked)
+
+
 # Schema
 
 def test_conform_is_idempotent_and_checked(spark):
