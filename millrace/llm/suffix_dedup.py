@@ -25,7 +25,7 @@ LENGTH, GRAM = 50, 20
 GRAMS = LENGTH - GRAM + 1
 PIECE = 1 << 20  # bytes of a text that are hashed at once
 HELD = 400_000  # slices packed into one set of shuffle rows
-RANGES = 2_000_000  # ranges or slices that each executor may hold; beyond it both sides are shuffled
+COPIES = 2_000_000  # groups of equal texts that each executor may hold; beyond it both sides are shuffled
 P = 0x5851F42D4C957F2D
 CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -363,9 +363,9 @@ def _sort_shard(table: pa.Table) -> pa.Table:
     return pa.table({"doc": doc[part], "at": at[part] + first, "n": count})
 
 
-def _with_texts(first: DataFrame, lists: DataFrame, how: str, many: int) -> DataFrame:
-    """Texts joined with a stored table (doc, …) of lists that hold ``many`` entries in all."""
-    return first.join(F.broadcast(lists) if many <= RANGES else lists, F.col("doc_id") == F.col("doc"), how)
+def _with_texts(first: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """Texts joined with a stored table (doc, …) of lists, which grow with the texts: no hint, at any size."""
+    return first.join(lists, F.col("doc_id") == F.col("doc"), how)
 
 
 def removed_ranges(docs: DataFrame) -> DataFrame:
@@ -374,8 +374,7 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     settled = stored(_sliced(docs, buckets).groupBy("bucket").applyInArrow(
         _settle, "kind int, doc long, at long, n long, gram long"), "settled")
     asked = stored(settled.where("kind = 1").groupBy("doc").agg(F.collect_list(F.struct("at", "n", "gram")).alias("asked")), "asked")
-    many = asked.agg(F.coalesce(F.sum(F.size("asked")), F.lit(0)).alias("n")).first()["n"]
-    cut = _with_texts(docs, asked, "inner", many).select("doc_id", "text", "asked").mapInArrow(
+    cut = _with_texts(docs, asked, "inner").select("doc_id", "text", "asked").mapInArrow(
         _cut, "doc long, at long, gram long, part binary")
     found = cut.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("shard").applyInArrow(
         _sort_shard, "doc long, at long, n long")
@@ -409,12 +408,11 @@ def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
     # of equal texts, the earliest stands for all; the others go as a whole
     classes = long.groupBy(F.md5("text").alias("sum")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     copies = stored(classes.where("first < last"), "copies")
-    few = F.broadcast(copies) if bounded(copies, RANGES) else copies
+    few = F.broadcast(copies) if bounded(copies, COPIES) else copies
     marked = rows.withColumn("sum", F.when(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH), F.md5("text")))
     marked = marked.join(few, "sum", "left").withColumn("whole", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
     firsts = marked.where(F.col("sum").isNotNull() & ~F.col("whole")).select("doc_id", "text")
     ranges = stored(removed_ranges(firsts), "ranges")
-    many = ranges.agg(F.coalesce(F.sum(F.size("ranges")), F.lit(0)).alias("n")).first()["n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -434,5 +432,5 @@ def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return _with_texts(marked.select("doc_id", "text", "whole"), ranges, "left", many).select(
+    return _with_texts(marked.select("doc_id", "text", "whole"), ranges, "left").select(
         "doc_id", "text", "whole", "ranges").mapInArrow(run, schema)
