@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,14 +97,14 @@ def chosen_texts(docs: DataFrame, ids: DataFrame, most: int) -> list:
         F.broadcast(ids), F.col("doc_id") == F.col("_id")).orderBy("doc_id", "text").limit(most).select("text", *others).collect()
 
 
-def fitted(spark: SparkSession, fit: Callable, *args, **settings):
-    """``fit(*args)``, on a bounded sample, in a task: there numpy keeps to the cores of a task, and a lost executor's
-    work is done again. The model comes back to the driver."""
-    told = spark.sparkContext.broadcast((fit, args, settings))
+def fitted(fit: Callable, kind: type, spark: SparkSession, *args, **settings):
+    """``fit(*args)``, a model of this kind, on a bounded sample, in a task: there numpy keeps to the cores of a task, and a
+    lost executor's work is done again. The model's fields come back to the driver."""
+    told = spark.sparkContext.broadcast((args, settings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _ in batches:
-            f, a, s = told.value
-            yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(f(*a, **s))], pa.binary())], ["model"])
+            given, named = told.value
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(vars(fit(*given, **named)))], pa.binary())], ["model"])
 
-    return pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(run, "model binary").first()["model"])
+    return kind(**pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(run, "model binary").first()["model"]))

@@ -99,19 +99,20 @@ def train(docs: DataFrame, allowed, rows: int = 2000) -> Model:
     for name in names:
         ids = chosen_ids(known.where(F.col("lang") == name), each)
         picked += chosen_texts(docs, ids.withColumn("lang", F.lit(name)), each)
-    return fitted(docs.sparkSession, fit, [r.text.encode() for r in picked], [r.lang for r in picked])
+    return fitted(fit, Model, docs.sparkSession, [r.text.encode() for r in picked], [r.lang for r in picked])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add lang_pred and score (0 to 1) to every row; columns of these names are replaced. Null texts and texts without
     a letter get ``und`` and 0. Equal texts get equal answers; an empty table gives an empty one."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^13 x 128 floats and less, whatever the data
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # 2^13 x 128 floats and less, whatever the data
     docs = docs.drop("lang_pred", "score")
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(**shared.value)
         for batch in small_batches(batches):
-            langs, scores = predict(shared.value, raw_texts(batch, text))
+            langs, scores = predict(model, raw_texts(batch, text))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores)],
                                              [*batch.schema.names, "lang_pred", "score"])
 

@@ -309,7 +309,7 @@ def scores(docs: DataFrame, learn: Column, rows: int = 1500, vocabulary: str = V
     picked = chosen_texts(train, chosen_ids(train.where(F.length("text") > 0), rows), rows)
     encoder = Encoder(ranks.value)
     numbers = [encoder.numbers(words_of(r.text.encode())) for r in picked]
-    shared = spark.sparkContext.broadcast(fitted(spark, fit, *sequences(numbers, *encoder.tables()), id_counts))
+    shared = spark.sparkContext.broadcast(vars(fitted(fit, Model, spark, *sequences(numbers, *encoder.tables()), id_counts)))
 
     top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
     bound = (int(top["n"].iloc[-1]), bytes(top["word"].iloc[-1])) if len(top) == HEAD else None
@@ -320,7 +320,7 @@ def scores(docs: DataFrame, learn: Column, rows: int = 1500, vocabulary: str = V
     keyed = docs.select("doc_id", "text", learn.alias("learnt"), F.xxhash64("doc_id", "text").alias("key"))
 
     def model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lm, known = Encoder(ranks.value), shared.value, head.value
+        encoder, lm, known = Encoder(ranks.value), Model(**shared.value), head.value
         for batch in small_batches(batches, rows=500, size=2 << 20):
             texts = [words_of(t) for t in raw_texts(batch)]
             numbers = [encoder.numbers(w) for w in texts]

@@ -119,11 +119,11 @@ def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score")
     scores. A column that is already called ``to`` is replaced. An empty table gives an empty table."""
     spark = docs.sparkSession
     docs = docs.drop(to)
-    shared = spark.sparkContext.broadcast(model)  # 2 x 2^18 floats, whatever the data
+    shared = spark.sparkContext.broadcast(vars(model))  # 2 x 2^18 floats, whatever the data
     schema = StructType([*docs.schema.fields, StructField(to, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(**shared.value)
         for batch in small_batches(batches):
             z = np.clip(margins(m, raw_texts(batch, text)) * m.slope + m.shift, -30, 30)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-z)))],
@@ -149,4 +149,4 @@ def train(docs: DataFrame, labels: DataFrame, allowed, label: str = "quality", m
     """Fit on a bounded sample: at most ``most`` labelled rows of class 0 and 1."""
     picked = sample(docs, labels, label, allowed, most)
     rate = labels.where(F.col(label).isin(0, 1)).agg(F.avg(label).alias("r")).first()["r"]
-    return fitted(docs.sparkSession, fit, [r.text.encode() for r in picked], [r._y for r in picked], rate=rate)
+    return fitted(fit, Model, docs.sparkSession, [r.text.encode() for r in picked], [r._y for r in picked], rate=rate)

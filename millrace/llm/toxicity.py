@@ -267,17 +267,17 @@ def train(docs: DataFrame, labels: DataFrame, allowed, most: tuple[int, int] = (
     """Fit on a bounded sample: at most ``most`` labelled rows of class 0 and 1."""
     picked = sample(docs, labels, "toxic", allowed, most)
     rate = labels.where(F.col("toxic").isin(0, 1)).agg(F.avg("toxic").alias("r")).first()["r"]
-    return fitted(docs.sparkSession, fit, [r.text.encode() for r in picked], [r._y for r in picked], rate)
+    return fitted(fit, Model, docs.sparkSession, [r.text.encode() for r in picked], [r._y for r in picked], rate)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:
     """Add ``to``, 0 to 1, to every row. Null and empty texts get one low score. Equal texts get equal scores. A column
     that is already called ``to`` is replaced; an empty table gives an empty one."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # some MB, whatever the data
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # some MB, whatever the data
     docs = docs.drop(to)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(**shared.value)
         for batch in small_batches(batches, rows=500, size=2 << 20):
             z = text_logits(m.p, Texts(raw_texts(batch, text)), batch.num_rows) * m.slope + m.shift
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_sigmoid(np.clip(z, -30, 30)).astype(float))],
