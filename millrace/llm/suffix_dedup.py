@@ -26,6 +26,7 @@ GRAMS = LENGTH - GRAM + 1
 PIECE = 1 << 20  # bytes of a text that are hashed at once
 HELD = 400_000  # slices packed into one set of shuffle rows
 COPIES = 2_000_000  # groups of equal texts that each executor may hold; beyond it both sides are shuffled
+SHARD = 20_000  # slices of one gram that go to one shard
 P = 0x5851F42D4C957F2D
 CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -295,18 +296,33 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).combine_chunks().flatten().to_numpy()
 
 
+def _later(gram: np.ndarray, content: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by gram, content and document, and in it: which slices an earlier document has too, and the first
+    document of each slice's content."""
+    order = np.lexsort((doc, content, gram))
+    new = np.ones(len(order), bool)
+    new[1:] = (gram[order][1:] != gram[order][:-1]) | (content[order][1:] != content[order][:-1])
+    least = doc[order][new][np.cumsum(new) - 1]
+    return order, doc[order] > least, least
+
+
 def _sliced(first: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, gram, content, doc, at, n): slices of all texts, packed by bucket before the shuffle."""
-    def packed(held: list[tuple]) -> pa.RecordBatch:
-        columns = [np.concatenate(x) for x in zip(*held)]
-        bucket = (mix64(columns[0]) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        change = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0]))
-        offsets = pa.array(np.append(change, len(order)).astype(np.int32))
-        kinds = (np.int64, np.int64, np.int64, np.int32, np.int32)
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(c[order].astype(k))) for c, k in zip(columns, kinds)]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[order][change].astype(np.int32)), *lists],
-                                          ["bucket", "gram", "content", "doc", "at", "n"])
+    """(kind, bucket, gram, content, doc, at, n): slices of all texts, packed by bucket before the shuffle. What an earlier
+    document of the same pack holds too is settled there (``kind`` 0), so a content that many documents share is sent
+    once for each pack."""
+    def packed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        gram, content, doc, at, n = (np.concatenate(x) for x in zip(*held))
+        order, later, _ = _later(gram, content, doc)
+        for kind, rows in ((0, order[later]), (1, order[~later])):
+            bucket = (mix64(gram[rows]) % np.uint64(buckets)).astype(np.int64)
+            rows, bucket = rows[(by := np.argsort(bucket, kind="stable"))], bucket[by]
+            change = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0])[: len(rows)])
+            offsets = pa.array(np.append(change, len(rows)).astype(np.int32))
+            columns = [c[rows].astype(k) for c, k in zip((gram, content, doc, at, n), (np.int64, np.int64, np.int64, np.int32, np.int32))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(change), kind, np.int32)), pa.array(bucket[change].astype(np.int32)),
+                 *[pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]],
+                ["kind", "bucket", "gram", "content", "doc", "at", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, held, many = Powers(), [], 0
@@ -316,34 +332,35 @@ def _sliced(first: DataFrame, buckets: int) -> DataFrame:
                 held.append((gram, content, np.full(len(gram), doc, np.int64), at, n))
                 many += len(gram)
                 if many > HELD:
-                    yield packed(held)
+                    yield from packed(held)
                     held, many = [], 0
         if many:
-            yield packed(held)
+            yield from packed(held)
 
     return first.select("doc_id", "text").mapInArrow(
-        run, "bucket int, gram array<long>, content array<long>, doc array<long>, at array<int>, n array<int>")
+        run, "kind int, bucket int, gram array<long>, content array<long>, doc array<long>, at array<int>, n array<int>")
 
 
 def _settle(table: pa.Table) -> pa.Table:
     """Slices of one bucket: those whose content an earlier document has (``kind`` 0), and where a gram has several
     contents, the earliest slices of each (``kind`` 1)."""
+    before = table.filter(pa.array(table.column("kind").to_numpy() == 0))
+    table = table.filter(pa.array(table.column("kind").to_numpy() == 1))
     gram, content, doc, at, n = (_flat(table, c) for c in ("gram", "content", "doc", "at", "n"))
-    order = np.lexsort((doc, content, gram))
-    gram, content, doc, at, n = (x[order] for x in (gram, content, doc, at, n))
-    new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])[: len(gram)]
-    new = new_gram | np.concatenate([[True], content[1:] != content[:-1]])[: len(gram)]
-    which = np.cumsum(new) - 1
-    least = doc[new][which]
-    later = doc > least
+    order, later, least = _later(gram, content, doc)
+    gram, doc, at, n = (x[order] for x in (gram, doc, at, n))
     # of each gram: the smallest and largest of its contents' first documents
+    new_gram = np.ones(len(gram), bool)
+    new_gram[1:] = gram[1:] != gram[:-1]
     starts = np.flatnonzero(new_gram)
-    of = np.cumsum(new_gram) - 1
-    several = (np.maximum.reduceat(least, starts) != np.minimum.reduceat(least, starts))[of] if len(starts) else later
+    several = (np.maximum.reduceat(least, starts) != np.minimum.reduceat(least, starts))[np.cumsum(new_gram) - 1] if len(starts) else later
     ask = ~later & several
     keep = later | ask
-    return pa.table({"kind": ask[keep].astype(np.int32), "doc": doc[keep], "at": at[keep].astype(np.int64),
-                     "n": n[keep].astype(np.int64), "gram": gram[keep]})
+    zero = _flat(before, "doc")
+    return pa.table({
+        "kind": np.concatenate([np.zeros(len(zero), np.int32), ask[keep].astype(np.int32)]),
+        **{name: np.concatenate([_flat(before, name).astype(np.int64), values[keep].astype(np.int64)])
+           for name, values in (("doc", doc), ("at", at), ("n", n), ("gram", gram))}})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,6 +385,14 @@ def _with_texts(first: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return first.join(lists, F.col("doc_id") == F.col("doc"), how)
 
 
+def _windows_one_by_one(cut: DataFrame) -> DataFrame:
+    """(doc, at, n): windows that a smaller document holds, by grouping the windows themselves."""
+    windows = cut.select("doc", "at", "part", F.explode(F.sequence(F.lit(0), F.length("part") - LENGTH)).alias("i")).select(
+        "doc", (F.col("at") + F.col("i")).alias("at"), F.substring("part", F.col("i") + 1, F.lit(LENGTH)).alias("window"))
+    first = windows.groupBy("window").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    return windows.join(first, "window").where("doc > first").select("doc", "at", F.lit(1).cast("long").alias("n"))
+
+
 def removed_ranges(docs: DataFrame) -> DataFrame:
     """(doc, ranges): for documents of distinct texts, the windows to remove, as first window and number."""
     buckets = 4 * partitions(docs.sparkSession)
@@ -376,8 +401,16 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     asked = stored(settled.where("kind = 1").groupBy("doc").agg(F.collect_list(F.struct("at", "n", "gram")).alias("asked")), "asked")
     cut = _with_texts(docs, asked, "inner").select("doc_id", "text", "asked").mapInArrow(
         _cut, "doc long, at long, gram long, part binary")
+    # a gram with very many contents would fill a shard: its windows are counted one by one instead, which splits it
+    hot = stored(settled.where("kind = 1").groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > SHARD).select("gram"), "hot")
+    apart = None
+    if not hot.isEmpty():
+        slices_of_hot = stored(cut.join(hot, "gram", "left_semi"), "hot-slices")
+        cut = cut.join(hot, "gram", "left_anti")
+        apart = _windows_one_by_one(slices_of_hot)
     found = cut.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("shard").applyInArrow(
         _sort_shard, "doc long, at long, n long")
+    found = found if apart is None else found.union(apart)
     return settled.where("kind = 0").select("doc", "at", "n").union(found).groupBy("doc").agg(
         F.array_sort(F.collect_list(F.struct("at", "n"))).alias("ranges"))
 

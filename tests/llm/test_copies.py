@@ -117,6 +117,8 @@ def test_removed_bytes(spark):
 def test_removed_bytes_in_small_pieces(spark, monkeypatch):
     """Pieces of a text, shuffle rows and joins as they are for large inputs."""
     monkeypatch.setattr(suffix_dedup, "COPIES", 0)
+    monkeypatch.setattr(suffix_dedup, "SHARD", 1)
+    monkeypatch.setattr(suffix_dedup, "HELD", 50)
     df, texts = awkward(spark, seed=6)
     assert Counter(tuple(r) for r in suffix_dedup.deduplicated(df).collect()) == brute_removal(texts)
     whole = suffix_dedup.slices(b"ab" * 900 + bytes(range(256)) * 5, suffix_dedup.Powers())
