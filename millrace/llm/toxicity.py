@@ -1,6 +1,6 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word enters as the mean vector of its character n-grams (3 to 5 bytes of ``^word$``, hashed), a vector of its own and
+A word enters as the mean vector of its character n-grams (3, 5 and 7 bytes of ``^word$``, hashed), a vector of its own and
 the log odds of both among the training texts. All overlapping windows of a text are scored; the text's logit is that of
 its worst window, turned into a score by a logistic curve.
 """
@@ -36,20 +36,20 @@ class Model:
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed character n-grams of all words in a row, the start of each word's share, and each word's own hash."""
-    text = b"".join([b"^" + w + b"$ABCD" for w in words])
+    text = b"".join([b"^" + w + b"$ABCDEF" for w in words])
     b = np.frombuffer(text, np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 2  # with both ends
-    start = np.concatenate([[0], np.cumsum(size + 4)[:-1]])
+    start = np.concatenate([[0], np.cumsum(size + 6)[:-1]])
     # positions with a 3-gram inside ^word$ carry one gram of each length; past the end, longer ones take the 3-gram's place
     count = np.maximum(size - 2, 1)
     first = np.concatenate([[0], np.cumsum(count)[:-1]])
     at = np.arange(int(count.sum())) - np.repeat(first - start, count)
     left = np.repeat(start + size, count) - at
     three = b[at] << np.uint64(16) | b[at + 1] << np.uint64(8) | b[at + 2]
-    four = three << np.uint64(8) | b[at + 3]
-    five = four << np.uint64(8) | b[at + 4]
-    four, five = np.where(left >= 4, four, three), np.where(left >= 5, five, three)
-    codes = np.stack([three, four, five], 1)
+    five = three << np.uint64(16) | b[at + 3] << np.uint64(8) | b[at + 4]
+    seven = five << np.uint64(16) | b[at + 5] << np.uint64(8) | b[at + 6]
+    five, seven = np.where(left >= 5, five, three), np.where(left >= 7, seven, three)
+    codes = np.stack([three, five, seven], 1)
     codes = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CHAR_BITS)
     sums = np.zeros(len(b) + 1, np.uint64)
     powers = np.cumprod(np.full(len(b), 0x5851F42D4C957F2D, np.uint64))
@@ -179,17 +179,19 @@ def _gradients(p: dict, t: Texts, rows: np.ndarray, y: np.ndarray) -> tuple[floa
 
 
 def _odds(t: Texts, texts: int, y: np.ndarray, size: int, of_word) -> np.ndarray:
-    """Log odds of a feature among toxic and other texts, by presence; 0 for what is not more frequent in toxic ones."""
+    """Log odds of a feature among toxic and other texts, by presence, less their standard error; 0 for what is not surely
+    more frequent in toxic ones."""
     counts = np.zeros((2, size))
     for i in range(texts):
         words = np.unique(t.windows[t.of == i])
         counts[int(y[i])][of_word(words[words > 0])] += 1
     n = np.bincount(y.astype(int), minlength=2)
-    odds = np.log((counts[1] + 0.2) / (n[1] + 0.4)) - np.log((counts[0] + 0.2) / (n[0] + 0.4))
-    return np.where(counts[1] >= np.maximum(2, 0.008 * n[1]), np.clip(odds, 0, 6) / 3, 0).astype(np.float32)
+    odds = np.log((counts[1] + 0.5) / (n[1] + 1)) - np.log((counts[0] + 0.5) / (n[0] + 1))
+    doubt = np.sqrt(1 / (counts[1] + 0.5) + 1 / (counts[0] + 0.5))
+    return (np.clip(odds - 1.5 * doubt, 0, 6) / 3).astype(np.float32)
 
 
-def fit(texts: list[bytes | None], labels: list[int], rate: float | None = None, passes: int = 4, seed: int = 11) -> Model:
+def fit(texts: list[bytes | None], labels: list[int], rate: float | None = None, steps: int = 240, seed: int = 11) -> Model:
     """Fit on rows in memory. ``rate``: the share of toxic rows among all. With one class only, or no rows, every text
     gets the class rate."""
     rng = np.random.default_rng(seed)
@@ -217,32 +219,33 @@ def fit(texts: list[bytes | None], labels: list[int], rate: float | None = None,
         rows = np.flatnonzero(t.of == i)
         rows = rows[np.argsort(-peak[rows], kind="stable")]
         use += rows[:2].tolist() if y[i] else [*rows[:3].tolist(), *rng.choice(rows, min(3, len(rows)), replace=False).tolist()]
-    use, clean = np.array(use), np.flatnonzero(y[t.of] == 0)
+    use = np.array(use)
+    bad, clean, every = use[y[t.of[use]] == 1], use[y[t.of[use]] == 0], np.flatnonzero(y[t.of] == 0)
+    if not len(bad) or not len(clean):
+        return fit([], [], None) if rate is None else Model(p, 0.0, float(np.log((rate + 0.01) / (1.01 - rate))))
     moment = {k: np.zeros_like(v) for k, v in p.items()}
     square = {k: np.zeros_like(v) for k, v in p.items()}
-    step = 0
-    for turn in range(passes):
-        if turn in (1, 2):  # windows of clean texts that still look toxic
-            z = logits(p, t.cached, t.windows[clean])
-            hard = clean[np.argsort(-z, kind="stable")[: len(use) // 4]]
-            use = np.concatenate([use, hard[(_sigmoid(np.sort(-z)[: len(hard)] * -1) > 0.02)]])
-        order = rng.permutation(use)
-        for at in range(0, len(order), 384):
-            rows = order[at : at + 384]
-            step += 1
-            _, g = _gradients(p, t, rows, y[t.of[rows]])
-            seen, d = g.pop("inputs")
-            for k, v in g.items():
-                moment[k] = 0.9 * moment[k] + 0.1 * v
-                square[k] = 0.99 * square[k] + 0.01 * v * v
-                p[k] = (p[k] - 0.02 * (moment[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-            # the tables, for the words of this batch
-            np.add.at(p["words"], t.own[seen], -0.5 * d[:, CHARS : CHARS + WORDS])
-            many = np.diff(ends)[seen]  # grams of each word
-            which = np.repeat(np.arange(len(seen)), many)
-            place = np.concatenate([np.arange(ends[k], ends[k + 1]) for k in seen])
-            np.add.at(p["chars"], t.codes[place], -0.5 * (d[:, :CHARS] / many[:, None])[which])
-        t.cached = word_inputs(p, t)
+    for step in range(1, steps + 1):
+        if step % (steps // 6 + 1) == 0:
+            t.cached = word_inputs(p, t)
+            if step > steps // 3:  # windows of clean texts that still look toxic
+                z = logits(p, t.cached, t.windows[every])
+                hard = every[np.argsort(-z, kind="stable")[: len(clean) // 5]]
+                clean = np.concatenate([clean, hard[_sigmoid(np.sort(z)[::-1][: len(hard)]) > 0.02]])
+        rows = np.concatenate([rng.choice(bad, 64), rng.choice(clean, 192)])
+        _, g = _gradients(p, t, rows, y[t.of[rows]])
+        seen, d = g.pop("inputs")
+        for k, v in g.items():
+            moment[k] = 0.9 * moment[k] + 0.1 * v
+            square[k] = 0.99 * square[k] + 0.01 * v * v
+            p[k] = (p[k] - 0.02 * (moment[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+        # the tables, for the words of this batch
+        np.add.at(p["words"], t.own[seen], -0.5 * d[:, CHARS : CHARS + WORDS])
+        many = np.diff(ends)[seen]  # grams of each word
+        which = np.repeat(np.arange(len(seen)), many)
+        place = np.concatenate([np.arange(ends[k], ends[k + 1]) for k in seen])
+        np.add.at(p["chars"], t.codes[place], -0.5 * (d[:, :CHARS] / many[:, None])[which])
+    t.cached = word_inputs(p, t)
     worst = text_logits(p, t, len(texts))
     slope, shift = _logistic(worst, y > 0)
     if rate is not None and 0 < rate < 1:
