@@ -127,6 +127,7 @@ def _forward(p: dict, x: np.ndarray):
     e = p["embed"][x] + p["place"]
     q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
     a = q @ k.transpose(0, 2, 1)
+    np.clip(a, -60, 60, out=a)  # so that no row of exponentials is all 0 or infinite
     a += MASK
     np.exp(a, out=a)
     a /= a.sum(2, keepdims=True)
@@ -143,6 +144,7 @@ def log_probabilities(model: Model, inputs: np.ndarray, targets: np.ndarray, par
         h = _forward(model.p, x)[-1]
         w, k = np.nonzero(y >= 0)
         z = h[w, k] @ model.p["out"] + model.p["bias"]
+        np.clip(z, -60, 60, out=z)
         ids = y[w, k]
         chosen = z[np.arange(len(ids)), model.of[ids]]
         np.exp(z, out=z)
