@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import INTEGRAL
@@ -33,16 +33,17 @@ def max_without_noise(texts: Column, limit: int) -> Column:
 
 
 def max_without_noise_by(df: DataFrame, keys: list[str], value: str, limit: int, name: str = "noise_max") -> DataFrame:
-    """Grouped form of the same rule. Sum and count are partially aggregated before
-    the shuffle, then joined back on the keys: no group is ever held as one list,
-    and a hot key is split by the adaptive skew join."""
+    """Grouped form of the same rule. Equal values of a key are counted first, before and
+    after the shuffle, so a hot key arrives as its distinct values; mean and maximum
+    come from these, and the rows are read once."""
     number = F.col(value).cast("string")
     whole = F.col(value).try_cast("int") if dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint") \
         else F.when(number.rlike(INTEGRAL), number.try_cast("int"))
-    rows = df.select(*keys, whole.alias("__v"))
-    means = rows.groupBy(*keys).agg(F.expr("sum(__v) div nullif(count(__v), 0)").alias("__mean"))
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+    counts = df.select(*keys, whole.alias("__v")).groupBy(*keys, "__v").agg(F.count("__v").alias("__n"))
+    key = Window.partitionBy(*keys)
+    total = F.sum(F.col("__v").cast("bigint") * F.col("__n")).over(key)
+    mean = F.call_function("div", total, F.nullif(F.sum("__n").over(key), F.lit(0)))
     distance = F.col("__v").cast("bigint") - F.col("__mean")
     kept = F.when(distance * distance <= limit, F.col("__v"))
-    joined = rows.alias("r").join(means.alias("m"), on, "inner").select(*[F.col(f"r.{k}") for k in keys], kept.alias("__v"))
-    return joined.groupBy(*keys).agg(F.greatest(F.coalesce(F.max("__v"), F.lit(0)), F.lit(0)).alias(name))
+    return counts.withColumn("__mean", mean).groupBy(*keys).agg(
+        F.greatest(F.coalesce(F.max(kept), F.lit(0)), F.lit(0)).alias(name))

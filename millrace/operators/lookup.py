@@ -53,7 +53,8 @@ def lookup_nested(df: DataFrame, table: DataFrame, on: On, columns: Sequence[str
     hot = counts.filter(F.col("__n") > max_list).select(*keys, F.ceil(F.col("__n") / max_list).alias("__parts"))
     spread = rows.join(hot, keys, "left").withColumn(
         "part", F.coalesce(F.pmod(F.xxhash64("__pos"), F.col("__parts")), F.lit(0)).cast("int"))
-    lists = spread.groupBy(*keys, "part").agg(F.collect_list(F.struct(*columns)).alias(name))
+    # an exchange of its own: the join's partitioning by key alone would bring all parts of a key to one task
+    lists = spread.repartition(*keys, "part").groupBy(*keys, "part").agg(F.collect_list(F.struct(*columns)).alias(name))
     joined = _joined(df, lists, on, [name, "part"])
     return joined.withColumns({name: F.coalesce(F.col(name), F.array()), "part": F.coalesce(F.col("part"), F.lit(0))})
 

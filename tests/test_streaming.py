@@ -47,6 +47,16 @@ def test_stream_equals_batch(spark, files):
     assert out.select("batch").distinct().count() == 4 and runner.observed_rows(query) == 40
 
 
+def test_counts_of_more_batches_than_spark_remembers(spark, files):
+    path, home = files
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = runner.run_stream(stream_rows(spark, path, SCHEMA, "parquet"), lambda df: route.route(df, ROUTES), [runner.folder_sink(str(home / "many"))], checkpoint=str(home / "many-cp"))
+        assert len(query.recentProgress) <= 2 and runner.observed_rows(query) == 40
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
 def test_outputs_are_separate_folders(spark, files):
     path, home = files
     source = stream_rows(spark, path, SCHEMA, "parquet")
