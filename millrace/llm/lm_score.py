@@ -41,36 +41,33 @@ def load_vocabulary(path: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-class Encoder:
-    """Numbers of words, and their subword ids, remembered while there is room."""
+class Encoder(dict):
+    """Numbers of words, with their subword ids and a value for each, remembered while there is room."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], values: dict[bytes, float] | None = None, most: int = 300_000):
+        super().__init__()
         self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.most = most
+        self.most, self.of = most, values or {}
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.clear()
         self.ids: list[int] = []
         self.start: list[int] = [0]
+        self.value: list[float] = []
+
+    def __missing__(self, word: bytes) -> int:
+        k = self[word] = len(self)
+        self.ids += self.bpe.encode_ordinary(" " + word.decode("utf-8", "replace"))
+        self.start.append(len(self.ids))
+        self.value.append(self.of.get(word, 0.0))
+        return k
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        out = np.empty(len(words), np.int64)
-        known = self.known
-        for i, w in enumerate(words):
-            k = known.get(w)
-            if k is None:
-                k = known[w] = len(known)
-                try:
-                    self.ids += self.bpe.encode_ordinary(" " + w.decode())
-                except UnicodeDecodeError:
-                    self.ids += self.bpe.encode_ordinary(" " + w.decode("utf-8", "replace"))
-                self.start.append(len(self.ids))
-            out[i] = k
-        return out
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
     def full(self) -> bool:
-        return len(self.known) > self.most
+        return len(self) > self.most
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         return np.array(self.ids, np.int32), np.array(self.start, np.int64)
@@ -123,12 +120,15 @@ class Model:
 MASK = np.triu(np.full((SPAN, SPAN), -1e9, np.float32), 1)
 
 
-def _forward(p: dict, x: np.ndarray):
+def _forward(p: dict, x: np.ndarray, first: int = 0):
+    """States of the positions from ``first`` on; those before it are only looked at."""
     e = p["embed"][x] + p["place"]
-    q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
+    k, v = e @ p["k"], e @ p["v"]
+    e = e[:, first:]
+    q = e @ p["q"]
     a = q @ k.transpose(0, 2, 1)
     np.clip(a, -60, 60, out=a)  # so that no row of exponentials is all 0 or infinite
-    a += MASK
+    a += MASK[first:]
     np.exp(a, out=a)
     a /= a.sum(2, keepdims=True)
     m = a @ v
@@ -136,23 +136,30 @@ def _forward(p: dict, x: np.ndarray):
     return e, q, k, v, a, m, h
 
 
-def log_probabilities(model: Model, inputs: np.ndarray, targets: np.ndarray, part: int = 1024) -> np.ndarray:
-    """Natural log probability of each window's scored targets, summed."""
+def log_probabilities(model: Model, inputs: np.ndarray, targets: np.ndarray, part: int = 160) -> np.ndarray:
+    """Natural log probability of each window's scored targets, summed; in parts that fit a core's cache."""
     out = np.zeros(len(inputs))
-    for at in range(0, len(inputs), part):
-        x, y = inputs[at : at + part], targets[at : at + part]
-        h = _forward(model.p, x)[-1]
-        w, k = np.nonzero(y >= 0)
-        z = h[w, k] @ model.p["out"] + model.p["bias"]
-        np.clip(z, -60, 60, out=z)
-        ids = y[w, k]
-        chosen = z[np.arange(len(ids)), model.of[ids]]
-        np.exp(z, out=z)
-        got = chosen - np.log(z.sum(1)) + model.share[ids]
-        out[at : at + part] = np.bincount(w, got, minlength=len(x))
+    inner = (targets[:, : SPAN - STRIDE] < 0).all(1)  # all but a text's first window
+    for first, rows in ((0, np.flatnonzero(~inner)), (SPAN - STRIDE, np.flatnonzero(inner))):
+        for at in range(0, len(rows), part):
+            take = rows[at : at + part]
+            out[take] = _scored(model, inputs[take], targets[take, first:], first)
     return out
 
 
+def _scored(model: Model, x: np.ndarray, y: np.ndarray, first: int) -> np.ndarray:
+    h = _forward(model.p, x, first)[-1]
+    w, k = np.nonzero(y >= 0)
+    z = h[w, k] @ model.p["out"]
+    z += model.p["bias"]
+    np.clip(z, -60, 60, out=z)
+    ids = y[w, k]
+    chosen = z[np.arange(len(ids)), model.of[ids]]
+    np.exp(z, out=z)
+    got = chosen - np.log(z.sum(1)) + model.share[ids]
+    return np.bincount(w, got, minlength=len(x))
+
+
 def _topics(tokens: np.ndarray, lengths: np.ndarray, rng) -> np.ndarray:
     """A topic for every id, by the texts of the sample that hold it: their main directions, then means."""
     text = np.repeat(np.arange(len(lengths)), lengths)
@@ -322,18 +329,19 @@ def scores(docs: DataFrame, learn: Column, rows: int = 1500, vocabulary: str = V
     keyed = docs.select("doc_id", "text", learn.alias("learnt"), F.xxhash64("doc_id", "text").alias("key"))
 
     def model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lm, known = Encoder(ranks.value), Model(**shared.value), head.value
+        encoder, lm = Encoder(ranks.value, head.value), Model(**shared.value)
         for batch in small_batches(batches, rows=500, size=2 << 20):
             texts = [words_of(t) for t in raw_texts(batch)]
             numbers = [encoder.numbers(w) for w in texts]
             tokens, lengths = sequences(numbers, *encoder.tables())
             x, y, of = windows(tokens, lengths)
             score = np.bincount(of, log_probabilities(lm, x, y), minlength=len(texts)) / LN10
-            found = [list(filter(None, map(known.get, w))) for w in texts]
+            value = np.array(encoder.value)
+            found = [value[k] for k in numbers]
             size = np.array([len(w) for w in texts]) + 1
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "learnt", "key")], pa.array(size),
-                pa.array(np.array([len(f) for f in found], np.int64)), pa.array(np.array([sum(f) for f in found], float)),
+                pa.array(np.array([np.count_nonzero(f) for f in found], np.int64)), pa.array(np.array([f.sum() for f in found], float)),
                 pa.array(score)], ["doc_id", "learnt", "key", "n_tokens", "n_head", "s_head", "score"])
             if encoder.full():
                 encoder.reset()
