@@ -144,7 +144,7 @@ def _estimates(sums: DataFrame, part: float) -> DataFrame:
     return sums.select("g", "n", "s").mapInArrow(run, "g string, c array<double>")
 
 
-FLOOR = np.array([0.1, 0.01, 0.01, 0.01, 0.01])  # least standard deviation: constant values don't make outliers of all else
+FLOOR = np.array([0.2, 0.05, 0.05, 0.05, 0.05])  # least standard deviation: constant values don't make outliers of all else
 
 
 def _inverse(cov: np.ndarray) -> np.ndarray:
