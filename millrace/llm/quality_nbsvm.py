@@ -148,5 +148,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, most: tuple[
 def train(docs: DataFrame, labels: DataFrame, allowed, label: str = "quality", most: tuple[int, int] = (1500, 1500)) -> Model:
     """Fit on a bounded sample: at most ``most`` labelled rows of class 0 and 1."""
     picked = sample(docs, labels, label, allowed, most)
-    rate = labels.where(F.col(label).isin(0, 1)).agg(F.avg(label).alias("r")).first()["r"]
+    rate = labels.where(allowed & F.col(label).isin(0, 1)).agg(F.avg(label).alias("r")).first()["r"]
     return fitted(fit, Model, docs.sparkSession, [r.text.encode() for r in picked], [r._y for r in picked], rate=rate)

@@ -269,7 +269,7 @@ Texts.cached = None
 def train(docs: DataFrame, labels: DataFrame, allowed, most: tuple[int, int] = (2000, 800)) -> Model:
     """Fit on a bounded sample: at most ``most`` labelled rows of class 0 and 1."""
     picked = sample(docs, labels, "toxic", allowed, most)
-    rate = labels.where(F.col("toxic").isin(0, 1)).agg(F.avg("toxic").alias("r")).first()["r"]
+    rate = labels.where(allowed & F.col("toxic").isin(0, 1)).agg(F.avg("toxic").alias("r")).first()["r"]
     return fitted(fit, Model, docs.sparkSession, [r.text.encode() for r in picked], [r._y for r in picked], rate)
 
 
