@@ -40,7 +40,7 @@ class Hashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 300_000:
+        if len(self) < 100_000:
             self[word] = h
         return h
 
@@ -205,7 +205,7 @@ def frequent_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
     is counted; the list orders shingles, so what it misses costs time and no result."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        for batch in small_batches(batches, rows=4000, size=16 << 20):
+        for batch in small_batches(batches, rows=4000, size=8 << 20):
             sets = [shingles(t, hashes) for t in raw_texts(batch, text)]
             keys, n = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
             keep = n >= 3
@@ -221,7 +221,7 @@ def sketches(docs: DataFrame, frequent, percent: int) -> DataFrame:
     """(doc_id, n, set_a, set_b, firsts, prefix, bits): what stands for a set in the shuffles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, often = Hashes(), frequent.value
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, rows=1000, size=4 << 20):
             n, a, b, first, prefix, bits = [], [], [], [], [], []
             for t in raw_texts(batch):
                 keys = shingles(t, hashes)
@@ -258,7 +258,7 @@ def _with_sets(rows: DataFrame, frequent) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, often = Hashes(), frequent.value
         names = [f.name for f in others]
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, rows=500, size=2 << 20):
             sets = [ordered(shingles(t, hashes), often).astype(np.int64) for t in raw_texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(batch.schema.get_field_index(c)) for c in names], pa.array(sets, pa.list_(pa.int64()))],
@@ -373,7 +373,7 @@ def second_round(docs: DataFrame, reps: DataFrame, frequent, percent: int, bucke
         sets.select(F.col("doc_id").alias("b"), F.col("keys").alias("y")), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, rows=200):
             x, y = _arrays(batch.column(batch.schema.get_field_index("x"))), _arrays(batch.column(batch.schema.get_field_index("y")))
             ok = [len(np.intersect1d(p, q, assume_unique=True)) >= needed(len(p), len(q), percent) for p, q in zip(x, y)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
