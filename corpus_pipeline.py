@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from millrace.llm import decontaminate, mix, ngram_join, quality_nbsvm, shard
 from millrace.llm.common import held_out, stored
 from millrace.plans.registry import Tables, plan
+from millrace.session import tune
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
-    t = Tables(spark, sf_dir)
+    t = Tables(tune(spark), sf_dir)
     model = quality_nbsvm.train(docs, t.labels, ~held_out(5, 0))
     return quality_nbsvm.score(docs, model, to="_quality").where("_quality >= 0.3").select(*docs.columns)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    tune(spark)
     return ngram_join.one_of_each(docs)
 
 
