@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from millrace.llm import mix
 from millrace.llm.queries import op4_quality_nbsvm
@@ -32,7 +34,7 @@ def test_pipeline(spark):
 
     clean = {d for d in kept if not leaks(texts[d])}
     assert len(clean) < len(kept) < len(good) < len(texts)
-    rows = mix.mix(t.documents.where(t.documents["doc_id"].isin(sorted(clean)))).collect()
+    rows = mix.mix(t.documents.where(F.col("doc_id").isin(sorted(clean)))).collect()
     want = Counter({r.doc_id: int(r.taken / r["size"] + 0.5) if r["size"] else 1 for r in rows})
     got = corpus_pipeline.run(spark, FOLDER).collect()
     assert Counter(r.doc_id for r in got) == +want
