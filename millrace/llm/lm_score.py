@@ -4,6 +4,9 @@ Words are encoded by a public byte-pair vocabulary. One attention layer predicts
 those before it in a window; a subword's share of its class comes from counts over the whole training corpus. Windows
 overlap: each subword is scored once, in the window that shows it the most context.
 
+The weights start from a fit on a bounded sample and are then trained over every row: rows are dealt to rounds by their
+hash, and each round sums the gradients of all its windows over the tasks. Topics come from all rows, too.
+
 Beside it stands the plain base: add-one word frequencies. The most frequent words are told to every task; the others
 are counted through a join, so no task holds the vocabulary.
 """
@@ -20,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +37,8 @@ WIDTH = 16  # of the model's vectors
 SPAN, STRIDE = 32, 24  # subwords of a window, and between the starts of two
 SINGLE, TOPICS, BINS = 48, 8, 8  # classes: the most frequent subwords alone, the others by topic and frequency
 HEAD = 400_000  # frequent words that every task holds
+ROUNDS = 8  # steps of the training over all rows; each row belongs to one of them
+COMMON = 512  # subwords whose counts place a text among the topics
 LN10 = float(np.log(10))
 
 
@@ -160,23 +166,19 @@ def _scored(model: Model, x: np.ndarray, y: np.ndarray, first: int) -> np.ndarra
     return np.bincount(w, got, minlength=len(x))
 
 
-def _topics(tokens: np.ndarray, lengths: np.ndarray, rng) -> np.ndarray:
-    """A topic for every id, by the texts of the sample that hold it: their main directions, then means."""
+def _placed(tokens: np.ndarray, lengths: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Texts by the common subwords they hold: logarithms of counts, at length one."""
     text = np.repeat(np.arange(len(lengths)), lengths)
-    common = np.argsort(-np.bincount(tokens, minlength=IDS), kind="stable")[:512]
     place = np.full(IDS, -1)
     place[common] = np.arange(len(common))
     ok = place[tokens] >= 0
-    table = np.zeros((len(lengths), 512))
-    np.add.at(table, (text[ok], place[tokens[ok]]), 1)
+    table = np.bincount(text[ok] * COMMON + place[tokens[ok]], minlength=len(lengths) * COMMON).reshape(-1, COMMON)
     table = np.log1p(table)
-    table /= np.maximum(np.sqrt((table**2).sum(1, keepdims=True)), 1e-9)
-    u, s, _ = np.linalg.svd(table - table.mean(0), full_matrices=False)
-    directions = u[:, :6] * s[:6]
-    mean = np.zeros((IDS, directions.shape[1]))
-    np.add.at(mean, tokens, directions[text])
-    seen = np.bincount(tokens, minlength=IDS)
-    mean /= np.maximum(seen, 1)[:, None]
+    return table / np.maximum(np.sqrt((table**2).sum(1, keepdims=True)), 1e-9)
+
+
+def _clustered(mean: np.ndarray, seen: np.ndarray, rng) -> np.ndarray:
+    """A topic for every id, by means; ids that no text holds go to topic 0."""
     points = mean[seen > 0]
     centres = points[rng.choice(len(points), min(TOPICS, len(points)), replace=False)]
     for _ in range(15):
@@ -187,6 +189,18 @@ def _topics(tokens: np.ndarray, lengths: np.ndarray, rng) -> np.ndarray:
     return out
 
 
+def _topics(tokens: np.ndarray, lengths: np.ndarray, rng) -> np.ndarray:
+    """A topic for every id, by the texts in memory that hold it: their main directions, then means."""
+    common = np.argsort(-np.bincount(tokens, minlength=IDS), kind="stable")[:COMMON]
+    table = _placed(tokens, lengths, common)
+    u, s, _ = np.linalg.svd(table - table.mean(0), full_matrices=False)
+    directions = u[:, :6] * s[:6]
+    mean = np.zeros((IDS, directions.shape[1]))
+    np.add.at(mean, tokens, directions[np.repeat(np.arange(len(lengths)), lengths)])
+    seen = np.bincount(tokens, minlength=IDS)
+    return _clustered(mean / np.maximum(seen, 1)[:, None], seen, rng)
+
+
 def classes(counts: np.ndarray, topics: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class, log share of the class) of every id. counts: of all training subwords. Every id has a share."""
     rank = np.argsort(-counts, kind="stable")
@@ -206,17 +220,50 @@ def classes(counts: np.ndarray, topics: np.ndarray) -> tuple[np.ndarray, np.ndar
     return of, share.astype(np.float32)
 
 
-def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int = 600, batch: int = 192, seed: int = 3) -> Model:
-    """Train on a sample's sequences; ``counts`` are those of the whole corpus. Without texts the model stays at its
-    start: every class as likely as any other."""
+def _gradients(p: dict, of: np.ndarray, x: np.ndarray, y: np.ndarray, first: int = 0):
+    """Summed over the scored positions from ``first`` on: gradients by name, the ids embedded with theirs, and how many
+    positions these are. ``y`` begins at ``first``."""
+    e, q, k, v, a, m, h = _forward(p, x, first)
+    z = h @ p["out"] + p["bias"]
+    z -= z.max(2, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(2, keepdims=True)
+    scored = y >= 0
+    w, c = np.nonzero(scored)
+    z[w, c, of[y[w, c]]] -= 1
+    z *= scored[:, :, None]
+    g = {"out": np.tensordot(h, z, ((0, 1), (0, 1))), "bias": z.sum((0, 1))}
+    dh = z @ p["out"].T
+    g["o"] = np.tensordot(m, dh, ((0, 1), (0, 1)))
+    dm = dh @ p["o"].T
+    da = dm @ v.transpose(0, 2, 1)
+    dv = a.transpose(0, 2, 1) @ dm
+    ds = a * (da - (da * a).sum(2, keepdims=True))
+    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+    de = dk @ p["k"].T + dv @ p["v"].T
+    de[:, first:] += dh + dq @ p["q"].T
+    whole = p["embed"][x] + p["place"]
+    for name, at, d in (("q", e, dq), ("k", whole, dk), ("v", whole, dv)):
+        g[name] = np.tensordot(at, d, ((0, 1), (0, 1)))
+    g["place"] = de.sum(0)
+    flat = x.ravel()
+    order = np.argsort(flat, kind="stable")
+    starts = np.flatnonzero(np.append(True, flat[order][1:] != flat[order][:-1]))
+    return g, flat[order][starts], np.add.reduceat(de.reshape(-1, WIDTH)[order], starts), len(w)
+
+
+def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int = 600, batch: int = 192, seed: int = 3,
+        topics: np.ndarray | None = None) -> Model:
+    """Train on a sample's sequences; ``counts`` are those of the whole corpus, and ``topics``, if given. Without texts
+    the model stays at its start: every class as likely as any other."""
     rng = np.random.default_rng(seed)
     many = SINGLE + 1 + TOPICS * BINS
     small = lambda *shape: rng.normal(0, 0.15, shape).astype(np.float32)
     p = {"embed": small(IDS, WIDTH), "place": small(SPAN, WIDTH), "q": small(WIDTH, WIDTH), "k": small(WIDTH, WIDTH),
          "v": small(WIDTH, WIDTH), "o": small(WIDTH, WIDTH), "out": small(WIDTH, many), "bias": np.zeros(many, np.float32)}
     if not len(tokens):
-        return Model(p, *classes(counts, np.zeros(IDS, np.int64)))
-    of, share = classes(counts, _topics(tokens, lengths, rng))
+        return Model(p, *classes(counts, np.zeros(IDS, np.int64) if topics is None else topics))
+    of, share = classes(counts, _topics(tokens, lengths, rng) if topics is None else topics)
     p["bias"] = np.log(np.bincount(of, counts + 0.1, minlength=many) + 1).astype(np.float32)
     p["bias"] -= p["bias"].max()
     x_all, y_all, _ = windows(tokens, lengths)
@@ -224,42 +271,164 @@ def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int
     square = {k: np.zeros_like(v) for k, v in p.items()}
     for step in range(1, steps + 1):
         rows = rng.integers(0, len(x_all), batch)
-        x, y = x_all[rows], y_all[rows]
-        e, q, k, v, a, m, h = _forward(p, x)
-        z = h @ p["out"] + p["bias"]
-        z -= z.max(2, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(2, keepdims=True)
-        scored = y >= 0
-        w, c = np.nonzero(scored)
-        z[w, c, of[y[w, c]]] -= 1
-        z *= (scored / max(scored.sum(), 1))[:, :, None].astype(np.float32)
-        g = {"out": np.tensordot(h, z, ((0, 1), (0, 1))), "bias": z.sum((0, 1))}
-        dh = z @ p["out"].T
-        g["o"] = np.tensordot(m, dh, ((0, 1), (0, 1)))
-        dm = dh @ p["o"].T
-        da = dm @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dm
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        de = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-        for name, d in (("q", dq), ("k", dk), ("v", dv)):
-            g[name] = np.tensordot(e, d, ((0, 1), (0, 1)))
-        g["place"] = de.sum(0)
+        g, seen, rows_d, n = _gradients(p, of, x_all[rows], y_all[rows])
+        n = max(n, 1)
         rate = 0.02 * min(1, 3 * (1 - step / (steps + 1)))
         for name, d in g.items():
+            d = d / n
             moment[name] = 0.9 * moment[name] + 0.1 * d
             square[name] = 0.99 * square[name] + 0.01 * d * d
             p[name] = (p[name] - rate * (moment[name] / (1 - 0.9**step)) / (np.sqrt(square[name] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
-        seen, inverse = np.unique(x, return_inverse=True)
-        rows_d = np.zeros((len(seen), WIDTH), np.float32)
-        np.add.at(rows_d, inverse.ravel(), de.reshape(-1, WIDTH))
+        rows_d = rows_d / n
         square["embed"][seen] += rows_d**2
         p["embed"][seen] -= 3 * rate * rows_d / (np.sqrt(square["embed"][seen]) + 1e-7)
     p["q"] = p["q"].astype(np.float32)
     return Model(p, of, share)
 
 
+def encoded(train: DataFrame, ranks) -> DataFrame:
+    """(tokens, round) of every row, stored: its subword ids and end in two bytes each, and the round it teaches in."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(ranks.value)
+        for batch in small_batches(batches):
+            numbers = [encoder.numbers(words_of(t)) for t in raw_texts(batch)]
+            tokens, lengths = sequences(numbers, *encoder.tables())
+            parts = np.split(tokens.astype(np.uint16), np.cumsum(lengths)[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in parts], pa.binary()),
+                                              batch.column(batch.schema.get_field_index("round"))], ["tokens", "round"])
+            if encoder.full():
+                encoder.reset()
+
+    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int").alias("round")
+    return stored(train.select("text", dealt).mapInArrow(run, "tokens binary, round int"), "tokens")
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in small_batches(batches, rows=500, size=1 << 20):
+        parts = [np.frombuffer(t, np.uint16) for t in batch.column(batch.schema.get_field_index("tokens")).to_pylist()]
+        yield np.concatenate(parts).astype(np.int64), np.array([len(x) for x in parts], np.int64)
+
+
+def added(rows: DataFrame, work, shape: tuple[int, int], piece: int = 2048) -> np.ndarray:
+    """The sum of what ``work(batches)``, an array of this fixed shape, gives in every task. Rows of zeros don't travel;
+    pieces are added in two steps, in order of the tasks."""
+    columns = ["task", "piece", "at", "data"]
+    schema = "task int, piece int, at binary, data binary"
+
+    def cut(task: int, k: int, block: np.ndarray) -> list:
+        at = np.flatnonzero(block.any(1)).astype(np.int32)
+        return [task, k, at.tobytes(), block[at].tobytes()]
+
+    def rows_of(out: list) -> pa.Table:
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array([r[c] for r in out], kinds[c]) for c in range(4)], names=columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, task = work(batches), TaskContext.get().partitionId()
+        out = [cut(task, k, total[first : first + piece]) for k, first in enumerate(range(0, shape[0], piece))]
+        yield from rows_of([r for r in out if r[2]]).to_batches()
+
+    def add(table: pa.Table) -> pa.Table:
+        found = sorted(table.select(columns).to_pylist(), key=lambda r: r["task"])
+        block = np.zeros((piece, shape[1]))
+        for r in found:
+            block[np.frombuffer(r["at"], np.int32)] += np.frombuffer(r["data"], np.float64).reshape(-1, shape[1])
+        return rows_of([cut(found[0]["task"], found[0]["piece"], block)])
+
+    near = rows.mapInArrow(run, schema).withColumn("group", F.floor(F.col("task") / 32)).groupBy("piece", "group").applyInArrow(add, schema)
+    out = np.zeros(shape)
+    for r in near.groupBy("piece").applyInArrow(add, schema).collect():  # at most one row for each piece
+        out[r.piece * piece + np.frombuffer(r["at"], np.int32)] = np.frombuffer(r.data, np.float64).reshape(-1, shape[1])
+    return out
+
+
+def corpus_topics(texts: DataFrame, counts: np.ndarray, seed: int = 3) -> np.ndarray:
+    """A topic for every id, by all the texts of ``encoded`` that hold it."""
+    common = np.argsort(-counts, kind="stable")[:COMMON]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros((COMMON + 2, COMMON))  # products, then sums, then the number of texts
+        for tokens, lengths in _texts(batches):
+            table = _placed(tokens, lengths, common)
+            total[:COMMON] += table.T @ table
+            total[COMMON] += table.sum(0)
+            total[COMMON + 1, 0] += len(lengths)
+        return total
+
+    total = added(texts, spread, (COMMON + 2, COMMON))
+    n = total[COMMON + 1, 0]
+    if not n:
+        return np.zeros(IDS, np.int64)
+    middle = total[COMMON] / n
+    main = np.linalg.eigh(total[:COMMON] / n - np.outer(middle, middle))[1][:, :-7:-1]
+
+    def means(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        out = np.zeros((IDS, 7))
+        for tokens, lengths in _texts(batches):
+            directions = np.hstack([(_placed(tokens, lengths, common) - middle) @ main, np.ones((len(lengths), 1))])
+            directions = np.repeat(directions, lengths, axis=0)
+            order = np.argsort(tokens, kind="stable")
+            starts = np.flatnonzero(np.append(True, tokens[order][1:] != tokens[order][:-1]))
+            out[tokens[order][starts]] += np.add.reduceat(directions[order], starts)
+        return out
+
+    sums = added(texts, means, (IDS, 7))
+    seen = sums[:, 6]
+    return _clustered(sums[:, :6] / np.maximum(seen, 1)[:, None], seen, np.random.default_rng(seed))
+
+
+def refined(model: Model, texts: DataFrame, rate: float = 0.01, part: int = 160) -> Model:
+    """Train over all texts of ``encoded``, each once: a step for each round, along the gradient of all its windows."""
+    spark = texts.sparkSession
+    names = [k for k in model.p if k != "embed"]
+    sizes = [-(-model.p[k].size // WIDTH) for k in names]
+    height = IDS + sum(sizes) + 1
+    p = {k: v.astype(np.float32) for k, v in model.p.items()}
+    moment = {k: np.zeros(p[k].shape) for k in names}
+    square = {k: np.zeros(v.shape) for k, v in p.items()}
+    step = 0
+    for r in range(ROUNDS):
+        told = spark.sparkContext.broadcast((p, model.of))
+
+        def work(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            now, of = told.value
+            total, sums = np.zeros((height, WIDTH)), {k: np.zeros(now[k].shape) for k in names}
+            for tokens, lengths in _texts(batches):
+                x_all, y_all, _ = windows(tokens, lengths)
+                inner = (y_all[:, : SPAN - STRIDE] < 0).all(1)  # all but a text's first window
+                for first, rows in ((0, np.flatnonzero(~inner)), (SPAN - STRIDE, np.flatnonzero(inner))):
+                    for at in range(0, len(rows), part):
+                        take = rows[at : at + part]
+                        g, seen, d, n = _gradients(now, of, x_all[take], y_all[take, first:], first)
+                        total[seen] += d
+                        total[-1, 0] += n
+                        for k in names:
+                            sums[k] += g[k]
+            at = IDS
+            for k, size in zip(names, sizes):
+                total[at : at + size].ravel()[: sums[k].size] = sums[k].ravel()
+                at += size
+            return total
+
+        total = added(texts.where(F.col("round") == r), work, (height, WIDTH))
+        told.unpersist()
+        if not total[-1, 0]:
+            continue
+        step += 1
+        now = rate * (1 - r / (ROUNDS + 1))
+        p, at = dict(p), IDS
+        for k, size in zip(names, sizes):
+            d = total[at : at + size].ravel()[: p[k].size].reshape(p[k].shape) / total[-1, 0]
+            at += size
+            moment[k] = 0.9 * moment[k] + 0.1 * d
+            square[k] = 0.99 * square[k] + 0.01 * d * d
+            p[k] = (p[k] - now * (moment[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
+        d = total[:IDS]  # sums, so that ids of few texts move as well
+        square["embed"] += d * d
+        p["embed"] = (p["embed"] - now * d / (np.sqrt(square["embed"]) + 1e-7)).astype(np.float32)
+    return Model(p, model.of, model.share)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts; batches are added up before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,8 +472,8 @@ def subword_counts(counts: DataFrame, ranks) -> np.ndarray:
 def scores(docs: DataFrame, learn: Column, rows: int = 1500, vocabulary: str = VOCABULARY) -> DataFrame:
     """Per row of docs: doc_id, learnt (the condition ``learn``), n_tokens, n_known, train_tokens, base_score, score.
 
-    Word and subword counts are taken over all rows that meet ``learn``; the attention weights are fitted on at most
-    ``rows`` of them. Null and empty texts consist of their end alone. Equal texts get equal scores; rows that are
+    Word and subword counts, topics and the training of the attention weights take in all rows that meet ``learn``; the
+    weights start from a fit on at most ``rows`` of them. Null and empty texts consist of their end alone. Equal texts get equal scores; rows that are
     equal in id and text, too. Without a row to learn from, no token is known. An empty table gives an empty one."""
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_vocabulary(vocabulary))
@@ -318,7 +487,9 @@ def scores(docs: DataFrame, learn: Column, rows: int = 1500, vocabulary: str = V
     picked = chosen_texts(train, chosen_ids(train.where(F.length("text") > 0), rows), rows)
     encoder = Encoder(ranks.value)
     numbers = [encoder.numbers(words_of(r.text.encode())) for r in picked]
-    shared = spark.sparkContext.broadcast(vars(fitted(fit, Model, spark, *sequences(numbers, *encoder.tables()), id_counts)))
+    texts = encoded(train, ranks)
+    start = fitted(fit, Model, spark, *sequences(numbers, *encoder.tables()), id_counts, topics=corpus_topics(texts, id_counts))
+    shared = spark.sparkContext.broadcast(vars(refined(start, texts)))
 
     top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
     bound = (int(top["n"].iloc[-1]), bytes(top["word"].iloc[-1])) if len(top) == HEAD else None

@@ -148,3 +148,26 @@ def test_gradients_of_the_network():
             losses.append(toxicity._gradients(p, t, rows, y)[0])
         p[name][at] = kept
         assert abs((losses[0] - losses[1]) / 2e-3 - g[name][at]) < 2e-3
+
+
+def test_the_model_learns_from_every_row(spark):
+    """With a sample of one text, the same words in another order in the other texts change what is likely."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    words = ["red", "green", "blue", "sky", "sun", "sea", "tree", "stone"]
+    ids = spark.range(400).withColumnRenamed("id", "doc_id")
+    sample = lm_score.chosen_ids(ids, 1).first()["_id"]
+    probe = " ".join(words * 6)
+
+    def score(shuffled):
+        rows = []
+        for i in range(400):
+            body = words * 6
+            if shuffled and i != sample:
+                rng.shuffle(body)
+            rows.append((i, "sea sea red red" if i == sample else " ".join(body)))
+        df = spark.createDataFrame([*rows, (1000, probe)], "doc_id long, text string")
+        return next(r.score for r in lm_score.scores(df, F.col("doc_id") < 400, rows=1).collect() if r.doc_id == 1000)
+
+    assert score(False) > score(True) + 0.5
