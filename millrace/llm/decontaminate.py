@@ -37,6 +37,16 @@ def _meet(large: DataFrame, small: DataFrame, on: str) -> DataFrame:
     return large.join(F.broadcast(small) if bounded(small, SMALL) else small, on)
 
 
+def text_key(text: Column) -> Column:
+    """What stands for a text beside the id: 128 bits of hashes, as two long."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+
+
+def _same(left: DataFrame, right: DataFrame) -> Column:
+    """Rows of one id (or both without) and one text."""
+    return left["doc_id"].eqNullSafe(right["_id"]) & (left["text_key"] == right["_key"])
+
+
 def item_windows(items: DataFrame, size: int = 10) -> DataFrame:
     """(win, width, item_id): each distinct window of each item, as its words with blanks between. Items without an id
     or without words have none; an item shorter than ``size`` is one window."""
@@ -48,11 +58,13 @@ def item_windows(items: DataFrame, size: int = 10) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, windows: DataFrame, size: int = 10) -> DataFrame:
-    """(doc_id, start, width, win): every place where a window occurs in a document."""
+    """(doc_id, text_key, start, width, win): every place where a window occurs in a text of this id. Rows are told
+    apart by id and ``text_key``, two hashes of the text, so rows that share an id or have none keep their own places."""
     texts = windows.select("win", "width").distinct()
     lengths = sorted(r.n for r in texts.select(F.least("width", F.lit(SHINGLE)).alias("n")).distinct().collect())
     if not lengths:
-        return docs.select("doc_id", F.lit(0).alias("start"), F.lit(0).alias("width"), F.lit("").alias("win")).where("false")
+        return docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.lit(0).alias("start"),
+                           F.lit(0).alias("width"), F.lit("").alias("win")).where("false")
     split = texts.withColumn("w", F.split("win", " "))
     parts = [split.where(F.least("width", F.lit(SHINGLE)) == n).select(
         "win", "width", F.posexplode(_elements(F.col("w"), n)).alias("offset", "h")) for n in lengths]
@@ -62,13 +74,13 @@ def occurrences(docs: DataFrame, windows: DataFrame, size: int = 10) -> DataFram
     elements = stored(elements, "elements")
     wanted = stored(elements.select("h").distinct(), "wanted")
 
-    words = docs.select("doc_id", item_words(F.col("text")).alias("w"))
+    words = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), item_words(F.col("text")).alias("w"))
     found = []
     for n in lengths:
-        each = words.select("doc_id", "w", F.posexplode(_elements(F.col("w"), n)).alias("pos", "h"))
+        each = words.select("doc_id", "text_key", "w", F.posexplode(_elements(F.col("w"), n)).alias("pos", "h"))
         first = F.greatest(F.col("pos") - (size - n), F.lit(0))
         found.append(_meet(each, wanted, "h").select(
-            "doc_id", "h", "pos", F.size("w").alias("n_words"), first.alias("first"),
+            "doc_id", "text_key", "h", "pos", F.size("w").alias("n_words"), first.alias("first"),
             F.slice("w", first + 1, F.lit(2 * size - n)).alias("around")))
     matches = found[0]
     for more in found[1:]:
@@ -86,27 +98,30 @@ def occurrences(docs: DataFrame, windows: DataFrame, size: int = 10) -> DataFram
     return _meet(matches, prefix, "h").where(
         (start >= 0) & (start + F.col("width") <= F.col("n_words"))).where(
         F.array_join(F.slice("around", start - F.col("first") + 1, F.col("width")), " ") == F.col("win")).select(
-        "doc_id", start.alias("start"), "width", "win")
+        "doc_id", "text_key", start.alias("start"), "width", "win")
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit (words inside an occurring window), n_items, items_sha256, contaminated.
 
-    Null and empty texts have no words and no hits. Rows that share an id (or have none) share what is found in any of
-    them. No item, or no document, gives no hits or an empty table. Other columns are not looked at."""
+    Null and empty texts have no words and no hits. Each row is judged by its own text, whoever shares its id. Items
+    without an id are not looked for. No item, or no document, gives no hits or an empty table. Other columns are not
+    looked at."""
     windows = stored(item_windows(items, size), "windows")
     hits = stored(occurrences(docs, windows, size), "hits")
-    by_place = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    covered = hits.select("doc_id", "start", (F.col("start") + F.col("width")).alias("end")).distinct().withColumn(
-        "before", F.coalesce(F.max("end").over(by_place), F.lit(0))).groupBy("doc_id").agg(
+    row = ["doc_id", "text_key"]
+    by_place = Window.partitionBy(*row).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    covered = hits.select(*row, "start", (F.col("start") + F.col("width")).alias("end")).distinct().withColumn(
+        "before", F.coalesce(F.max("end").over(by_place), F.lit(0))).groupBy(*row).agg(
         F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "before"))).alias("n_hit"))
-    named = hits.select("doc_id", "win").distinct().join(windows.select("win", "item_id"), "win").groupBy("doc_id").agg(
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    found = covered.join(named, covered["doc_id"].eqNullSafe(named["doc_id"])).select(
-        covered["doc_id"].alias("_id"), "n_hit", "items")
-    every = docs.select("doc_id", F.size(item_words(F.col("text"))).cast("long").alias("n_words"))
+    named = hits.select(*row, "win").distinct().join(windows.select("win", "item_id"), "win").groupBy(*row).agg(
+        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "items")
+    found = covered.join(named, _same(covered, named)).select("_id", "_key", "n_hit", "items")
+    every = docs.select("doc_id", F.size(item_words(F.col("text"))).cast("long").alias("n_words"),
+                        text_key(F.col("text")).alias("text_key"))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
-    return every.join(found, every["doc_id"].eqNullSafe(found["_id"]), "left").select(
+    return every.join(found, _same(every, found), "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
@@ -114,7 +129,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
 
 
 def clean(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
-    """The documents without any benchmark window, with all their columns."""
+    """The documents without any benchmark window, with all their columns. Each row is judged by its own text."""
     hits = occurrences(docs, stored(item_windows(items, size), "windows"), size).select(
-        F.col("doc_id").alias("_id")).distinct()
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["_id"]), "left_anti")
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    own = text_key(docs["text"])
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["_id"]) & (own == hits["_key"]), "left_anti")

@@ -45,6 +45,19 @@ def test_contamination_is_exact(spark):
     assert kept.columns == df.columns and kept.count() == sum(k for r, k in want.items() if not r[-1])
 
 
+def test_rows_without_or_with_one_id_are_judged_alone(spark):
+    leak = " ".join(f"b{k}" for k in range(12))
+    rows = [(None, f"x {leak} y"), (None, "a clean text"), (None, None), (7, leak), (7, "another clean text"), (8, f"{leak} {leak}"), (None, leak)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    got = decontaminate.contamination(df, items).collect()
+    want = Counter((d, len(item_words(t)), (t or "").count(leak) * 12) for d, t in rows)
+    assert Counter((r.doc_id, r.n_words, r.n_hit) for r in got) == want
+    assert all(r.contaminated == (r.n_hit > 0) == (r.n_items == 1) for r in got)
+    kept = decontaminate.clean(df, items).collect()
+    assert Counter(map(tuple, kept)) == Counter(r for r in rows if leak not in (r[1] or ""))
+
+
 def test_contamination_of_nothing(spark):
     df, texts = awkward(spark)
     none = spark.createDataFrame([], "item_id long, text string")
