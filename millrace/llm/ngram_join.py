@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import FOLD, bounded, mix64, partitions, raw_texts, small_batches, stored
@@ -437,11 +437,27 @@ def similar(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """One document of each component, that with the smallest id, with all columns; of rows that share an id, one.
-    Documents without id or shingles stay."""
-    found = stored(similar(docs, percent).groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("k")), "found")
-    losers = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct(), "losers")
-    kept = docs.join(F.broadcast(losers) if bounded(losers, IDS) else losers, docs["doc_id"] == F.col("_id"), "left_anti")
-    if found.where("k > 1 and doc_id is not null").limit(1).count():
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-    return kept
+    """One row of each component of texts, that with the smallest id (of one id, the smallest text hash), with all
+    columns. Rows that share an id go only where their texts link. Rows without id or shingles stay."""
+    named = docs.where("doc_id is not null")
+    hashed = F.xxhash64("doc_id", "text")
+    several = named.groupBy("doc_id").agg(F.min(hashed).alias("low"), F.max(hashed).alias("high")).where("low <> high")
+    # an id with several texts does not name a text; then a hash of both does
+    mark = F.when(F.col("doc_id").isNotNull(), hashed if several.limit(1).count() else F.col("doc_id").cast("long"))
+    found = stored(similar(named.select(mark.alias("doc_id"), "text"), percent).groupBy("doc_id", "n_shingles", "component_id").agg(
+        F.count(F.lit(1)).alias("k")), "found")
+    ids = named.select(mark.alias("doc_id"), F.col("doc_id").alias("_id")).distinct()
+    members = stored(found.where("n_shingles > 0").join(ids, "doc_id").select(
+        F.col("doc_id").alias("_mark"), "component_id", F.struct("_id", "doc_id").alias("place")), "members")
+    best = members.groupBy("component_id").agg(F.min("place").alias("best"))
+    losers = stored(members.join(best, "component_id").where("place <> best").select("_mark").distinct(), "losers")
+    marked = docs.withColumn("_own", mark)
+    kept = marked.join(F.broadcast(losers) if bounded(losers, IDS) else losers, F.col("_own") == F.col("_mark"), "left_anti")
+    twice = stored(found.where("k > 1 and n_shingles > 0").select(F.col("doc_id").alias("_mark")), "twice")
+    if twice.limit(1).count():
+        again = F.broadcast(twice) if bounded(twice, IDS) else twice
+        same = F.col("_own") == F.col("_mark")
+        order = Window.partitionBy("_own").orderBy(F.to_json(F.struct(*docs.columns)))
+        one = kept.join(again, same, "left_semi").withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+        kept = kept.join(again, same, "left_anti").unionByName(one)
+    return kept.select(*docs.columns)

@@ -67,6 +67,18 @@ def test_chains_and_edges_of_similarity(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == df.columns
 
 
+def test_rows_of_one_id_go_only_where_their_texts_link(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join(f"w{rng.randrange(10_000)}" for _ in range(60))
+    one, two, three, four = text(), text(), text(), text()
+    rows = [(5, one), (5, two), (5, three), (5, three), (2, two), (9, one + " more"), (9, four), (5, None), (5, ""), (None, one), (None, one)]
+    df = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, lang string")
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(5, one), (2, two), (5, three), (9, four), (5, None), (5, ""), (None, one), (None, one)])
+
+
 def test_tree_leaves_no_pair_out():
     rng = np.random.default_rng(2)
     sets = []
