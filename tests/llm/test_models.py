@@ -171,3 +171,35 @@ def test_the_model_learns_from_every_row(spark):
         return next(r.score for r in lm_score.scores(df, F.col("doc_id") < 400, rows=1).collect() if r.doc_id == 1000)
 
     assert score(False) > score(True) + 0.5
+
+
+def test_languages_of_long_texts():
+    """Texts of 0.1 to 1 MB, with more n-grams than the table has cells, by models of short ones."""
+    rng = np.random.default_rng(6)
+    names = ["aa", "bb", "cc", "dd"]
+    words = {}
+    for name in names:
+        follow = rng.dirichlet(np.full(26, 0.3), 26).cumsum(1)
+        words[name] = []
+        for _ in range(20_000):
+            w = [int(rng.integers(26))]
+            for _ in range(int(rng.integers(1, 9))):
+                w.append(min(int(np.searchsorted(follow[w[-1]], rng.random())), 25))
+            words[name].append(bytes(97 + c for c in w))
+
+    def text(name, size):
+        return b" ".join(words[name][int(k)] for k in rng.integers(0, 20_000, size // 6))
+
+    model = langid.fit([text(n, 600) for n in names for _ in range(60)], [n for n in names for _ in range(60)])
+    long = [(n, text(n, size)) for n in names for size in (100_000, 400_000, 1_000_000)]
+    assert langid.predict(model, [t for _, t in long])[0] == [n for n, _ in long]
+    whole = langid.presence(long[0][1])
+    assert 0.02 < np.mean(langid._marks(np.frombuffer(long[0][1][:2048], np.uint8).astype(np.uint32), np.array([0, 2045])) > 0) < 0.5
+    assert whole.shape == (1 << langid.BITS,)
+
+
+def test_every_language_is_learnt(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i if i % 2 else None, f"word{i} text{i}", f"l{i:03}") for i in range(230)], "doc_id long, text string, lang string")
+    assert langid.train(df, F.lit(True)).langs == [f"l{i:03}" for i in range(230)]
