@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, langid, lm_score, mix, ngram_join, quality_nbsvm, rules, shard, suffix_dedup, toxicity
+from millrace.llm import (
+    decontaminate, langid, lm_score, mix, ngram_join, packing, quality_nbsvm, ranked, rules, shard, suffix_dedup, toxicity, whitening)
 from millrace.llm.common import held_out
-from millrace.llm.sql import DECONTAMINATE, MIX, NGRAM_JOIN, SHARD
+from millrace.llm.sql import DECONTAMINATE, MIX, NGRAM_JOIN, RANKED, SHARD
 from millrace.plans.registry import Tables, plan
 
 
@@ -68,3 +69,18 @@ def op9_suffix_dedup(t: Tables):
 @plan("op10_shard_tree", SHARD)
 def op10_shard_tree(t: Tables):
     return shard.shard(t.documents)
+
+
+@plan("op11_ranked_search", RANKED)
+def op11_ranked_search(t: Tables):
+    return ranked.search(t.documents, t.benchmark)
+
+
+@plan("op12_whitening")
+def op12_whitening(t: Tables):
+    return whitening.whiten(t.embeddings)
+
+
+@plan("op13_packing")
+def op13_packing(t: Tables):
+    return packing.pack(t.documents)

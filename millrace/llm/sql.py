@@ -116,3 +116,23 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
        grown_shard
 FROM put
 """
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RANKED = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({FOLDED}, '{TERM}') AS t FROM documents),
+held AS (SELECT r, doc_id, t, len(t)::BIGINT AS n FROM doc WHERE len(t) > 0),
+facts AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM held),
+posting AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM held) GROUP BY ALL),
+frequency AS (SELECT term, count(*)::BIGINT AS df FROM posting GROUP BY term),
+item AS (SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all({FOLDED}, '{TERM}')) AS t FROM benchmark),
+scored AS (
+  SELECT q, item_id, r, doc_id, sum(
+           floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+           * ((1000000000 * tf)::BIGINT // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM (SELECT q, item_id, unnest(t) AS term FROM item) JOIN frequency USING (term) JOIN posting USING (term) JOIN held USING (r), facts
+  GROUP BY q, item_id, r, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
