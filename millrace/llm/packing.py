@@ -9,6 +9,7 @@ some hundreds at a time, until one remains of them all, which is cut into length
 from __future__ import annotations
 
 import re
+import string
 import sys
 import zlib
 from bisect import bisect_left, insort
@@ -35,82 +36,122 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Subwords(dict):
-    """Subword ids of texts. No subword and no step of the normaliser reaches over a blank or over the end of a run of
-    ASCII letters that no digit or further letter follows, so a text's ids are those of its runs, and each run is encoded
-    once while it is remembered."""
-
-    def __init__(self, vocabulary: str, most: int = 600_000):
-        from tokenizers import Tokenizer
+class Numbers(dict):
+    """Numbers things as they come; ``new`` lists those not seen before."""
 
+    def __init__(self):
         super().__init__()
-        self.of, self.most = Tokenizer.from_file(vocabulary), most
-        known = self.of.get_vocab()
-        self.ends = np.zeros(max(known.values()) + 1, bool)  # subwords that end a word
-        self.ends[[i for word, i in known.items() if word.endswith("</w>")]] = True
-        self.forget()
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        k = self[key] = len(self)
+        self.new.append(key)
+        return k
+
+    def of(self, keys: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
 
-    def forget(self) -> None:
-        self.clear()
+
+class Known:
+    """The ids of numbered things."""
+
+    def __init__(self):
         self.ids, self.used = np.empty(1 << 16, "<u4"), 0
-        self.span = np.zeros((1 << 16, 2), np.int64)  # where the ids of run k are
+        self.begin, self.end = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def _learn(self, runs: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
-        """Remember runs by their ids in a row and the end of each."""
+    def put(self, k: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Ids of the things k in a row, and where those of each end."""
+        if not len(k):
+            return
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while len(self) + len(runs) > len(self.span):
-            self.span = np.concatenate([self.span, np.zeros_like(self.span)])
-        k = len(self)
+        while k.max() >= len(self.end):
+            self.begin, self.end = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.end))
         self.ids[self.used:self.used + len(ids)] = ids
-        self.span[k:k + len(runs), 1] = self.used + ends
-        self.span[k:k + len(runs), 0] = self.used + np.concatenate([[0], ends[:-1]])[:len(runs)]
+        self.begin[k[0]], self.begin[k[1:]] = self.used, self.used + ends[:-1]
+        self.end[k] = self.used + ends
         self.used += len(ids)
-        self.update(zip(runs, range(k, k + len(runs))))
 
-    def _one_by_one(self, runs: list[bytes]) -> None:
-        ids = [self.of.encode(r.decode("utf-8", "replace"), add_special_tokens=False).ids for r in runs]
-        self._learn(runs, np.array([i for x in ids for i in x], "<u4"), np.cumsum([len(x) for x in ids], dtype=np.int64))
+    def take(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin = self.begin[k]
+        n = self.end[k] - begin
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(total) + np.repeat(begin - ends + n, n)], ends
+
+
+def pieces(run: bytes) -> list[bytes]:
+    """A run between blanks, cut where a subword surely ends: between letters and the ASCII marks beside them, unless an
+    apostrophe stands before letters. ASCII letters are lower-cased, as the tokenizer does with all."""
+    if run.isalpha():
+        return [run.lower()]
+    if b"<|" in run:  # it may hold a special token
+        return [run]
+    text = run.decode("utf-8", "replace")
+    word = text.strip(MARKS)
+    if not word.isalpha():
+        return [p.lower() if p.isalpha() else p for p in RUNS.findall(run)]
+    head = text[:text.index(word)]
+    if head.endswith("'"):
+        return [run]
+    return [p.encode() for p in (head, word.lower() if word.isascii() else word, text[len(head) + len(word):]) if p]
+
+
+class Subwords:
+    """Subword ids of texts. No subword and no step of the normaliser reaches over a blank, so a text's ids are those of its
+    runs between blanks; a run's pieces are each encoded once while they are remembered."""
+
+    def __init__(self, vocabulary: str, most: int = 600_000):
+        from tokenizers import Tokenizer
+
+        self.of, self.most = Tokenizer.from_file(vocabulary), most
+        known = self.of.get_vocab()
+        self.ends = np.zeros(max(known.values()) + 1, bool)  # subwords that end a word
+        self.ends[[i for word, i in known.items() if word.endswith("</w>")]] = True
+        self.runs, self.run_ids, self.parts, self.part_ids = Numbers(), Known(), Numbers(), Known()
+
+    def _one_by_one(self, k: np.ndarray, parts: list[bytes]) -> None:
+        ids = [self.of.encode(p.decode("utf-8", "replace"), add_special_tokens=False).ids for p in parts]
+        self.part_ids.put(k, np.array([i for x in ids for i in x], "<u4"), np.cumsum([len(x) for x in ids], dtype=np.int64))
 
-    def learn(self, runs: set[bytes]) -> None:
-        """Runs of letters are encoded together, which is right where as many words end as there are runs."""
-        letters, others = [], []
-        for run in runs:
-            (letters if run.decode("utf-8", "replace").isalpha() else others).append(run)
+    def _encode(self, parts: list[bytes], first: int) -> None:
+        """Parts of letters are encoded together, which is right where as many words end as there are parts."""
+        whole = np.array([p.decode("utf-8", "replace").isalpha() for p in parts], bool)
+        letters, others = np.flatnonzero(whole), np.flatnonzero(~whole)
         for at in range(0, len(letters), 4096):
             some = letters[at:at + 4096]
-            ids = np.array(self.of.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.of.encode_batch_fast([b" ".join([parts[i] for i in some]).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some):
-                self._learn(some, ids, ends)
+                self.part_ids.put(first + some, ids, ends)
             else:
-                self._one_by_one(some)
-        self._one_by_one(others)
+                self._one_by_one(first + some, [parts[i] for i in some])
+        self._one_by_one(first + others, [parts[i] for i in others])
+
+    def _learn(self) -> None:
+        """The ids of the runs that are new."""
+        new, self.runs.new = self.runs.new, []
+        if not new:
+            return
+        cut = [pieces(run) for run in new]
+        k = self.parts.of([p for c in cut for p in c])
+        some, self.parts.new = self.parts.new, []
+        self._encode(some, len(self.parts) - len(some))
+        ids, ends = self.part_ids.take(k)
+        self.run_ids.put(np.arange(len(self.runs) - len(new), len(self.runs)), ids, ends[np.cumsum([len(c) for c in cut]) - 1])
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text and the end; null is an empty text."""
-        cut = [RUNS.findall(t) if t else [] for t in texts]
-        new = set().union(*cut).difference(self)
-        if len(self) + len(new) > self.most:
-            self.forget()
-            new = set().union(*cut)
-        folded = {r: r.lower() for r in new if r.isalpha() and not r.islower()}  # of bytes, so ASCII letters alone
-        self.learn((new - folded.keys()) | set(folded.values()).difference(self))
-        for run, low in folded.items():
-            self[run] = self[low]
-        return [self._of(runs) for runs in cut]
-
-    def _of(self, runs: list[bytes]) -> np.ndarray:
-        k = np.fromiter(map(self.__getitem__, runs), np.int64, len(runs))
-        n = self.span[k, 1] - self.span[k, 0]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        out = np.empty(total + 1, "<u4")
-        out[:total] = self.ids[np.arange(total) + np.repeat(self.span[k, 0] - ends + n, n)]
-        out[total] = END
-        return out
+        if len(self.runs) > self.most:
+            self.runs, self.run_ids = Numbers(), Known()
+        if len(self.parts) > self.most:
+            self.parts, self.part_ids = Numbers(), Known()
+        numbers = [self.runs.of(text.split() if text else []) for text in texts]
+        self._learn()
+        return [np.append(self.run_ids.take(k)[0], np.array([END], "<u4")) for k in numbers]
 
 
+MARKS = string.punctuation
 RUNS = re.compile(rb"[A-Za-z]++(?![0-9\x80-\xff])|\S+")
 
 

@@ -73,12 +73,13 @@ def test_sequences_hold_the_ids(spark, bpe):
             assert np.array_equal(np.concatenate([g for _, g in sorted(back[d], key=lambda x: x[0])]), ids_of(bpe, text))
 
 
-ODD = ["don't stop", "Anb'll\"x\" x.Y", "H̱ ẖ İstanbul I'M", "a<|endoftext|>b <|STARTOFTEXT|> c", "12ab34 ab12 ñandú. naïve",
+ODD = ["don't stop", "Anb'll\"x\" x.Y", "H̱ ẖ İstanbul I'M", "a<|endoftext|>b <|STARTOFTEXT|> c", "see <|endoftext|> (<|startoftext|>)", "'tis ''t (word) [ñu]… \"Ab's\" dogs' ('re) —x. x—. ²a. a²",
+       "12ab34 ab12 ñandú. naïve",
        "漢字かな ok", "…'s ''s 's", "x\x0by\x0cz\x85w\xa0v u", "क़ क़ ﬁ ß SS", "\0\x01 a\0b", "a" * 5000, "Ab" * 3000, "é é É"]
 
 
 def test_ids_are_those_of_the_tokenizer(bpe):
-    known = packing.Subwords(packing.default_vocabulary(), most=30)  # forgets at times
+    known = packing.Subwords(packing.default_vocabulary(), most=30)  # it forgets at times
     texts = ODD + [" ".join(ODD), "\n".join(reversed(ODD)), None, "", " "]
     for at in range(0, len(texts), 3):
         got = known.encode([None if t is None else t.encode() for t in texts[at:at + 3]])
