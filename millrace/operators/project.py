@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.context import RunContext
+from millrace.operators.guard import guard
 
 Statement = tuple[str, "str | Column"]
 AT_TIME = "atTime"
@@ -113,6 +114,76 @@ def script(
     return work.select(*[F.col(f"`{c}`") for c in kept + produced])
 
 
+def attempt(
+    df: DataFrame,
+    outputs: Sequence[tuple[str, str]],
+    strategy: str = BOTH,
+    input_builder: Sequence[tuple[str, str]] = (),
+    output_builder: Sequence[tuple[str, str]] = (),
+    context: RunContext = RunContext(),
+    stamp: bool = True,
+    retry: str = "errorMessage like 'RETRY%'",
+) -> DataFrame:
+    """``script`` where a statement that fails costs its own row alone. ``route`` is success, failure or, where the
+    condition ``retry`` holds for the row, retry; ``errorMessage`` is the cause, null for a success. A row that failed
+    keeps its input and has no outputs but those of the output builder, which runs for every row.
+
+    A builder statement that fails is passed over: the input builder then leaves the old value, the output builder what
+    the statements made. One that rightly gives null sets null. Statements are SQL text, as they are rewritten (see
+    ``guard``); ``raise_error`` and ``assert_true`` give business errors."""
+    if strategy not in (BOTH, ONLY_OUTPUT):
+        raise ValueError(f"strategy is {BOTH!r} or {ONLY_OUTPUT!r}, not {strategy!r}")
+    taken = {"input", "output", "route", "errorMessage"} & set(df.columns)
+    if taken:
+        raise ValueError(f"column names {sorted(taken)} are reserved in a script")
+    work = df if "attributes" in df.columns else df.withColumn("attributes", attribute_map(context))
+    for name, expr in input_builder:
+        work = _set(work, name, expr, [c for c in work.columns if c != "attributes"])
+    input_columns = [c for c in work.columns if c != "attributes"]
+    work = work.withColumns({"input": F.struct(*[F.col(f"`{c}`") for c in input_columns]), "errorMessage": F.lit(None).cast("string")})
+    produced: list[str] = []
+    for name, expr in outputs:
+        form = guard(work, safe_fields(expr, input_columns, produced))
+        if form.cause:
+            work = work.withColumn("errorMessage", F.coalesce("errorMessage", F.expr(form.cause)))
+        work = _output(work, produced, name, F.expr(form.value))
+    failed = F.col("errorMessage").isNotNull()
+    for name in produced:
+        kind = work.schema[name].dataType
+        old = F.col(f"input.`{name}`") if strategy == BOTH and name in input_columns else F.lit(None)
+        work = work.withColumn(name, F.when(~failed, F.col(f"`{name}`")).otherwise(old.try_cast(kind)))
+    if produced:
+        work = work.withColumn("output", F.struct(*[F.col(f"`{c}`") for c in produced]))
+    for name, expr in output_builder:
+        work = _output(_set(work, name, expr, input_columns, produced), produced, name, F.col(f"`{name}`"))
+    work = work.withColumn("route", F.when(failed & F.coalesce(F.expr(retry), F.lit(False)), "retry").when(failed, "failure").otherwise("success"))
+    if stamp:
+        work = work.withColumn(AT_TIME, context.now_column())
+        produced = [c for c in produced if c != AT_TIME] + [AT_TIME]
+    kept = [c for c in input_columns if c not in produced]
+    if strategy == ONLY_OUTPUT:  # of a row that failed its input is what there is to keep
+        return work.select("route", "errorMessage", *[F.col(f"`{c}`") for c in produced],
+                           F.when(failed, F.to_json("input")).alias("failedInput"))
+    return work.select("route", "errorMessage", *[F.col(f"`{c}`") for c in kept + produced])
+
+
+def _output(work: DataFrame, produced: list[str], name: str, value: Column) -> DataFrame:
+    work = work.withColumn(name, value)
+    if name not in produced:
+        produced.append(name)
+    return work.withColumn("output", F.struct(*[F.col(f"`{c}`") for c in produced]))
+
+
+def _set(work: DataFrame, name: str, expr: str, columns: Sequence[str], produced: Sequence[str] = ()) -> DataFrame:
+    """Set a column to an expression; where that fails, the old value stays."""
+    form = guard(work, safe_fields(expr, columns, produced, scoped="input" in work.columns))
+    new = F.expr(form.value)
+    if form.cause:
+        old = F.col(f"`{name}`") if name in work.columns else F.lit(None)
+        new = F.when(F.expr(form.cause).isNull(), new).otherwise(old)
+    return work.withColumn(name, new)
+
+
 def build_struct(df: DataFrame, parts: dict[str, dict[str, str | Column]]) -> DataFrame:
     """Nested values per row, e.g. ``{"variables": {"id": "c_custkey"}, "headers": {…}}``."""
     return df.withColumns({name: F.struct(*[as_column(e).alias(k) for k, e in fields.items()])

@@ -62,6 +62,61 @@ def builder_output(t):
                           stamp=False).select("event_id", "doubled", "whole", "who")
 
 
+RAW = """WITH e AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN event_type WHEN event_id % 7 = 0 THEN '99999999999' WHEN event_id % 11 <> 0 THEN CAST(user_id AS VARCHAR) END AS raw,
+  event_id % 3 AS part, CASE WHEN event_id % 4 = 3 THEN event_id % 6 ELSE 0 END AS slot FROM events)"""
+RAW_COLUMNS = {"raw": "case when event_id % 5 = 0 then event_type when event_id % 7 = 0 then '99999999999' when event_id % 11 <> 0 then cast(user_id as string) end",
+               "part": "event_id % 3", "slot": "case when event_id % 4 = 3 then event_id % 6 else 0 end"}
+
+
+def raw_events(t):
+    return t.events.select("event_id", "user_id", "event_type", "value", *[F.expr(e).alias(c) for c, e in RAW_COLUMNS.items()])
+
+
+@plan("script_failure", f"""{RAW}, c AS (
+    SELECT *, CASE WHEN raw IS NOT NULL AND TRY_CAST(raw AS INTEGER) IS NULL THEN 'CAST_INVALID_INPUT: ' || raw || ' as INT'
+      WHEN part = 0 THEN 'DIVIDE_BY_ZERO: input.user_id / input.part' WHEN slot >= 3 THEN 'INVALID_ARRAY_INDEX: ' || slot || ' of 3' END AS cause FROM e)
+  SELECT event_id, CASE WHEN cause IS NULL THEN 'success' ELSE 'failure' END AS route, cause AS "errorMessage", value,
+    CASE WHEN cause IS NULL THEN TRY_CAST(raw AS INTEGER) ELSE -1 END AS n,
+    CASE WHEN cause IS NULL THEN user_id / part::DOUBLE END AS share,
+    CASE WHEN cause IS NULL THEN [user_id, part, slot][slot + 1] END AS nth, cause IS NOT NULL AS told FROM c""")
+def script_failure(t):
+    """A cast, a division and an array place, each failing on some rows: those rows alone fail, first cause told."""
+    source = raw_events(t).withColumn("n", F.lit(-1))
+    return project.attempt(
+        source, [("n", "cast(input.raw as int)"), ("share", "input.user_id / input.part"), ("nth", "array(input.user_id, input.part, input.slot)[input.slot]")],
+        output_builder=[("told", "output.share is null")], context=CONTEXT, stamp=False).select(
+        "event_id", "route", "errorMessage", "value", "n", "share", "nth", "told")
+
+
+@plan("script_retry", f"""{RAW}, c AS (
+    SELECT *, CASE WHEN event_type = 'error' THEN CASE WHEN part = 0 THEN 'RETRY: busy' ELSE 'refused ' || event_id END
+      WHEN value <= 0.5 THEN 'value too small' WHEN part = 1 AND 100 / nullif(slot, 0)::DOUBLE IS NULL THEN 'DIVIDE_BY_ZERO: 100 / input.slot' END AS cause FROM e)
+  SELECT event_id, CASE WHEN cause IS NULL THEN 'success' WHEN cause LIKE 'RETRY%' OR cause LIKE 'DIVIDE%' THEN 'retry' ELSE 'failure' END AS route,
+    cause AS "errorMessage", CASE WHEN cause IS NULL THEN CASE WHEN part = 1 THEN 100 / nullif(slot, 0)::DOUBLE ELSE value END END AS score FROM c""")
+def script_retry(t):
+    """Errors that the script raises itself, some of which may be tried again."""
+    return project.attempt(raw_events(t), [
+        ("refusal", "if(input.event_type = 'error', raise_error(if(input.part = 0, 'RETRY: busy', concat('refused ', input.event_id))), null)"),
+        ("checked", "assert_true(input.value > 0.5, 'value too small')"),
+        ("score", "case when input.part = 1 then 100 / input.slot else input.value end")],
+        strategy=project.ONLY_OUTPUT, input_builder=[], context=CONTEXT, stamp=False,
+        output_builder=[("event_id", "input.event_id")],
+        retry="errorMessage like 'RETRY%' or errorMessage like 'DIVIDE%'").select("event_id", "route", "errorMessage", "score")
+
+
+@plan("builder_null", f"""{RAW}
+  SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type END AS event_type,
+    CASE WHEN raw IS NOT NULL AND TRY_CAST(raw AS BIGINT) IS NULL THEN user_id ELSE TRY_CAST(raw AS BIGINT) END AS user_id,
+    CASE WHEN part = 0 THEN value * 2 WHEN part = 1 THEN NULL ELSE value / part END AS doubled FROM e""")
+def builder_null(t):
+    """Builders that set null on purpose, and leave the old value only where they fail."""
+    done = project.attempt(
+        raw_events(t), [("doubled", "input.value * 2")],
+        input_builder=[("event_type", "nullif(event_type, 'view')"), ("user_id", "cast(raw as bigint)")],
+        output_builder=[("doubled", "nullif(input.part, 1) * input.value / (input.part * input.part)")], stamp=False)
+    return done.select("event_id", "event_type", "user_id", "doubled")
+
+
 @plan("builder_struct", """
   SELECT c_custkey, '{"id":' || c_custkey || ',"segment":"' || c_mktsegment || '"}' AS variables,
     '{"tenant":"acme","nation":"' || c_nationkey || '"}' AS headers FROM customer""")
