@@ -42,7 +42,14 @@ def to_byte(text: Column, default: int = 0) -> Column:
 
 
 def read_floating(text: Column, data_type: str) -> Column:
-    """A floating number in text, blanks around it allowed; null for any other text."""
+    """A floating number in text, blanks around it allowed; null for any other text. Spark's own parser reads what is
+    written without letters (other than e); only the rest is looked at closely."""
+    plain = text.try_cast("double")
+    return F.when(text.rlike("[A-DF-Za-df-z]"), _read_letters(text, data_type)).otherwise(plain.cast(data_type) if data_type != "double" else plain)
+
+
+def _read_letters(text: Column, data_type: str) -> Column:
+    """Floating numbers with a type letter, in hexadecimal, or one of the two words."""
     bare = F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
     bare = F.when(bare.rlike("[pPxX]"), F.regexp_replace(bare, "[fFdD]$", "")).otherwise(F.regexp_replace(bare, "(?<=[0-9.])[fFdD]$", ""))
     whole, part = F.regexp_extract(bare, HEXADECIMAL, 2), F.regexp_extract(bare, HEXADECIMAL, 3)

@@ -6,11 +6,13 @@ from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators import errors, partition, project, route
 from millrace.plans.registry import CONTEXT, plan
 from millrace.session import shared_folder
 from millrace.sources import rows as row_io
+from millrace.sources import typed
 
 ROUTES = {"big": "value > 10", "errors": "event_type = 'error'", "even_k": "k % 2 = 0", "never": "  "}
 WITH_K = "WITH e AS (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k, strftime(ts, '%Y-%m-%d') AS day FROM events)"
@@ -261,6 +263,45 @@ def io_json_typed(t):
     return parsed.select("event_id", "p.k", "p.missing")
 
 
+LOOSE = """concat('{"ID":"', event_id, '","amount":', if(event_id % 4 = 0, concat('"', value, '"'), cast(value as string)), ',"ok":', if(event_id % 3 = 0, '"TRUE"', 'false'),
+  ',"count":', case when event_id % 5 = 0 then '"many"' when event_id % 5 = 1 then 'null' else cast(user_id as string) end,
+  ',"day":"', date_format(ts, 'yyyy-MM-dd'), '","tags":["', event_type, '",', event_id % 10, if(event_id % 7 = 0, ',{"z":1}', ''), '],"father":{"id":"', user_id,
+  '","weights":{"a":1,"b":"', if(event_id % 11 = 0, 'x', '2'), '"},"seen":', event_id % 2, '},"extra":{"p":[1,2]},"source":"s', event_id % 3, '"}')"""
+
+
+def loose(t, **how):
+    father = T.StructType([typed.aliased("id", "bigint"), typed.aliased("weights", "map<string,int>")])
+    schema = T.StructType([
+        typed.aliased("id", "bigint", "ID", "key"), typed.aliased("amount", "double"), typed.aliased("ok", "boolean"),
+        typed.aliased("count", "int"), typed.aliased("day", "date"), typed.aliased("tags", "array<string>"),
+        typed.aliased("father", father), typed.aliased("missing", "string")])
+    return typed.parse_typed(t.events.select("event_id", F.expr(LOOSE).alias("line")), "line", schema, **how)
+
+
+@plan("io_json_coerce", """
+  SELECT event_id, CAST(event_id AS BIGINT) AS id, value AS amount, event_id % 3 = 0 AS ok, CASE WHEN event_id % 5 > 1 THEN CAST(user_id AS INTEGER) END AS count,
+    CAST(ts AS DATE) AS day, event_type || '|' || CAST(event_id % 10 AS VARCHAR) || CASE WHEN event_id % 7 = 0 THEN '|{"z":1}' ELSE '' END AS tags,
+    CAST(user_id AS BIGINT) AS father_id, CASE WHEN event_id % 11 <> 0 THEN 2 END AS b, CAST(NULL AS VARCHAR) AS missing,
+    CASE WHEN event_id % 5 = 0 THEN 'cannot convert field count: "many" as int'
+      WHEN event_id % 11 = 0 THEN 'cannot convert field father.weights.b: "x" as int' END AS "errorMessage" FROM events""")
+def io_json_coerce(t):
+    """Texts where numbers, words and dates are wanted, a field by another name, lists and maps, and paths that fail."""
+    return loose(t).select(
+        "event_id", "id", "amount", "ok", "count", "day", F.array_join("tags", "|").alias("tags"), F.col("father.id").alias("father_id"),
+        F.col("father.weights")["b"].alias("b"), "missing", "errorMessage")
+
+
+@plan("io_json_unknown", """
+  SELECT event_id, CAST(event_id AS BIGINT) AS id, 3 AS fields, '{"p":[1,2]}' AS extra, '"s' || event_id % 3 || '"' AS source,
+    CAST(event_id % 2 AS VARCHAR) AS seen FROM events""")
+def io_json_unknown(t):
+    """Fields that the schema doesn't know, kept as they came."""
+    unknown = F.col("unknown")
+    return loose(t, drop_unknown=False).select(
+        "event_id", "id", F.size("unknown").alias("fields"), unknown["extra"].alias("extra"), unknown["source"].alias("source"),
+        unknown["father.seen"].alias("seen"))
+
+
 @plan("io_json_lenient", """
   SELECT event_id, 'k' || CAST(user_id AS VARCHAR) AS name, event_type AS kind, CAST(user_id AS BIGINT) AS inner_id FROM events""")
 def io_json_lenient(t):
