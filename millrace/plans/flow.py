@@ -344,3 +344,27 @@ def io_json_multiroot(t):
     documents = row_io.json_arrays(t.events.select("event_type", "event_id", "user_id"), rows_per_document=1000)
     documents.select("document").write.option("maxRecordsPerFile", 4).text(path)
     return row_io.read_rows(t.spark, path, schema="event_type string, event_id bigint, user_id bigint", multi_root=True)
+
+
+BAD_ROOT = "event_id % 50 = 7"
+
+
+@plan("io_json_multiroot_bad", f"""
+  SELECT CASE WHEN NOT {BAD_ROOT} AND event_id % 50 <> 9 THEN event_id END AS event_id, CASE WHEN event_id % 50 = 9 THEN '1' WHEN NOT {BAD_ROOT} THEN CAST(event_id % 10 AS VARCHAR) || '.10' END AS price,
+    CASE WHEN {BAD_ROOT} THEN 'not JSON' WHEN event_id % 50 = 9 THEN 'does not fit the schema' END AS "errorMessage",
+    CASE WHEN {BAD_ROOT} THEN '{{"event_id": ' || event_id || ' "lost"}}' WHEN event_id % 50 = 9 THEN '{{"event_id": "e' || event_id || '", "price": 1}}' END AS text FROM events""")
+def io_json_multiroot_bad(t):
+    """Objects and lists back to back without line breaks, files cut into many ranges: a bad document is an error row with
+    its own text, and a number's text stays as written."""
+    path = f"{shared_folder(t.spark)}/roots-{uuid4().hex}"
+    root = F.when(F.expr(BAD_ROOT), F.format_string('{"event_id": %d "lost"}', "event_id")).when(
+        F.expr("event_id % 50 = 9"), F.format_string('{"event_id": "e%d", "price": 1}', "event_id")).when(
+        F.expr("event_id % 3 = 0"), F.format_string('[{"event_id": %d, "price": "%d.10"}]', "event_id", F.col("event_id") % 10)).otherwise(
+        F.format_string('{"event_id":%d,"note":"}{ \\"[","price":"%d.10"}', "event_id", F.col("event_id") % 10))
+    t.events.select(root.alias("root")).write.option("lineSep", " ").text(path)
+    before = t.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    t.spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        return row_io.read_multi_root(t.spark, path, "event_id bigint, price string", errors=True)
+    finally:
+        t.spark.conf.set("spark.sql.files.maxPartitionBytes", before)

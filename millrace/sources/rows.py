@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
+from millrace.sources import roots
+
 # How dates and times are written to JSON
 JSON_FORMATS = {"dateFormat": "yyyy-MM-dd", "timestampFormat": "yyyy-MM-dd HH:mm:ss",
                 "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "ignoreNullFields": "true"}
@@ -54,42 +55,24 @@ def read_rows(spark: SparkSession, path: str | Sequence[str], format: str = "jso
     return reader.load(path if isinstance(path, str) else list(path))
 
 
-def split_roots(text: str) -> Iterator[str]:
-    """The rows of a text of JSON documents back to back; arrays give their items."""
-    decoder, at, end = json.JSONDecoder(), 0, len(text)
-    while True:
-        while at < end and text[at] in " \t\r\n,﻿":
-            at += 1
-        if at >= end:
-            return
-        value, at = decoder.raw_decode(text, at)
-        for row in value if isinstance(value, list) else [value]:
-            if row is not None:
-                yield json.dumps(row, ensure_ascii=False)
-
-
-def read_multi_root(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON documents back to back in one file. A file is read by one task, which
-    holds its text, so files of this kind must fit a task's memory; any number of
-    files is read in parallel. Big data belongs in JSON lines."""
-    files = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True)
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for text in batch["value"]:
-                chunk: list[str] = []
-                for row in split_roots(text):
-                    chunk.append(row)
-                    if len(chunk) == 10_000:
-                        yield pd.DataFrame({"value": chunk})
-                        chunk = []
-                yield pd.DataFrame({"value": chunk}, dtype=object)
-
-    lines = files.mapInPandas(rows, "value string")
+def read_multi_root(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
+                    errors: bool = False) -> DataFrame:
+    """JSON documents back to back in files, cut in parallel (see ``roots``); lists give their items. ``errors`` adds
+    ``errorMessage`` and ``text``: for a row that is no JSON or doesn't fit the schema its reason and its own text, else null."""
+    lines = roots.split_roots(spark, path)
     if schema is None:
-        return spark.read.json(lines.rdd.map(lambda r: r[0]))
+        return spark.read.json(lines.select("text").rdd.map(lambda r: r[0]))
     target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    return lines.select(F.from_json("value", target).alias("r")).select("r.*")
+    if not errors:
+        return lines.select(F.from_json("text", target).alias("r")).select("r.*")
+    bad = "_corrupt"
+    while bad in target.names:
+        bad += "_"
+    with_bad = T.StructType([*target.fields, T.StructField(bad, T.StringType())])
+    parsed = lines.select("text", F.from_json("text", with_bad, {"columnNameOfCorruptRecord": bad}).alias("r"))
+    failed = F.col("r").isNull() | F.col(f"r.`{bad}`").isNotNull()
+    reason = F.when(F.from_json("text", "variant").isNull(), "not JSON").otherwise("does not fit the schema")
+    return parsed.select(*[F.col(f"r.`{n}`") for n in target.names], F.when(failed, reason).alias("errorMessage"), F.when(failed, F.col("text")).alias("text"))
 
 
 def parse_rows(text: Column, schema: T.StructType | str, lenient: bool = False) -> Column:
