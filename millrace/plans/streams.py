@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from millrace.operators import errors, partition, project, route
 from millrace.plans.flow import AMOUNT_CHECKS, AMOUNTS, ROUTED, ROUTES
-from millrace.plans.joins import CHANGES, changes
+from millrace.plans import joins
+from millrace.plans.joins import CHANGES, STATE, changes
 from millrace.plans.registry import CONTEXT, Tables, plan
 from millrace.session import shared_folder
 from millrace.sources.rows import stream_rows
-from millrace.streaming import runner
+from millrace.streaming import buckets, runner
 
 
 def streamed(t: Tables, transform, sink=None):
@@ -73,3 +74,27 @@ def stream_keyed(t):
     spark, out = streamed(t, lambda df: changes(Batch(df)),
                           lambda path: runner.keyed_sink(path, "id bigint, kind string, score double", "id", "op", ["event_id"]))
     return runner.documents(spark, out, "id")
+
+
+IN_BATCHES = """c AS (SELECT *, CASE WHEN op IN ('index', 'delete') THEN event_id END AS reset FROM x),
+  all_rows AS (SELECT id, kind, score, op, event_id FROM c UNION ALL SELECT id, kind, score, 'index', -1 FROM s),
+  b AS (SELECT *, last_value(CASE WHEN op <> 'update' THEN op END IGNORE NULLS) OVER (PARTITION BY id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM all_rows),
+  v AS (SELECT * FROM b WHERE op IN ('index', 'upsert') OR coalesce(before <> 'delete', FALSE)),
+  z AS (SELECT id, max(event_id) FILTER (op IN ('index', 'delete')) AS reset, arg_max(op, event_id) FILTER (op <> 'update') AS last_op FROM v GROUP BY id)"""
+
+
+@plan("stream_buckets", f"""
+  WITH x AS ({CHANGES}), s AS ({STATE}), {IN_BATCHES}
+  SELECT v.id, arg_max(kind, event_id) FILTER (kind IS NOT NULL AND (reset IS NULL OR event_id > reset OR event_id = reset AND op = 'index')) AS kind,
+    arg_max(score, event_id) FILTER (score IS NOT NULL AND (reset IS NULL OR event_id > reset OR event_id = reset AND op = 'index')) AS score,
+    (SELECT count(*) FROM x) AS changes
+  FROM v JOIN z ON v.id = z.id WHERE last_op <> 'delete' GROUP BY v.id""")
+def stream_buckets(t):
+    """Documents that exist already, changed by three batches, buckets written anew on the way."""
+    path = f"{shared_folder(t.spark)}/buckets-{uuid4().hex}"
+    buckets.create(joins.documents(t), path, "id", buckets=8)
+    sink = buckets.bucket_sink(path, "id", "op", ["event_id"], most=2)
+    low, high = t.events.agg(F.min("event_id"), F.max("event_id")).first()
+    for batch in range(3):
+        sink(changes(t).where(F.floor((F.col("event_id") - low) * 3 / (high - low + 1)) == batch), batch)
+    return buckets.documents(t.spark, path, "id").withColumn("changes", F.lit(buckets.changed_rows(t.spark, path)).cast("bigint"))

@@ -13,7 +13,7 @@ from millrace.context import RunContext
 from millrace.operators import keyed, lookup, project, route, sequence
 from millrace.session import shared_folder
 from millrace.sources.rows import stream_rows, write_rows
-from millrace.streaming import runner
+from millrace.streaming import buckets, runner
 
 SCHEMA = "id bigint, kind string, op string, seq bigint"
 ROUTES = {"big": "id > 5", "click": "kind = 'click'"}
@@ -112,6 +112,61 @@ def test_keyed_sink_in_steps(spark, files):
     assert sorted(items) == sorted(want_items.select("seq", "status").collect())
 
 
+def test_bucket_sink_in_batches(spark, files):
+    """Several batches, buckets written anew, a start that isn't empty, a replay: the same as one application."""
+    path, home = files
+    docs = str(home / "buckets")
+    everything = spark.read.parquet(path)
+    start = spark.createDataFrame([(i, "old") for i in range(0, 60, 2)], "id bigint, kind string")
+    want_docs, want_items = keyed.apply_changes(start, everything, "id", "op", ["seq"])
+    buckets.create(start, docs, "id", buckets=8)
+    assert sorted(buckets.documents(spark, docs, "id").collect()) == sorted(start.collect())
+    sink = buckets.bucket_sink(docs, "id", "op", ["seq"], most=2)
+    for batch in range(4):
+        sink(everything.filter(F.col("seq").between(batch * 10, batch * 10 + 9)), batch)
+        if batch == 2:
+            sink(everything.filter(F.col("seq").between(20, 29)), 2)
+    state, count = buckets._manifest(spark, docs, 3)
+    assert count == 8 and any(version is not None and version >= 0 for version, _ in state.values()) and all(len(d) < 2 for _, d in state.values())
+    assert sorted(map(repr, buckets.documents(spark, docs, "id").collect())) == sorted(map(repr, want_docs.collect()))
+    items = spark.read.parquet(f"{docs}/items").select("seq", "status").collect()
+    assert sorted(items) == sorted(want_items.select("seq", "status").collect())
+    assert buckets.changed_rows(spark, docs) == 40 and buckets.last_batch(spark, docs) == 3
+
+
+def test_only_touched_buckets_are_read(spark, tmp_path):
+    docs = str(tmp_path / "docs")
+    start = spark.range(500).select("id", F.lit("old").alias("kind"))
+    buckets.create(start, docs, "id", buckets=32)
+    sink = buckets.bucket_sink(docs, "id", "op", ["seq"], most=9)
+    some = spark.createDataFrame([(7, "new", "update", 1), (8, None, "delete", 2), (9000, "x", "update", 3), (None, "y", "update", 4)],
+                                 "id bigint, kind string, op string, seq int")
+    sink(some, 0)
+    state, _ = buckets._manifest(spark, docs, 0)
+    touched = {r[0] for r in some.where("id in (7, 8)").select(buckets.bucket_of("id", 32)).collect()}
+    assert {b for b, (_, deltas) in state.items() if deltas} == touched
+    base, deltas = buckets.stored(spark, docs, state, touched)
+    assert {int(f.split("_bucket=")[1].split("/")[0]) for f in [*base.inputFiles(), *deltas.inputFiles()]} == touched
+    assert {r.seq: r.status for r in spark.read.parquet(f"{docs}/items").collect()} == {1: 200, 2: 200, 3: 404, 4: 400}
+    got = {r.id: r.kind for r in buckets.documents(spark, docs, "id").collect()}
+    assert got == {**{i: "old" for i in range(500) if i != 8}, 7: "new"}
+    sink(some.limit(0), 1)  # an empty batch
+    sink(spark.range(500).selectExpr("id", "cast(null as string) kind", "'delete' op", "cast(id as int) seq"), 2)
+    assert buckets.documents(spark, docs, "id").collect() == [] and buckets.changed_rows(spark, docs) == 504
+
+
+def test_buckets_may_begin_empty(spark, tmp_path):
+    docs = str(tmp_path / "docs")
+    buckets.create(spark.createDataFrame([], "id string, kind string"), docs, "id", buckets=4)
+    assert buckets.documents(spark, docs, "id").collect() == []
+    sink = buckets.bucket_sink(docs, "id", "op", ["seq"], most=1)
+    sink(spark.createDataFrame([("a", "k", "index", 1), (None, "fresh", "index", 2)], "id string, kind string, op string, seq int"), 0)
+    got = buckets.documents(spark, docs, "id").collect()
+    assert sorted(r.kind for r in got) == ["fresh", "k"] and all(r.id for r in got)
+    with pytest.raises(ValueError, match="reserved"):
+        buckets.create(spark.createDataFrame([], "id string, _batch int"), docs, "id")
+
+
 def test_worker_functions_travel_with_the_job():
     """A worker that cannot import the package can still load what it is sent."""
     from pyspark import cloudpickle
