@@ -11,11 +11,14 @@ import re
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass, replace
 from functools import reduce
 from threading import Lock
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.context import RunContext
 
@@ -153,23 +156,39 @@ def attribute_arguments(context: RunContext) -> dict[str, str]:
     return {f"{ATTRIBUTE}{name}": value for name, value in context.attributes.items()}
 
 
+@dataclass(frozen=True)
+class Within:
+    """A statement's condition that bounds ``column`` of ``view`` by parameters from below, from above or both."""
+
+    view: str
+    column: str
+    low: str | None = None
+    high: str | None = None
+    bins: int = 256
+
+
 def lookup_sql(df: DataFrame, sql: str, mode: str = MANY, order_by: Sequence[str] = (), views: dict[str, DataFrame] | None = None,
-               context: RunContext = RunContext()) -> DataFrame:
+               context: RunContext = RunContext(), within: Within | None = None, allow_loop: bool = False) -> DataFrame:
     """Run a parameterised SELECT for all rows at once. The statement becomes a
     lateral subquery, which Catalyst turns into an ordinary join on the parameters.
 
     ``many`` gives one row per match. ``one`` gives the first match by ``order_by``
     (expressions over the statement's columns); it runs the statement once per
     distinct set of parameters. Rows without a match stay, with nulls.
+
+    A statement that compares with parameters, but is equal to none, would be tried for every pair of rows. It is
+    refused, unless ``within`` names the column that parameters bound: the column's values are cut into bins of about
+    equal numbers, rows and parameters meet where they share a bin, and the statement itself decides. ``allow_loop``
+    lets a statement over small tables pass as it is.
     """
     statement = sql.strip().rstrip(";")
     if mode not in (MANY, ONE):
         raise ValueError(f"mode is {MANY!r} or {ONE!r}, not {mode!r}")
     if re.search(r"\b(order\s+by|limit)\b", _bare_statement(statement), re.IGNORECASE):
         raise ValueError("a row order inside the statement has no effect here: pass order_by")
-    if mode == MANY:
-        return _lateral(df, statement, views or {}, context)
-    if not order_by:
+    if mode == MANY and within is None:
+        return _unlooped(_lateral(df, statement, views or {}, context), allow_loop)
+    if mode == ONE and not order_by:
         raise ValueError("mode 'one' needs order_by")
     keys = [n for n in dict.fromkeys(parameter_names(statement)) if n in df.columns]
     if not keys:
@@ -177,13 +196,79 @@ def lookup_sql(df: DataFrame, sql: str, mode: str = MANY, order_by: Sequence[str
     asked = df.select(*keys).distinct().toDF(*[f"__p{i}" for i in range(len(keys))])
     renamed = _outside_quotes(PARAMETER, lambda m: f":__p{keys.index(m.group(1))}" if m.group(1) in keys else m.group(0), statement)
     fallback = RunContext(attributes={**context.attributes, **{f"__p{i}": context.attributes[k] for i, k in enumerate(keys) if k in context.attributes}})
-    found = first_per_key(_lateral(asked, renamed, views or {}, fallback), asked.columns, _orders(order_by))
+    if within is not None:
+        names = {k: p for k, p in zip(keys, asked.columns)}
+        found = _in_bins(asked, renamed, views or {}, fallback, replace(within, low=names.get(within.low, within.low), high=names.get(within.high, within.high)))
+    else:
+        found = _unlooped(_lateral(asked, renamed, views or {}, fallback), allow_loop)
+    if mode == ONE:
+        found = first_per_key(found, asked.columns, _orders(order_by))
     match = reduce(lambda a, b: a & b, [F.col(f"i.`{k}`").eqNullSafe(F.col(f"l.`{p}`")) for k, p in zip(keys, asked.columns)])
     added = [c for c in found.columns if c not in asked.columns]
     kept = [F.col(f"i.`{c}`") for c in df.columns if c not in added]
     return df.alias("i").join(found.alias("l"), match, "left").select(*kept, *[F.col(f"l.`{c}`") for c in added])
 
 
+def _unlooped(found: DataFrame, allowed: bool) -> DataFrame:
+    plan = "" if allowed else found._jdf.queryExecution().sparkPlan().toString()
+    if "NestedLoopJoin" in plan or "CartesianProduct" in plan:
+        raise ValueError("the statement is equal to none of its parameters and would be tried for every pair of rows: "
+                         "name the bounded column in within, or pass allow_loop")
+    return found
+
+
+def _number(value: Column) -> Column:
+    """A number or a moment as a double; NaN, which is above all numbers, with the greatest."""
+    plain = F.coalesce(value.try_cast("double"), F.unix_micros(value.try_cast("timestamp")).cast("double"))
+    return F.when(F.isnan(plain), float("inf")).otherwise(plain)
+
+
+def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, within: Within) -> DataFrame:
+    """The statement's rows for every set of parameters that has any. A set of parameters goes to the bins between its bounds;
+    but for the first and the last, all values in them match, so there are no more of these rows than of matches."""
+    table = views[within.view]
+    moment = isinstance(table.schema[within.column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    as_number = (lambda c: F.unix_micros(c.cast("timestamp")).cast("double")) if moment else _number
+    value = as_number(F.col(within.column))
+    cuts = table.select(F.percentile_approx(value, [i / within.bins for i in range(1, within.bins)], 10_000).alias("c")).first()["c"] or []
+    splits = [float("-inf"), *sorted({c for c in cuts if c not in (float("inf"), float("-inf"))}), float("inf")]
+
+    def binned(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+        ready = rows.withColumns({f"{name}_value": c for name, c in columns.items()})
+        cut = Bucketizer(splitsArray=[splits] * len(columns), inputCols=[f"{n}_value" for n in columns], outputCols=list(columns), handleInvalid="keep")
+        done = cut.transform(ready).drop(*[f"{n}_value" for n in columns])
+        return done.withColumns({n: F.least(F.col(n), F.lit(len(splits) - 2.0)).cast("int") for n in columns})
+
+    def bound(name: str | None, otherwise: float) -> Column:
+        if name is None:
+            return F.lit(otherwise)
+        given = [F.col(name)] if name in asked.columns else []
+        given += [F.lit(context.attributes[name])] if name in context.attributes else []
+        return as_number(F.coalesce(*given)) if given else F.lit(None).cast("double")
+
+    low, high = bound(within.low, float("-inf")), bound(within.high, float("inf"))
+    covered = binned(asked.where(low.isNotNull() & high.isNotNull()), {"__low": low, "__high": high}).where("__low <= __high")
+    rows = covered.withColumn("__bin", F.explode(F.sequence("__low", "__high"))).drop("__low", "__high")
+    meeting = _and_where(statement, "__bin = input.__bin")
+    found = _lateral(rows, meeting, {**views, within.view: binned(table.where(value.isNotNull()), {"__bin": value})}, context, "INNER")
+    if "Aggregate" in found._jdf.queryExecution().analyzed().toString():
+        raise ValueError("a statement that aggregates can't be asked bin by bin")
+    return found.select(*asked.columns, *[f"`{c}`" for c in dict.fromkeys(found.columns) if c not in asked.columns and c != "__bin"])
+
+
+def _and_where(statement: str, condition: str) -> str:
+    """The statement with one more condition in its outermost WHERE."""
+    masked = re.sub(QUOTED, lambda m: "x" * len(m.group(0)), statement, flags=re.DOTALL)
+    while (shorter := PARENTHESISED.sub(lambda m: "x" * len(m.group(0)), masked)) != masked:
+        masked = shorter
+    where = list(re.finditer(r"\bwhere\b", masked, re.IGNORECASE))
+    if len(where) != 1 or re.search(r"\b(union|intersect|except)\b", masked, re.IGNORECASE):
+        raise ValueError("the bounded statement must be one SELECT with a WHERE")
+    end = re.search(r"\b(group\s+by|having|window|qualify)\b", masked[where[0].end():], re.IGNORECASE)
+    stop = where[0].end() + end.start() if end else len(statement)
+    return f"{statement[:where[0].end()]} {condition} AND ({statement[where[0].end():stop]}\n) {statement[stop:]}"
+
+
 PARENTHESISED = re.compile(r"\([^()]*\)")
 
 
@@ -197,12 +282,12 @@ def _orders(order_by: Sequence[str]) -> list[Column]:
     return out
 
 
-def _lateral(df: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext) -> DataFrame:
+def _lateral(df: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, how: str = "LEFT") -> DataFrame:
     bound = bind_parameters(statement, df.columns, context)
     given = {k: v for k, v in attribute_arguments(context).items() if f":{k}" in bound}
     rows = f"rows_{uuid.uuid4().hex}"
     with _named_views(df.sparkSession, {**views, rows: df}):  # the plan is resolved when sql() returns
-        return df.sparkSession.sql(f"SELECT input.*, found.* FROM {rows} AS input LEFT JOIN LATERAL ({bound}) AS found ON TRUE", args=given)
+        return df.sparkSession.sql(f"SELECT input.*, found.* FROM {rows} AS input {how} JOIN LATERAL ({bound}\n) AS found ON TRUE", args=given)
 
 
 NAMES = Lock()  # view names belong to the whole session

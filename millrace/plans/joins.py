@@ -108,6 +108,29 @@ def conform_names(t):
     return lookup.conform_names(t.part, ["pPartKey", "PName", "absent"])
 
 
+@plan("lookup_sql_range", """
+  SELECT c_custkey, c_acctbal, p_partkey, p_retailprice FROM customer LEFT JOIN part
+    ON p_retailprice >= c_acctbal AND p_retailprice < c_acctbal + 5 * (c_custkey % 7) AND (p_size < 30 OR p_partkey % 2 = 0)""")
+def lookup_sql_range(t):
+    """Parts whose price lies between two bounds of each customer."""
+    asked = t.customer.select("c_custkey", "c_acctbal", F.expr("c_acctbal + 5 * (c_custkey % 7)").alias("top"))
+    return lookup.lookup_sql(
+        asked, "SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice >= :c_acctbal AND p_retailprice < :top AND (p_size < 30 OR p_partkey % 2 = 0)",
+        views={"part": t.part}, within=lookup.Within("part", "p_retailprice", "c_acctbal", "top")).drop("top")
+
+
+@plan("lookup_sql_since", """
+  WITH d AS (SELECT DISTINCT CAST(ts AS DATE) - INTERVAL 27 YEAR AS day FROM events),
+  f AS (SELECT day, o_orderkey, o_orderdate FROM d JOIN orders ON o_orderdate >= day QUALIFY row_number() OVER (PARTITION BY day ORDER BY o_orderdate, o_orderkey) = 1)
+  SELECT event_id, user_id, o_orderkey, o_orderdate FROM events LEFT JOIN f ON day = CAST(ts AS DATE) - INTERVAL 27 YEAR""")
+def lookup_sql_since(t):
+    """The first order from a day on, for each event: bounded from below alone."""
+    asked = t.events.select("event_id", "user_id", F.expr("to_date(ts) - interval 27 years").cast("date").alias("day"))
+    return lookup.lookup_sql(
+        asked, "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= :day", mode=lookup.ONE, order_by=["o_orderdate", "o_orderkey"],
+        views={"orders": t.orders}, within=lookup.Within("orders", "o_orderdate", low="day")).drop("day")
+
+
 @plan("column_list", "SELECT n_name FROM nation")
 def column_list(t):
     return lookup.column_of(t.nation, 2)
