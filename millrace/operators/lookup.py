@@ -231,7 +231,7 @@ def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], cont
     as_number = (lambda c: F.unix_micros(c.cast("timestamp")).cast("double")) if moment else _number
     value = as_number(F.col(within.column))
     cuts = table.select(F.percentile_approx(value, [i / within.bins for i in range(1, within.bins)], 10_000).alias("c")).first()["c"] or []
-    splits = [float("-inf"), *sorted({c for c in cuts if c not in (float("inf"), float("-inf"))}), float("inf")]
+    splits = [float("-inf"), *(sorted({c for c in cuts if c not in (float("inf"), float("-inf"))}) or [0.0]), float("inf")]
 
     def binned(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
         ready = rows.withColumns({f"{name}_value": c for name, c in columns.items()})
