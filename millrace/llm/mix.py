@@ -2,7 +2,8 @@
 
 Each slot of the schedule is a golden-ratio point; the cumulative weights of the sources turn it into a source, and the
 slots of a source are ranked. Slot r of a source takes its block r, where the documents of the source stand in shuffled
-order and are cut into blocks of equal tokens; after the last block it starts again.
+order and are cut into blocks of equal tokens; after the last block it starts again. Slots are the order of the mix, so
+every stretch of it holds the sources near their weights.
 """
 
 from __future__ import annotations
@@ -82,58 +83,77 @@ def schedule(plan: DataFrame, block: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2,
-        block: int = 1024) -> DataFrame:
+        block: int = 1024, row: str | None = None) -> DataFrame:
     """Per row of docs: doc_id, size (words), source, source_size, target (its source's words), taken (words the mix
-    takes, at most ``cap`` times size).
-
-    Null and empty texts have size 0 and are taken 0 times. A null source is a source, the last. Repeated rows are rows
-    of their own; ties in the shuffled order go by id and size. An empty table, or one without any word, takes nothing.
-    Only doc_id, text and source are looked at."""
-    mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = stored(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), mark.alias("mark")), "sizes")
+    takes, at most ``cap`` times size), slots (for each round that takes words of it its first place in the schedule).
+
+    Null and empty texts have size 0, are taken 0 times and have no slots. A null source is a source, the last. Repeated
+    rows are rows of their own; the shuffled order goes by a hash of id and text, ties by id and size. An empty table, or
+    one without any word, takes nothing. Only doc_id, text and source are looked at, and ``row``, a column that comes back
+    with each row."""
+    carried = [row] if row else []
+    mark = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.coalesce("text", F.lit(""))))
+    rows = stored(docs.select(*[F.col(f"`{c}`").alias("row") for c in carried], "doc_id", "source",
+                              size_of(F.col("text")).alias("size"), mark.alias("mark")), "sizes")
+    carried = ["row"] if row else []
     plan = stored(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap).withColumn(
         "words", F.floor("target")).withColumn("blocks", F.ceil(F.col("source_size") / block)).withColumn(
         "slots", F.when(F.col("source_size") > 0, F.floor(F.col("words") / F.col("source_size")) * F.col("blocks")
                         + F.ceil((F.col("words") % F.col("source_size")) / block)).otherwise(0).cast("long")), "plan")
     small = bounded(plan, SOURCES)
+    told = F.broadcast(plan) if small else plan
     slots = schedule(plan.select("no", "slots"), block)
 
     # what each slot takes: the whole block, the short last one of a round, or what the target has left
     at = F.pmod("rank", "blocks")
     before = F.floor(F.col("rank") / F.col("blocks")) * F.col("source_size") + at * block
-    takes = slots.join(F.broadcast(plan) if small else plan, "no").select(
-        "no", at.alias("block"), F.least(F.lit(block).cast("long"), F.col("source_size") - at * block,
-                                         F.col("words") - before).alias("take"))
+    takes = slots.join(told.drop("slots"), "no").select(
+        "no", at.alias("block"), F.struct(F.floor(F.col("rank") / F.col("blocks")).alias("round"), "slot", F.least(F.lit(block).cast("long"), F.col("source_size") - at * block,
+                                                          F.col("words") - before).alias("take")).alias("take"))
     takes = takes.groupBy("no", "block").agg(F.collect_list("take").alias("takes"))  # one for each round, cap at most
 
     # each document's place in the shuffled order of its source: first its part, then its place in the part
-    known = rows.join(F.broadcast(plan) if small else plan, rows["source"].eqNullSafe(plan["source"])).select(
-        "doc_id", rows["source"], "size", "mark", "no", "source_size", "target",
+    known = rows.join(told.select(F.col("source").alias("_source"), "no", "source_size", "target"), rows["source"].eqNullSafe(F.col("_source"))).select(
+        *carried, "doc_id", "source", "size", "mark", "no", "source_size", "target",
         F.conv(F.substring("mark", 1, 3), 16, 10).cast("int").alias("part"))
-    parts = known.groupBy("no", "part").agg(F.sum("size").alias("n")).withColumn(
+    wordy = known.where("size > 0")  # the others take no place, however many they are
+    parts = wordy.groupBy("no", "part").agg(F.sum("size").alias("n")).withColumn(
         "part_start", F.sum("n").over(Window.partitionBy("no").orderBy("part")) - F.col("n")).drop("n")
     order = Window.partitionBy("no", "part").orderBy("mark", "doc_id", "size")
-    placed = known.withColumn("k", F.row_number().over(order)).withColumn(
+    placed = wordy.withColumn("k", F.row_number().over(order)).withColumn(
         "inner", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).join(
         parts, ["no", "part"]).withColumn("start", F.col("part_start") + F.col("inner"))
     end = F.col("start") + F.col("size")
-    pieces = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(
-        F.floor(F.col("start") / block), F.floor((end - 1) / block)))))
+    pieces = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))))
     low = F.greatest(F.col("start"), F.col("block") * block)
     high = F.least(end, (F.col("block") + 1) * block)
-    inside = F.aggregate(F.coalesce("takes", F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda total, take: total + F.greatest(
-        F.lit(0).cast("long"), F.least(high, F.col("block") * block + take) - low))
-    return pieces.join(takes, ["no", "block"], "left").withColumn("taken", F.coalesce(inside, F.lit(0))).groupBy(
-        "no", "part", "k").agg(
-        *[F.first(c).alias(c) for c in ("doc_id", "size", "source", "source_size", "target")],
-        F.sum("taken").alias("taken")).drop("no", "part", "k")
+    inside = F.filter(F.transform("takes", lambda t: F.struct(
+        (F.least(high, F.col("block") * block + t["take"]) - low).alias("words"), t["round"].alias("round"), t["slot"].alias("slot"))), lambda t: t["words"] > 0)
+    none = F.array().cast("array<bigint>")
+    turns = F.col("turns")  # by round; of each its first slot
+    firsts = F.filter(turns, lambda t, i: (i == 0) | (F.get(turns, i - 1)["round"] != t["round"]))
+    outs = ["doc_id", "size", "source", "source_size", "target"]
+    taken = pieces.join(takes, ["no", "block"], "left").withColumn("hit", inside).withColumns({
+        "words": F.aggregate(F.coalesce(F.col("hit")["words"], none), F.lit(0).cast("long"), lambda total, n: total + n),
+        "at": F.coalesce(F.transform("hit", lambda t: F.struct(t["round"].alias("round"), t["slot"].alias("slot"))),
+                         F.array().cast("array<struct<round:bigint,slot:bigint>>"))}).groupBy("no", "part", "k").agg(
+        *[F.first(c).alias(c) for c in [*carried, *outs]], F.sum("words").alias("taken"),
+        F.sort_array(F.flatten(F.collect_list("at"))).alias("turns")).withColumn("slots", firsts["slot"]).drop("no", "part", "k", "turns")
+    wordless = known.where("size = 0").select(*carried, *outs, F.lit(0).cast("long").alias("taken"), none.alias("slots"))
+    return taken.unionByName(wordless).select(*([F.col("row").alias(row)] if row else []), *outs, "taken", "slots")
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix, all columns kept: a document stands as often as its taken words round to (0 to ``cap``
-    times); one without words stands once. Rows that share an id are all repeated by their first size and count."""
-    taken = mix(docs, **settings).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max("size").alias("_size"), F.max("taken").alias("_taken"))
-    times = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size") + 0.5)).otherwise(1).cast("int")
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"])).withColumn(
-        "_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*[docs[c] for c in docs.columns])
+    """The documents of the mix in the order of the schedule, all columns kept: each row stands as often as its own taken
+    words round to (0 to ``cap`` times), its copies at its slots; one without words stands once, at the end. Rows are told
+    apart by place, not by id, so repeated and missing ids change nothing."""
+    number = "_row"
+    while any(c.lower().startswith(number) for c in docs.columns):
+        number += "_"
+    slot = f"{number}slot"
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    taken = mix(rows, **settings, row=number).select(F.col(number).alias("m_row"), F.col("size").alias("m_size"), F.col("taken").alias("m_taken"), F.col("slots").alias("m_slots"))
+    times = F.when(F.col("m.m_size") > 0, F.floor(F.col("m.m_taken") / F.col("m.m_size") + 0.5)).otherwise(1).cast("int")
+    copies = F.transform(F.array_repeat(F.lit(0), times), lambda _, i: F.coalesce(F.get("m.m_slots", i), F.get("m.m_slots", F.lit(0))))
+    return rows.alias("d").join(taken.alias("m"), F.col(f"d.{number}") == F.col("m.m_row")).select(
+        "d.*", F.explode(copies).alias(slot)).orderBy(F.asc_nulls_last(slot), number).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -37,7 +37,7 @@ def op4_quality_nbsvm(t: Tables):
 
 @plan("op5_mix_schedule", MIX)
 def op5_mix_schedule(t: Tables):
-    return mix.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
+    return mix.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken", F.get("slots", F.lit(0)).alias("slot"))
 
 
 @plan("op6_toxicity_gru")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.llm.common import SPACE  # noqa: F401  the same blanks as in Spark
+from millrace.llm.mix import GOLDEN
 from millrace.llm.shard import BASE, DIGITS, Tree, tree
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -46,10 +47,10 @@ FROM doc LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id) c USING (doc_id)
 """
 
-MIX = r"""
+MIX = rf"""
 WITH row AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, '')) AS mark FROM documents),
+         md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')) AS mark FROM documents),
 numbered AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          [3.0::DOUBLE, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight,
@@ -62,17 +63,37 @@ level AS (
             / sum(weight) OVER (ORDER BY room / weight, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM numbered),
 target AS (
-  SELECT source, source_size, least(weight * (
+  SELECT source, no, source_size, least(weight * (
     SELECT level FROM level WHERE level * weight <= room ORDER BY room / weight, no LIMIT 1), room) AS target FROM level),
 placed AS (
-  SELECT row.*, source_size, target, floor(target)::BIGINT // greatest(source_size, 1) AS rounds,
+  SELECT row.*, no, row_number() OVER () AS r, source_size, target, floor(target)::BIGINT // greatest(source_size, 1) AS rounds,
          floor(target)::BIGINT % greatest(source_size, 1) AS rest,
          sum(size) OVER (PARTITION BY row.source ORDER BY mark, doc_id NULLS FIRST, size
                          ROWS UNBOUNDED PRECEDING) - size AS start
-  FROM row JOIN target ON row.source IS NOT DISTINCT FROM target.source)
+  FROM row JOIN target ON row.source IS NOT DISTINCT FROM target.source),
+need AS (
+  SELECT no, source_size, floor(target)::BIGINT AS words, (source_size + 1023) // 1024 AS blocks,
+         CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size * ((source_size + 1023) // 1024)
+                                        + (floor(target)::BIGINT % source_size + 1023) // 1024 ELSE 0 END AS slots FROM target),
+total AS (SELECT sum(slots)::BIGINT AS total FROM need),
+share AS (SELECT need.*, total, sum(slots) OVER (ORDER BY no)::DOUBLE / total::DOUBLE AS high FROM need, total WHERE slots > 0),
+point AS (
+  SELECT s, ((s // 1048576)::DOUBLE * {float(GOLDEN * (1 << 20) % 1)!r}::DOUBLE + (s % 1048576)::DOUBLE * {float(GOLDEN)!r}::DOUBLE + 0.5::DOUBLE) % 1.0::DOUBLE AS x
+  FROM (SELECT unnest(range(total)) AS s FROM total)),
+drawn AS (
+  SELECT no, s AS slot, row_number() OVER (PARTITION BY no ORDER BY s) - 1 AS rank FROM point
+  JOIN share ON x >= high - slots::DOUBLE / total::DOUBLE AND x < high),
+slot AS (
+  SELECT no, rank, slot FROM drawn JOIN need USING (no) WHERE rank < slots
+  UNION ALL SELECT no, rank, rank + total FROM (
+    SELECT no, unnest(range((SELECT count(*) FROM drawn WHERE drawn.no = need.no), slots)) AS rank FROM need), total),
+part AS (
+  SELECT no, slot, rank % blocks * 1024 AS low, rank % blocks * 1024 + least(1024, source_size - rank % blocks * 1024,
+         words - (rank // blocks * source_size + rank % blocks * 1024)) AS high FROM slot JOIN need USING (no)),
+early AS (SELECT r, min(slot) AS slot FROM placed JOIN part ON placed.no = part.no AND start < high AND start + size > low WHERE size > 0 GROUP BY r)
 SELECT doc_id, size, source_size, target,
-       (rounds * size + greatest(0, least(start + size, rest) - start))::BIGINT AS taken
-FROM placed
+       (rounds * size + greatest(0, least(start + size, rest) - start))::BIGINT AS taken, slot::BIGINT AS slot
+FROM placed LEFT JOIN early USING (r)
 """
 
 

@@ -96,6 +96,37 @@ def test_mix_meets_targets(spark):
     assert mix.mixed(df).columns == df.columns
 
 
+def test_mixed_counts_each_row_by_itself(spark):
+    """Rows without an id, with one id, and alike rows each stand as often as their own words are taken."""
+    texts = [(None, f"w{i} " * (i + 1)) for i in range(30)] + [(7, f"x{i % 5} " * 20) for i in range(20)] + [(i, "y " * (i + 3)) for i in range(20)]
+    texts += [(None, None), (None, ""), (7, " "), (None, None)]
+    full = [(d, t, "ab"[i % 2], i, -1) for i, (d, t) in enumerate(texts)]
+    df = spark.createDataFrame(full, "doc_id long, text string, source string, place int, _row int").repartition(5)
+    rows = {r.place: r for r in mix.mix(df, block=16, row="place").collect()}
+    assert len(rows) == len(texts)
+    got = mix.mixed(df, block=16).collect()
+    assert sum(r.taken for r in rows.values()) == sum(int(t) for t in {r.source: r.target for r in rows.values()}.values())
+    want, have = Counter(), Counter()  # of alike rows it does not matter which stands for which
+    for i, r in rows.items():
+        want[full[i][:3]] += int(r.taken / r["size"] + 0.5) if r["size"] else 1
+    for r in got:
+        have[r.doc_id, r.text, r.source] += 1
+    assert have == +want
+    assert df.columns == mix.mixed(df).columns and all(r["_row"] == -1 for r in got)
+
+
+def test_every_stretch_of_the_mix_is_near_the_weights(spark):
+    texts = [(i, "w " * (20 + i % 30), "abc"[i % 3]) for i in range(1500)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(4)
+    target = {r.source: r.target for r in mix.mix(df, block=64).collect()}
+    rows = [(r.source, len(r.text.split())) for r in mix.mixed(df, block=64).collect()]
+    total, so_far = sum(target.values()), Counter()
+    for i, (source, words) in enumerate(rows):
+        so_far[source] += words
+        if i > 100:
+            assert all(abs(so_far[s] / sum(so_far.values()) - target[s] / total) < 0.06 for s in "abc"), (i, so_far)
+
+
 def test_schedule_is_even(spark):
     plan = spark.createDataFrame([(0, 500), (1, 300), (2, 1), (3, 0)], "no int, slots long")
     rows = mix.schedule(plan, 1).collect()
