@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, mix, ngram_join, quality_nbsvm, shard
 from millrace.llm.common import held_out, stored
@@ -15,7 +16,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     t = Tables(tune(spark), sf_dir)
     model = quality_nbsvm.train(docs, t.labels, ~held_out(5, 0))
-    return quality_nbsvm.score(docs, model, to="_quality").where("_quality >= 0.3").select(*docs.columns)
+    mark = "_quality"
+    while mark in (c.lower() for c in docs.columns):
+        mark += "_"
+    return quality_nbsvm.score(docs, model, to=mark).where(F.col(mark) >= 0.3).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
