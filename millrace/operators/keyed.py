@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,15 +43,35 @@ def _value_columns(state: DataFrame, key: str) -> list[str]:
     return [c for c in state.columns if c != key]
 
 
+def allocate_ids(rows: DataFrame, key: str, first: int, order_by: Sequence[str], parts: int = 1024) -> DataFrame:
+    """Give every row an id of its own, ``first``, ``first + 1`` … without a gap. Rows are dealt to parts by a hash of what
+    they hold, numbered in them and set off by the counts of the parts before, so no task sees all rows, and a task that
+    runs again gives the same ids. Rows alike in every column are interchangeable."""
+    others = [c for c in rows.columns if c != key]
+    mark = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in others])
+    dealt = rows.withColumns({"__mark": mark, "__part": F.pmod(mark, F.lit(parts))})
+    counts = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # one row per part
+    before = counts.withColumn("__before", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).drop("__n")
+    nth = F.row_number().over(Window.partitionBy("__part").orderBy(*order_by, "__mark"))
+    return dealt.withColumn("__nth", nth).join(before, "__part").withColumn(
+        key, (F.lit(first - 1) + F.col("__before") + F.col("__nth")).cast("bigint")).select(*rows.columns)
+
+
 def apply_index(state: DataFrame, changes: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """Write whole documents: the latest per id replaces what was there, a row
-    without an id gets a new one."""
+    without an id gets a new one. New numbers follow the greatest that is known."""
     kind = dict(state.dtypes)[key]
     if kind not in NEW_IDS:
         raise ValueError(f"ids are text or bigint, not {kind}")
     documents = changes.select(*dict.fromkeys([*state.columns, *order_by]))
     latest = first_per_key(documents.filter(F.col(key).isNotNull()), [key], [F.desc(c) for c in order_by]).select(*state.columns)
-    fresh = documents.filter(F.col(key).isNull()).withColumn(key, NEW_IDS[kind]()).select(*state.columns)
+    fresh = documents.filter(F.col(key).isNull())
+    if kind == "bigint":
+        known = state.select(key).unionAll(documents.select(key)).agg(F.max(key)).first()[0]
+        fresh = allocate_ids(fresh, key, max(known or 0, 0) + 1, order_by)
+    else:
+        fresh = fresh.withColumn(key, NEW_IDS[kind]())
+    fresh = fresh.select(*state.columns)
     untouched = state.join(latest.select(key), key, "left_anti").select(*state.columns)
     return untouched.unionByName(latest).unionByName(fresh)
 

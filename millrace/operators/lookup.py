@@ -43,6 +43,32 @@ def lookup_many(df: DataFrame, table: DataFrame, on: On, columns: Sequence[str])
     return _joined(df, table.select(*dict.fromkeys([*keys, *columns])), on, list(columns))
 
 
+def frequent_keys(rows: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """(keys, n): keys that more than ``most`` rows have. Each task counts its own rows first, so a hot key sends one
+    counter from each. There are no more such keys than rows / ``most``."""
+    return rows.where(reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        F.count(F.lit(1)).alias("__n")).where(F.col("__n") > most)
+
+
+def lookup_salted(df: DataFrame, table: DataFrame, on: On, columns: Sequence[str], most: int = 100_000) -> DataFrame:
+    """``lookup_many`` for inputs of which a few keys hold much. Keys with more than ``most`` input rows are found first;
+    their rows are dealt to as many salts as it takes, their matches go to each, and rows without a key to salts of their
+    own. No task of the join gets more than about ``most`` rows of one key, whatever Spark's own skew thresholds are."""
+    left, right = list(on), list(on.values())
+    hot = frequent_keys(df, left, most).select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(left)], F.ceil(F.col("__n") / most).cast("int").alias("__salts"))
+    rows = df.withColumn("__pos", F.monotonically_increasing_id())  # before any shuffle
+    is_hot = reduce(lambda a, b: a & b, [F.col(f"i.`{k}`") == F.col(f"h.__k{i}") for i, k in enumerate(left)])
+    none = reduce(lambda a, b: a | b, [F.col(f"i.`{k}`").isNull() for k in left])
+    spread = F.pmod(F.xxhash64("i.__pos"), F.coalesce("h.__salts", F.lit(1))).cast("int")
+    salted = rows.alias("i").join(hot.alias("h"), is_hot, "left").select("i.*", F.when(none, F.pmod(F.xxhash64("i.__pos"), F.lit(1 << 30)).cast("int")).otherwise(spread).alias("__salt"))
+    wanted = table.select(*dict.fromkeys([*right, *columns]))
+    for_hot = reduce(lambda a, b: a & b, [F.col(f"t.`{k}`") == F.col(f"h.__k{i}") for i, k in enumerate(right)])
+    copies = wanted.alias("t").join(hot.alias("h"), for_hot, "left").select(
+        "t.*", F.explode(F.sequence(F.lit(0), F.coalesce("h.__salts", F.lit(1)) - 1)).alias("__salt"))
+    found = _joined(salted, copies, {**on, "__salt": "__salt"}, list(columns))
+    return found.drop("__pos", "__salt")
+
+
 def lookup_nested(df: DataFrame, table: DataFrame, on: On, columns: Sequence[str], max_list: int = 10_000,
                   name: str = "result") -> DataFrame:
     """All matches as a list column. Lists are built on the lookup side, once per

@@ -172,6 +172,36 @@ def apply_index(t):
     return keyed.apply_index(documents(t), changes(t), "id", ["event_id"])
 
 
+@plan("apply_index_new_ids", f"""
+  WITH s AS ({STATE}), x AS (SELECT CASE WHEN event_id % 4 <> 0 THEN id END AS id, kind, score, event_id FROM ({CHANGES})),
+  m AS (SELECT greatest((SELECT max(id) FROM s), (SELECT max(id) FROM x)) AS top)
+  SELECT NULL AS kind, count(*) AS rows, count(*) AS ids, CAST(1 AS BIGINT) AS low, count(*) AS high FROM x WHERE id IS NULL
+  UNION ALL SELECT kind, count(*), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM x WHERE id IS NULL AND kind IS NOT NULL GROUP BY kind""")
+def apply_index_new_ids(t):
+    """Documents without an id: their new ids follow the greatest known one, each once and without a gap."""
+    given = changes(t).withColumn("id", F.when(F.col("event_id") % 4 != 0, F.col("id")))
+    state = documents(t)
+    top = state.select("id").unionAll(given.select("id")).agg(F.max("id")).first()[0]
+    new = keyed.apply_index(state, given, "id", ["event_id"]).where(F.col("id") > top)
+    whole = new.agg(F.lit(None).cast("string").alias("kind"), F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"),
+                    (F.min("id") - top).alias("low"), (F.max("id") - top).alias("high"))
+    nothing = F.lit(None).cast("bigint")
+    return whole.unionByName(new.where("kind is not null").groupBy("kind").agg(F.count(F.lit(1)).alias("rows")).withColumns(
+        {"ids": nothing, "low": nothing, "high": nothing}))
+
+
+@plan("lookup_salted", """
+  WITH e AS (SELECT event_id, CASE WHEN event_id % 5 < 3 THEN 7 WHEN event_id % 50 = 4 THEN NULL ELSE user_id END AS k FROM events)
+  SELECT event_id, k, count(c_custkey) AS customers, CAST(sum(c_custkey) AS BIGINT) AS keys FROM e LEFT JOIN customer ON c_nationkey = k % 40 AND k < 25 GROUP BY 1, 2""")
+def lookup_salted(t):
+    """Customers of a nation for each event, where three events in five ask for the same one."""
+    k = F.expr("case when event_id % 5 < 3 then 7 when event_id % 50 = 4 then null else user_id end")
+    events = t.events.select("event_id", k.cast("bigint").alias("k"))
+    return lookup.lookup_salted(events.withColumn("nation", F.expr("if(k < 25, k % 40, null)")), t.customer, {"nation": "c_nationkey"},
+                                ["c_custkey", "c_name"], most=500).groupBy("event_id", "k").agg(
+        F.count("c_custkey").alias("customers"), F.sum("c_custkey").cast("bigint").alias("keys"))
+
+
 @plan("apply_update", f"""
   WITH s AS ({STATE}), x AS ({CHANGES}), {MERGED}
   SELECT s.id, coalesce(m.kind, s.kind) AS kind, coalesce(m.score, s.score) AS score FROM s LEFT JOIN m USING (id)""")

@@ -65,13 +65,14 @@ def seq_template(t):
 
 
 @plan("seq_number_template", """
-  WITH s AS (SELECT unnest(generate_series(CAST(0 AS BIGINT), (SELECT 2 * count(*) FROM nation) - 1, 10)) AS v)
-  SELECT CAST(v AS VARCHAR) AS value, (SELECT count(*) FROM nation WHERE n_nationkey >= v AND n_nationkey < v + 10) AS nations FROM s""")
+  WITH s AS (SELECT unnest(generate_series(CAST(0 AS BIGINT), (SELECT 2 * count(*) FROM events) - 1, 100)) AS v),
+  n AS (SELECT event_id // 100 * 100 AS v, count(*) AS n FROM events GROUP BY 1)
+  SELECT CAST(v AS VARCHAR) AS value, coalesce(n, 0) AS events FROM s LEFT JOIN n USING (v)""")
 def seq_number_template(t):
-    config = SequenceConfig("s", sequence.NUMBER, init="0", max=f"@{{2 * {t.nation.count()}}}", step="10", batch=None)
+    config = SequenceConfig("s", sequence.NUMBER, init="0", max=f"@{{2 * {t.events.count()}}}", step="100", batch=None)
     slices = sequence.generate_sequence(t.spark, config, context=CONTEXT)
-    per_slice = t.nation.groupBy((F.floor(F.col("n_nationkey") / 10)).alias("n")).agg(F.count(F.lit(1)).alias("nations"))
-    return slices.join(per_slice, "n", "left").select("value", F.coalesce("nations", F.lit(0)).alias("nations"))
+    per_slice = t.events.groupBy((F.floor(F.col("event_id") / 100)).alias("n")).agg(F.count(F.lit(1)).alias("events"))
+    return slices.join(per_slice, "n", "left").select("value", F.coalesce("events", F.lit(0)).alias("events"))
 
 
 def stored_state(t):
@@ -167,10 +168,11 @@ def gql_variables(t):
     return parsed(t).select("event_id", F.when(named, F.col("params")).alias("params"))
 
 
-@plan("gql_variables_typed", f"""{PAYLOADS_SQL} SELECT event_id, user_id AS u, event_id AS first, TRUE AS second FROM q WHERE event_id % 9 = 0""")
+@plan("gql_variables_typed", f"""{PAYLOADS_SQL} SELECT event_id, CASE WHEN event_id % 9 = 0 THEN user_id END AS u,
+  CASE WHEN event_id % 9 = 0 THEN event_id END AS first, CASE WHEN event_id % 9 = 0 THEN TRUE END AS second FROM q""")
 def gql_variables_typed(t):
     kinds = "struct<u: int, deep: struct<k: array<variant>>>"
-    rows = parsed(t).filter("event_id % 9 = 0").select("event_id", F.from_json("params", kinds).alias("p"))
+    rows = parsed(t).select("event_id", F.from_json("params", kinds).alias("p"))
     return rows.select("event_id", F.col("p.u").cast("bigint").alias("u"), F.expr("cast(p.deep.k[0] as bigint)").alias("first"),
                        F.expr("cast(p.deep.k[1] as boolean)").alias("second"))
 
