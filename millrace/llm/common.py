@@ -27,6 +27,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(table: DataFrame) -> None:
+    """Remove a stored table that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(spark: SparkSession) -> int:
     """The cluster's own number of shuffle partitions, which follows its data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,32 +7,36 @@ as soon as the largest overlap its documents could have is too small for the sim
 No tree holds the corpus. Sets are put in one global order, shingles found often last, so two similar documents share a
 shingle among the first quarter of theirs. The first rounds build trees over the documents that share their first shingle
 of that quarter, in three orders, and compare sets; the last builds them over what shares any shingle of it and is not
-yet linked, and has the surviving pairs compared. Equal sets count as one document throughout, and so do linked ones from
+yet linked, and has the surviving pairs compared: first only as many as could join everything, then what is still apart. Equal sets count as one document throughout, and so do linked ones from
 one round to the next.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import FOLD, bounded, mix64, partitions, raw_texts, small_batches, stored
+from millrace.llm.common import FOLD, bounded, dropped, mix64, partitions, raw_texts, small_batches, stored
 
 WORDS = 5
 BLOCK = 2048  # documents that one tree holds; larger groups become several, compared block by block
-OFTEN = 32  # documents from which on a shingle counts as frequent; this orders shingles and drops none
-FREQUENT = 200_000  # frequent shingles told to all tasks
-IDS = 2_000_000  # ids each executor may hold; beyond it both sides are shuffled
+FREQUENT = 1 << 21  # counters that tell frequent shingles from rare ones; this orders shingles and drops none
+PART = 1 << 15  # counters that travel together
+TOLD = 32 << 20  # bytes of a table that each executor may hold; beyond it both sides are shuffled
+ROW = 32  # bytes that a number of such a table takes there
+DEALT = 50_000  # rows of a bucket, about
+EVERY = 0.02  # share of pairs found similar up to which the last pairs are compared one and all
 LEAF, FAN = 16, 8
 ROUNDS = 3  # orders in which the first rounds look for a shared first shingle
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
                  np.uint64)
-TOP = np.uint64(63)
 
 
 class Hashes(dict):
@@ -61,12 +65,9 @@ def shingles(text: bytes | None, hashes: Hashes) -> np.ndarray:
     return np.unique(mix64(s) >> np.uint64(1))
 
 
-def ordered(keys: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The same set in the global order: frequent shingles carry the top bit and so come last."""
-    if not len(frequent) or not len(keys):
-        return keys
-    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-    return np.sort(keys | ((frequent[at] == keys).astype(np.uint64) << TOP))
+def rarest_first(keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The same set in the global order: by the class of its counter, then by hash."""
+    return keys[np.argsort(classes[(keys % np.uint64(len(classes))).astype(np.int64)], kind="stable")]
 
 
 def needed(a, b, percent: int):
@@ -168,7 +169,8 @@ class Tree:
             ok = np.triu(ok, 1)
         i, j = np.nonzero(ok)
         if len(i):
-            yield a.rows[i], b.rows[j]
+            likely = np.argsort(-(most / (n[:, None] + m[None] - most))[i, j], kind="stable")
+            yield a.rows[i[likely]], b.rows[j[likely]]
 
 
 def linked_groups(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -200,27 +202,44 @@ def linked_groups(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> np.n
     return np.array([ids[find(i)] for i in range(len(ids))], np.int64)
 
 
-def frequent_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Shingles counted in many documents, from counts over all documents. Only what a batch holds at least three times
-    is counted; the list orders shingles, so what it misses costs time and no result."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        for batch in small_batches(batches, rows=4000, size=8 << 20):
-            sets = [shingles(t, hashes) for t in raw_texts(batch, text)]
-            keys, n = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
-            keep = n >= 3
-            yield pa.RecordBatch.from_arrays([pa.array(keys[keep].astype(np.int64)), pa.array(n[keep].astype(np.int64))],
-                                             ["h", "n"])
-
-    counts = docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(FREQUENT).select("h").toPandas()
-    return np.sort(top["h"].to_numpy(np.uint64))
+def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """How often shingles are held, over all documents: by counter (hash modulo FREQUENT) the binary logarithm of the sum.
+    Each task counts its own documents; the counters travel in parts and are added up as they stream by. Shingles that
+    share a counter are taken for as frequent as all of them together, which costs time and no result."""
+    cells = FREQUENT
 
-
-def sketches(docs: DataFrame, frequent, percent: int) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = Hashes(), np.zeros(cells, np.uint32)
+        for batch in small_batches(batches, rows=1000, size=4 << 20):
+            for t in raw_texts(batch, text):
+                np.add.at(counts, (shingles(t, hashes) % np.uint64(cells)).astype(np.int64), np.uint32(1))
+        short = np.minimum(counts, 65535).astype(np.uint16)  # this order needs no exact sums above
+        for part, at in enumerate(range(0, cells if counts.any() else 0, PART)):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([short[at : at + PART].tobytes()], pa.binary())],
+                                             ["part", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n = np.frombuffer(n, np.uint16).astype(np.int64)
+                sums[part] = sums[part] + n if part in sums else n
+        for part, n in sums.items():
+            classes = np.frexp(n.astype(np.float64))[1].astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([classes.tobytes()], pa.binary())], ["part", "n"])
+
+    parts = -(-cells // PART)
+    counted = docs.select(text).mapInArrow(count, "part int, n binary").repartition(min(parts, partitions(docs.sparkSession)), "part")
+    classes = np.zeros(cells, np.uint8)
+    for r in counted.mapInArrow(add, "part int, n binary").collect():
+        classes[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["n"], np.uint8)
+    return classes
+
+
+def sketches(docs: DataFrame, told, percent: int) -> DataFrame:
     """(doc_id, n, set_a, set_b, firsts, prefix, bits): what stands for a set in the shuffles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, often = Hashes(), frequent.value
+        hashes, classes = Hashes(), told.value
         for batch in small_batches(batches, rows=1000, size=4 << 20):
             n, a, b, first, prefix, bits = [], [], [], [], [], []
             for t in raw_texts(batch):
@@ -229,8 +248,7 @@ def sketches(docs: DataFrame, frequent, percent: int) -> DataFrame:
                 n.append(len(keys))
                 a.append(int(mixed.sum(dtype=np.uint64).astype(np.int64)))
                 b.append(int((mix64(mixed) ^ mixed).sum(dtype=np.uint64).astype(np.int64)))
-                keys = ordered(keys, often)
-                part = keys[: len(keys) - -(-percent * len(keys) // 100) + 1].astype(np.int64) if len(keys) else keys.astype(np.int64)
+                part = rarest_first(keys, classes)[: len(keys) - -(-percent * len(keys) // 100) + 1 if len(keys) else 0].astype(np.int64)
                 first.append([int(mix64(part.view(np.uint64) + np.uint64(r)).min().astype(np.int64)) for r in range(ROUNDS)] if len(part) else None)
                 prefix.append(part)
                 bits.append(bitmap(keys).tobytes() if len(keys) else None)
@@ -243,23 +261,32 @@ def sketches(docs: DataFrame, frequent, percent: int) -> DataFrame:
         run, "doc_id long, n long, set_a long, set_b long, firsts array<long>, prefix array<long>, bits binary")
 
 
+def told_if_small(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows``, made of a stored table of numbers, to be broadcast while the bytes counted for it are few."""
+    return F.broadcast(rows) if bounded(table, TOLD // (ROW * len(table.columns))) else rows
+
+
+def buckets_for(table: DataFrame) -> int:
+    """Buckets that a stored table's rows are dealt to, so that each holds about as many at any size."""
+    return max(4 * partitions(table.sparkSession), -(-table.count() // DEALT))
+
+
 def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Whole texts of the documents named in a stored table (doc_id, …); its other columns come along."""
     named = ids.select(F.col("doc_id").alias("_id"), *[c for c in ids.columns if c != "doc_id"])
-    small = bounded(ids, IDS)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        F.broadcast(named) if small else named, F.col("doc_id") == F.col("_id")).drop("_id")
+        told_if_small(ids, named), F.col("doc_id") == F.col("_id")).drop("_id")
 
 
-def _with_sets(rows: DataFrame, frequent) -> DataFrame:
+def _with_sets(rows: DataFrame) -> DataFrame:
     """Replace text by the whole set, as a list of long."""
     others = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, often = Hashes(), frequent.value
+        hashes = Hashes()
         names = [f.name for f in others]
         for batch in small_batches(batches, rows=500, size=2 << 20):
-            sets = [ordered(shingles(t, hashes), often).astype(np.int64) for t in raw_texts(batch)]
+            sets = [shingles(t, hashes).astype(np.int64) for t in raw_texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(batch.schema.get_field_index(c)) for c in names], pa.array(sets, pa.list_(pa.int64()))],
                 [*names, "keys"])
@@ -289,7 +316,7 @@ def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.append(np.flatnonzero(change), len(order))
 
 
-def first_rounds(docs: DataFrame, reps: DataFrame, frequent, percent: int, buckets: int) -> DataFrame:
+def first_rounds(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(rep, root) for every document of reps (doc_id, firsts): documents that share a first shingle in one of the
     orders, linked by trees over whole sets. Each round takes the roots of those before. A group too large for one tree
     is dealt to several, and their roots go through the round again."""
@@ -304,8 +331,9 @@ def first_rounds(docs: DataFrame, reps: DataFrame, frequent, percent: int, bucke
                 "doc_id", "first", parts.alias("parts"), F.pmod(F.xxhash64("doc_id"), parts).alias("part")), "first-groups")
             if members.isEmpty():
                 break
-            rows = _with_sets(_picked(docs, members), frequent)
-            found = stored(rows.withColumn("bucket", F.pmod(F.xxhash64("first", "part"), F.lit(buckets))).groupBy("bucket")
+            rows = _with_sets(_picked(docs, members))
+            dealt = F.pmod(F.xxhash64("first", "part"), F.lit(buckets_for(members)))
+            found = stored(rows.withColumn("bucket", dealt).groupBy("bucket")
                            .applyInArrow(_linker(percent), "rep long, root long").where("rep <> root").distinct(), "first-links")
             links = stored(links.alias("l").join(found.alias("f"), F.col("l.root") == F.col("f.rep"), "left").select(
                 "l.rep", F.coalesce("f.root", "l.root").alias("root")), "roots")
@@ -332,53 +360,119 @@ def _linker(percent: int):
     return run
 
 
-def second_round(docs: DataFrame, reps: DataFrame, frequent, percent: int, buckets: int) -> DataFrame:
-    """(a, b): links between components that share a shingle of their first quarter. reps: (doc_id, n, comp, prefix,
-    bits)."""
-    postings = reps.select("doc_id", "comp", "n", F.posexplode("prefix").alias("pos", "h"))
+def meetings(reps: DataFrame) -> DataFrame:
+    """(h, doc_id, pos, own, i, j): where documents of several components share a shingle of their first quarter. A
+    shingle of many documents makes blocks of them, which meet two by two. reps: (doc_id, n, comp, prefix, bits)."""
+    postings = reps.select("doc_id", "comp", F.posexplode("prefix").alias("pos", "h"))
     contested = stored(postings.groupBy("h").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m")).where("low <> high").select(
         "h", F.ceil(F.col("m") / BLOCK).alias("parts")), "contested")
-    small = bounded(contested, IDS)
-    # several blocks meet two by two
     block = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
-    met = postings.join(F.broadcast(contested) if small else contested, "h").withColumn("own", block).withColumn(
+    met = postings.join(told_if_small(contested, contested), "h").withColumn("own", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
-        "h", "doc_id", "comp", "n", "pos", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    met = stored(met, "met")
-    bits = reps.select("doc_id", "bits")
-    rows = met.join(bits, "doc_id").withColumn("bucket", F.pmod(F.xxhash64("h", "i", "j"), F.lit(buckets)))
+        "h", "doc_id", "pos", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return stored(met, "met")
+
+
+def proposals(met: DataFrame, reps: DataFrame, percent: int, every: bool) -> DataFrame:
+    """(a, b, comp_a, comp_b): documents that meet, lie in different components and may be similar, as their trees and
+    positions tell. Unless ``every`` is set, only so many of them as would join all these components, the likeliest
+    first: no more than documents, however large a group of copies is. A document's bitmap goes to each bucket once."""
+    dealt = met.withColumn("bucket", F.pmod(F.xxhash64("h", "i", "j"), F.lit(buckets_for(met)))).repartition("doc_id").groupBy(
+        "doc_id", "bucket").agg(F.collect_list(F.struct("h", "pos", "own", "i", "j")).alias("at"))
+    rows = dealt.join(reps.select("doc_id", "comp", "n", "bits"), "doc_id")
 
     def run(table: pa.Table) -> pa.Table:
-        ids, comp, n, pos, h, i, j, own = (_numbers(table, c) for c in ("doc_id", "comp", "n", "pos", "h", "i", "j", "own"))
-        raw = table.column("bits").to_pylist()
-        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        ids, comp, n = (_numbers(table, c) for c in ("doc_id", "comp", "n"))
+        raw = [np.frombuffer(b, np.uint8) for b in table.column("bits").to_pylist()]
+        lists = table.column("at").combine_chunks()
+        whose = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+        pos, h, i, j, own = (pa.compute.struct_field(lists.flatten(), c).to_numpy(zero_copy_only=False).astype(np.int64)
+                             for c in ("pos", "h", "i", "j", "own"))
+        group = np.unique(comp, return_inverse=True)[1]
+        root = np.arange(len(ids))  # of components, by their number
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = [np.empty((0, 2), np.int64)]
         order, bounds = _runs(h, i, j)
         for a, b in zip(bounds[:-1], bounds[1:]):
-            rows = order[a:b]
-            tree = Tree(n[rows], [np.frombuffer(raw[r], np.uint8) for r in rows], percent)
-            for x, y in tree.pairs():
-                x, y = rows[x], rows[y]
-                rest = np.minimum(n[x] - pos[x], n[y] - pos[y])  # h is their first shared shingle, or they meet earlier
-                ok = (comp[x] != comp[y]) & (rest >= needed(n[x], n[y], percent))
-                ok &= (i[x] == j[x]) | (own[x] != own[y])
-                left.append(np.minimum(ids[x], ids[y])[ok])
-                right.append(np.maximum(ids[x], ids[y])[ok])
-        return pa.table({"a": np.concatenate(left), "b": np.concatenate(right)})
-
-    pairs = stored(rows.groupBy("bucket").applyInArrow(run, "a long, b long").distinct(), "pairs")
+            at = order[a:b]
+            here = whose[at]
+            if (group[here] == group[here[0]]).all():
+                continue
+
+            def settled(x: np.ndarray, y: np.ndarray) -> bool:
+                both = np.unique(group[here[np.concatenate([x, y])]])
+                return len(both) == 1 or not every and len({find(g) for g in both.tolist()}) == 1
+
+            tree = Tree(n[here], [raw[r] for r in here], percent)
+            for x, y in tree.pairs(settled):
+                p, q, s, t = here[x], here[y], at[x], at[y]
+                rest = np.minimum(n[p] - pos[s], n[q] - pos[t])  # h is their first shared shingle, or they meet earlier
+                ok = (group[p] != group[q]) & (rest >= needed(n[p], n[q], percent))
+                ok &= (i[s] == j[s]) | (own[s] != own[t])
+                p, q = p[ok], q[ok]
+                if not every:
+                    keep = []
+                    for k, (g, f) in enumerate(zip(group[p].tolist(), group[q].tolist())):
+                        g, f = find(g), find(f)
+                        if g != f:
+                            root[g] = f
+                            keep.append(k)
+                    p, q = p[keep], q[keep]
+                out.append(np.stack([np.where(ids[p] < ids[q], p, q), np.where(ids[p] < ids[q], q, p)], 1))
+        pairs = np.unique(np.concatenate(out), axis=0)
+        a, b = pairs[:, 0], pairs[:, 1]
+        return pa.table({"a": ids[a], "b": ids[b], "comp_a": comp[a], "comp_b": comp[b]})
+
+    return rows.groupBy("bucket").applyInArrow(run, "a long, b long, comp_a long, comp_b long").distinct()
+
+
+def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b, …; a stored table) whose whole sets are similar, stored."""
     wanted = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
-    sets = stored(_with_sets(_picked(docs, wanted), frequent).dropDuplicates(["doc_id"]), "pair-sets")
+    sets = stored(_with_sets(_picked(docs, wanted)).dropDuplicates(["doc_id"]), "pair-sets")
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("keys").alias("x")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("keys").alias("y")), "b")
 
+    names = pairs.columns
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, rows=200):
             x, y = _arrays(batch.column(batch.schema.get_field_index("x"))), _arrays(batch.column(batch.schema.get_field_index("y")))
             ok = [len(np.intersect1d(p, q, assume_unique=True)) >= needed(len(p), len(q), percent) for p, q in zip(x, y)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(names).filter(pa.array(ok, pa.bool_()))
+
+    links = stored(both.select(*pairs.columns, "x", "y").mapInArrow(compare, pairs.schema), "links")
+    dropped(sets)
+    return links
 
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+
+def last_round(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between components that share a shingle of their first quarter. As long as that joins components,
+    as few pairs as could join them all are compared; then all that are left between different components."""
+    met, tested, links, every = meetings(reps), None, [], False
+    while True:
+        pairs = proposals(met, reps, percent, every)
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = verified(docs, pairs, percent)
+        links.append(found.select("a", "b"))
+        if every:
+            return reduce(DataFrame.union, links)
+        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
+        every = found.count() <= EVERY * pairs.count()
+        labels = components(found.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+        moved = reps.join(told_if_small(labels, labels), F.col("comp") == F.col("node"), "left")
+        reps = moved.withColumn("comp", F.coalesce("label", "comp")).drop("node", "label")
+        comps = reps.select("doc_id", "comp").distinct()
+        open_ = met.join(comps, "doc_id").groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(
+            "low <> high").select("h")
+        met = stored(met.join(open_, "h", "left_semi"), "met")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -405,9 +499,9 @@ def similar(docs: DataFrame, percent: int = 75) -> DataFrame:
     linked with nothing and has no component. Rows that share an id are one document of the graph, whatever their
     texts. Only doc_id and text are looked at; an empty table gives an empty one."""
     spark = docs.sparkSession
-    buckets = 4 * partitions(spark)
-    frequent = spark.sparkContext.broadcast(frequent_shingles(docs))
-    every = stored(sketches(docs, frequent, percent), "sketches")
+    told = spark.sparkContext.broadcast(frequencies(docs))
+    every = stored(sketches(docs, told, percent), "sketches")
+    told.unpersist()
     filled = every.where("n > 0 and doc_id is not null")
     classes = filled.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"))
     members = stored(filled.select("doc_id", "set_a", "set_b", "n").join(classes, ["set_a", "set_b", "n"]).select(
@@ -415,12 +509,11 @@ def similar(docs: DataFrame, percent: int = 75) -> DataFrame:
     # of equal sets, one carries the shingles on; ids and roots travel to the sketches while they are few
     own = filled.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_a", "set_b", "n"], "left_semi").select(
         "doc_id", "set_a", "firsts").dropDuplicates(["doc_id", "set_a"])
-    linked = first_rounds(docs, stored(own.select("doc_id", "firsts"), "own"), frequent, percent, buckets)
+    linked = first_rounds(docs, stored(own.select("doc_id", "firsts"), "own"), percent)
     roots = stored(linked.distinct(), "linked")
-    small = bounded(roots, IDS)
-    known = filled.join(F.broadcast(roots) if small else roots, filled["doc_id"] == roots["rep"]).select(
+    known = filled.join(told_if_small(roots, roots), filled["doc_id"] == roots["rep"]).select(
         "doc_id", "n", F.col("root").alias("comp"), "prefix", "bits")
-    pairs = second_round(docs, known, frequent, percent, buckets)
+    pairs = last_round(docs, known, percent)
 
     joined = roots.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     several = members.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("k"))
@@ -452,10 +545,10 @@ def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
     best = members.groupBy("component_id").agg(F.min("place").alias("best"))
     losers = stored(members.join(best, "component_id").where("place <> best").select("_mark").distinct(), "losers")
     marked = docs.withColumn("_own", mark)
-    kept = marked.join(F.broadcast(losers) if bounded(losers, IDS) else losers, F.col("_own") == F.col("_mark"), "left_anti")
+    kept = marked.join(told_if_small(losers, losers), F.col("_own") == F.col("_mark"), "left_anti")
     twice = stored(found.where("k > 1 and n_shingles > 0").select(F.col("doc_id").alias("_mark")), "twice")
     if twice.limit(1).count():
-        again = F.broadcast(twice) if bounded(twice, IDS) else twice
+        again = told_if_small(twice, twice)
         same = F.col("_own") == F.col("_mark")
         order = Window.partitionBy("_own").orderBy(F.to_json(F.struct(*docs.columns)))
         one = kept.join(again, same, "left_semi").withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
