@@ -32,7 +32,7 @@ PART = 1 << 15  # counters that travel together
 TOLD = 32 << 20  # bytes of a table that each executor may hold; beyond it both sides are shuffled
 ROW = 32  # bytes that a number of such a table takes there
 DEALT = 50_000  # rows of a bucket, about
-EVERY = 0.02  # share of pairs found similar up to which the last pairs are compared one and all
+EVERY = 0.5  # share of pairs found similar up to which all pairs that are left are compared at once
 LEAF, FAN = 16, 8
 ROUNDS = 3  # orders in which the first rounds look for a shared first shingle
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
@@ -400,11 +400,27 @@ def proposals(met: DataFrame, reps: DataFrame, percent: int, every: bool) -> Dat
 
         out = [np.empty((0, 2), np.int64)]
         order, bounds = _runs(h, i, j)
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            at = order[a:b]
+        start, many = bounds[:-1], np.diff(bounds)
+
+        def meet(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+            """May these postings, of one shingle, be the first that two similar documents share?"""
+            p, q = whose[s], whose[t]
+            rest = np.minimum(n[p] - pos[s], n[q] - pos[t])  # h is their first shared shingle, or they meet earlier
+            return (group[p] != group[q]) & (rest >= needed(n[p], n[q], percent)) & ((i[s] == j[s]) | (own[s] != own[t]))
+
+        # most shingles bring two documents together, and often the same two: each such pair is looked at once
+        first = start[many == 2]
+        s, t = order[first], order[first + 1]
+        likely = meet(s, t)
+        met_once = np.stack([s[likely], t[likely]], 1)
+        two = whose[met_once]
+        met_once = met_once[np.unique(np.sort(two, 1), axis=0, return_index=True)[1]]
+        for at in [*met_once, *[order[a : a + m] for a, m in zip(start[many > 2], many[many > 2])]]:
             here = whose[at]
             if (group[here] == group[here[0]]).all():
                 continue
+            if 2 < len(at) <= LEAF and not meet(*np.broadcast_arrays(at[:, None], at[None])).any():
+                continue
 
             def settled(x: np.ndarray, y: np.ndarray) -> bool:
                 both = np.unique(group[here[np.concatenate([x, y])]])
@@ -412,11 +428,8 @@ def proposals(met: DataFrame, reps: DataFrame, percent: int, every: bool) -> Dat
 
             tree = Tree(n[here], [raw[r] for r in here], percent)
             for x, y in tree.pairs(settled):
-                p, q, s, t = here[x], here[y], at[x], at[y]
-                rest = np.minimum(n[p] - pos[s], n[q] - pos[t])  # h is their first shared shingle, or they meet earlier
-                ok = (group[p] != group[q]) & (rest >= needed(n[p], n[q], percent))
-                ok &= (i[s] == j[s]) | (own[s] != own[t])
-                p, q = p[ok], q[ok]
+                ok = meet(at[x], at[y])
+                p, q = here[x[ok]], here[y[ok]]
                 if not every:
                     keep = []
                     for k, (g, f) in enumerate(zip(group[p].tolist(), group[q].tolist())):
@@ -454,8 +467,8 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def last_round(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links between components that share a shingle of their first quarter. As long as that joins components,
-    as few pairs as could join them all are compared; then all that are left between different components."""
+    """(a, b): links between components that share a shingle of their first quarter. As long as most of them turn out
+    similar, as few pairs as could join them all are compared; then all that are left between different components."""
     met, tested, links, every = meetings(reps), None, [], False
     while True:
         pairs = proposals(met, reps, percent, every)
