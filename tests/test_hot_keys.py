@@ -9,6 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import keyed, lookup
+from millrace.plans import load_all
+from millrace.plans.registry import PLANS, Tables
+
+load_all()
 
 
 @pytest.fixture()
@@ -45,6 +49,26 @@ def test_salted_equals_many(spark):
     assert lookup.lookup_salted(rows.limit(0), table, {"k": "k"}, ["twice"]).collect() == []
 
 
+def test_the_query_meets_each_event_with_one_row_of_its_nation(spark, tmp_path, monkeypatch):
+    events = [(i % 90, None if i % 11 == 0 else i % 30) for i in range(100)]  # repeated ids, missing users
+    customers = [(None if i % 7 == 0 else i, None if i % 13 == 0 else i % 9) for i in range(400)]
+    spark.createDataFrame(events, "event_id bigint, user_id bigint").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame(customers, "c_custkey bigint, c_nationkey int").withColumn("c_name", F.lit("n")).write.parquet(f"{tmp_path}/customer.parquet")
+    met = []
+    plain_lookup = lookup.lookup_salted
+    monkeypatch.setattr(lookup, "lookup_salted", lambda *a, **k: met.append(plain_lookup(*a, **k)) or met[-1])
+    got = PLANS["lookup_salted"](Tables(spark, str(tmp_path))).collect()
+    want = {}
+    for event, user in events:
+        k = 7 if event % 5 < 3 else None if event % 50 == 4 else user
+        hits = [c for c, n in customers if k is not None and k < 25 and n == k % 40]
+        keys = [c for c in hits if c is not None]
+        rows, total = want.get((event, k), (0, None))
+        want[event, k] = rows + len(keys), (total or 0) + sum(keys) if keys else total
+    assert Counter(map(tuple, got)) == Counter((*key, *found) for key, found in want.items())
+    assert met[0].count() == len(events)
+
+
 def test_new_ids_are_gapless_and_stable(spark):
     rows = spark.createDataFrame([(None, f"v{i % 700}", i % 3) for i in range(2000)], "id bigint, v string, n int")
     got = keyed.allocate_ids(rows, "id", 11, ["n"], parts=16)
