@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,13 +210,35 @@ def template_value(spark: SparkSession, text: str, pattern: str = "yyyy-MM-dd")
     return row.select(F.coalesce(shown, F.lit(""))).first()[0]
 
 
+class Uneven(ValueError):
+    """User code answered with another number of rows; ``fine`` tells which rows had one answer, as far as known."""
+
+    def __init__(self, reason: str, fine: np.ndarray):
+        super().__init__(reason)
+        self.fine = fine
+
+
+def _answered_once(labels: object, size: int) -> np.ndarray:
+    """Rows 0 to size - 1 whose label stands once in an answer; none where the labels are not those of the rows, or where
+    they may be an answer's own, counted from 0."""
+    none = np.zeros(size, bool)
+    if not isinstance(labels, pd.Index) or labels.name is not None or labels.dtype.kind != "i" or not len(labels):
+        return none
+    places = labels.to_numpy()
+    if places.min() < 0 or places.max() >= size or np.array_equal(places, np.arange(len(places))):
+        return none
+    return np.bincount(places, minlength=size) == 1
+
+
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
     """Hook for user code that no built-in function expresses. ``fn`` turns a batch
     of rows into as many result rows. It may answer with a column ``errorMessage``,
     where a text marks a row that failed. A batch that raises, or that comes back with
-    another number of rows, is run once more row by row, so no row is run more than
-    twice and none is lost. A failed row keeps its input as JSON in ``failedInput`` and
-    the reason in ``errorMessage`` (both null otherwise)."""
+    another number of rows, is run once more row by row, so none is lost. If the labels
+    of a short answer tell which rows were left out or answered twice, only those are run
+    alone and the others together; should these not come out even, they are run alone
+    as well. A failed row keeps its input as JSON in ``failedInput`` and the reason in
+    ``errorMessage`` (both null otherwise)."""
     target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     out = T.StructType([*[T.StructField(f.name, f.dataType) for f in target.fields],
                         T.StructField("failedInput", T.StringType()), T.StructField("errorMessage", T.StringType())])
@@ -226,9 +249,10 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
                 for i in range(len(rows))]
 
     def attempt(rows: pd.DataFrame) -> pd.DataFrame:
+        size = len(rows)
         result = fn(rows)
-        if len(result) != len(rows):
-            raise ValueError(f"{len(result)} results for {len(rows)} rows")
+        if len(result) != size:
+            raise Uneven(f"{len(result)} results for {size} rows", _answered_once(getattr(result, "index", None), size))
         result = result.reset_index(drop=True)
         reason = result["errorMessage"] if "errorMessage" in result.columns else pd.Series([None] * len(result), dtype=object)
         bad = reason.notna().to_numpy()
@@ -244,18 +268,35 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
 
     def single(row: pd.DataFrame) -> pd.DataFrame:
         try:
-            return attempt(row)
+            return attempt(row.copy())
         except Exception as error:
             values = {**dict.fromkeys(names), "failedInput": as_json(row)[0], "errorMessage": str(error) or type(error).__name__}
             return pd.DataFrame([values], dtype=object)
 
+    def together(rows: pd.DataFrame) -> pd.DataFrame | np.ndarray:
+        """The answer, or else which rows had one of their own."""
+        size = len(rows)
+        try:
+            return attempt(rows)
+        except Uneven as error:
+            return error.fine
+        except Exception:
+            return np.zeros(size, bool)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            try:
-                yield attempt(batch)
-            except Exception:
-                yield from (single(batch.iloc[[i]]) for i in range(len(batch)))
+            fine = together(batch.copy())  # user code may change what it is given
+            if isinstance(fine, pd.DataFrame):
+                yield fine
+                continue
+            if fine.any():
+                rest = together(batch[fine].reset_index(drop=True))
+                if isinstance(rest, pd.DataFrame):
+                    yield rest
+                else:
+                    fine[:] = False
+            yield from (single(batch.iloc[[i]]) for i in np.flatnonzero(~fine))
 
     return df.mapInPandas(run, out)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import random
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -390,6 +392,32 @@ def test_map_rows_loses_no_row(spark):
     assert all((r.id is None) == (r.errorMessage is not None) for r in marked)
 
 
+@pytest.mark.parametrize("kind", ["labels kept", "labels new", "twice", "in place", "first of each"])
+def test_map_rows_runs_only_left_out_rows_alone(spark, kind):
+    calls, rows = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def code(batch):
+        calls.add(1)
+        rows.add(len(batch))
+        left_out = batch["id"] % 250 == 7
+        if kind == "in place":
+            batch.drop(batch.index[left_out], inplace=True)
+            return batch
+        if kind == "twice":
+            return pd.concat([batch[~left_out], batch[batch["id"] % 500 == 9]])
+        if kind == "first of each":
+            return batch[~(batch["id"] % 250).duplicated() | left_out]
+        return batch[~left_out].reset_index(drop=True) if kind == "labels new" else batch[~left_out]
+
+    got = project.map_rows(spark.range(0, 1000, 1, 1), code, "id bigint").collect()
+    told = dict.fromkeys([7, 257, 507, 757], "0 results for 1 rows") if kind != "first of each" else {}
+    told |= dict.fromkeys([9, 509], "2 results for 1 rows") if kind == "twice" else {}
+    assert {json.loads(r.failedInput)["id"]: r.errorMessage for r in got if r.errorMessage} == told and len(got) == 1000
+    assert sorted(r.id for r in got if not r.errorMessage) == [i for i in range(1000) if i not in told]
+    if kind in ("labels kept", "in place"):
+        assert calls.value == 6 and rows.value == 2000
+
+
 # Schema
 
 def test_conform_is_idempotent_and_checked(spark):
