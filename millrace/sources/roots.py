@@ -79,6 +79,16 @@ def _ranges(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                         F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("part"))
 
 
+def _grouped(ranges: DataFrame) -> DataFrame:
+    """The same ranges, several to a task, one after another: as many tasks as keep the cores busy, more for much text."""
+    spark = ranges.sparkSession
+    size = int(str(ranges._jdf.queryExecution().optimizedPlan().collectLeaves().head().stats().sizeInBytes()))
+    return ranges.coalesce(max(TASKS_A_CORE * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+
+
+TASKS_A_CORE, TASK_BYTES = 4, 32 << 20
+
+
 def _stretches(paths: list, starts: list) -> Iterator[tuple[str, int, int, int]]:
     """(path, start, first row, row after the last) of each range's stretch in a batch."""
     at = 0
@@ -243,7 +253,7 @@ def split_roots(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     a list gives its items, ``null`` gives none. The text is as it was written. Brackets that don't match spoil the rows they
     stand in: text that is no JSON is a row like any other, for the parser to tell. A file may have any size and need no line
     breaks, as long as its objects are small beside a task's memory; one without any closing brace is one range."""
-    ranges = _ranges(spark, path)
+    ranges = _grouped(_ranges(spark, path))
     starts = stored(_starts(_summaries(ranges)), "starts")
     if starts.count() * START_BYTES <= MOST_BYTES:  # a broadcast join keeps the records' order
         known = ranges.join(F.broadcast(starts), ["path", "start"])

@@ -93,6 +93,20 @@ def test_endings_and_bad_documents(spark, tmp_path, size):
         assert sorted(r.text.strip() for r in got if r.path.endswith(f"/{name}.json")) == sorted(wanted), name
 
 
+def test_many_ranges_share_a_task(spark, tmp_path, monkeypatch):
+    text, expect = documents(6, 300)
+    (tmp_path / "a.json").write_bytes(text.encode())
+    (tmp_path / "b.json").write_bytes(text.encode())
+    written = []
+    plain = roots.stored
+    monkeypatch.setattr(roots, "stored", lambda df, name: written.append((name, df.rdd.getNumPartitions())) or plain(df, name))
+    with small_ranges(spark, 100):
+        ranges = roots._ranges(spark, str(tmp_path)).select("path", "start").distinct().count()
+        assert texts(roots.split_roots(spark, str(tmp_path))) == sorted([*expect, *expect])
+    most = roots.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert ranges > 5 * most and dict(written)["parts"] <= most
+
+
 def test_errors_keep_their_text(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": 1, "p": 1.10}{"id": 2 oops}[{"id": "x"}, {"id": 3}]', encoding="utf-8")
     got = rows.read_rows(spark, str(tmp_path), schema="id int, p string", multi_root=True)
