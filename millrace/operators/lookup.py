@@ -219,22 +219,48 @@ def lookup_sql(df: DataFrame, sql: str, mode: str = MANY, order_by: Sequence[str
     keys = [n for n in dict.fromkeys(parameter_names(statement)) if n in df.columns]
     if not keys:
         raise ValueError("the statement reads no column of the rows: use lookup_const")
-    asked = df.select(*keys).distinct().toDF(*[f"__p{i}" for i in range(len(keys))])
-    renamed = _outside_quotes(PARAMETER, lambda m: f":__p{keys.index(m.group(1))}" if m.group(1) in keys else m.group(0), statement)
-    fallback = RunContext(attributes={**context.attributes, **{f"__p{i}": context.attributes[k] for i, k in enumerate(keys) if k in context.attributes}})
+    if mode == MANY:  # by rows, not by sets of parameters: matches would have to be shuffled to meet their rows
+        return _many_in_bins(df, statement, keys, views or {}, context, within)
+    asked, renamed, fallback, within = _asked(df.select(*keys).distinct(), keys, statement, context, within)
     if within is not None:
-        names = {k: p for k, p in zip(keys, asked.columns)}
-        found = _in_bins(asked, renamed, views or {}, fallback, replace(within, low=names.get(within.low, within.low), high=names.get(within.high, within.high)))
+        found = _in_bins(asked, renamed, views or {}, fallback, within)
     else:
         found = _unlooped(_lateral(asked, renamed, views or {}, fallback), allow_loop)
-    if mode == ONE:
-        found = first_per_key(found, asked.columns, _orders(order_by))
+    found = first_per_key(found, asked.columns, _orders(order_by))
     match = reduce(lambda a, b: a & b, [F.col(f"i.`{k}`").eqNullSafe(F.col(f"l.`{p}`")) for k, p in zip(keys, asked.columns)])
     added = [c for c in found.columns if c not in asked.columns]
     kept = [F.col(f"i.`{c}`") for c in df.columns if c not in added]
     return df.alias("i").join(found.alias("l"), match, "left").select(*kept, *[F.col(f"l.`{c}`") for c in added])
 
 
+def _asked(rows: DataFrame, keys: list[str], statement: str, context: RunContext, within: Within | None) -> tuple[DataFrame, str, RunContext, Within | None]:
+    """The rows, the statement, its attributes and bounds with the rows' columns under names of their own: ``__p0`` …"""
+    columns = rows.columns
+    names = {k: f"__p{columns.index(k)}" for k in keys}
+    renamed = _outside_quotes(PARAMETER, lambda m: f":{names[m.group(1)]}" if m.group(1) in names else m.group(0), statement)
+    fallback = RunContext(attributes={**context.attributes, **{p: context.attributes[k] for k, p in names.items() if k in context.attributes}})
+    bounds = within and replace(within, low=names.get(within.low, within.low), high=names.get(within.high, within.high))
+    return rows.toDF(*[f"__p{i}" for i in range(len(columns))]), renamed, fallback, bounds
+
+
+def _many_in_bins(df: DataFrame, statement: str, keys: list[str], views: dict[str, DataFrame], context: RunContext, within: Within) -> DataFrame:
+    """Matches come straight out of the join in bins. The rows left without any are those whose parameters find nothing,
+    which a second pass asks once for each set of parameters, ending at the first match."""
+    splits = _splits(views, within)
+    rows, renamed, fallback, bounds = _asked(df, keys, statement, context, within)
+    found = _in_bins(rows, renamed, views, fallback, bounds, splits)
+    names = dict(zip(df.columns, rows.columns))
+    added = [c for c in found.columns if c not in rows.columns]
+    kept = [c for c in df.columns if c not in added]
+    matches = found.select(*[F.col(f"`{names[c]}`").alias(c) for c in kept], *[F.col(f"`{c}`") for c in added])
+    asked, renamed, fallback, bounds = _asked(df.select(*keys).distinct(), keys, statement, context, within)
+    met = _in_bins(asked, renamed, views, fallback, bounds, splits, exists=True).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(f"i.`{k}`").eqNullSafe(F.col(f"l.`{p}`")) for k, p in zip(keys, asked.columns)])
+    alone = df.alias("i").join(met.alias("l"), same, "left_anti").select(
+        *[F.col(f"`{c}`") for c in kept], *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in added])
+    return matches.unionByName(alone)
+
+
 def _unlooped(found: DataFrame, allowed: bool) -> DataFrame:
     plan = "" if allowed else found._jdf.queryExecution().sparkPlan().toString()
     if "NestedLoopJoin" in plan or "CartesianProduct" in plan:
@@ -249,15 +275,28 @@ def _number(value: Column) -> Column:
     return F.when(F.isnan(plain), float("inf")).otherwise(plain)
 
 
-def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, within: Within) -> DataFrame:
-    """The statement's rows for every set of parameters that has any. A set of parameters goes to the bins between its bounds;
-    but for the first and the last, all values in them match, so there are no more of these rows than of matches."""
+def _as_number(table: DataFrame, column: str):
+    moment = isinstance(table.schema[column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return (lambda c: F.unix_micros(c.cast("timestamp")).cast("double")) if moment else _number
+
+
+def _splits(views: dict[str, DataFrame], within: Within) -> list[float]:
+    """Where the bounded column is cut into bins of about equal numbers."""
     table = views[within.view]
-    moment = isinstance(table.schema[within.column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
-    as_number = (lambda c: F.unix_micros(c.cast("timestamp")).cast("double")) if moment else _number
-    value = as_number(F.col(within.column))
+    value = _as_number(table, within.column)(F.col(within.column))
     cuts = table.select(F.percentile_approx(value, [i / within.bins for i in range(1, within.bins)], 10_000).alias("c")).first()["c"] or []
-    splits = [float("-inf"), *(sorted({c for c in cuts if c not in (float("inf"), float("-inf"))}) or [0.0]), float("inf")]
+    return [float("-inf"), *(sorted({c for c in cuts if c not in (float("inf"), float("-inf"))}) or [0.0]), float("inf")]
+
+
+def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, within: Within,
+             splits: list[float] | None = None, exists: bool = False) -> DataFrame:
+    """The statement's rows for every set of parameters that has any, or with ``exists`` the sets alone, once for each bin
+    with a match. A set of parameters goes to the bins between its bounds; but for the first and the last, all values in
+    them match, so there are no more of these rows than of matches."""
+    table = views[within.view]
+    as_number = _as_number(table, within.column)
+    value = as_number(F.col(within.column))
+    splits = splits or _splits(views, within)
 
     def binned(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
         ready = rows.withColumns({f"{name}_value": c for name, c in columns.items()})
@@ -276,7 +315,10 @@ def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], cont
     covered = binned(asked.where(low.isNotNull() & high.isNotNull()), {"__low": low, "__high": high}).where("__low <= __high")
     rows = covered.withColumn("__bin", F.explode(F.sequence("__low", "__high"))).drop("__low", "__high")
     meeting = _and_where(statement, "__bin = input.__bin")
-    found = _lateral(rows, meeting, {**views, within.view: binned(table.where(value.isNotNull()), {"__bin": value})}, context, "INNER")
+    cut_views = {**views, within.view: binned(table.where(value.isNotNull()), {"__bin": value})}
+    if exists:
+        return _where_exists(rows, meeting, cut_views, context).drop("__bin")
+    found = _lateral(rows, meeting, cut_views, context, "INNER")
     if "Aggregate" in found._jdf.queryExecution().analyzed().toString():
         raise ValueError("a statement that aggregates can't be asked bin by bin")
     return found.select(*asked.columns, *[f"`{c}`" for c in dict.fromkeys(found.columns) if c not in asked.columns and c != "__bin"])
@@ -309,11 +351,20 @@ def _orders(order_by: Sequence[str]) -> list[Column]:
 
 
 def _lateral(df: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, how: str = "LEFT") -> DataFrame:
+    return _asking(df, "SELECT input.*, found.* FROM {rows} AS input " + how + " JOIN LATERAL ({statement}\n) AS found ON TRUE", statement, views, context)
+
+
+def _where_exists(df: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext) -> DataFrame:
+    """The rows for which the statement has any row: a semi join."""
+    return _asking(df, "SELECT input.* FROM {rows} AS input WHERE EXISTS ({statement}\n)", statement, views, context)
+
+
+def _asking(df: DataFrame, question: str, statement: str, views: dict[str, DataFrame], context: RunContext) -> DataFrame:
     bound = bind_parameters(statement, df.columns, context)
     given = {k: v for k, v in attribute_arguments(context).items() if f":{k}" in bound}
     rows = f"rows_{uuid.uuid4().hex}"
     with _named_views(df.sparkSession, {**views, rows: df}):  # the plan is resolved when sql() returns
-        return df.sparkSession.sql(f"SELECT input.*, found.* FROM {rows} AS input {how} JOIN LATERAL ({bound}\n) AS found ON TRUE", args=given)
+        return df.sparkSession.sql(question.replace("{rows}", rows).replace("{statement}", bound, 1), args=given)
 
 
 NAMES = Lock()  # view names belong to the whole session

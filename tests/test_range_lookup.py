@@ -68,3 +68,18 @@ def test_dates_and_empty_tables(spark):
     for left, right in ((df.limit(0), table), (df, table.limit(0))):
         found = lookup.lookup_sql(left, "SELECT id FROM t WHERE at >= :day", views={"t": right}, within=within)
         assert [r.id for r in found.collect()] == [None] * left.count()
+
+
+def test_matches_are_not_shuffled_to_meet_their_rows(spark, tables):
+    df, asked, table, rows = tables
+    got = lookup.lookup_sql(df, "SELECT id, v AS hi FROM t WHERE v >= :lo AND v < :hi AND kind = 1", views={"t": table},
+                            within=lookup.Within("t", "v", "lo", "hi", bins=16))
+    lines = got._jdf.queryExecution().sparkPlan().toString().splitlines()
+    assert "__bin" in next(line for line in lines if "Join" in line)
+    want = []
+    for i, lo, hi in asked:
+        hits = [(id, v) for id, v, kind in rows if lo is not None and above(v, lo) and v == v and v < hi and kind == 1]
+        want += [(i, lo, *hit) for hit in hits or [(None, None)]]
+    assert got.columns == ["i", "lo", "id", "hi"] and sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, want))
+    twice = lookup.lookup_sql(df.union(df), "SELECT id FROM t WHERE v >= :lo AND v < :hi AND kind = 1", views={"t": table}, within=lookup.Within("t", "v", "lo", "hi", bins=16))
+    assert twice.count() == 2 * len(want)
