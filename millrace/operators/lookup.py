@@ -248,7 +248,7 @@ def _many_in_bins(df: DataFrame, statement: str, keys: list[str], views: dict[st
     which a second pass asks once for each set of parameters, ending at the first match."""
     splits = _splits(views, within)
     rows, renamed, fallback, bounds = _asked(df, keys, statement, context, within)
-    found = _in_bins(rows, renamed, views, fallback, bounds, splits)
+    found = _in_bins(rows, renamed, views, fallback, bounds, splits, spread=True)
     names = dict(zip(df.columns, rows.columns))
     added = [c for c in found.columns if c not in rows.columns]
     kept = [c for c in df.columns if c not in added]
@@ -289,9 +289,9 @@ def _splits(views: dict[str, DataFrame], within: Within) -> list[float]:
 
 
 def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, within: Within,
-             splits: list[float] | None = None, exists: bool = False) -> DataFrame:
+             splits: list[float] | None = None, exists: bool = False, spread: bool = False) -> DataFrame:
     """The statement's rows for every set of parameters that has any, or with ``exists`` the sets alone, once for each bin
-    with a match. A set of parameters goes to the bins between its bounds; but for the first and the last, all values in
+    with a match; with ``spread`` the sets are dealt to all tasks, however few read them. A set of parameters goes to the bins between its bounds; but for the first and the last, all values in
     them match, so there are no more of these rows than of matches."""
     table = views[within.view]
     as_number = _as_number(table, within.column)
@@ -314,6 +314,8 @@ def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], cont
     low, high = bound(within.low, float("-inf")), bound(within.high, float("inf"))
     covered = binned(asked.where(low.isNotNull() & high.isNotNull()), {"__low": low, "__high": high}).where("__low <= __high")
     rows = covered.withColumn("__bin", F.explode(F.sequence("__low", "__high"))).drop("__low", "__high")
+    if spread:
+        rows = rows.repartition(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     meeting = _and_where(statement, "__bin = input.__bin")
     cut_views = {**views, within.view: binned(table.where(value.isNotNull()), {"__bin": value})}
     if exists:
