@@ -34,6 +34,8 @@ ROW = 32  # bytes that a number of such a table takes there
 DEALT = 50_000  # rows of a bucket, about
 EVERY = 0.5  # share of pairs found similar up to which all pairs that are left are compared at once
 LEAF, FAN = 16, 8
+WIDE = 256  # documents of one shingle up to which each is compared by size and place before its bitmap travels
+FINE = 8  # bits a member of the bitmaps that pairs are compared by before their whole sets
 ROUNDS = 3  # orders in which the first rounds look for a shared first shingle
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
                  np.uint64)
@@ -75,9 +77,9 @@ def needed(a, b, percent: int):
     return -(-(percent * (a + b)) // (100 + percent))
 
 
-def bitmap(keys: np.ndarray) -> np.ndarray:
-    """Token bitmap of at least twice as many bits as the set has members, a power of two, as bytes."""
-    bits = max(64, 1 << int(2 * max(len(keys), 1) - 1).bit_length())
+def bitmap(keys: np.ndarray, each: int = 2) -> np.ndarray:
+    """Token bitmap of at least ``each`` times as many bits as the set has members, a power of two, as bytes."""
+    bits = max(64, 1 << int(each * max(len(keys), 1) - 1).bit_length())
     marks = np.zeros(bits, np.uint8)
     marks[(keys & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(marks, bitorder="little")
@@ -360,25 +362,89 @@ def _linker(percent: int):
     return run
 
 
-def meetings(reps: DataFrame) -> DataFrame:
-    """(h, doc_id, pos, own, i, j): where documents of several components share a shingle of their first quarter. A
-    shingle of many documents makes blocks of them, which meet two by two. reps: (doc_id, n, comp, prefix, bits)."""
-    postings = reps.select("doc_id", "comp", F.posexplode("prefix").alias("pos", "h"))
-    contested = stored(postings.groupBy("h").agg(
+def _postings(reps: DataFrame, contested: DataFrame) -> DataFrame:
+    """(h, parts, doc_id, comp, n, pos) of the shingles in a stored table (h, parts), which goes to the documents as two
+    columns of numbers while these are few."""
+    if not bounded(contested, TOLD // 16):
+        return reps.select("doc_id", "comp", "n", F.posexplode("prefix").alias("pos", "h")).join(contested, "h").select(
+            "h", "parts", "doc_id", "comp", "n", "pos")
+    table = contested.toArrow()
+    h, parts = _numbers(table, "h"), _numbers(table, "parts")
+    order = np.argsort(h)
+    told = reps.sparkSession.sparkContext.broadcast((h[order], parts[order].astype(np.int32)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, parts = told.value
+        for batch in small_batches(batches) if len(keys) else ():
+            lists = _arrays(batch.column(batch.schema.get_field_index("prefix")))
+            size = np.array([len(x) for x in lists], np.int64)
+            flat = np.concatenate(lists)
+            at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
+            found = np.flatnonzero(keys[at] == flat)
+            row = np.repeat(np.arange(len(size)), size)[found]
+            own = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)[row] for c in ("doc_id", "comp", "n")]
+            pos = found - (np.cumsum(size) - size)[row]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (flat[found], parts[at[found]].astype(np.int64), *own, pos.astype(np.int32))],
+                                             ["h", "parts", "doc_id", "comp", "n", "pos"])
+
+    return reps.select("doc_id", "comp", "n", "prefix").mapInArrow(run, "h long, parts long, doc_id long, comp long, n long, pos int")
+
+
+def first_shared(n: np.ndarray, rest: np.ndarray, s: np.ndarray, t: np.ndarray, percent: int) -> np.ndarray:
+    """May a shingle be the first that two similar sets share? By posting: the set's size, and how many of its members
+    there are from the shingle on."""
+    return np.minimum(rest[s], rest[t]) >= needed(n[s], n[t], percent)
+
+
+def _with_partner(percent: int):
+    """Those postings of a group (h, i, j) that may be the first one shared with another of it. Groups beyond WIDE stay."""
+    def run(table: pa.Table) -> pa.Table:
+        names = ["h", "i", "j", "n", "pos", "comp", "own"]
+        cols = {c: _numbers(table, c) for c in names}
+        order = np.lexsort((cols["n"], cols["j"], cols["i"], cols["h"]))
+        h, i, j, n, pos, comp, own = (cols[c][order] for c in names)
+        rest = n - pos
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        size = np.diff(np.append(np.flatnonzero(fresh), len(h)))
+        last = np.repeat(np.cumsum(size), size) - 1
+        keep = np.repeat(size > WIDE, size)
+        left, step = np.flatnonzero(~keep), 0
+        while len(left):
+            step += 1
+            left = left[left + step <= last[left]]
+            left = left[100 * n[left] >= percent * n[left + step]]  # in order of size: what follows is larger still
+            t = left + step
+            ok = first_shared(n, rest, left, t, percent) & (comp[left] != comp[t]) & ((i[left] == j[left]) | (own[left] != own[t]))
+            keep[left[ok]] = keep[t[ok]] = True
+        return table.select(["h", "doc_id", "pos", "own", "i", "j"]).take(pa.array(order[keep]))
+
+    return run
+
+
+def meetings(reps: DataFrame, percent: int) -> DataFrame:
+    """(h, doc_id, pos, own, i, j): where documents of several components share a shingle of their first quarter, and may
+    be similar by their sizes and its places. A shingle of many documents makes blocks of them, which meet two by two.
+    reps: (doc_id, n, comp, prefix, bits)."""
+    contested = stored(reps.select("comp", F.explode("prefix").alias("h")).groupBy("h").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m")).where("low <> high").select(
         "h", F.ceil(F.col("m") / BLOCK).alias("parts")), "contested")
     block = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
-    met = postings.join(told_if_small(contested, contested), "h").withColumn("own", block).withColumn(
+    met = _postings(reps, contested).withColumn("own", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
-        "h", "doc_id", "pos", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return stored(met, "met")
+        "h", "doc_id", "pos", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "n", "comp")
+    dealt = F.pmod(F.xxhash64("h", "i", "j"), F.lit(buckets_for(contested)))
+    return stored(met.withColumn("bucket", dealt).groupBy("bucket").applyInArrow(
+        _with_partner(percent), "h long, doc_id long, pos int, own long, i long, j long"), "met")
 
 
 def proposals(met: DataFrame, reps: DataFrame, percent: int, every: bool) -> DataFrame:
     """(a, b, comp_a, comp_b): documents that meet, lie in different components and may be similar, as their trees and
     positions tell. Unless ``every`` is set, only so many of them as would join all these components, the likeliest
     first: no more than documents, however large a group of copies is. A document's bitmap goes to each bucket once."""
-    dealt = met.withColumn("bucket", F.pmod(F.xxhash64("h", "i", "j"), F.lit(buckets_for(met)))).repartition("doc_id").groupBy(
+    # each bucket more brings bitmaps along once more, so there are no more of them than tasks or rows call for
+    buckets = max(partitions(met.sparkSession), -(-met.count() // DEALT))
+    dealt = met.withColumn("bucket", F.pmod(F.xxhash64("h", "i", "j"), F.lit(buckets))).repartition("doc_id").groupBy(
         "doc_id", "bucket").agg(F.collect_list(F.struct("h", "pos", "own", "i", "j")).alias("at"))
     rows = dealt.join(reps.select("doc_id", "comp", "n", "bits"), "doc_id")
 
@@ -404,9 +470,8 @@ def proposals(met: DataFrame, reps: DataFrame, percent: int, every: bool) -> Dat
 
         def meet(s: np.ndarray, t: np.ndarray) -> np.ndarray:
             """May these postings, of one shingle, be the first that two similar documents share?"""
-            p, q = whose[s], whose[t]
-            rest = np.minimum(n[p] - pos[s], n[q] - pos[t])  # h is their first shared shingle, or they meet earlier
-            return (group[p] != group[q]) & (rest >= needed(n[p], n[q], percent)) & ((i[s] == j[s]) | (own[s] != own[t]))
+            apart = (group[whose[s]] != group[whose[t]]) & ((i[s] == j[s]) | (own[s] != own[t]))
+            return apart & first_shared(n[whose], n[whose] - pos, s, t, percent)
 
         # most shingles bring two documents together, and often the same two: each such pair is looked at once
         first = start[many == 2]
@@ -446,30 +511,66 @@ def proposals(met: DataFrame, reps: DataFrame, percent: int, every: bool) -> Dat
     return rows.groupBy("bucket").applyInArrow(run, "a long, b long, comp_a long, comp_b long").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b, …; a stored table) whose whole sets are similar, stored."""
-    wanted = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
-    sets = stored(_with_sets(_picked(docs, wanted)).dropDuplicates(["doc_id"]), "pair-sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("keys").alias("x")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("keys").alias("y")), "b")
+def _told_apart(rows: DataFrame, columns: str, values) -> DataFrame:
+    """(doc_id, n, sum, …) for texts with ids: the set's size and sum, which tell the texts of an id apart, and what
+    ``values(set)`` gives. Equal rows are one."""
+    name, kind = columns.split()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in small_batches(batches, rows=500, size=2 << 20):
+            sets = [shingles(t, hashes) for t in raw_texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([int(s.sum(dtype=np.uint64).astype(np.int64)) for s in sets], pa.int64()),
+                 pa.array([values(s) for s in sets], pa.binary() if kind == "binary" else pa.list_(pa.int64()))],
+                ["doc_id", "n", "sum", name])
+
+    return rows.select("doc_id", "text").mapInArrow(run, f"doc_id long, n long, sum long, {columns}").dropDuplicates(["doc_id", "n", "sum"])
+
+
+def _those(docs: DataFrame, pairs: DataFrame, columns: str, values, similar) -> DataFrame:
+    """Those of the pairs (a, b, …; a stored table) of which ``similar(a, b)``, given size and value of both, is true for
+    texts of theirs; stored."""
+    wanted = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
+    sides = stored(_told_apart(_picked(docs, wanted), columns, values), "pair-sides")
+    name = columns.split()[0]
+    both = pairs.join(sides.select(F.col("doc_id").alias("a"), F.col("n").alias("n_x"), F.col(name).alias("x")), "a").join(
+        sides.select(F.col("doc_id").alias("b"), F.col("n").alias("n_y"), F.col(name).alias("y")), "b")
     names = pairs.columns
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, rows=200):
-            x, y = _arrays(batch.column(batch.schema.get_field_index("x"))), _arrays(batch.column(batch.schema.get_field_index("y")))
-            ok = [len(np.intersect1d(p, q, assume_unique=True)) >= needed(len(p), len(q), percent) for p, q in zip(x, y)]
-            yield batch.select(names).filter(pa.array(ok, pa.bool_()))
+            sizes = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("n_x", "n_y")]
+            sets = [batch.column(batch.schema.get_field_index(c)) for c in ("x", "y")]
+            sets = [_arrays(c) if pa.types.is_list(c.type) else [np.frombuffer(v, np.uint8) for v in c.to_pylist()] for c in sets]
+            yield batch.select(names).filter(pa.array([similar(*row) for row in zip(*sizes, *sets)], pa.bool_()))
 
-    links = stored(both.select(*pairs.columns, "x", "y").mapInArrow(compare, pairs.schema), "links")
-    dropped(sets)
-    return links
+    kept = stored(both.select(*names, "n_x", "n_y", "x", "y").mapInArrow(compare, pairs.schema).dropDuplicates(["a", "b"]), "alike")
+    dropped(sides)
+    return kept
+
+
+def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b, …; a stored table) whose whole sets are similar, stored. Sets travel for the pairs whose
+    fine bitmaps leave room for enough in common."""
+    def may(n: int, m: int, x: np.ndarray, y: np.ndarray) -> bool:
+        width = min(len(x), len(y))
+        x, y = folded(x, width), folded(y, width)
+        over = min(n - int(np.bitwise_count(x).sum()), m - int(np.bitwise_count(y).sum()))
+        return int(np.bitwise_count(x & y).sum()) + over >= needed(n, m, percent)
+
+    def are(n: int, m: int, x: np.ndarray, y: np.ndarray) -> bool:
+        return len(np.intersect1d(x, y, assume_unique=True)) >= needed(n, m, percent)
+
+    likely = _those(docs, pairs, "marks binary", lambda s: bitmap(s, FINE).tobytes(), may)
+    return _those(docs, likely, "keys array<long>", lambda s: s.astype(np.int64), are)
 
 
 def last_round(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between components that share a shingle of their first quarter. As long as most of them turn out
     similar, as few pairs as could join them all are compared; then all that are left between different components."""
-    met, tested, links, every = meetings(reps), None, [], False
+    met, tested, links, every = meetings(reps, percent), None, [], False
     while True:
         pairs = proposals(met, reps, percent, every)
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")

@@ -157,3 +157,28 @@ def test_suffix_order(budget):
             if t[a] and t[b]:
                 d = next((k for k in range(60) if a + k >= len(t) or b + k >= len(t) or t[a + k] != t[b + k]), 60)
                 assert min(d, 50) == n or min(d, n) >= min(len(tail(a)), len(tail(b)))
+
+
+def test_documents_meet_only_where_sizes_and_places_leave_room(spark):
+    """Postings without a possible partner end before any bitmap is sent for them."""
+    row = lambda d, n, prefix: (d, n, d, prefix, b"")
+    rows = [row(1, 100, [7, 70]), row(2, 104, [7, 71]), row(3, 10, [7]), row(4, 100, [72, 8]), row(5, 100, [*range(900, 920), 8])]
+    reps = spark.createDataFrame(rows, "doc_id long, n long, comp long, prefix array<long>, bits binary")
+    want = {(7, 1), (7, 2)}  # 3 is too small for them; 8 is the shingle number 21 of 5
+    assert {(r.h, r.doc_id) for r in ngram_join.meetings(reps, 75).collect()} == want
+
+
+@pytest.mark.parametrize("told", [32 << 20, 0])
+def test_only_likely_pairs_bring_whole_sets(spark, monkeypatch, told):
+    """A fine bitmap settles most pairs; texts of one id are compared each."""
+    monkeypatch.setattr(ngram_join, "TOLD", told)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-20])), (3, " ".join(words[80:])), (3, " ".join(words[5:])), (3, " ".join(words[5:])),
+            (4, " ".join(words[120:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, 2, 1, 2), (1, 3, 1, 3), (1, 4, 1, 4)], "a long, b long, comp_a long, comp_b long")
+    asked = []
+    those = ngram_join._those
+    monkeypatch.setattr(ngram_join, "_those", lambda docs, pairs, *rest: asked.append(pairs.count()) or those(docs, pairs, *rest))
+    assert sorted((r.a, r.b) for r in ngram_join.verified(docs, pairs, 75).collect()) == [(1, 2), (1, 3)]
+    assert asked == [3, 2]
