@@ -23,10 +23,13 @@ from millrace.llm.common import bounded, mix64, partitions, raw_texts, small_bat
 
 LENGTH, GRAM = 50, 20
 GRAMS = LENGTH - GRAM + 1
+HALF = GRAMS // 2  # bytes beside a gram that half of the windows around it hold too
 PIECE = 1 << 20  # bytes of a text that are hashed at once
+PLACE = 21  # bits that hold a place in a piece
 HELD = 400_000  # slices packed into one set of shuffle rows
 COPIES = 2_000_000  # groups of equal texts that each executor may hold; beyond it both sides are shuffled
 SHARD = 20_000  # slices of one gram that go to one shard
+SORTED = 50_000  # slices that are sorted together, about: a sort takes many steps, however few slices it has
 P = 0x5851F42D4C957F2D
 CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -45,30 +48,42 @@ class Powers:
 
 
 def slices(text: bytes, powers: Powers) -> tuple[np.ndarray, ...]:
-    """(gram, content, first, count) of each slice of one text: its least gram, a hash of its bytes, its first window and
-    their number."""
-    out = [], [], [], []
+    """(gram, content, first, count, sides) of each slice of one text: its least gram, a hash of its bytes, its first
+    window and their number, and a number of 32 bits for each side of the gram.
+
+    A window with at least HALF bytes before its gram holds these, another one the GRAMS - HALF bytes after it. So slices
+    share a window only if they share one of the two numbers, hashes of the gram with the bytes on that side; a side that
+    no window of a slice holds is 0. Where the gram occurs twice in a slice, both are 0, which tells nothing."""
+    out = [], [], [], [], []
     for at in range(0, max(len(text) - LENGTH + 1, 0), PIECE):
         b = np.frombuffer(text, np.uint8, min(PIECE + LENGTH - 1, len(text) - at), at)
         up, down = powers.upto(len(b) + 1)
         sums = np.zeros(len(b) + 1, np.uint64)
         np.cumsum(CODES[b] * up[: len(b)], out=sums[1:])
         grams = mix64((sums[GRAM:] - sums[:-GRAM]) * down[: len(b) - GRAM + 1])
-        # least of GRAMS grams from each place on, by doubling
-        least, width = grams, 1
+        # least of GRAMS grams from each place on, by doubling; of equal ones the first
+        least, width = grams >> np.uint64(PLACE) << np.uint64(PLACE) | np.arange(len(grams), dtype=np.uint64), 1
         while 2 * width <= GRAMS:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         rest = GRAMS - width
         if rest:
             least = np.minimum(least[: len(least) - rest], least[rest:])
-        first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        place = (least & np.uint64((1 << PLACE) - 1)).astype(np.int64)
+        moved = np.flatnonzero(place[1:] != place[:-1]) + 1
+        first = np.concatenate([[0], moved[grams[place[moved]] != grams[place[moved - 1]]]])
         end = np.append(first[1:], len(least))
         content = mix64((sums[end + LENGTH - 1] - sums[first]) * down[first] + (end - first).astype(np.uint64))
-        for column, values in zip(out, (least[first], content, first + at, end - first)):
+        p, once = place[first], place[first] == place[end - 1]
+        before = np.where(p - first >= HALF, p - HALF, p)  # the whole range is looked up only where a window holds it
+        after = np.where(p - end + 1 < HALF, p + GRAM + GRAMS - HALF, p)
+        sides = [np.where(once & (high > low), mix64((sums[np.maximum(high, low)] - sums[low]) * down[low]) >> np.uint64(32) | np.uint64(1), np.uint64(0))
+                 for low, high in ((before, np.where(before < p, p + GRAM, 0)), (p, after))]
+        both = (sides[0] << np.uint64(32) | sides[1]).view(np.int64)
+        for column, values in zip(out, (grams[p], content, first + at, end - first, both)):
             column.append(values)
     if not out[0]:
-        return tuple(np.empty(0, k) for k in (np.uint64, np.uint64, np.int64, np.int64))
+        return tuple(np.empty(0, k) for k in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in out)
 
 
@@ -177,7 +192,7 @@ class Sorter:
             out[left] = d + 1
         return out
 
-    def _hand_on(self, at: np.ndarray, lcp: np.ndarray, wanted: np.ndarray, queues: dict, since: dict) -> None:
+    def _hand_on(self, at: np.ndarray, lcp: np.ndarray, wanted: np.ndarray, queues: dict, since: np.ndarray) -> None:
         """From each suffix of a block to that one symbol longer, if it is of the ``wanted`` kind, into its queue, with
         the prefix it shares with the queue's last: one more than the least on the way since."""
         k = np.flatnonzero(at > 0)
@@ -190,20 +205,19 @@ class Sorter:
         low = np.where(fresh, 0, np.concatenate([[0], k[:-1] + 1]) if len(k) else 0)
         shared = least.of(low, k).astype(np.int64)
         whole = int(lcp.min())
-        for name in since:
-            since[name] = min(since[name], whole) if since[name] is not None else None
+        np.minimum(since, whole, out=since, where=since >= 0)
         starts = np.flatnonzero(fresh)
         ends = np.append(starts[1:], len(k))
         tails = least.of(k[ends - 1] + 1, np.full(len(starts), len(at) - 1)) if len(starts) else []
         before = self._before
         for a, b, tail in zip(starts, ends, tails):
             name = int(target[a])
-            last = before.get(name)
+            last = int(before[name])
             values = shared[a:b].copy()
-            values[0] = min(values[0], last) if last is not None else -1
+            values[0] = min(values[0], last) if last >= 0 else -1
             queues[name].push(at[k[a:b]] - 1, np.minimum(values + 1, self.limit).astype(np.uint8))
             since[name] = int(tail)
-        self._before = dict(since)
+        self._before = since.copy()
 
     def order(self) -> tuple[np.ndarray, np.ndarray]:
         """Suffixes in order, and what each shares with the one before it (up to the limit)."""
@@ -214,8 +228,8 @@ class Sorter:
         large = {x: Queue(self.budget) for x in names}  # upwards: suffixes greater than the next
         done = {x: Queue(self.budget) for x in names}
         tail = {}
-        since: dict = dict.fromkeys(names)
-        self._before = dict(since)
+        since = np.full(max(names, default=0) + 1, -1)  # by symbol: the least prefix since its queue's last; none yet
+        self._before = since.copy()
         for x in names:
             last = None
             more = True
@@ -233,8 +247,8 @@ class Sorter:
                 lcp[0] = 0 if last is None else min(self.run[last], self.run[seeds[a]])
                 self._hand_on(seeds[a:b], lcp, ~self.small, large, since)
         small = {x: Queue(self.budget) for x in names}  # downwards: suffixes smaller than the next
-        since = dict.fromkeys(names)
-        self._before = dict(since)
+        since = np.full(len(since), -1)
+        self._before = since.copy()
         sorted_parts: list[tuple[np.ndarray, np.ndarray]] = []
         for x in reversed(names):
             down: list[tuple[np.ndarray, np.ndarray]] = []
@@ -307,11 +321,11 @@ def _later(gram: np.ndarray, content: np.ndarray, doc: np.ndarray) -> tuple[np.n
 
 
 def _sliced(first: DataFrame, buckets: int) -> DataFrame:
-    """(kind, bucket, gram, content, doc, at, n): slices of all texts, packed by bucket before the shuffle. What an earlier
+    """(kind, bucket, gram, content, doc, at, n, sides): slices of all texts, packed by bucket before the shuffle. What an earlier
     document of the same pack holds too is settled there (``kind`` 0), so a content that many documents share is sent
     once for each pack."""
     def packed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        gram, content, doc, at, n = (np.concatenate(x) for x in zip(*held))
+        gram, content, doc, at, n, sides = (np.concatenate(x) for x in zip(*held))
         order, later, _ = _later(gram, content, doc)
         for kind, rows in ((0, order[later]), (1, order[~later])):
             bucket = (mix64(gram[rows]) % np.uint64(buckets)).astype(np.int64)
@@ -319,17 +333,18 @@ def _sliced(first: DataFrame, buckets: int) -> DataFrame:
             change = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0])[: len(rows)])
             offsets = pa.array(np.append(change, len(rows)).astype(np.int32))
             columns = [c[rows].astype(k) for c, k in zip((gram, content, doc, at, n), (np.int64, np.int64, np.int64, np.int32, np.int32))]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]
+            lists.append(pa.ListArray.from_arrays(offsets, pa.array(sides[rows])) if kind else pa.nulls(len(change), pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(change), kind, np.int32)), pa.array(bucket[change].astype(np.int32)),
-                 *[pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]],
-                ["kind", "bucket", "gram", "content", "doc", "at", "n"])
+                [pa.array(np.full(len(change), kind, np.int32)), pa.array(bucket[change].astype(np.int32)), *lists],
+                ["kind", "bucket", "gram", "content", "doc", "at", "n", "sides"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, held, many = Powers(), [], 0
         for batch in small_batches(batches):
             for doc, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
-                gram, content, at, n = slices(text, powers)
-                held.append((gram, content, np.full(len(gram), doc, np.int64), at, n))
+                gram, content, at, n, sides = slices(text, powers)
+                held.append((gram, content, np.full(len(gram), doc, np.int64), at, n, sides))
                 many += len(gram)
                 if many > HELD:
                     yield from packed(held)
@@ -338,23 +353,43 @@ def _sliced(first: DataFrame, buckets: int) -> DataFrame:
             yield from packed(held)
 
     return first.select("doc_id", "text").mapInArrow(
-        run, "kind int, bucket int, gram array<long>, content array<long>, doc array<long>, at array<int>, n array<int>")
+        run, "kind int, bucket int, gram array<long>, content array<long>, doc array<long>, at array<int>, n array<int>, sides array<long>")
+
+
+def _several(group: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Rows whose group, a number, has contents of different first documents."""
+    by = np.argsort(group, kind="stable")
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = group[by][1:] != group[by][:-1]
+    starts, out = np.flatnonzero(fresh), np.zeros(len(by), bool)
+    if len(starts):
+        apart = np.maximum.reduceat(least[by], starts) != np.minimum.reduceat(least[by], starts)
+        out[by] = apart[np.cumsum(fresh) - 1]
+    return out
 
 
 def _settle(table: pa.Table) -> pa.Table:
     """Slices of one bucket: those whose content an earlier document has (``kind`` 0), and where a gram has several
-    contents, the earliest slices of each (``kind`` 1)."""
+    contents that may share a window, the earliest slices of each (``kind`` 1)."""
     before = table.filter(pa.array(table.column("kind").to_numpy() == 0))
     table = table.filter(pa.array(table.column("kind").to_numpy() == 1))
-    gram, content, doc, at, n = (_flat(table, c) for c in ("gram", "content", "doc", "at", "n"))
+    gram, content, doc, at, n, sides = (_flat(table, c) for c in ("gram", "content", "doc", "at", "n", "sides"))
     order, later, least = _later(gram, content, doc)
-    gram, doc, at, n = (x[order] for x in (gram, doc, at, n))
+    gram, doc, at, n, sides = (x[order] for x in (gram, doc, at, n, sides))
     # of each gram: the smallest and largest of its contents' first documents
     new_gram = np.ones(len(gram), bool)
     new_gram[1:] = gram[1:] != gram[:-1]
     starts = np.flatnonzero(new_gram)
     several = (np.maximum.reduceat(least, starts) != np.minimum.reduceat(least, starts))[np.cumsum(new_gram) - 1] if len(starts) else later
     ask = ~later & several
+    # of these, slices that share a side of their gram, and all of a gram that one of its slices holds twice
+    rows = np.flatnonzero(ask)
+    g, both = np.cumsum(new_gram)[rows].astype(np.uint64), sides[rows].view(np.uint64)
+    alike = np.isin(g, g[both == 0])
+    for side in (both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)):
+        own = np.flatnonzero(side)
+        alike[own] |= _several(g[own] << np.uint64(32) | side[own], least[rows[own]])
+    ask[rows[~alike]] = False
     keep = later | ask
     zero = _flat(before, "doc")
     return pa.table({
@@ -408,7 +443,8 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
         slices_of_hot = stored(cut.join(hot, "gram", "left_semi"), "hot-slices")
         cut = cut.join(hot, "gram", "left_anti")
         apart = _windows_one_by_one(slices_of_hot)
-    found = cut.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("shard").applyInArrow(
+    shards = max(partitions(docs.sparkSession), -(-settled.where("kind = 1").count() // SORTED))
+    found = cut.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards))).groupBy("shard").applyInArrow(
         _sort_shard, "doc long, at long, n long")
     found = found if apart is None else found.union(apart)
     return settled.where("kind = 0").select("doc", "at", "n").union(found).groupBy("doc").agg(

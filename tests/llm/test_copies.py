@@ -9,6 +9,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import ngram_join, suffix_dedup
@@ -182,3 +183,29 @@ def test_only_likely_pairs_bring_whole_sets(spark, monkeypatch, told):
     monkeypatch.setattr(ngram_join, "_those", lambda docs, pairs, *rest: asked.append(pairs.count()) or those(docs, pairs, *rest))
     assert sorted((r.a, r.b) for r in ngram_join.verified(docs, pairs, 75).collect()) == [(1, 2), (1, 3)]
     assert asked == [3, 2]
+
+
+def test_slices_that_share_no_side_of_their_gram_are_not_sorted():
+    """A gram in several texts is no window yet; equal windows have one gram and share a side of it."""
+    rng = random.Random(8)
+    gram = bytes(rng.randrange(97, 123) for _ in range(25))
+    texts = [bytes(rng.randrange(97, 123) for _ in range(90)) + gram + bytes(rng.randrange(97, 123) for _ in range(90)) for _ in range(40)]
+    texts += [texts[0][60:150], texts[1][:100], b"ab" * 60, texts[2][80:] + b"ab" * 30]
+
+    def settled(texts):
+        rows = []
+        for doc, text in enumerate(texts):
+            held = suffix_dedup.slices(text, suffix_dedup.Powers())
+            rows += [(1, [int(g)], [int(c)], [doc], [int(a)], [int(n)], [int(s)]) for g, c, a, n, s in zip(*(x.view(np.int64) for x in held))]
+        names = ["kind", "gram", "content", "doc", "at", "n", "sides"]
+        kinds = [pa.int32(), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.int32())] * 2, pa.list_(pa.int64())]
+        return suffix_dedup._settle(pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)).to_pylist()
+
+    assert not [r for r in settled(texts[:40]) if r["kind"]]
+    found = settled(texts)
+    kept = {(r["doc"], r["at"] + i) for r in found for i in range(r["n"])}
+    first = {}
+    for doc, text in enumerate(texts):
+        for i in range(len(text) - 49):
+            if first.setdefault(text[i : i + 50], doc) < doc:
+                assert (doc, i) in kept
