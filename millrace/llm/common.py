@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +19,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it again: what follows no longer depends on the
-    executors that made it."""
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write a table into the shared folder, in a folder for each value of the columns ``by``, and read it again: what
+    follows no longer depends on the executors that made it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -63,6 +64,25 @@ def raw_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]
     return batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
 
 
+def worded(batch: pa.RecordBatch, column: str = "text") -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of a batch's texts between blanks, A to Z lower-cased; all words in a row as numbers of these;
+    and how many each text has. Null has none."""
+    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.string())
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    sizes = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = split.flatten()
+    some = pc.greater(pc.binary_length(words), 0)  # blanks at either end of a text leave an empty one
+    if not pc.all(some, min_count=0).as_py():
+        whose = np.repeat(np.arange(len(sizes)), sizes)[some.to_numpy(zero_copy_only=False)]
+        words, sizes = words.filter(some), np.bincount(whose, minlength=len(sizes))
+    coded = words.dictionary_encode()
+    distinct = coded.dictionary
+    _, offsets, data = distinct.buffers()
+    ends = np.frombuffer(offsets, np.int32)[distinct.offset : distinct.offset + len(distinct) + 1].tolist() if len(distinct) else []
+    raw = data.to_pybytes() if data else b""
+    return [raw[a:b] for a, b in zip(ends, ends[1:])], coded.indices.to_numpy(), sizes
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Spread the bits of unsigned 64-bit values."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

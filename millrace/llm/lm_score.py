@@ -14,7 +14,8 @@ are counted through a join, so no task holds the vocabulary.
 from __future__ import annotations
 
 import base64
-from collections import Counter
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import log10
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import FOLD, chosen_ids, chosen_texts, fitted, raw_texts, small_batches, stored
+from millrace.llm.common import FOLD, chosen_ids, chosen_texts, fitted, small_batches, stored, worded
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how the vocabulary's words are split
@@ -35,7 +36,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 END, START, IDS = 50256, 50257, 50258
 WIDTH = 16  # of the model's vectors
 SPAN, STRIDE = 32, 24  # subwords of a window, and between the starts of two
-SINGLE, TOPICS, BINS = 48, 8, 8  # classes: the most frequent subwords alone, the others by topic and frequency
+SINGLE, TOPICS, BINS = 55, 8, 8  # classes: the most frequent subwords alone, the others by topic and frequency
+GROUPS = (SINGLE + 1) // BINS + TOPICS  # of BINS classes each: a group is told first, then the class within it
 HEAD = 400_000  # frequent words that every task holds
 ROUNDS = 8  # steps of the training over all rows; each row belongs to one of them
 COMMON = 512  # subwords whose counts place a text among the topics
@@ -48,28 +50,35 @@ def load_vocabulary(path: str = VOCABULARY) -> dict[bytes, int]:
 
 
 class Encoder(dict):
-    """Numbers of words, with their subword ids and a value for each, remembered while there is room."""
+    """Numbers of words, with their subword ids and a value for each, remembered while there is room. 0 is a text's end."""
 
-    def __init__(self, ranks: dict[bytes, int], values: dict[bytes, float] | None = None, most: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], values: dict[bytes, float] | None = None, most: int = 600_000):
         super().__init__()
         self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.most, self.of = most, values or {}
+        self.leads = np.zeros(IDS, bool)  # subwords that begin with a blank
+        self.leads[[k for b, k in ranks.items() if b.startswith(b" ")]] = True
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.ids: list[int] = []
-        self.start: list[int] = [0]
-        self.value: list[float] = []
-
-    def __missing__(self, word: bytes) -> int:
-        k = self[word] = len(self)
-        self.ids += self.bpe.encode_ordinary(" " + word.decode("utf-8", "replace"))
-        self.start.append(len(self.ids))
-        self.value.append(self.of.get(word, 0.0))
-        return k
+        self.ids, self.start, self.value = array("i", [END]), array("q", [0, 1]), array("d", [0.0])
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        if new:
+            texts = [" " + w.decode("utf-8", "replace") for w in new]
+            joined = "".join(texts)
+            if len(joined.split()) == len(new):  # only a word's first subword begins with a blank
+                ids = np.array(self.bpe.encode_ordinary(joined), np.int32)
+                ends = np.append(np.flatnonzero(self.leads[ids])[1:], len(ids))
+            else:  # a word holds a blank beyond ASCII
+                each = list(map(self.bpe.encode_ordinary, texts))
+                ids, ends = np.array([k for x in each for k in x], np.int32), np.cumsum([len(x) for x in each])
+            self.start.frombytes((len(self.ids) + ends).astype(np.int64).tobytes())
+            self.ids.frombytes(ids.tobytes())
+            self.value.extend(self.of.get(w, 0.0) for w in new)
+            self.update(zip(new, range(len(self) + 1, len(self) + len(new) + 1)))
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
     def full(self) -> bool:
@@ -91,13 +100,17 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def sequences(numbers: list[np.ndarray], ids: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Subword ids of all texts in a row, each with its end, and the length of each text's share."""
-    parts, lengths = [], []
-    for k in numbers:
-        n = start[k + 1] - start[k]
-        seq = ids[_ragged(start[k], n)] if len(k) else np.empty(0, np.int32)
-        parts += [seq, np.array([END], np.int32)]
-        lengths.append(len(seq) + 1)
-    return np.concatenate(parts) if parts else np.empty(0, np.int32), np.array(lengths, np.int64)
+    sizes = np.array([len(k) for k in numbers], np.int64)
+    words, first = with_ends(np.concatenate([*numbers, np.empty(0, np.int64)]).astype(np.int64), sizes)
+    n = start[words + 1] - start[words]
+    return ids[_ragged(start[words], n)], np.add.reduceat(n, first) if len(first) else sizes
+
+
+def with_ends(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of texts of these sizes with each text's end, 0, behind it; and where each text begins."""
+    out = np.zeros(len(words) + len(sizes), np.int64)
+    out[np.arange(len(words)) + np.repeat(np.arange(len(sizes)), sizes)] = words
+    return out, np.cumsum(sizes + 1) - sizes - 1
 
 
 def windows(tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,14 +118,15 @@ def windows(tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
     count = 1 + np.maximum(0, -(-(lengths - SPAN) // STRIDE))
     text = np.repeat(np.arange(len(lengths)), count)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    at = nth[:, None] * STRIDE + np.arange(SPAN)
-    inside = at < lengths[text][:, None]
-    first = (np.cumsum(lengths) - lengths)[text][:, None]
-    padded = np.append(tokens, END)
-    targets = np.where(inside, padded[np.minimum(first + at, len(tokens))], -1)
-    inputs = np.where(at > 0, padded[np.minimum(first + np.maximum(at - 1, 0), len(tokens))], START)
-    inputs = np.where(inside, inputs, END)
-    targets[(nth[:, None] > 0) & (np.arange(SPAN) < SPAN - STRIDE)] = -1
+    room = lengths + 1 + SPAN
+    first = np.cumsum(room) - room
+    laid = np.full(int(room.sum()), -1, np.int32)
+    laid[first] = START
+    laid[_ragged(first + 1, lengths)] = tokens
+    cut = laid[(first[text] + nth * STRIDE)[:, None] + np.arange(SPAN + 1)]
+    inputs, targets = cut[:, :SPAN].copy(), cut[:, 1:].copy()
+    inputs[inputs < 0] = END
+    targets[nth > 0, : SPAN - STRIDE] = -1
     return inputs, targets, text
 
 
@@ -123,23 +137,50 @@ class Model:
     share: np.ndarray  # natural log of each id's share of its class
 
 
-MASK = np.triu(np.full((SPAN, SPAN), -1e9, np.float32), 1)
+SEEN = np.tril(np.ones((SPAN, SPAN), np.float32))
 
 
 def _forward(p: dict, x: np.ndarray, first: int = 0):
-    """States of the positions from ``first`` on; those before it are only looked at."""
-    e = p["embed"][x] + p["place"]
-    k, v = e @ p["k"], e @ p["v"]
-    e = e[:, first:]
-    q = e @ p["q"]
+    """States of the positions from ``first`` on; those before it are only looked at. ``a`` are attention weights, whose
+    sums ``m`` was divided by: ``part`` is one over these."""
+    whole = np.take(p["embed"], x, axis=0)
+    whole += p["place"]
+    kv = (whole.reshape(-1, WIDTH) @ np.hstack([p["k"], p["v"]])).reshape(*x.shape, 2 * WIDTH)
+    k, v = kv[..., :WIDTH], kv[..., WIDTH:]
+    e = np.ascontiguousarray(whole[:, first:])
+    q = (e.reshape(-1, WIDTH) @ p["q"]).reshape(e.shape)
     a = q @ k.transpose(0, 2, 1)
     np.clip(a, -60, 60, out=a)  # so that no row of exponentials is all 0 or infinite
-    a += MASK[first:]
     np.exp(a, out=a)
-    a /= a.sum(2, keepdims=True)
+    a *= SEEN[first:]
+    part = 1 / (a.reshape(-1, SPAN) @ np.ones(SPAN, np.float32)).reshape(*a.shape[:2], 1)
     m = a @ v
-    h = e + m @ p["o"]
-    return e, q, k, v, a, m, h
+    m *= part
+    h = (m.reshape(-1, WIDTH) @ p["o"]).reshape(e.shape)
+    h += e
+    return whole, e, q, k, v, a, part, m, h
+
+
+def _odds(p: dict, of: np.ndarray, h: np.ndarray, ids: np.ndarray):
+    """For states and the ids that follow them, in order of these ids' groups: that order, the bounds of the groups, and
+    for groups and for classes within them (number of the right one, exponentials, their sums)."""
+    group = (of[ids] // BINS).astype(np.uint8)
+    order = np.argsort(group, kind="stable")
+    group, h = group[order].astype(np.int64), np.take(h, order, axis=0)
+    bounds = np.searchsorted(group, np.arange(GROUPS + 1))
+    top = h @ p["top"]
+    top += p["top_bias"]
+    low = np.empty((len(h), BINS), np.float32)
+    for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        if a < b:
+            np.matmul(h[a:b], p["out"][:, g * BINS : (g + 1) * BINS], out=low[a:b])
+            low[a:b] += p["bias"][g * BINS : (g + 1) * BINS]
+    out = []
+    for z, right in ((top, group), (low, of[ids[order]] % BINS)):
+        np.clip(z, -60, 60, out=z)
+        np.exp(z, out=z)
+        out.append((right, z, z @ np.ones(z.shape[1], np.float32)))
+    return order, bounds, h, out
 
 
 def log_probabilities(model: Model, inputs: np.ndarray, targets: np.ndarray, part: int = 160) -> np.ndarray:
@@ -154,16 +195,14 @@ def log_probabilities(model: Model, inputs: np.ndarray, targets: np.ndarray, par
 
 
 def _scored(model: Model, x: np.ndarray, y: np.ndarray, first: int) -> np.ndarray:
-    h = _forward(model.p, x, first)[-1]
-    w, k = np.nonzero(y >= 0)
-    z = h[w, k] @ model.p["out"]
-    z += model.p["bias"]
-    np.clip(z, -60, 60, out=z)
-    ids = y[w, k]
-    chosen = z[np.arange(len(ids)), model.of[ids]]
-    np.exp(z, out=z)
-    got = chosen - np.log(z.sum(1)) + model.share[ids]
-    return np.bincount(w, got, minlength=len(x))
+    h = _forward(model.p, x, first)[-1].reshape(-1, WIDTH)
+    at = np.flatnonzero(y.ravel() >= 0)
+    ids = y.ravel()[at]
+    order, _, _, both = _odds(model.p, model.of, np.take(h, at, axis=0), ids)
+    got = model.share[ids[order]].astype(np.float64)
+    for right, z, total in both:
+        got += np.log(z[np.arange(len(z)), right] / total)
+    return np.bincount(at[order] // y.shape[1], got, minlength=len(x))
 
 
 def _placed(tokens: np.ndarray, lengths: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -216,40 +255,58 @@ def classes(counts: np.ndarray, topics: np.ndarray) -> tuple[np.ndarray, np.ndar
         part = np.minimum((np.cumsum(w) / max(w.sum(), 1e-9) * BINS).astype(int), BINS - 1)
         of[mine] = SINGLE + 1 + t * BINS + part
     mass = counts + 0.1
-    share = np.log(mass) - np.log(np.maximum(np.bincount(of, mass, minlength=SINGLE + 1 + TOPICS * BINS), 1e-9))[of]
+    share = np.log(mass) - np.log(np.maximum(np.bincount(of, mass, minlength=GROUPS * BINS), 1e-9))[of]
     return of, share.astype(np.float32)
 
 
 def _gradients(p: dict, of: np.ndarray, x: np.ndarray, y: np.ndarray, first: int = 0):
-    """Summed over the scored positions from ``first`` on: gradients by name, the ids embedded with theirs, and how many
-    positions these are. ``y`` begins at ``first``."""
-    e, q, k, v, a, m, h = _forward(p, x, first)
-    z = h @ p["out"] + p["bias"]
-    z -= z.max(2, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(2, keepdims=True)
-    scored = y >= 0
-    w, c = np.nonzero(scored)
-    z[w, c, of[y[w, c]]] -= 1
-    z *= scored[:, :, None]
-    g = {"out": np.tensordot(h, z, ((0, 1), (0, 1))), "bias": z.sum((0, 1))}
-    dh = z @ p["out"].T
-    g["o"] = np.tensordot(m, dh, ((0, 1), (0, 1)))
-    dm = dh @ p["o"].T
-    da = dm @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dm
-    ds = a * (da - (da * a).sum(2, keepdims=True))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    de = dk @ p["k"].T + dv @ p["v"].T
-    de[:, first:] += dh + dq @ p["q"].T
-    whole = p["embed"][x] + p["place"]
-    for name, at, d in (("q", e, dq), ("k", whole, dk), ("v", whole, dv)):
-        g[name] = np.tensordot(at, d, ((0, 1), (0, 1)))
+    """Summed over the scored positions from ``first`` on: gradients by name, those of all inputs' embeddings, and how many
+    positions are scored. ``y`` begins at ``first``."""
+    whole, e, q, k, v, a, part, m, h = _forward(p, x, first)
+    at = np.flatnonzero(y.ravel() >= 0)
+    order, bounds, near, both = _odds(p, of, np.take(h.reshape(-1, WIDTH), at, axis=0), y.ravel()[at])
+    for right, z, total in both:
+        z /= total[:, None]
+        z[np.arange(len(z)), right] -= 1
+    top, low = both[0][1], both[1][1]
+    one = np.ones(len(near), np.float32)
+    g = {"top": near.T @ top, "top_bias": one @ top, "out": np.zeros_like(p["out"]), "bias": np.zeros_like(p["bias"])}
+    back = top @ p["top"].T
+    for c, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
+        if lo < hi:
+            mine = slice(c * BINS, (c + 1) * BINS)
+            g["out"][:, mine], g["bias"][mine] = near[lo:hi].T @ low[lo:hi], one[lo:hi] @ low[lo:hi]
+            back[lo:hi] += low[lo:hi] @ p["out"][:, mine].T
+    dh = np.zeros((h.size // WIDTH, WIDTH), np.float32)
+    dh[at[order]] = back
+    g["o"] = m.reshape(-1, WIDTH).T @ dh
+    dm = (dh @ p["o"].T).reshape(m.shape)
+    dm *= part
+    dkv = np.empty((*x.shape, 2 * WIDTH), np.float32)
+    ds = dm @ v.transpose(0, 2, 1)
+    ds -= np.einsum("nsw,nsw->ns", dm, m)[:, :, None]
+    ds *= a
+    dkv[..., :WIDTH] = ds.transpose(0, 2, 1) @ q
+    dkv[..., WIDTH:] = a.transpose(0, 2, 1) @ dm
+    dq = (ds @ k).reshape(-1, WIDTH)
+    flat = dkv.reshape(-1, 2 * WIDTH)
+    de = (flat @ np.hstack([p["k"], p["v"]]).T).reshape(whole.shape)
+    dh += dq @ p["q"].T
+    de[:, first:] += dh.reshape(e.shape)
+    g["q"] = e.reshape(-1, WIDTH).T @ dq
+    kv = whole.reshape(-1, WIDTH).T @ flat
+    g["k"], g["v"] = kv[:, :WIDTH], kv[:, WIDTH:]
     g["place"] = de.sum(0)
-    flat = x.ravel()
-    order = np.argsort(flat, kind="stable")
-    starts = np.flatnonzero(np.append(True, flat[order][1:] != flat[order][:-1]))
-    return g, flat[order][starts], np.add.reduceat(de.reshape(-1, WIDTH)[order], starts), len(w)
+    return g, de.reshape(-1, WIDTH), len(at)
+
+
+def _by_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids and the sum of each one's rows."""
+    ids = ids.astype(np.uint16)  # a stable sort of two bytes goes by digits
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    return ids[starts], np.add.reduceat(np.take(values, order, axis=0), starts)
 
 
 def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int = 600, batch: int = 192, seed: int = 3,
@@ -257,21 +314,24 @@ def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int
     """Train on a sample's sequences; ``counts`` are those of the whole corpus, and ``topics``, if given. Without texts
     the model stays at its start: every class as likely as any other."""
     rng = np.random.default_rng(seed)
-    many = SINGLE + 1 + TOPICS * BINS
+    many = GROUPS * BINS
     small = lambda *shape: rng.normal(0, 0.15, shape).astype(np.float32)
     p = {"embed": small(IDS, WIDTH), "place": small(SPAN, WIDTH), "q": small(WIDTH, WIDTH), "k": small(WIDTH, WIDTH),
-         "v": small(WIDTH, WIDTH), "o": small(WIDTH, WIDTH), "out": small(WIDTH, many), "bias": np.zeros(many, np.float32)}
+         "v": small(WIDTH, WIDTH), "o": small(WIDTH, WIDTH), "out": small(WIDTH, many), "bias": np.zeros(many, np.float32),
+         "top": small(WIDTH, GROUPS), "top_bias": np.zeros(GROUPS, np.float32)}
     if not len(tokens):
         return Model(p, *classes(counts, np.zeros(IDS, np.int64) if topics is None else topics))
     of, share = classes(counts, _topics(tokens, lengths, rng) if topics is None else topics)
-    p["bias"] = np.log(np.bincount(of, counts + 0.1, minlength=many) + 1).astype(np.float32)
-    p["bias"] -= p["bias"].max()
+    mass = np.bincount(of, counts + 0.1, minlength=many) + 1
+    p["bias"] = np.log(mass / np.repeat(mass.reshape(-1, BINS).max(1), BINS)).astype(np.float32)
+    p["top_bias"] = np.log(mass.reshape(-1, BINS).sum(1) / mass.sum()).astype(np.float32)
     x_all, y_all, _ = windows(tokens, lengths)
     moment = {k: np.zeros_like(v) for k, v in p.items() if k != "embed"}
     square = {k: np.zeros_like(v) for k, v in p.items()}
     for step in range(1, steps + 1):
         rows = rng.integers(0, len(x_all), batch)
-        g, seen, rows_d, n = _gradients(p, of, x_all[rows], y_all[rows])
+        g, each, n = _gradients(p, of, x_all[rows], y_all[rows])
+        seen, rows_d = _by_id(x_all[rows].ravel(), each)
         n = max(n, 1)
         rate = 0.02 * min(1, 3 * (1 - step / (steps + 1)))
         for name, d in g.items():
@@ -286,27 +346,58 @@ def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int
     return Model(p, of, share)
 
 
-def encoded(train: DataFrame, ranks) -> DataFrame:
-    """(tokens, round) of every row, stored: its subword ids and end in two bytes each, and the round it teaches in."""
+def encoded(docs: DataFrame, learn: Column, ranks, head, rest: bool) -> DataFrame:
+    """Every row of docs, stored by the round it teaches in (ROUNDS: none): doc_id, learnt, key, n_tokens, the number and
+    sum of its words in ``head``, with ``rest`` the other words' hashes and how often it has each, and tokens: its subword
+    ids and end, in two bytes each. Texts are split and encoded here alone."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks.value)
-        for batch in small_batches(batches):
-            numbers = [encoder.numbers(words_of(t)) for t in raw_texts(batch)]
-            tokens, lengths = sequences(numbers, *encoder.tables())
-            parts = np.split(tokens.astype(np.uint16), np.cumsum(lengths)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in parts], pa.binary()),
-                                              batch.column(batch.schema.get_field_index("round"))], ["tokens", "round"])
+        encoder = Encoder(ranks.value, head.value)
+        for batch in small_batches(batches, size=4 << 20):
+            words, at, sizes = worded(batch)
+            numbers = encoder.numbers(words)
+            ids, start = encoder.tables()
+            own, first = with_ends(numbers[at], sizes)
+            value = np.array(encoder.value)[own]
+            n = start[own + 1] - start[own]
+            tokens = ids[_ragged(start[own], n)].astype(np.uint16)
+            ends = np.append(0, np.cumsum(np.add.reduceat(n, first)))
+            hashes, times, lists = np.empty(0, np.int64), np.empty(0, np.int32), np.zeros(len(sizes) + 1, np.int64)
+            if rest:
+                h = np.array([0 if w in encoder.of else xxhash.xxh3_64_intdigest(w) for w in words], np.uint64).view(np.int64)
+                far = np.flatnonzero(np.array([w not in encoder.of for w in words], bool)[at])
+                whose = np.repeat(np.arange(len(sizes)), sizes)[far]
+                pair, times = np.unique(whose * max(len(words), 1) + at[far], return_counts=True)
+                hashes, times = h[pair % max(len(words), 1)], times.astype(np.int32)
+                lists[1:] = np.cumsum(np.bincount(pair // max(len(words), 1), minlength=len(sizes)))
+            lists = pa.array(lists.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                *[batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "learnt", "key", "round")], pa.array(sizes + 1),
+                pa.array(np.add.reduceat((value != 0).astype(np.int64), first)), pa.array(np.add.reduceat(value, first)),
+                pa.ListArray.from_arrays(lists, pa.array(hashes)), pa.ListArray.from_arrays(lists, pa.array(times)),
+                pa.array([tokens[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())],
+                ["doc_id", "learnt", "key", "round", "n_tokens", "n_head", "s_head", "rest", "times", "tokens"])
             if encoder.full():
                 encoder.reset()
 
-    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int").alias("round")
-    return stored(train.select("text", dealt).mapInArrow(run, "tokens binary, round int"), "tokens")
+    key = F.xxhash64("doc_id", "text")
+    dealt = F.when(learn, F.pmod(key, F.lit(ROUNDS))).otherwise(ROUNDS).cast("int").alias("round")
+    return stored(docs.select("doc_id", "text", learn.alias("learnt"), key.alias("key"), dealt).mapInArrow(
+        run, f"doc_id {kind}, learnt boolean, key long, round int, n_tokens long, n_head long, s_head double, rest array<long>, "
+             "times array<int>, tokens binary"), "tokens", "round")
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches of rows of ``encoded``, with all their tokens and how many each has."""
     for batch in small_batches(batches, rows=500, size=1 << 20):
         parts = [np.frombuffer(t, np.uint16) for t in batch.column(batch.schema.get_field_index("tokens")).to_pylist()]
-        yield np.concatenate(parts).astype(np.int64), np.array([len(x) for x in parts], np.int64)
+        yield batch, np.concatenate(parts).astype(np.int64), np.array([len(x) for x in parts], np.int64)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for _, tokens, lengths in _rows(batches):
+        yield tokens, lengths
 
 
 def added(rows: DataFrame, work, shape: tuple[int, int], piece: int = 2048) -> np.ndarray:
@@ -365,11 +456,11 @@ def corpus_topics(texts: DataFrame, counts: np.ndarray, seed: int = 3) -> np.nda
     def means(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         out = np.zeros((IDS, 7))
         for tokens, lengths in _texts(batches):
-            directions = np.hstack([(_placed(tokens, lengths, common) - middle) @ main, np.ones((len(lengths), 1))])
-            directions = np.repeat(directions, lengths, axis=0)
-            order = np.argsort(tokens, kind="stable")
-            starts = np.flatnonzero(np.append(True, tokens[order][1:] != tokens[order][:-1]))
-            out[tokens[order][starts]] += np.add.reduceat(directions[order], starts)
+            directions = (_placed(tokens, lengths, common) - middle) @ main
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            for c in range(6):
+                out[:, c] += np.bincount(tokens, np.take(directions[:, c], text), minlength=IDS)
+            out[:, 6] += np.bincount(tokens, minlength=IDS)
         return out
 
     sums = added(texts, means, (IDS, 7))
@@ -377,7 +468,7 @@ def corpus_topics(texts: DataFrame, counts: np.ndarray, seed: int = 3) -> np.nda
     return _clustered(sums[:, :6] / np.maximum(seen, 1)[:, None], seen, np.random.default_rng(seed))
 
 
-def refined(model: Model, texts: DataFrame, rate: float = 0.01, part: int = 160) -> Model:
+def refined(model: Model, texts: DataFrame, rate: float = 0.01, part: int = 320) -> Model:
     """Train over all texts of ``encoded``, each once: a step for each round, along the gradient of all its windows."""
     spark = texts.sparkSession
     names = [k for k in model.p if k != "embed"]
@@ -396,14 +487,20 @@ def refined(model: Model, texts: DataFrame, rate: float = 0.01, part: int = 160)
             for tokens, lengths in _texts(batches):
                 x_all, y_all, _ = windows(tokens, lengths)
                 inner = (y_all[:, : SPAN - STRIDE] < 0).all(1)  # all but a text's first window
+                each, ids = np.empty((*x_all.shape, WIDTH), np.float32), []
+                done = 0
                 for first, rows in ((0, np.flatnonzero(~inner)), (SPAN - STRIDE, np.flatnonzero(inner))):
                     for at in range(0, len(rows), part):
                         take = rows[at : at + part]
-                        g, seen, d, n = _gradients(now, of, x_all[take], y_all[take, first:], first)
-                        total[seen] += d
+                        ids.append(x_all[take].ravel())
+                        g, d, n = _gradients(now, of, x_all[take], y_all[take, first:], first)
+                        each[done : done + len(take)] = d.reshape(len(take), SPAN, WIDTH)
+                        done += len(take)
                         total[-1, 0] += n
                         for k in names:
                             sums[k] += g[k]
+                seen, d = _by_id(np.concatenate(ids), each.reshape(-1, WIDTH))
+                total[seen] += d
             at = IDS
             for k, size in zip(names, sizes):
                 total[at : at + size].ravel()[: sums[k].size] = sums[k].ravel()
@@ -432,14 +529,15 @@ def refined(model: Model, texts: DataFrame, rate: float = 0.01, part: int = 160)
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts; batches are added up before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: defaultdict[bytes, int] = defaultdict(int)
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
         for batch in small_batches(batches):
-            for t in raw_texts(batch):
-                held.update(words_of(t))
+            words, at, _ = worded(batch)
+            for word, n in zip(words, np.bincount(at, minlength=len(words)).tolist()):
+                held[word] += n
             if len(held) > 300_000:
                 yield out()
                 held.clear()
@@ -448,23 +546,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def subword_counts(counts: DataFrame, ranks) -> np.ndarray:
-    """Count of every subword id, from a stored table of word counts."""
+def subword_counts(texts: DataFrame) -> np.ndarray:
+    """Count of every subword id and the end in rows of ``encoded``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = Encoder(ranks.value), np.zeros(IDS, np.int64)
-        for batch in batches:
-            numbers = encoder.numbers(batch.column("word").to_pylist())
-            ids, start = encoder.tables()
-            n = batch.column("n").to_numpy()
-            length = start[numbers + 1] - start[numbers]
-            total += np.bincount(ids[_ragged(start[numbers], length)], np.repeat(n, length), minlength=IDS).astype(np.int64)
-            if encoder.full():
-                encoder.reset()
+        total = np.zeros(IDS, np.int64)
+        for tokens, _ in _texts(batches):
+            total += np.bincount(tokens, minlength=IDS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(total[used])], ["id", "n"])
 
     out = np.zeros(IDS)
-    for row in counts.select("word", "n").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for row in texts.select("tokens").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         out[row.id] = row.n  # at most one row for each id of the vocabulary
     return out
 
@@ -482,71 +574,47 @@ def scores(docs: DataFrame, learn: Column, rows: int = 1500, vocabulary: str = V
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = train.count()
     n, v = totals.n + ends, totals.v + (1 if ends else 0)
-    id_counts = subword_counts(counts, ranks)
-    id_counts[END] = ends
-    picked = chosen_texts(train, chosen_ids(train.where(F.length("text") > 0), rows), rows)
-    encoder = Encoder(ranks.value)
-    numbers = [encoder.numbers(words_of(r.text.encode())) for r in picked]
-    texts = encoded(train, ranks)
-    start = fitted(fit, Model, spark, *sequences(numbers, *encoder.tables()), id_counts, topics=corpus_topics(texts, id_counts))
-    shared = spark.sparkContext.broadcast(vars(refined(start, texts)))
-
     top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
     bound = (int(top["n"].iloc[-1]), bytes(top["word"].iloc[-1])) if len(top) == HEAD else None
     head = spark.sparkContext.broadcast({bytes(w): log10(c + 1) for w, c in zip(top["word"], top["n"])})
-    rest = counts.where("false") if bound is None else counts.where(
+    rest = None if bound is None else counts.where(
         (F.col("n") < bound[0]) | ((F.col("n") == bound[0]) & (F.col("word") > F.lit(bound[1]))))
+    texts = encoded(docs, learn, ranks, head, rest is not None)
+    learnt = texts.where(F.col("round") < ROUNDS)
+    id_counts = subword_counts(learnt)
+    picked = chosen_texts(train, chosen_ids(train.where(F.length("text") > 0), rows), rows)
+    encoder = Encoder(ranks.value)
+    numbers = [encoder.numbers(words_of(r.text.encode())) for r in picked]
+    start = fitted(fit, Model, spark, *sequences(numbers, *encoder.tables()), id_counts, topics=corpus_topics(learnt, id_counts))
+    shared = spark.sparkContext.broadcast(vars(refined(start, learnt)))
     each = log10(n + v + 1)
-    keyed = docs.select("doc_id", "text", learn.alias("learnt"), F.xxhash64("doc_id", "text").alias("key"))
 
     def model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lm = Encoder(ranks.value, head.value), Model(**shared.value)
-        for batch in small_batches(batches, rows=500, size=2 << 20):
-            texts = [words_of(t) for t in raw_texts(batch)]
-            numbers = [encoder.numbers(w) for w in texts]
-            tokens, lengths = sequences(numbers, *encoder.tables())
+        lm, kept = Model(**shared.value), ["doc_id", "learnt", "key", "n_tokens", "n_head", "s_head"]
+        for batch, tokens, lengths in _rows(batches):
             x, y, of = windows(tokens, lengths)
-            score = np.bincount(of, log_probabilities(lm, x, y), minlength=len(texts)) / LN10
-            value = np.array(encoder.value)
-            found = [value[k] for k in numbers]
-            size = np.array([len(w) for w in texts]) + 1
-            yield pa.RecordBatch.from_arrays([
-                *[batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "learnt", "key")], pa.array(size),
-                pa.array(np.array([np.count_nonzero(f) for f in found], np.int64)), pa.array(np.array([f.sum() for f in found], float)),
-                pa.array(score)], ["doc_id", "learnt", "key", "n_tokens", "n_head", "s_head", "score"])
-            if encoder.full():
-                encoder.reset()
+            score = np.bincount(of, log_probabilities(lm, x, y), minlength=len(lengths)) / LN10
+            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(c)) for c in kept], pa.array(score)], [*kept, "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = stored(keyed.mapInArrow(model, f"doc_id {kind}, learnt boolean, key long, n_tokens long, n_head long, s_head double, score double"), "scored")
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = head.value
-        for batch in small_batches(batches):
-            keys, words, times = [], [], []
-            for key, t in zip(batch.column("key").to_pylist(), raw_texts(batch)):
-                counted = Counter(w for w in words_of(t) if w not in known)
-                words += map(xxhash.xxh3_64_intdigest, counted)
-                times += counted.values()
-                keys += [key] * len(counted)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(words, np.uint64).view(np.int64)), pa.array(keys, pa.int64()),
-                                              pa.array(times, pa.int32())], ["h", "key", "k"])
+    whole = texts.drop("rest", "times", "round").mapInArrow(
+        model, f"doc_id {kind}, learnt boolean, key long, n_tokens long, n_head long, s_head double, score double")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = np.array([xxhash.xxh3_64_intdigest(w) for w in batch.column("word").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(h), batch.column("n")], ["h", "n"])
 
-    if bound is None:
-        tail = None
+    if rest is None:
+        whole = whole.withColumns({"n_tail": F.lit(0), "s_tail": F.lit(0.0)})
     else:
-        asked = keyed.select("key", "text").mapInArrow(others, "h long, key long, k int")
+        asked = texts.select("key", F.explode(F.arrays_zip("rest", "times")).alias("w")).select(
+            "key", F.col("w.rest").alias("h"), F.col("w.times").alias("k"))
         tail = asked.join(rest.mapInArrow(hashed, "h long, n long"), "h").groupBy("key").agg(
             F.sum("k").alias("n_tail"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("s_tail"))
-        same = scored.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))  # equal rows were each asked for
-        tail = same.join(tail, "key").select("key", F.col("n_tail") / F.col("rows"), F.col("s_tail") / F.col("rows")).toDF(
-            "key", "n_tail", "s_tail")
-    whole = scored.join(tail, "key", "left") if tail is not None else scored.withColumns({"n_tail": F.lit(0), "s_tail": F.lit(0.0)})
+        same = texts.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))  # equal rows were each asked for
+        whole = whole.join(same.join(tail, "key").select("key", F.col("n_tail") / F.col("rows"), F.col("s_tail") / F.col("rows")).toDF(
+            "key", "n_tail", "s_tail"), "key", "left")
     end = log10(ends + 1)
     return whole.select(
         "doc_id", "learnt", "n_tokens",

@@ -150,6 +150,49 @@ def test_gradients_of_the_network():
         assert abs((losses[0] - losses[1]) / 2e-3 - g[name][at]) < 2e-3
 
 
+def test_words_are_encoded_together():
+    """One call for all new words of a batch gives each the subwords it has alone, also with blanks beyond ASCII."""
+    plain = [w.encode() for w in ("red", "don't", "'s", "日本語", "12ab", "...", "\0")]
+    for words in (plain, [*plain, "x\u2003y".encode(), b"a\x1cb", b"\xff\xfe"]):
+        encoder, calls = lm_score.Encoder(lm_score.load_vocabulary()), []
+        alone = [encoder.bpe.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in words]
+
+        class Counted:
+            def encode_ordinary(self, text, bpe=encoder.bpe):
+                calls.append(text)
+                return bpe.encode_ordinary(text)
+
+        encoder.bpe = Counted()
+        k = encoder.numbers(words)
+        ids, start = encoder.tables()
+        assert [ids[start[n] : start[n + 1]].tolist() for n in k] == alone
+        assert len(calls) == (1 if words is plain else len(words)) and (encoder.numbers(words) == k).all()
+
+
+def test_gradients_of_the_attention():
+    """Of every weight, against differences of the log probabilities, in first windows and later ones."""
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1, 120, 12)
+    tokens = rng.integers(0, 300, lengths.sum())
+    model = lm_score.fit(tokens, lengths, np.bincount(tokens, minlength=lm_score.IDS).astype(float), steps=5)
+    x, y, _ = lm_score.windows(tokens, lengths)
+    inner = (y[:, : lm_score.SPAN - lm_score.STRIDE] < 0).all(1)
+    for first, rows in ((0, np.flatnonzero(~inner)), (lm_score.SPAN - lm_score.STRIDE, np.flatnonzero(inner))):
+        g, each, n = lm_score._gradients(model.p, model.of, x[rows], y[rows, first:], first)
+        ids, sums = lm_score._by_id(x[rows].ravel(), each)
+        assert n == (y[rows] >= 0).sum()
+        g["embed"] = np.zeros_like(model.p["embed"])
+        g["embed"][ids] = sums
+        assert set(g) == set(model.p)
+        for name, value in g.items():
+            at, losses = np.unravel_index(int(np.abs(value).argmax()), value.shape), []
+            for step in (1e-2, -1e-2):
+                moved = {k: v.copy() for k, v in model.p.items()}
+                moved[name][at] += step
+                losses.append(-lm_score.log_probabilities(lm_score.Model(moved, model.of, model.share), x[rows], y[rows]).sum())
+            assert abs((losses[0] - losses[1]) / 2e-2 - value[at]) < 0.02 * abs(value[at]) + 0.02
+
+
 def test_the_model_learns_from_every_row(spark):
     """With a sample of one text, the same words in another order in the other texts change what is likely."""
     from pyspark.sql import functions as F
