@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import FOLD, bounded, dropped, mix64, partitions, raw_texts, small_batches, stored
+from millrace.llm.common import bounded, dropped, mix64, partitions, small_batches, stored, worded
 
 WORDS = 5
 BLOCK = 2048  # documents that one tree holds; larger groups become several, compared block by block
@@ -41,30 +41,31 @@ STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x
                  np.uint64)
 
 
-class Hashes(dict):
-    """Word to hash, remembered while there is room."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 100_000:
-            self[word] = h
-        return h
-
-
-def shingles(text: bytes | None, hashes: Hashes) -> np.ndarray:
-    """Sorted distinct 63-bit shingle hashes; fewer than five words are one shingle; no words, none."""
-    words = text.translate(FOLD).split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    if len(h) < WORDS:
-        joined = (h * STEPS[: len(h)]).sum(dtype=np.uint64) + np.uint64(len(h))
-        return mix64(np.array([joined], np.uint64)) >> np.uint64(1)
-    n = len(h) - WORDS + 1
+def shingle_sets(batch: pa.RecordBatch, column: str = "text") -> list[np.ndarray]:
+    """For each text of a batch its sorted distinct 63-bit shingle hashes; fewer than five words are one shingle; no words,
+    none. Each distinct word of the batch is hashed once."""
+    words, at, sizes = worded(batch, column)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[at]
+    n = max(len(h) - WORDS + 1, 0)
     s = h[:n] * STEPS[0]
     for k in range(1, WORDS):
         s += h[k : k + n] * STEPS[k]
-    return np.unique(mix64(s) >> np.uint64(1))
+    s = mix64(s) >> np.uint64(1)
+    out, first = [], 0
+    for size in sizes.tolist():
+        if size >= WORDS:
+            keys = np.sort(s[first : first + size - WORDS + 1])
+            fresh = np.empty(len(keys), bool)
+            fresh[0] = True
+            np.not_equal(keys[1:], keys[:-1], out=fresh[1:])
+            out.append(keys[fresh])
+        elif size:
+            joined = (h[first : first + size] * STEPS[:size]).sum(dtype=np.uint64) + np.uint64(size)
+            out.append(mix64(np.array([joined], np.uint64)) >> np.uint64(1))
+        else:
+            out.append(np.empty(0, np.uint64))
+        first += size
+    return out
 
 
 def rarest_first(keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -211,10 +212,10 @@ def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     cells = FREQUENT
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = Hashes(), np.zeros(cells, np.uint32)
+        counts = np.zeros(cells, np.uint32)
         for batch in small_batches(batches, rows=1000, size=4 << 20):
-            for t in raw_texts(batch, text):
-                np.add.at(counts, (shingles(t, hashes) % np.uint64(cells)).astype(np.int64), np.uint32(1))
+            for keys in shingle_sets(batch, text):
+                np.add.at(counts, (keys % np.uint64(cells)).astype(np.int64), np.uint32(1))
         short = np.minimum(counts, 65535).astype(np.uint16)  # this order needs no exact sums above
         for part, at in enumerate(range(0, cells if counts.any() else 0, PART)):
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([short[at : at + PART].tobytes()], pa.binary())],
@@ -238,26 +239,33 @@ def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     return classes
 
 
+def _reduced(how: np.ufunc, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``how`` over each of the runs of these sizes; 0 for an empty one."""
+    out, some = np.zeros(len(sizes), values.dtype), sizes > 0
+    if some.any():
+        out[some] = how.reduceat(values, (np.cumsum(sizes) - sizes)[some])
+    return out
+
+
 def sketches(docs: DataFrame, told, percent: int) -> DataFrame:
     """(doc_id, n, set_a, set_b, firsts, prefix, bits): what stands for a set in the shuffles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, classes = Hashes(), told.value
+        classes = told.value
         for batch in small_batches(batches, rows=1000, size=4 << 20):
-            n, a, b, first, prefix, bits = [], [], [], [], [], []
-            for t in raw_texts(batch):
-                keys = shingles(t, hashes)
-                mixed = mix64(keys + np.uint64(1))
-                n.append(len(keys))
-                a.append(int(mixed.sum(dtype=np.uint64).astype(np.int64)))
-                b.append(int((mix64(mixed) ^ mixed).sum(dtype=np.uint64).astype(np.int64)))
-                part = rarest_first(keys, classes)[: len(keys) - -(-percent * len(keys) // 100) + 1 if len(keys) else 0].astype(np.int64)
-                first.append([int(mix64(part.view(np.uint64) + np.uint64(r)).min().astype(np.int64)) for r in range(ROUNDS)] if len(part) else None)
-                prefix.append(part)
-                bits.append(bitmap(keys).tobytes() if len(keys) else None)
+            sets = shingle_sets(batch)
+            n = np.array([len(keys) for keys in sets], np.int64)
+            mixed = mix64(np.concatenate(sets) + np.uint64(1))
+            prefix = [rarest_first(keys, classes)[: len(keys) - -(-percent * len(keys) // 100) + 1 if len(keys) else 0] for keys in sets]
+            short = np.array([len(keys) for keys in prefix], np.int64)
+            flat = np.concatenate(prefix)
+            firsts = np.stack([_reduced(np.minimum, mix64(flat + np.uint64(r)), short).astype(np.int64) for r in range(ROUNDS)], 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
-                 pa.array(b, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64())),
-                 pa.array(bits, pa.binary())], ["doc_id", "n", "set_a", "set_b", "firsts", "prefix", "bits"])
+                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(n),
+                 pa.array(_reduced(np.add, mixed, n).astype(np.int64)), pa.array(_reduced(np.add, mix64(mixed) ^ mixed, n).astype(np.int64)),
+                 pa.array([row if k else None for row, k in zip(firsts, short)], pa.list_(pa.int64())),
+                 pa.array([keys.view(np.int64) for keys in prefix], pa.list_(pa.int64())),
+                 pa.array([bitmap(keys).tobytes() if len(keys) else None for keys in sets], pa.binary())],
+                ["doc_id", "n", "set_a", "set_b", "firsts", "prefix", "bits"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n long, set_a long, set_b long, firsts array<long>, prefix array<long>, bits binary")
@@ -285,10 +293,9 @@ def _with_sets(rows: DataFrame) -> DataFrame:
     others = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         names = [f.name for f in others]
         for batch in small_batches(batches, rows=500, size=2 << 20):
-            sets = [shingles(t, hashes).astype(np.int64) for t in raw_texts(batch)]
+            sets = [keys.view(np.int64) for keys in shingle_sets(batch)]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(batch.schema.get_field_index(c)) for c in names], pa.array(sets, pa.list_(pa.int64()))],
                 [*names, "keys"])
@@ -517,9 +524,8 @@ def _told_apart(rows: DataFrame, columns: str, values) -> DataFrame:
     name, kind = columns.split()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for batch in small_batches(batches, rows=500, size=2 << 20):
-            sets = [shingles(t, hashes) for t in raw_texts(batch)]
+            sets = shingle_sets(batch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([int(s.sum(dtype=np.uint64).astype(np.int64)) for s in sets], pa.int64()),

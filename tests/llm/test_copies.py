@@ -52,6 +52,27 @@ def test_components(spark, monkeypatch, block):
     assert ngram_join.similar(empty(spark)).count() == 0
 
 
+def test_words_of_a_batch_are_hashed_once(monkeypatch):
+    calls = []
+    plain = ngram_join.xxhash.xxh3_64_intdigest
+
+    class Counted:
+        @staticmethod
+        def xxh3_64_intdigest(word):
+            calls.append(word)
+            return plain(word)
+
+    monkeypatch.setattr(ngram_join, "xxhash", Counted)
+    texts = ["One two", None, "", " \n", "a b\x0bc\x1c d\u2003e  f g\t", "one TWO\r", "g f a b\fone two g f a b one two", "É é one"]
+    rows = pa.RecordBatch.from_arrays([pa.array(["zz", *texts])], ["text"]).slice(1)
+    sets = ngram_join.shingle_sets(rows)
+    words = {w for t in texts for s in shingles(t) for w in s}
+    assert sorted(calls) == sorted(w.encode() for w in words)
+    assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
+    assert (sets[0] == sets[5]).all() and all((np.diff(s.astype(object)) > 0).all() for s in sets)
+    assert ngram_join.shingle_sets(rows.slice(0, 0)) == []
+
+
 def test_chains_and_edges_of_similarity(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FREQUENT", 50)
     rng = random.Random(9)
