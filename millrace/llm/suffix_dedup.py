@@ -23,7 +23,9 @@ from millrace.llm.common import bounded, mix64, partitions, raw_texts, small_bat
 
 LENGTH, GRAM = 50, 20
 GRAMS = LENGTH - GRAM + 1
-HALF = GRAMS // 2  # bytes beside a gram that half of the windows around it hold too
+CLASS = 11  # windows are told apart by how many bytes they hold before their gram: so many of these numbers are a class
+CLASSES, BITS, PLACED = -(-GRAMS // CLASS), 19, 5  # bits of a class's hash, and of a gram's place in a slice
+BLOCK = 1 << 18  # suffixes that are handed on together
 PIECE = 1 << 20  # bytes of a text that are hashed at once
 PLACE = 21  # bits that hold a place in a piece
 HELD = 400_000  # slices packed into one set of shuffle rows
@@ -49,11 +51,12 @@ class Powers:
 
 def slices(text: bytes, powers: Powers) -> tuple[np.ndarray, ...]:
     """(gram, content, first, count, sides) of each slice of one text: its least gram, a hash of its bytes, its first
-    window and their number, and a number of 32 bits for each side of the gram.
+    window and their number, and its sides: a number of BITS bits for each class of windows, and the bytes that the
+    first window holds before the gram.
 
-    A window with at least HALF bytes before its gram holds these, another one the GRAMS - HALF bytes after it. So slices
-    share a window only if they share one of the two numbers, hashes of the gram with the bytes on that side; a side that
-    no window of a slice holds is 0. Where the gram occurs twice in a slice, both are 0, which tells nothing."""
+    All windows of a class hold the same bytes around their gram, the core. So slices share a window of a class only if
+    they share the core's hash; that of a class without a window in the slice is 0. Where the gram occurs twice in a slice,
+    all is 0, which tells nothing."""
     out = [], [], [], [], []
     for at in range(0, max(len(text) - LENGTH + 1, 0), PIECE):
         b = np.frombuffer(text, np.uint8, min(PIECE + LENGTH - 1, len(text) - at), at)
@@ -75,12 +78,15 @@ def slices(text: bytes, powers: Powers) -> tuple[np.ndarray, ...]:
         end = np.append(first[1:], len(least))
         content = mix64((sums[end + LENGTH - 1] - sums[first]) * down[first] + (end - first).astype(np.uint64))
         p, once = place[first], place[first] == place[end - 1]
-        before = np.where(p - first >= HALF, p - HALF, p)  # the whole range is looked up only where a window holds it
-        after = np.where(p - end + 1 < HALF, p + GRAM + GRAMS - HALF, p)
-        sides = [np.where(once & (high > low), mix64((sums[np.maximum(high, low)] - sums[low]) * down[low]) >> np.uint64(32) | np.uint64(1), np.uint64(0))
-                 for low, high in ((before, np.where(before < p, p + GRAM, 0)), (p, after))]
-        both = (sides[0] << np.uint64(32) | sides[1]).view(np.int64)
-        for column, values in zip(out, (grams[p], content, first + at, end - first, both)):
+        sides = np.zeros(len(p), np.uint64)
+        for c in range(CLASSES):
+            low, high = c * CLASS, min(c * CLASS + CLASS, GRAMS) - 1
+            rows = np.flatnonzero(once & (p - first >= low) & (p - end + 1 <= high))
+            start, stop = p[rows] - low, p[rows] - high + LENGTH
+            core = mix64((sums[stop] - sums[start]) * down[start]) >> np.uint64(64 - BITS)
+            sides[rows] |= np.maximum(core, np.uint64(1)) << np.uint64(PLACED + c * BITS)
+        sides = np.where(once, sides | (p - first).astype(np.uint64), np.uint64(0)).view(np.int64)
+        for column, values in zip(out, (grams[p], content, first + at, end - first, sides)):
             column.append(values)
     if not out[0]:
         return tuple(np.empty(0, k) for k in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
@@ -106,7 +112,19 @@ class Queue:
             self.parts, self.size, self.filed = [], 0, self.filed + 1
 
     def drain(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """What is held, in order; the queue is empty afterwards."""
+        """What is held, in order, in blocks of about BLOCK suffixes: each block takes many steps, however short it is. The
+        queue is empty afterwards."""
+        held, many = [], 0
+        for part in self._pushed():
+            held.append(part)
+            many += len(part[0])
+            if many >= BLOCK:
+                yield np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held])
+                held, many = [], 0
+        if held:
+            yield np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held])
+
+    def _pushed(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if self.file is not None:
             self.file.seek(0)
             while head := self.file.read(8):
@@ -122,19 +140,20 @@ class Least:
     """Least value of any range of a block, from the least of all ranges of a power of two."""
 
     def __init__(self, values: np.ndarray):
-        self.rows = [values]
-        while len(self.rows[-1]) > 1 << (len(self.rows) - 1):
-            last, step = self.rows[-1], 1 << (len(self.rows) - 1)
-            self.rows.append(np.minimum(last[:-step], last[step:]))
+        rows = [values]
+        while len(rows[-1]) > 1 << (len(rows) - 1):
+            last, step = rows[-1], 1 << (len(rows) - 1)
+            rows.append(np.minimum(last[:-step], last[step:]))
+        self.rows, size = np.concatenate(rows), np.array([len(r) for r in rows])
+        self.start = np.cumsum(size) - size
 
     def of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Both ends included; 255 where the range is empty."""
-        out = np.full(len(low), 255, np.uint8)
+        some = high >= low
         level = np.frexp(np.maximum(high - low + 1, 1).astype(float))[1] - 1
-        for k in np.unique(level[high >= low]):
-            i = np.flatnonzero((level == k) & (high >= low))
-            row = self.rows[k]
-            out[i] = np.minimum(row[low[i]], row[high[i] - (1 << int(k)) + 1])
+        at = self.start[level]
+        out = np.minimum(self.rows[at + np.where(some, low, 0)], self.rows[at + np.where(some, high - (1 << level) + 1, 0)])
+        out[~some] = 255
         return out
 
 
@@ -224,7 +243,8 @@ class Sorter:
         names = [int(x) for x in self.names]
         seeds = self._sorted_seeds()
         seed_lcp = np.concatenate([[0], self._shared(seeds[:-1], seeds[1:])]).astype(np.uint8) if len(seeds) else np.empty(0, np.uint8)
-        bounds = {x: (np.searchsorted(self.t[seeds], x), np.searchsorted(self.t[seeds], x, "right")) for x in names}
+        first = self.t[seeds]
+        bounds = dict(zip(names, zip(np.searchsorted(first, self.names), np.searchsorted(first, self.names, "right"))))
         large = {x: Queue(self.budget) for x in names}  # upwards: suffixes greater than the next
         done = {x: Queue(self.budget) for x in names}
         tail = {}
@@ -382,14 +402,25 @@ def _settle(table: pa.Table) -> pa.Table:
     starts = np.flatnonzero(new_gram)
     several = (np.maximum.reduceat(least, starts) != np.minimum.reduceat(least, starts))[np.cumsum(new_gram) - 1] if len(starts) else later
     ask = ~later & several
-    # of these, slices that share a side of their gram, and all of a gram that one of its slices holds twice
+    # of these, the windows from the first to the last class whose core another slice has too, and all windows of a gram
+    # that one of its slices holds twice
     rows = np.flatnonzero(ask)
-    g, both = np.cumsum(new_gram)[rows].astype(np.uint64), sides[rows].view(np.uint64)
-    alike = np.isin(g, g[both == 0])
-    for side in (both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)):
-        own = np.flatnonzero(side)
-        alike[own] |= _several(g[own] << np.uint64(32) | side[own], least[rows[own]])
-    ask[rows[~alike]] = False
+    g, own = np.cumsum(new_gram)[rows].astype(np.uint64), sides[rows].view(np.uint64)
+    front, twice = (own & np.uint64((1 << PLACED) - 1)).astype(np.int64), np.isin(g, g[own == 0])
+    low, high = np.full(len(rows), GRAMS), np.full(len(rows), -1)  # bytes before the gram, of the windows to compare
+    for c in range(CLASSES):
+        core = own >> np.uint64(PLACED + c * BITS) & np.uint64((1 << BITS) - 1)
+        some = np.flatnonzero(core)
+        alike = some[_several(g[some] << np.uint64(BITS) | core[some], least[rows[some]])]
+        low[alike] = np.minimum(low[alike], c * CLASS)
+        high[alike] = c * CLASS + CLASS - 1
+    ask[rows[~twice & (high < 0)]] = False
+    trim = np.flatnonzero(~twice & (high >= 0))
+    begin = np.maximum(front[trim] - high[trim], 0)
+    end = np.minimum(front[trim] - low[trim] + 1, n[rows[trim]])
+    at, n = at.astype(np.int64), n.astype(np.int64)
+    at[rows[trim]] += begin
+    n[rows[trim]] = end - begin
     keep = later | ask
     zero = _flat(before, "doc")
     return pa.table({

@@ -230,3 +230,35 @@ def test_slices_that_share_no_side_of_their_gram_are_not_sorted():
         for i in range(len(text) - 49):
             if first.setdefault(text[i : i + 50], doc) < doc:
                 assert (doc, i) in kept
+
+
+def test_suffixes_are_handed_on_in_few_blocks(monkeypatch):
+    """A symbol's queue is filled by all the others, in small parts; each part for itself would take as many steps."""
+    blocks = []
+    hand_on = suffix_dedup.Sorter._hand_on
+    monkeypatch.setattr(suffix_dedup.Sorter, "_hand_on", lambda self, at, *rest: blocks.append(len(at)) or hand_on(self, at, *rest))
+    rng = np.random.default_rng(4)
+    symbols = np.append(rng.integers(1, 101, 20_000), 0).astype(np.uint16)
+    order, _ = suffix_dedup.Sorter(symbols).order()
+    assert np.array_equal(np.sort(order[symbols[order] > 0]), np.arange(20_000))
+    assert len(blocks) < 1500  # 100 symbols, in both directions, with runs; it was one for most pairs of symbols
+
+
+def test_only_windows_that_may_be_shared_are_sorted():
+    """The end of a passage that two texts share: of the windows around its last gram, those within the passage."""
+    rng = random.Random(11)
+    some = lambda n: bytes(rng.randrange(256) for _ in range(n))
+    passage = some(400)
+    texts = [some(300) + passage + some(300), some(200) + passage + some(200)]
+    rows = []
+    for doc, text in enumerate(texts):
+        held = suffix_dedup.slices(text, suffix_dedup.Powers())
+        rows += [(1, [int(g)], [int(c)], [doc], [int(a)], [int(n)], [int(s)]) for g, c, a, n, s in zip(*(x.view(np.int64) for x in held))]
+    names = ["kind", "gram", "content", "doc", "at", "n", "sides"]
+    kinds = [pa.int32(), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.int32())] * 2, pa.list_(pa.int64())]
+    found = suffix_dedup._settle(pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)).to_pylist()
+    kept = {(r["doc"], r["at"] + i) for r in found for i in range(r["n"])}
+    shared = {(1, 200 + i) for i in range(351)}
+    assert shared <= kept
+    assert max(r["n"] for r in found if r["kind"]) < suffix_dedup.GRAMS
+    assert all(300 - suffix_dedup.CLASS < at < 651 + suffix_dedup.CLASS for doc, at in kept if doc == 0)
