@@ -286,8 +286,8 @@ def _gradients(p: dict, of: np.ndarray, x: np.ndarray, y: np.ndarray, first: int
     ds = dm @ v.transpose(0, 2, 1)
     ds -= np.einsum("nsw,nsw->ns", dm, m)[:, :, None]
     ds *= a
-    dkv[..., :WIDTH] = ds.transpose(0, 2, 1) @ q
-    dkv[..., WIDTH:] = a.transpose(0, 2, 1) @ dm
+    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[..., :WIDTH])
+    np.matmul(a.transpose(0, 2, 1), dm, out=dkv[..., WIDTH:])
     dq = (ds @ k).reshape(-1, WIDTH)
     flat = dkv.reshape(-1, 2 * WIDTH)
     de = (flat @ np.hstack([p["k"], p["v"]]).T).reshape(whole.shape)
@@ -309,6 +309,13 @@ def _by_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return ids[starts], np.add.reduceat(np.take(values, order, axis=0), starts)
 
 
+def _added_by_id(total: np.ndarray, ids: np.ndarray, columns: np.ndarray) -> None:
+    """Add values to the rows of their ids; ``columns`` has a row for each column of ``total``. Nothing is sorted or moved."""
+    ids = ids.astype(np.intp)
+    for c, values in enumerate(columns):
+        total[:, c] += np.bincount(ids, values, minlength=len(total))
+
+
 def fit(tokens: np.ndarray, lengths: np.ndarray, counts: np.ndarray, steps: int = 600, batch: int = 192, seed: int = 3,
         topics: np.ndarray | None = None) -> Model:
     """Train on a sample's sequences; ``counts`` are those of the whole corpus, and ``topics``, if given. Without texts
@@ -365,12 +372,16 @@ def encoded(docs: DataFrame, learn: Column, ranks, head, rest: bool) -> DataFram
             ends = np.append(0, np.cumsum(np.add.reduceat(n, first)))
             hashes, times, lists = np.empty(0, np.int64), np.empty(0, np.int32), np.zeros(len(sizes) + 1, np.int64)
             if rest:
-                h = np.array([0 if w in encoder.of else xxhash.xxh3_64_intdigest(w) for w in words], np.uint64).view(np.int64)
-                far = np.flatnonzero(np.array([w not in encoder.of for w in words], bool)[at])
+                others = np.flatnonzero(np.array(encoder.value)[numbers] == 0)  # a word in ``head`` has a value above 0
+                h = np.fromiter((xxhash.xxh3_64_intdigest(words[k]) for k in others.tolist()), np.uint64, len(others)).view(np.int64)
+                nth = np.full(len(words), -1)
+                nth[others] = np.arange(len(others))
+                nth = nth[at]
+                far = np.flatnonzero(nth >= 0)
                 whose = np.repeat(np.arange(len(sizes)), sizes)[far]
-                pair, times = np.unique(whose * max(len(words), 1) + at[far], return_counts=True)
-                hashes, times = h[pair % max(len(words), 1)], times.astype(np.int32)
-                lists[1:] = np.cumsum(np.bincount(pair // max(len(words), 1), minlength=len(sizes)))
+                pair, times = np.unique(whose * max(len(others), 1) + nth[far], return_counts=True)
+                hashes, times = h[pair % max(len(others), 1)], times.astype(np.int32)
+                lists[1:] = np.cumsum(np.bincount(pair // max(len(others), 1), minlength=len(sizes)))
             lists = pa.array(lists.astype(np.int32))
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "learnt", "key", "round")], pa.array(sizes + 1),
@@ -487,20 +498,19 @@ def refined(model: Model, texts: DataFrame, rate: float = 0.01, part: int = 320)
             for tokens, lengths in _texts(batches):
                 x_all, y_all, _ = windows(tokens, lengths)
                 inner = (y_all[:, : SPAN - STRIDE] < 0).all(1)  # all but a text's first window
-                each, ids = np.empty((*x_all.shape, WIDTH), np.float32), []
+                each, ids = np.empty((WIDTH, x_all.size), np.float32), []
                 done = 0
                 for first, rows in ((0, np.flatnonzero(~inner)), (SPAN - STRIDE, np.flatnonzero(inner))):
                     for at in range(0, len(rows), part):
                         take = rows[at : at + part]
                         ids.append(x_all[take].ravel())
                         g, d, n = _gradients(now, of, x_all[take], y_all[take, first:], first)
-                        each[done : done + len(take)] = d.reshape(len(take), SPAN, WIDTH)
-                        done += len(take)
+                        each[:, done : done + len(d)] = d.T
+                        done += len(d)
                         total[-1, 0] += n
                         for k in names:
                             sums[k] += g[k]
-                seen, d = _by_id(np.concatenate(ids), each.reshape(-1, WIDTH))
-                total[seen] += d
+                _added_by_id(total[:IDS], np.concatenate(ids), each)
             at = IDS
             for k, size in zip(names, sizes):
                 total[at : at + size].ravel()[: sums[k].size] = sums[k].ravel()

@@ -246,3 +246,28 @@ def test_every_language_is_learnt(spark):
 
     df = spark.createDataFrame([(i if i % 2 else None, f"word{i} text{i}", f"l{i:03}") for i in range(230)], "doc_id long, text string, lang string")
     assert langid.train(df, F.lit(True)).langs == [f"l{i:03}" for i in range(230)]
+
+
+def test_gradients_of_ids_are_added_without_sorting():
+    """Ids in any order and as often as they like; what is there already stays."""
+    rng = np.random.default_rng(2)
+    ids = rng.integers(0, 40, 500).astype(np.int32)
+    each = rng.normal(size=(500, lm_score.WIDTH)).astype(np.float32)
+    total = np.ones((50, lm_score.WIDTH))
+    want = total.copy()
+    np.add.at(want, ids, each)
+    lm_score._added_by_id(total, ids, np.ascontiguousarray(each.T))
+    assert np.allclose(total, want) and (total[40:] == 1).all()
+
+
+def test_only_words_beyond_the_head_are_hashed(spark):
+    """Each text's other words, with how often it has each; a word of the head is looked up and nothing more."""
+    import xxhash
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "aa bb bb cc"), (2, None), (3, "dd aa AA dd dd")], "doc_id long, text string")
+    tell = spark.sparkContext.broadcast
+    texts = lm_score.encoded(docs, F.lit(True), tell(lm_score.load_vocabulary()), tell({b"aa": 0.5, b"cc": 0.25}), True)
+    h = lambda w: int(np.array([xxhash.xxh3_64_intdigest(w)], np.uint64).view(np.int64)[0])
+    got = {r.doc_id: (r.n_tokens, r.n_head, r.s_head, dict(zip(r.rest, r.times))) for r in texts.collect()}
+    assert got == {1: (5, 2, 0.75, {h(b"bb"): 2}), 2: (1, 0, 0.0, {}), 3: (6, 2, 1.0, {h(b"dd"): 3})}
