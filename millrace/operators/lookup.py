@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import accumulate
 from threading import Lock
 
 from pyspark.ml.feature import Bucketizer
@@ -244,17 +245,17 @@ def _asked(rows: DataFrame, keys: list[str], statement: str, context: RunContext
 
 
 def _many_in_bins(df: DataFrame, statement: str, keys: list[str], views: dict[str, DataFrame], context: RunContext, within: Within) -> DataFrame:
-    """Matches come straight out of the join in bins. The rows left without any are those whose parameters find nothing,
+    """Matches come straight out of the join in blocks. The rows left without any are those whose parameters find nothing,
     which a second pass asks once for each set of parameters, ending at the first match."""
-    splits = _splits(views, within)
+    cuts = _cuts(views, within)
     rows, renamed, fallback, bounds = _asked(df, keys, statement, context, within)
-    found = _in_bins(rows, renamed, views, fallback, bounds, splits, spread=True)
+    found = _in_bins(rows, renamed, views, fallback, bounds, cuts, _shares(rows, renamed, views, fallback, bounds, cuts))
     names = dict(zip(df.columns, rows.columns))
     added = [c for c in found.columns if c not in rows.columns]
     kept = [c for c in df.columns if c not in added]
     matches = found.select(*[F.col(f"`{names[c]}`").alias(c) for c in kept], *[F.col(f"`{c}`") for c in added])
     asked, renamed, fallback, bounds = _asked(df.select(*keys).distinct(), keys, statement, context, within)
-    met = _in_bins(asked, renamed, views, fallback, bounds, splits, exists=True).distinct()
+    met = _in_bins(asked, renamed, views, fallback, bounds, cuts, exists=True).distinct()
     same = reduce(lambda a, b: a & b, [F.col(f"i.`{k}`").eqNullSafe(F.col(f"l.`{p}`")) for k, p in zip(keys, asked.columns)])
     alone = df.alias("i").join(met.alias("l"), same, "left_anti").select(
         *[F.col(f"`{c}`") for c in kept], *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in added])
@@ -280,29 +281,34 @@ def _as_number(table: DataFrame, column: str):
     return (lambda c: F.unix_micros(c.cast("timestamp")).cast("double")) if moment else _number
 
 
-def _splits(views: dict[str, DataFrame], within: Within) -> list[float]:
-    """Where the bounded column is cut into bins of about equal numbers."""
+@dataclass(frozen=True)
+class Cuts:
+    """Where the bounded column is cut into bins of about equal numbers, and its least and greatest value."""
+
+    splits: list[float]
+    least: float | None
+    greatest: float | None
+
+    def binned(self, rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+        """With the bin of each value, by the new column's name."""
+        ready = rows.withColumns({f"{name}_value": c for name, c in columns.items()})
+        cut = Bucketizer(splitsArray=[self.splits] * len(columns), inputCols=[f"{n}_value" for n in columns], outputCols=list(columns), handleInvalid="keep")
+        done = cut.transform(ready).drop(*[f"{n}_value" for n in columns])
+        return done.withColumns({n: F.least(F.col(n), F.lit(len(self.splits) - 2.0)).cast("int") for n in columns})
+
+
+def _cuts(views: dict[str, DataFrame], within: Within) -> Cuts:
     table = views[within.view]
     value = _as_number(table, within.column)(F.col(within.column))
-    cuts = table.select(F.percentile_approx(value, [i / within.bins for i in range(1, within.bins)], 10_000).alias("c")).first()["c"] or []
-    return [float("-inf"), *(sorted({c for c in cuts if c not in (float("inf"), float("-inf"))}) or [0.0]), float("inf")]
+    found = table.select(F.percentile_approx(value, [i / within.bins for i in range(1, within.bins)], 10_000).alias("c"),
+                         F.min(value).alias("least"), F.max(value).alias("greatest")).first()
+    inner = sorted({c for c in found["c"] or [] if c not in (float("inf"), float("-inf"))}) or [0.0]
+    return Cuts([float("-inf"), *inner, float("inf")], found["least"], found["greatest"])
 
 
-def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, within: Within,
-             splits: list[float] | None = None, exists: bool = False, spread: bool = False) -> DataFrame:
-    """The statement's rows for every set of parameters that has any, or with ``exists`` the sets alone, once for each bin
-    with a match; with ``spread`` the sets are dealt to all tasks, however few read them. A set of parameters goes to the bins between its bounds; but for the first and the last, all values in
-    them match, so there are no more of these rows than of matches."""
-    table = views[within.view]
+def _covered(asked: DataFrame, table: DataFrame, context: RunContext, within: Within, cuts: Cuts) -> DataFrame:
+    """The sets of parameters with the first and the last bin between their bounds. Those beyond all values are left out."""
     as_number = _as_number(table, within.column)
-    value = as_number(F.col(within.column))
-    splits = splits or _splits(views, within)
-
-    def binned(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
-        ready = rows.withColumns({f"{name}_value": c for name, c in columns.items()})
-        cut = Bucketizer(splitsArray=[splits] * len(columns), inputCols=[f"{n}_value" for n in columns], outputCols=list(columns), handleInvalid="keep")
-        done = cut.transform(ready).drop(*[f"{n}_value" for n in columns])
-        return done.withColumns({n: F.least(F.col(n), F.lit(len(splits) - 2.0)).cast("int") for n in columns})
 
     def bound(name: str | None, otherwise: float) -> Column:
         if name is None:
@@ -312,20 +318,88 @@ def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], cont
         return as_number(F.coalesce(*given)) if given else F.lit(None).cast("double")
 
     low, high = bound(within.low, float("-inf")), bound(within.high, float("inf"))
-    covered = binned(asked.where(low.isNotNull() & high.isNotNull()), {"__low": low, "__high": high}).where("__low <= __high")
-    rows = covered.withColumn("__bin", F.explode(F.sequence("__low", "__high"))).drop("__low", "__high")
-    if spread:
-        rows = rows.repartition(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    inside = (low <= F.lit(cuts.greatest).cast("double")) & (high >= F.lit(cuts.least).cast("double"))
+    return cuts.binned(asked.where(inside), {"__low": low, "__high": high}).where("__low <= __high")
+
+
+BLOCK, BLOCKS, SETS = 256, 65_536, 100_000  # rows of the statement in a block, blocks in all, sets of parameters in a salt
+
+
+def _shares(asked: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, within: Within, cuts: Cuts) -> list[tuple[int, int]]:
+    """To how many blocks the rows of each bin are dealt, and to how many salts the sets of parameters that go there. A
+    block has ``BLOCK`` of the rows that the statement finds for the widest bounds of all, so there are few sets beside
+    their matches. A statement with other parameters of the rows may find less for each of them: its bins stay whole."""
+    bounds = {name: F.min if name == within.low else F.max for name in (within.low, within.high) if name in asked.columns}
+    table, bins = views[within.view], len(cuts.splits) - 1
+    blocks = [1] * bins
+    if within.low != within.high and not {n for n in parameter_names(statement) if n in asked.columns} - set(bounds):
+        widest = asked.agg(*[outermost(name).alias(name) for name, outermost in bounds.items()]).withColumn(
+            "__bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+        value = _as_number(table, within.column)(F.col(within.column))
+        cut_views = {**views, within.view: cuts.binned(table.where(value.isNotNull()), {"__bin": value})}
+        found = _lateral(widest, _and_where(statement, "__bin = input.__bin"), cut_views, context, "INNER")
+        found = found.toDF(*[f"c{i}" for i in range(len(found.columns))])  # the statement may select __bin as well
+        counts = dict(found.groupBy(f"c{len(bounds)}").agg(F.count(F.lit(1))).collect())
+        size = max(BLOCK, -(-sum(counts.values()) // BLOCKS))
+        blocks = [max(1, -(-counts.get(i, 0) // size)) for i in range(bins)]
+    ends = F.array(F.struct(F.col("__low").alias("at"), F.lit(1).alias("n")), F.struct((F.col("__high") + 1).alias("at"), F.lit(-1).alias("n")))
+    steps = dict(_covered(asked, table, context, within, cuts).select(F.inline(ends)).groupBy("at").agg(F.sum("n")).collect())
+    return [(b, max(1, -(-sets // SETS))) for b, sets in zip(blocks, accumulate(steps.get(i, 0) for i in range(bins)))]
+
+
+def _dealt(covered: DataFrame, inner: DataFrame, alike: list[str], shares: list[tuple[int, int]]) -> tuple[DataFrame, DataFrame]:
+    """The sets of parameters and the view's rows, both with the block and salt where they meet, numbered through all bins."""
+    def of(values: list[int]) -> Column:
+        return F.get(F.lit(values), F.col("__bin"))
+
+    blocks, salts = of([b for b, _ in shares]), of([s for _, s in shares])
+    first = of(list(accumulate((b * s for b, s in shares[:-1]), initial=0)))
+    # numbered before any shuffle, so that a retried task numbers its rows the same way
+    each = covered.withColumn("__pos", F.monotonically_increasing_id()).withColumn("__bin", F.explode(F.sequence("__low", "__high")))
+    each = each.withColumn("__block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = each.withColumn("__bin", first + F.col("__block") * salts + F.pmod(F.xxhash64("__pos"), salts))
+    block = F.pmod(F.xxhash64(*alike), blocks)
+    copies = inner.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    met = copies.withColumn("__bin", first + block * salts + F.col("__salt"))
+    return rows.drop("__pos", "__low", "__high", "__block"), met.drop("__salt")
+
+
+def _in_bins(asked: DataFrame, statement: str, views: dict[str, DataFrame], context: RunContext, within: Within,
+             cuts: Cuts | None = None, shares: list[tuple[int, int]] | None = None, exists: bool = False) -> DataFrame:
+    """The statement's rows for every set of parameters that has any, or with ``exists`` the sets alone, once for each bin
+    with a match. A set of parameters goes to the bins between its bounds; but for the first and the last, all values in
+    them match, so there are no more of these rows than of matches.
+
+    With ``shares`` matches come out block by block: the same few rows for one set of parameters after the other. Files of
+    matches, which may be many times the tables, are small in this order. Only a merge join keeps it, so one is asked for."""
+    table = views[within.view]
+    cuts = cuts or _cuts(views, within)
+    value = _as_number(table, within.column)(F.col(within.column))
+    covered, inner = _covered(asked, table, context, within, cuts), cuts.binned(table.where(value.isNotNull()), {"__bin": value})
+    if shares:
+        rows, inner = _dealt(covered, inner, _named_in(statement, table), shares)
+        # to all tasks, however few rows there are beside their matches
+        rows, inner = rows.repartition(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__bin"), inner.hint("merge")
+    else:
+        rows = covered.withColumn("__bin", F.explode(F.sequence("__low", "__high"))).drop("__low", "__high")
     meeting = _and_where(statement, "__bin = input.__bin")
-    cut_views = {**views, within.view: binned(table.where(value.isNotNull()), {"__bin": value})}
+    cut_views = {**views, within.view: inner}
     if exists:
         return _where_exists(rows, meeting, cut_views, context).drop("__bin")
-    found = _lateral(rows, meeting, cut_views, context, "INNER")
-    if "Aggregate" in found._jdf.queryExecution().analyzed().toString():
+    alone = _lateral(asked.sparkSession.createDataFrame([], rows.schema), meeting, cut_views, context, "INNER")  # rows may be grouped, the statement not
+    if "Aggregate" in alone._jdf.queryExecution().analyzed().toString():
         raise ValueError("a statement that aggregates can't be asked bin by bin")
+    found = _lateral(rows, meeting, cut_views, context, "INNER")
     return found.select(*asked.columns, *[f"`{c}`" for c in dict.fromkeys(found.columns) if c not in asked.columns and c != "__bin"])
 
 
+def _named_in(statement: str, table: DataFrame) -> list[str]:
+    """The columns that the statement may read and a hash can take: rows that differ in none of them are alike to it."""
+    words = set(re.findall(r"\w+", statement.lower()))
+    able = [f.name for f in table.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    return [f"`{c}`" for c in able if c.lower() in words] or [f"`{c}`" for c in able]
+
+
 def _and_where(statement: str, condition: str) -> str:
     """The statement with one more condition in its outermost WHERE."""
     masked = re.sub(QUOTED, lambda m: "x" * len(m.group(0)), statement, flags=re.DOTALL)

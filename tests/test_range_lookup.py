@@ -83,3 +83,48 @@ def test_matches_are_not_shuffled_to_meet_their_rows(spark, tables):
     assert got.columns == ["i", "lo", "id", "hi"] and sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, want))
     twice = lookup.lookup_sql(df.union(df), "SELECT id FROM t WHERE v >= :lo AND v < :hi AND kind = 1", views={"t": table}, within=lookup.Within("t", "v", "lo", "hi", bins=16))
     assert twice.count() == 2 * len(want)
+
+
+def written(frame, folder) -> tuple[int, int]:
+    frame.write.parquet(str(folder))
+    return sum(f.stat().st_size for f in folder.glob("*.parquet")), frame.sparkSession.read.parquet(str(folder)).count()
+
+
+def test_matches_are_written_in_little_space(spark, tmp_path):
+    """Every match is there, and takes less than a byte: in the order they come in, values stay the same or come again."""
+    df = spark.range(900).selectExpr("id as i", "cast(hash(id) % 40 as double) as lo", "cast(60 + hash(id, 1) % 20 as double) as hi")
+    table = spark.range(6000).selectExpr("xxhash64(id) as id", "cast(hash(id, 7) % 100 as double) as v")
+    got = lookup.lookup_sql(df, "SELECT id, v FROM t WHERE v >= :lo AND v < :hi", views={"t": table}, within=lookup.Within("t", "v", "lo", "hi", bins=16))
+    size, rows = written(got, tmp_path / "matches")
+    assert rows == df.join(table, (table.v >= df.lo) & (table.v < df.hi), "left").count() > 1_000_000
+    assert size < rows
+
+
+def test_blocks_and_salts_lose_and_double_nothing(spark, tables, monkeypatch):
+    df, asked, table, rows = tables
+    monkeypatch.setattr(lookup, "BLOCK", 8)
+    monkeypatch.setattr(lookup, "SETS", 5)
+    hot = df.union(spark.sql("select 100, 6.0D, 8.0D from range(200)"))  # many rows alike ask for many rows alike
+    both = table.union(table)
+    statement = "SELECT *, :lo AS i FROM t WHERE v >= :lo AND v < :hi AND kind <> 2"
+    got = lookup.lookup_sql(hot, statement, views={"t": both}, within=lookup.Within("t", "v", "lo", "hi", bins=16))
+    assert got.columns == ["lo", "hi", "id", "v", "kind", "i"]
+    want = []
+    for i, lo, hi in [*asked, *[(100, 6.0, 8.0)] * 200]:
+        hits = [(id, v, kind, lo) for id, v, kind in rows if lo is not None and above(v, lo) and v == v and v < hi and kind != 2] * 2
+        want += [(lo, hi, *hit) for hit in hits or [(None,) * 4]]
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, want))
+
+
+def test_rows_that_ask_beyond_all_values_meet_no_bin(spark, tables):
+    df = spark.sql("select id, cast(id as double) as lo, id + 1.0D as hi from range(-3, 30)")
+    within, views = lookup.Within("t", "v", "lo", "hi", bins=4), {"t": spark.sql("select cast(id as double) as v from range(10)")}
+    covered = lookup._covered(df, views["t"], RunContext(), within, lookup._cuts(views, within))
+    assert sorted(r.id for r in covered.collect()) == list(range(-1, 10))
+
+
+def test_rows_that_were_grouped_may_ask(spark, tables):
+    df, _, table, _ = tables
+    grouped = df.groupBy("lo", "hi").count()
+    got = lookup.lookup_sql(grouped, "SELECT id FROM t WHERE v >= :lo AND v < :hi", views={"t": table}, within=lookup.Within("t", "v", "lo", "hi", bins=16))
+    assert got.count() == grouped.join(table, (table.v >= grouped.lo) & (table.v < grouped.hi), "left").count()
