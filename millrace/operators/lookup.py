@@ -397,7 +397,8 @@ def _named_in(statement: str, table: DataFrame) -> list[str]:
     """The columns that the statement may read and a hash can take: rows that differ in none of them are alike to it."""
     words = set(re.findall(r"\w+", statement.lower()))
     able = [f.name for f in table.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
-    return [f"`{c}`" for c in able if c.lower() in words] or [f"`{c}`" for c in able]
+    named = [] if "*" in statement else [c for c in able if c.lower() in words]
+    return [f"`{c}`" for c in named or able]
 
 
 def _and_where(statement: str, condition: str) -> str:
